@@ -5,8 +5,8 @@ group in one task's memory: a global quantile over 10^12 doubles cannot work.
 ``quantiles(method="exact")`` instead selects order statistics:
 
 1. one aggregate pass: n, min, max per (group, feature);
-2. groups with n <= ``window_rows``: rank values with a window partitioned by
-   (group, feature) and pick the needed ranks;
+2. groups with n <= ``window_rows``: Spark's exact ``percentile`` (its per-group
+   value map is then bounded by ``window_rows``);
 3. larger groups: histogram refinement. Bucket values into ``buckets`` equal-width
    bins over the current range, count per bin (map-side partial aggregation),
    keep the bin containing each wanted rank, repeat on that bin's rows until it
@@ -75,28 +75,23 @@ def quantiles(long: DataFrame, probs: list[float], keys: list[str], value_col: s
     v = F.col(value_col)
     stats = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
     stats = stats.cache()
-    targets = _rank_targets(stats, keys, probs)
-    ranks = (targets.select(*keys, F.col("r_lo").alias("rank"))
-             .unionByName(targets.select(*keys, F.col("r_hi").alias("rank"))).distinct())
-
     big = stats.where(F.col("n") > window_rows)
     n_big = big.count()
+    if n_big == 0:
+        # Every group is small enough for Spark's exact in-memory percentile.
+        return quantiles(long, probs, keys, value_col, method="inmemory")
 
-    # Small groups: one window per (keys) over all their values.
-    small_vals = long.join(stats.where(F.col("n") <= window_rows).select(*keys), keys, "left_semi")
-    w = Window.partitionBy(*keys).orderBy(v)
-    ranked = small_vals.select(*keys, v.alias("v"), (F.row_number().over(w) - 1).alias("rank"))
-    picked = ranked.join(ranks, keys + ["rank"], "left_semi")
-
-    if n_big:
-        picked = picked.unionByName(_refine(long, big, ranks, keys, value_col, window_rows, buckets,
-                                            n_big * 2 * len(probs)))
-
-    lo_v = picked.select(*keys, F.col("rank").alias("r_lo"), F.col("v").alias("v_lo"))
-    hi_v = picked.select(*keys, F.col("rank").alias("r_hi"), F.col("v").alias("v_hi"))
-    out = (targets.join(lo_v, keys + ["r_lo"]).join(hi_v, keys + ["r_hi"])
-           .select(*keys, "prob", (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("q")))
-    return out
+    small_keys = stats.where(F.col("n") <= window_rows).select(*keys)
+    small = quantiles(long.join(small_keys, keys, "left_semi"), probs, keys, value_col, method="inmemory")
+    targets = _rank_targets(big, keys, probs)
+    ranks = (targets.select(*keys, F.col("r_lo").alias("rank"))
+             .unionByName(targets.select(*keys, F.col("r_hi").alias("rank"))).distinct())
+    picked = _refine(long, big, ranks, keys, value_col, window_rows, buckets, n_big * 2 * len(probs))
+    j = targets.join(picked, keys).where((F.col("rank") == F.col("r_lo")) | (F.col("rank") == F.col("r_hi")))
+    both = j.groupBy(*keys, "prob", "frac").agg(F.max(F.when(F.col("rank") == F.col("r_lo"), F.col("v"))).alias("v_lo"),
+                                                F.max(F.when(F.col("rank") == F.col("r_hi"), F.col("v"))).alias("v_hi"))
+    big_q = both.select(*keys, "prob", (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("q"))
+    return small.unionByName(big_q)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,15 +22,17 @@ ORDER_RATIOS = [
 
 
 def sig_round(c):
-    """Round a double to 11 significant digits through text.
+    """Round a double to 6 decimals below 1e5, else to 10 significant digits.
 
-    Aggregates summed in another order differ in their last bits between engines;
-    this maps them onto the very same double at any magnitude. Exact row-wise
-    values are left alone (rounding them could only create decimal ties).
+    Aggregates summed in another order differ in their last bits between engines
+    (and centring can magnify that); this maps both results onto the same double
+    at any magnitude. Exact row-wise values are left alone: rounding them could
+    only create decimal ties.
     """
     x = c.cast("double")
-    return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(
-        F.format_string("%.10e", x).cast("double") + F.lit(0.0))
+    small = x.try_cast("decimal(38,6)").cast("double") + F.lit(0.0)
+    big = F.format_string("%.9e", x).cast("double")
+    return F.when(x.isNull(), F.lit(None).cast("double")).when(F.abs(x) < 1e5, small).otherwise(big)
 
 
 def round_doubles(df: DataFrame, cols=(), list_cols=()) -> DataFrame:
@@ -47,8 +50,11 @@ def round_doubles(df: DataFrame, cols=(), list_cols=()) -> DataFrame:
 
 def engineered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """order_features → median impute → per-class winsorize → ratios + interactions."""
-    of = order_features(spark, sf_dir)
-    imp = impute_median(of, ORDER_FEATURES)
+    # Each fitted step reads its input twice (fit, apply): keep the inputs in
+    # memory/disk so the joins and decimal sums run once (recomputed from lineage
+    # if an executor is lost).
+    of = order_features(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    imp = impute_median(of, ORDER_FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
     win = winsorize(imp, ORDER_FEATURES, by=["class"])
     eng = ratio_features(win, ORDER_RATIOS)
     cols = ORDER_FEATURES + [r[0] for r in ORDER_RATIOS]

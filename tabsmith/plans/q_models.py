@@ -1 +1,232 @@
-"""Queries (filled in below)."""
+"""Queries for encoding, scaling, splitting, noise, KNN and MLlib models (P, N, M, T, A8-A9)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tabsmith.functions.keyed import keyed_uniform, normal_sql, u_sql
+from tabsmith.operators import noise as N
+from tabsmith.operators import scale as S
+from tabsmith.operators import split as SP
+from tabsmith.operators.impute import impute_median
+from tabsmith.plans import oracle_fixtures as OF
+from tabsmith.plans.registry import query
+from tabsmith.sources import fixtures as FX
+from tabsmith.sources.io import read_table
+
+OFS = FX.ORDER_FEATURES
+LS = FX.LINE_FEATURES
+OFW = OF.with_(OF.ORDER_FEATURES)
+LSW = OF.with_(OF.LINE_STATS)
+
+
+def _orders_class(spark, sf):
+    return read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("row_id"),
+                                                  F.col("o_orderpriority").alias("class"))
+
+
+_ENC_SQL = """WITH m AS (SELECT o_orderpriority AS class, (dense_rank() OVER (ORDER BY o_orderpriority) - 1)::INTEGER AS label_idx
+           FROM (SELECT DISTINCT o_orderpriority FROM orders WHERE o_orderpriority IS NOT NULL))
+SELECT o_orderkey AS row_id, o_orderpriority AS class, m.label_idx FROM orders LEFT JOIN m ON o_orderpriority = m.class"""
+
+
+@query("label_encode", _ENC_SQL)
+def label_encode(spark, sf):
+    """Sorted distinct labels → 0..k-1."""
+    return S.encode_labels(_orders_class(spark, sf), "class").select("row_id", "class", "label_idx")
+
+
+@query("label_decode", f"SELECT row_id, label_idx, class AS label FROM ({_ENC_SQL})")
+def label_decode(spark, sf):
+    """Index → label through the fitted mapping."""
+    df = _orders_class(spark, sf)
+    m = S.label_index(df, "class")
+    enc = S.encode_labels(df, "class", mapping=m).select("row_id", "label_idx")
+    return S.decode_labels(enc, "label_idx", m, "class", out="label").select("row_id", "label_idx", "label")
+
+
+@query("class_weights", """
+SELECT class, n, sum(n) OVER () / (count(*) OVER () * n) AS weight
+FROM (SELECT o_orderpriority AS class, count(*)::BIGINT AS n FROM orders GROUP BY 1)""", doubles=("weight",))
+def class_weights(spark, sf):
+    """Balanced weights."""
+    return S.class_weights(_orders_class(spark, sf), "class")
+
+
+def _scale_sql(center: str, scale: str, table: str = "line_stats", by_split: bool = False) -> str:
+    stats = ", ".join(f"{center.format(c=c)} AS c_{c}, {scale.format(c=c)} AS s_{c}" for c in LS)
+    sel = ", ".join(f"({c} - c_{c}) / (CASE WHEN s_{c} < {S.EPS10!r} THEN 1.0 ELSE s_{c} END) AS {c}" for c in LS)
+    return LSW + f", st AS (SELECT {stats} FROM {table})\nSELECT class, {sel} FROM {table}, st"
+
+
+@query("scale_standard", _scale_sql("avg({c})", "stddev_pop({c})"), doubles=tuple(LS))
+def scale_standard(spark, sf):
+    """(x - mean) / std_pop."""
+    return S.scale(FX.line_stats(spark, sf), LS, "standard")
+
+
+@query("scale_minmax", _scale_sql("min({c})", "max({c}) - min({c})"), doubles=tuple(LS))
+def scale_minmax(spark, sf):
+    """(x - min) / (max - min)."""
+    return S.scale(FX.line_stats(spark, sf), LS, "minmax")
+
+
+@query("scale_robust", _scale_sql("quantile_cont({c}, 0.5)", "quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)"),
+       doubles=tuple(LS))
+def scale_robust(spark, sf):
+    """P5: (x - median) / IQR."""
+    return S.scale(FX.line_stats(spark, sf), LS, "robust")
+
+
+@query("scale_none", LSW + "SELECT class, " + ", ".join(LS) + " FROM line_stats")
+def scale_none(spark, sf):
+    """Identity."""
+    return S.scale(FX.line_stats(spark, sf), LS, "none")
+
+
+_SPLIT3 = (f"CASE WHEN {u_sql('row_id', repr('split3'))} < 0.72 THEN 'train' "
+           f"WHEN {u_sql('row_id', repr('split3'))} < 0.9 THEN 'test' ELSE 'val' END")
+
+
+def _split3(key):
+    u = keyed_uniform(key, "split3")
+    return F.when(u < 0.72, "train").when(u < 0.9, "test").otherwise("val")
+
+
+def _apply_sql(inverse: bool) -> str:
+    stats = ", ".join(f"avg({c}) AS c_{c}, stddev_pop({c}) AS s_{c}" for c in OFS)
+    sc = "(CASE WHEN s_{c} < " + repr(S.EPS10) + " THEN 1.0 ELSE s_{c} END)"
+    if inverse:
+        sel = ", ".join(f"((({c} - c_{c}) / {sc.format(c=c)}) * {sc.format(c=c)} + c_{c}) AS {c}" for c in OFS)
+    else:
+        sel = ", ".join(f"({c} - c_{c}) / {sc.format(c=c)} AS {c}" for c in OFS)
+    return OFW + f""", sp AS (SELECT *, {_SPLIT3} AS split FROM order_features),
+st AS (SELECT {stats} FROM sp WHERE split = 'train')
+SELECT row_id, split, {sel} FROM sp, st"""
+
+
+def _fit_train_scaler(spark, sf):
+    of = FX.order_features(spark, sf).withColumn("split", _split3("row_id"))
+    sc = S.Scaler("standard", OFS, []).fit(of.where(F.col("split") == "train"))
+    return of, sc
+
+
+@query("scale_apply", _apply_sql(False), doubles=tuple(OFS))
+def scale_apply(spark, sf):
+    """Statistics fitted on the train split, applied to every split."""
+    of, sc = _fit_train_scaler(spark, sf)
+    return sc.transform(of).select("row_id", "split", *OFS)
+
+
+@query("scale_inverse", _apply_sql(True), doubles=tuple(OFS))
+def scale_inverse(spark, sf):
+    """Transform then inverse_transform (round trip)."""
+    of, sc = _fit_train_scaler(spark, sf)
+    return sc.inverse_transform(sc.transform(of)).select("row_id", "split", *OFS)
+
+
+def _rank_sql(tag: str) -> str:
+    return (f"SELECT o_orderkey AS row_id, o_orderpriority AS class, count(*) OVER (PARTITION BY o_orderpriority) AS cn, "
+            f"row_number() OVER (PARTITION BY o_orderpriority ORDER BY {u_sql('o_orderkey', repr(tag))}, o_orderkey) - 1 AS rk "
+            f"FROM orders")
+
+
+@query("stratified_split", f"""
+SELECT row_id, class, CASE WHEN rk < round(cn * 0.1) THEN 'val'
+                           WHEN rk < round(cn * 0.1) + round((cn - round(cn * 0.1)) * 0.2) THEN 'test'
+                           ELSE 'train' END AS split
+FROM ({_rank_sql('split')})""")
+def stratified_split(spark, sf):
+    """Stratified 10 % val, then 20 % of the rest test."""
+    return SP.stratified_split(_orders_class(spark, sf), "class", "row_id").select("row_id", "class", "split")
+
+
+@query("stratified_folds", f"SELECT row_id, class, (rk % 5)::INTEGER AS fold FROM ({_rank_sql('fold')})")
+def stratified_folds(spark, sf):
+    """P10: 5 stratified folds."""
+    return SP.stratified_folds(_orders_class(spark, sf), "class", "row_id").select("row_id", "class", "fold")
+
+
+# ---------------------------------------------------------------- N: noise
+
+def _tag_sql(nid, c, what):
+    return f"'{what}|{nid}|{c}'"
+
+
+def _noise_sql(kind: str, ratio: float, nid: int) -> str:
+    stats = ", ".join(f"avg({c}) AS mean_{c}, stddev_pop({c}) AS std_{c}, min({c}) AS min_{c}, max({c}) AS max_{c}"
+                      for c in OFS)
+    sel = []
+    for c in OFS:
+        if kind == "gaussian":
+            sel.append(f"{c} + {ratio!r} * std_{c} * {normal_sql('row_id', _tag_sql(nid, c, 'g'))} AS {c}")
+        elif kind == "salt_pepper":
+            sel.append(f"CASE WHEN {u_sql('row_id', _tag_sql(nid, c, 'sp'))} < {ratio!r} THEN "
+                       f"(CASE WHEN {u_sql('row_id', _tag_sql(nid, c, 'spv'))} < 0.5 THEN min_{c} ELSE max_{c} END) "
+                       f"ELSE {c} END AS {c}")
+        else:
+            sel.append(f"CASE WHEN {u_sql('row_id', _tag_sql(nid, c, 'o'))} < {ratio!r} THEN mean_{c} + "
+                       f"(CASE WHEN {u_sql('row_id', _tag_sql(nid, c, 'os'))} < 0.5 THEN 1.0 ELSE -1.0 END) * 5.0 * std_{c} "
+                       f"ELSE {c} END AS {c}")
+    return OFW + f", st AS (SELECT {stats} FROM order_features)\nSELECT row_id, class, {', '.join(sel)} FROM order_features, st"
+
+
+@query("noise_gaussian", _noise_sql("gaussian", 0.05, 2), doubles=tuple(OFS))
+def noise_gaussian(spark, sf):
+    """5 % Gaussian noise."""
+    return N.add_gaussian(FX.order_features(spark, sf), OFS, "row_id", 0.05, noise_id=2)
+
+
+@query("noise_salt_pepper", _noise_sql("salt_pepper", 0.05, 7), doubles=tuple(OFS))
+def noise_salt_pepper(spark, sf):
+    """5 % salt-and-pepper cells."""
+    return N.add_salt_pepper(FX.order_features(spark, sf), OFS, "row_id", 0.05, noise_id=7)
+
+
+@query("noise_outlier", _noise_sql("outlier", 0.05, 14), doubles=tuple(OFS))
+def noise_outlier(spark, sf):
+    """5 % outlier cells at mean ± 5 std."""
+    return N.add_outliers(FX.order_features(spark, sf), OFS, "row_id", 0.05, noise_id=14)
+
+
+@query("noise_label", f"""WITH base AS (SELECT o_orderkey AS row_id, (CAST(substr(o_orderpriority, 1, 1) AS INTEGER) - 1) AS label
+  FROM orders),
+r AS (SELECT *, row_number() OVER (ORDER BY {u_sql('row_id', "'flip|10'")}, row_id) - 1 AS rk, count(*) OVER () AS n FROM base)
+SELECT row_id, CASE WHEN rk < floor(n * 0.1) THEN
+  ((label + 1 + CAST(floor({u_sql('row_id', "'to|10'")} * 4) AS INTEGER)) % 5) ELSE label END::INTEGER AS label FROM r""")
+def noise_label(spark, sf):
+    """Exactly int(n · 10 %) labels flipped to another class."""
+    o = read_table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("row_id"),
+        (F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("label"))
+    return N.add_label_noise(o, "label", "row_id", 0.10, 5, noise_id=10).select("row_id", "label")
+
+
+def _configs_sql() -> str:
+    from tabsmith.functions.presets import NOISE_CONFIGS
+    rows = []
+    for i, (t, p) in enumerate(NOISE_CONFIGS):
+        name = {"gaussian": "gaussian sigma", "salt_pepper": "salt-pepper", "label": "label flip",
+                "outlier": "outlier"}[t]
+        rows.append(f"({i + 1}, '{t}', {float(p)!r}, {p / 100.0!r}, '{name} {int(p)}%', "
+                    f"'{'label' if t == 'label' else 'feature'}')")
+    return f"""WITH c AS (SELECT * FROM (VALUES {', '.join(rows)}) t(noise_id, type, param, ratio, label, category)),
+n AS (SELECT count(*) AS n_rows FROM order_features)
+SELECT noise_id::INTEGER AS noise_id, type, param::DOUBLE AS param, ratio::DOUBLE AS ratio, label, category,
+       n_rows::BIGINT AS n_rows,
+       (CASE WHEN type = 'label' THEN floor(n_rows * ratio) WHEN type = 'gaussian' THEN n_rows * {len(OFS)}
+             ELSE floor(n_rows * {len(OFS)} * ratio) END)::BIGINT AS n_affected
+FROM c, n"""
+
+
+@query("noise_configs", OFW.rstrip() + ", " + _configs_sql()[len("WITH "):])
+def noise_configs(spark, sf):
+    """The 14 configurations with the planned size on the order fixture."""
+    n = FX.order_features(spark, sf).agg(F.count(F.lit(1)).alias("n_rows"))
+    c = N.noise_configs(spark).crossJoin(n)
+    d = len(OFS)
+    aff = (F.when(F.col("type") == "label", F.floor(F.col("n_rows") * F.col("ratio")))
+           .when(F.col("type") == "gaussian", F.col("n_rows") * d)
+           .otherwise(F.floor(F.col("n_rows") * d * F.col("ratio"))))
+    return c.select("noise_id", "type", "param", "ratio", "label", "category",
+                    F.col("n_rows").cast("long").alias("n_rows"), aff.cast("long").alias("n_affected"))

@@ -14,7 +14,8 @@ ORACLES: dict[str, str] = {}
 
 def rounded_sql(sql: str, doubles: tuple = (), double_lists: tuple = ()) -> str:
     """Wrap oracle SQL so DOUBLE outputs are rounded like ``round_doubles``."""
-    fix = "(CAST(printf('%.10e', {x}) AS DOUBLE) + 0.0)"
+    fix = ("(CASE WHEN abs({x}) < 1e5 THEN CAST(CAST({x} AS DECIMAL(38,6)) AS DOUBLE) + 0.0 "
+           "ELSE CAST(printf('%.9e', {x}) AS DOUBLE) END)")
     reps = [f"{fix.format(x=c)} AS {c}" for c in doubles]
     reps += [f"list_transform({c}, x -> {fix.format(x='x')}) AS {c}" for c in double_lists]
     if not reps:

@@ -47,20 +47,24 @@ def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("user_id"))
 
 
+def _amt(c: str):
+    return F.col(c).cast("double") / F.lit(100.0)
+
+
 def order_features(spark: SparkSession, sf_dir: str, holes: bool = True) -> DataFrame:
     """per-order features from orders LEFT JOIN aggregated lineitem.
 
     lineitem is aggregated per order first (partial aggregation map-side), so
     the join shuffles one row per order, not one per line.
     """
-    dec = "decimal(18,2)"
+    def cents(c):
+        # Exact sum of 2-decimal amounts as integer cents (same value as a DECIMAL(18,2) sum).
+        return F.sum(F.round(F.col(c) * 100).cast("long"))
+
     li = (read_table(spark, sf_dir, "lineitem")
           .groupBy("l_orderkey")
-          .agg(F.count(F.lit(1)).alias("n"),
-               F.sum(F.col("l_quantity").cast(dec)).alias("sq"),
-               F.sum(F.col("l_extendedprice").cast(dec)).alias("sp"),
-               F.sum(F.col("l_discount").cast(dec)).alias("sd"),
-               F.sum(F.col("l_tax").cast(dec)).alias("st")))
+          .agg(F.count(F.lit(1)).alias("n"), cents("l_quantity").alias("sq"), cents("l_extendedprice").alias("sp"),
+               cents("l_discount").alias("sd"), cents("l_tax").alias("st")))
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
     j = o.join(li, o.o_orderkey == li.l_orderkey, "left")
     n = F.col("n").cast("double")
@@ -69,12 +73,12 @@ def order_features(spark: SparkSession, sf_dir: str, holes: bool = True) -> Data
         F.col("o_orderpriority").alias("class"),
         F.col("o_totalprice").cast("double").alias("total_price"),
         n.alias("n_lines"),
-        F.col("sq").cast("double").alias("sum_qty"),
-        (F.col("sq").cast("double") / n).alias("avg_qty"),
-        F.col("sp").cast("double").alias("sum_price"),
-        (F.col("sp").cast("double") / n).alias("avg_price"),
-        (F.col("sd").cast("double") / n).alias("avg_discount"),
-        (F.col("st").cast("double") / n).alias("avg_tax"),
+        _amt("sq").alias("sum_qty"),
+        (_amt("sq") / n).alias("avg_qty"),
+        _amt("sp").alias("sum_price"),
+        (_amt("sp") / n).alias("avg_price"),
+        (_amt("sd") / n).alias("avg_discount"),
+        (_amt("st") / n).alias("avg_tax"),
     )
     if holes:
         df = (df.withColumn("sum_price", F.when(keyed_uniform("row_id", "h1") >= 0.005, F.col("sum_price")))
