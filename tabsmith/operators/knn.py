@@ -144,11 +144,15 @@ def knn_search(queries: DataFrame, donors: DataFrame, key: str, cols: list[str],
     n_blocks = max(1, math.ceil(nq / query_rows))
     n_buckets = max(1, math.ceil(nd / donor_rows))
     h = F.xxhash64(F.col(key))
-    q = queries.select(*by, F.col(key).alias("_qid"), *[F.col(c).cast("double") for c in cols],
-                       F.pmod(h, F.lit(n_blocks)).alias("_blk"))
+    # fresh column ids on both sides: queries and donors may share a lineage
+    q = queries.select(*[F.col(b).alias(b) for b in by], F.col(key).alias("_qid"),
+                       *[F.col(c).cast("double").alias(c) for c in cols],
+                       F.pmod(h, F.lit(n_blocks)).cast("int").alias("_blk"))
+    # group keys must have the same type on both sides (int vs long hash differently)
     q = q.withColumn("_bkt", F.explode(F.sequence(F.lit(0), F.lit(n_buckets - 1))))
-    d = donors.select(*by, F.col(key).alias("_did"), *[F.col(c).cast("double") for c in cols],
-                      F.pmod(h, F.lit(n_buckets)).alias("_bkt"))
+    d = donors.select(*[F.col(b).alias(b) for b in by], F.col(key).alias("_did"),
+                      *[F.col(c).cast("double").alias(c) for c in cols],
+                      F.pmod(h, F.lit(n_buckets)).cast("int").alias("_bkt"))
     d = d.withColumn("_blk", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     by_types = {f.name: f.dataType.simpleString() for f in queries.schema.fields if f.name in by}
     schema = ", ".join([f"{b} {by_types[b]}" for b in by] + ["_qid long"] + (["col int"] if impute_cols else [])
@@ -163,36 +167,41 @@ def knn_search(queries: DataFrame, donors: DataFrame, key: str, cols: list[str],
 
 
 def knn_classify(train: DataFrame, test: DataFrame, key: str, cols: list[str], label: str, k: int = 5,
-                 metric: str = "euclidean", weights: str = "distance", neighbours: DataFrame | None = None,
-                 ks: list[int] | None = None) -> DataFrame:
-    """Vote of the k nearest training rows → (k, row_id, predicted, proba).
+                 metric: str = "euclidean", weights: str = "distance", ks: list[int] | None = None,
+                 by: list[str] | None = None, n_classes: int | None = None) -> DataFrame:
+    """Vote of the k nearest training rows → (by..., k, row_id, predicted, proba).
 
     weights='distance': weight 1/d; when any neighbour is at distance 0, those
     neighbours alone vote (weight 1). weights='uniform': weight 1. Vote ties go
     to the lowest class index. ``ks`` scores several k from one top-max(k) search.
+    ``by`` runs independent problems (folds, noise settings) in the same job:
+    a query only meets donors of its own group.
     """
+    by = list(by or [])
     ks = ks or [k]
     kmax = max(ks)
-    nb = neighbours if neighbours is not None else knn_search(test, train, key, cols, kmax, metric=metric)
-    lab = train.select(F.col(key).alias("did"), F.col(label).cast("int").alias("nlabel"))
+    nb = knn_search(test, train, key, cols, kmax, by=by, metric=metric)
+    lab = train.select(*by, F.col(key).alias("did"), F.col(label).cast("int").alias("nlabel"))
     kk = test.sparkSession.createDataFrame([(x,) for x in ks], "k int")
-    j = nb.join(lab, "did").crossJoin(F.broadcast(kk)).where(F.col("rn") <= F.col("k"))
-    wq = Window.partitionBy("k", "qid")
+    j = nb.join(lab, by + ["did"]).crossJoin(F.broadcast(kk)).where(F.col("rn") <= F.col("k"))
+    grp = by + ["k", "qid"]
+    wq = Window.partitionBy(*grp)
     if weights == "distance":
         has_zero = F.max(F.when(F.col("dist") == 0, 1).otherwise(0)).over(wq)
         w = F.when(has_zero == 1, F.when(F.col("dist") == 0, 1.0).otherwise(0.0)).otherwise(1.0 / F.col("dist"))
     else:
         w = F.lit(1.0)
-    votes = j.withColumn("w", w).groupBy("k", "qid", "nlabel").agg(F.sum("w").alias("score"))
-    classes = train.select(F.col(label).cast("int").alias("c")).distinct()
-    n_cls = classes.agg(F.max("c")).first()[0] + 1
+    votes = j.withColumn("w", w).groupBy(*grp, "nlabel").agg(F.sum("w").alias("score"))
+    if n_classes is None:
+        n_classes = train.agg(F.max(F.col(label).cast("int"))).first()[0] + 1
     tot = F.sum("score").over(wq)
-    rank = Window.partitionBy("k", "qid").orderBy(F.desc("score"), F.asc("nlabel"))
+    rank = Window.partitionBy(*grp).orderBy(F.desc("score"), F.asc("nlabel"))
     scored = votes.withColumn("p", F.col("score") / tot).withColumn("r", F.row_number().over(rank))
-    out = scored.groupBy("k", "qid").agg(
+    # at most k (label, p) pairs per query
+    out = scored.groupBy(*grp).agg(
         F.max(F.when(F.col("r") == 1, F.col("nlabel"))).alias("predicted"),
         F.map_from_entries(F.collect_list(F.struct("nlabel", "p"))).alias("_pm"))
-    proba = F.transform(F.sequence(F.lit(0), F.lit(n_cls - 1)),
+    proba = F.transform(F.sequence(F.lit(0), F.lit(n_classes - 1)),
                         lambda c: F.coalesce(F.try_element_at(F.col("_pm"), c), F.lit(0.0)))
-    return out.select("k", F.col("qid").alias("row_id"), F.col("predicted").cast("int").alias("predicted"),
+    return out.select(*by, "k", F.col("qid").alias("row_id"), F.col("predicted").cast("int").alias("predicted"),
                       proba.alias("proba"))

@@ -1,11 +1,10 @@
 """Stratified splits (P9), stratified folds (P10) and exact per-class ranks.
 
 A per-class ``row_number()`` window would put a whole class (possibly a third
-of all rows) into one task. ``class_rank`` numbers rows instead by a range
-partition on (class, keyed hash, key): each partition is sorted locally, its
-rows get ``monotonically_increasing_id`` (increasing in that order), and the
-small table of (partition, class) counts gives every partition its offset. One
-shuffle, bounded partitions, exact ranks, independent of the cluster size.
+of all rows) into one task. ``class_rank`` numbers rows inside hash buckets of
+the class instead and adds each bucket's offset from a small count table:
+bounded window partitions, exact ranks, independent of partitioning and of
+adaptive re-planning (no partition ids involved).
 """
 
 from __future__ import annotations
@@ -18,22 +17,27 @@ from tabsmith.functions.presets import CV_FOLDS, SEED, TEST_FRACTION, VAL_FRACTI
 
 
 def class_rank(df: DataFrame, label: str, key: str, tag: str = "order", seed: int = SEED,
-               out: str = "rank", n_partitions: int | None = None) -> DataFrame:
-    """0-based rank of each row inside its class, ordered by (u(key, tag, seed), key)."""
-    spark = df.sparkSession
-    n_part = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    t = df.withColumn("_u", keyed_uniform(key, tag, seed))
-    ranged = (t.repartitionByRange(n_part, label, "_u", key)
-              .sortWithinPartitions(label, "_u", key)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    counts = ranged.groupBy("_pid", label).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    w = Window.partitionBy(label).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    # (partition, class) pairs: at most partitions x classes rows.
-    j = ranged.join(F.broadcast(offsets.select("_pid", label, "_off", "_first")), ["_pid", label])
-    return j.withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("long")).drop(
-        "_u", "_pid", "_mid", "_off", "_first")
+               out: str = "rank", rows_per_bucket: int = 50_000) -> DataFrame:
+    """0-based rank of each row inside its class, ordered by (u(key, tag, seed), key).
+
+    The keyed uniform u is split into B equal buckets (B from the row count, so a
+    bucket holds ~``rows_per_bucket`` rows of a class at most, a hash being uniform
+    whatever the skew between classes). Counts per (class, bucket) give each
+    bucket its offset (small table, cumulative window); a window partitioned by
+    (class, bucket) numbers the rows inside it.
+    """
+    n = df.count()
+    n_buckets = int(min(1 << 16, max(1, -(-n // rows_per_bucket))))
+    t = df.withColumn("_u", keyed_uniform(key, tag, seed)).withColumn(
+        "_b", F.least(F.floor(F.col("_u") * n_buckets), F.lit(n_buckets - 1)).cast("int"))
+    counts = t.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(label, "_b", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    # offsets: (classes x buckets) rows; buckets are sized from the data, so the
+    # table stays small relative to it.
+    j = t.join(F.broadcast(offsets) if n_buckets <= 4096 else offsets, [label, "_b"])
+    wr = Window.partitionBy(label, "_b").orderBy("_u", key)
+    return j.withColumn(out, (F.col("_off") + F.row_number().over(wr) - 1).cast("long")).drop("_u", "_b", "_off")
 
 
 def class_sizes(df: DataFrame, label: str) -> DataFrame:

@@ -83,7 +83,7 @@ pred_u AS (
 ),
 predictions AS (
   SELECT model, split, row_id, actual, predicted,
-         list_transform(u, x -> x / (u[1] + u[2] + u[3] + u[4] + u[5])) AS proba
+         list_transform(u, lambda x: x / (u[1] + u[2] + u[3] + u[4] + u[5])) AS proba
   FROM pred_u
 )"""
 

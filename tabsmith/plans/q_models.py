@@ -230,3 +230,140 @@ def noise_configs(spark, sf):
            .otherwise(F.floor(F.col("n_rows") * d * F.col("ratio"))))
     return c.select("noise_id", "type", "param", "ratio", "label", "category",
                     F.col("n_rows").cast("long").alias("n_rows"), aff.cast("long").alias("n_affected"))
+
+
+# ---------------------------------------------------------------- M2 / T2 / T3 / A8-A9: KNN on vectors
+from pyspark import StorageLevel  # noqa: E402
+
+from tabsmith.functions.presets import KNN_K_VALUES, NOISE_CONFIGS, TRAIN_SIZES  # noqa: E402
+from tabsmith.operators import knn as K  # noqa: E402
+from tabsmith.operators import modeling as MD  # noqa: E402
+
+VEC = FX.VECTOR_FEATURES
+VW = OF.with_(OF.VECTORS)
+
+
+def _vec_rank_sql(tag: str, table: str = "vectors", part: str = "label") -> str:
+    return (f"SELECT *, count(*) OVER (PARTITION BY {part}) AS cn, row_number() OVER (PARTITION BY {part} "
+            f"ORDER BY {u_sql('row_id', repr(tag))}, row_id) - 1 AS rk FROM {table}")
+
+
+VEC_SPLIT_SQL = VW.rstrip() + f""",
+vsplit AS (SELECT * EXCLUDE (cn, rk), CASE WHEN rk < round(cn * 0.1) THEN 'val'
+           WHEN rk < round(cn * 0.1) + round((cn - round(cn * 0.1)) * 0.2) THEN 'test' ELSE 'train' END AS split
+           FROM ({_vec_rank_sql('split')})),
+tr AS (SELECT * FROM vsplit WHERE split = 'train'),
+te AS (SELECT * FROM vsplit WHERE split = 'test'),
+va AS (SELECT * FROM vsplit WHERE split = 'val')"""
+
+
+def _dist_sql(a: str, b: str) -> str:
+    return "sqrt(" + " + ".join(f"({a}.{c} - {b}.{c}) * ({a}.{c} - {b}.{c})" for c in VEC) + ")"
+
+
+def _vote_sql(pairs: str, grp: list[str], k_expr: str = "5") -> str:
+    """Distance-weighted vote over the k nearest (ties by donor id) → (grp..., qid, predicted, proba...)."""
+    g = ", ".join(grp + ["qid"])
+    gp = ", ".join(grp)
+    sep = ", " if grp else ""
+    return f"""nb AS (SELECT *, row_number() OVER (PARTITION BY {g} ORDER BY dist, did) AS rn FROM {pairs}),
+sel AS (SELECT * FROM nb WHERE rn <= {k_expr}),
+hz AS (SELECT *, max(CASE WHEN dist = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY {g}) AS has_zero FROM sel),
+votes AS (SELECT {g}, nlabel, sum(CASE WHEN has_zero = 1 THEN (CASE WHEN dist = 0 THEN 1.0 ELSE 0.0 END)
+                                     ELSE 1.0 / dist END) AS score FROM hz GROUP BY {g}, nlabel),
+ranked AS (SELECT *, score / sum(score) OVER (PARTITION BY {g}) AS p,
+                  row_number() OVER (PARTITION BY {g} ORDER BY score DESC, nlabel) AS r FROM votes),
+pred AS (SELECT {g}, max(CASE WHEN r = 1 THEN nlabel END)::INTEGER AS predicted FROM ranked GROUP BY {g})"""
+
+
+def vector_splits(spark, sf):
+    v = FX.vectors(spark, sf)
+    return SP.stratified_split(v, "label", "row_id").persist(StorageLevel.MEMORY_AND_DISK)
+
+
+@query("knn_predict", VEC_SPLIT_SQL + f""",
+pairs AS (SELECT te.row_id AS qid, tr.row_id AS did, tr.label AS nlabel, {_dist_sql('te', 'tr')} AS dist FROM te, tr),
+{_vote_sql('pairs', [])},
+cls AS (SELECT range AS c FROM range(0, (SELECT max(label) + 1 FROM tr))),
+probs AS (SELECT p.qid, list(coalesce(r.p, 0.0) ORDER BY cls.c) AS proba
+          FROM pred p CROSS JOIN cls LEFT JOIN ranked r ON r.qid = p.qid AND r.nlabel = cls.c GROUP BY p.qid)
+SELECT te.row_id, te.label AS actual, pred.predicted, probs.proba
+FROM te JOIN pred ON te.row_id = pred.qid JOIN probs ON probs.qid = te.row_id""", double_lists=("proba",))
+def knn_predict(spark, sf):
+    """M2: k=5 distance-weighted KNN, train → test (probabilities per class)."""
+    s = vector_splits(spark, sf)
+    tr, te = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
+    p = K.knn_classify(tr, te, "row_id", VEC, "label", k=5)
+    return p.join(te.select("row_id", F.col("label").alias("actual")), "row_id").select(
+        "row_id", "actual", "predicted", "proba")
+
+
+_KS = ", ".join(f"({k})" for k in KNN_K_VALUES)
+
+
+@query("knn_accuracy_by_k", VEC_SPLIT_SQL + f""",
+pairs0 AS (SELECT va.row_id AS qid, tr.row_id AS did, tr.label AS nlabel, {_dist_sql('va', 'tr')} AS dist FROM va, tr),
+ks AS (SELECT * FROM (VALUES {_KS}) t(k)),
+pairs AS (SELECT * FROM pairs0 CROSS JOIN ks),
+{_vote_sql('pairs', ['k'], 'k')}
+SELECT pred.k::INTEGER AS k, avg(CASE WHEN pred.predicted = va.label THEN 1.0 ELSE 0.0 END) AS accuracy
+FROM pred JOIN va ON pred.qid = va.row_id GROUP BY pred.k""", doubles=("accuracy",))
+def knn_accuracy_by_k(spark, sf):
+    """Validation accuracy for k in {1,3,5,7,9,11,15,20} from one top-20 search."""
+    s = vector_splits(spark, sf)
+    tr, va = s.where(F.col("split") == "train"), s.where(F.col("split") == "val")
+    p = K.knn_classify(tr, va, "row_id", VEC, "label", ks=KNN_K_VALUES)
+    j = p.join(va.select("row_id", "label"), "row_id")
+    return j.groupBy(F.col("k").cast("int").alias("k")).agg(
+        F.avg(F.when(F.col("predicted") == F.col("label"), 1.0).otherwise(0.0)).alias("accuracy"))
+
+
+TRF_SQL = f""",
+trf AS (SELECT * EXCLUDE (cn, rk), (rk % 5)::INTEGER AS fold FROM ({_vec_rank_sql('fold', 'tr')}))"""
+
+
+@query("knn_cv", VEC_SPLIT_SQL + TRF_SQL + f""",
+pairs AS (SELECT q.fold AS f, q.row_id AS qid, d.row_id AS did, d.label AS nlabel, {_dist_sql('q', 'd')} AS dist
+          FROM trf q JOIN trf d ON q.fold <> d.fold),
+{_vote_sql('pairs', ['f'])},
+sc AS (SELECT pred.f AS fold, avg(CASE WHEN pred.predicted = q.label THEN 1.0 ELSE 0.0 END) AS accuracy
+       FROM pred JOIN trf q ON pred.qid = q.row_id GROUP BY pred.f)
+SELECT fold, accuracy, avg(accuracy) OVER () AS mean, stddev_pop(accuracy) OVER () AS std,
+       min(accuracy) OVER () AS min, max(accuracy) OVER () AS max FROM sc""",
+       doubles=("accuracy", "mean", "std", "min", "max"))
+def knn_cv(spark, sf):
+    """5-fold stratified CV accuracy of KNN (k=5) on the train split."""
+    s = vector_splits(spark, sf).where(F.col("split") == "train")
+    scores = MD.knn_cv_scores(s, "row_id", VEC, "label", k=5, folds=5)
+    return MD.cv_summary(scores)
+
+
+_TS = ", ".join(f"({i}, {f!r})" for i, f in enumerate(TRAIN_SIZES))
+
+
+@query("knn_learning_curve", VEC_SPLIT_SQL + TRF_SQL + f""",
+sizes AS (SELECT si, CAST(frac AS DOUBLE) AS frac FROM (VALUES {_TS}) t(si, frac)),
+tpos AS (SELECT f.fold AS cvf, t.*, row_number() OVER (PARTITION BY f.fold ORDER BY {u_sql('t.row_id', "'lc'")}, t.row_id) - 1 AS pos,
+                count(*) OVER (PARTITION BY f.fold) AS ntr
+         FROM (SELECT DISTINCT fold FROM trf) f JOIN trf t ON t.fold <> f.fold),
+pref AS (SELECT s.si, floor(s.frac * tp.ntr)::BIGINT AS n_train, tp.* FROM tpos tp CROSS JOIN sizes s
+         WHERE tp.pos < floor(s.frac * tp.ntr)),
+vpairs AS (SELECT p.si, p.cvf, q.row_id AS qid, p.row_id AS did, p.label AS nlabel, {_dist_sql('q', 'p')} AS dist
+           FROM pref p JOIN trf q ON q.fold = p.cvf),
+tpairs AS (SELECT p.si, p.cvf, q.row_id AS qid, p.row_id AS did, p.label AS nlabel, {_dist_sql('q', 'p')} AS dist
+           FROM pref p JOIN pref q ON q.si = p.si AND q.cvf = p.cvf),
+{_vote_sql('vpairs', ['si', 'cvf'])},
+vsc AS (SELECT pred.si, pred.cvf, avg(CASE WHEN pred.predicted = q.label THEN 1.0 ELSE 0.0 END) AS acc
+        FROM pred JOIN trf q ON pred.qid = q.row_id GROUP BY pred.si, pred.cvf),
+{_vote_sql('tpairs', ['si', 'cvf']).replace('nb AS', 'nb2 AS').replace('FROM nb ', 'FROM nb2 ').replace('sel AS', 'sel2 AS').replace('FROM sel', 'FROM sel2').replace('hz AS', 'hz2 AS').replace('FROM hz ', 'FROM hz2 ').replace('votes AS', 'votes2 AS').replace('FROM votes', 'FROM votes2').replace('ranked AS', 'ranked2 AS').replace('FROM ranked', 'FROM ranked2').replace('pred AS', 'pred2 AS')},
+tsc AS (SELECT pred2.si, pred2.cvf, avg(CASE WHEN pred2.predicted = q.label THEN 1.0 ELSE 0.0 END) AS acc
+        FROM pred2 JOIN trf q ON pred2.qid = q.row_id GROUP BY pred2.si, pred2.cvf),
+ns AS (SELECT si, max(n_train) AS n_train FROM pref GROUP BY si)
+SELECT ns.n_train::BIGINT AS train_size, avg(tsc.acc) AS train_mean, stddev_pop(tsc.acc) AS train_std,
+       avg(vsc.acc) AS val_mean, stddev_pop(vsc.acc) AS val_std
+FROM vsc JOIN tsc ON vsc.si = tsc.si AND vsc.cvf = tsc.cvf JOIN ns ON ns.si = vsc.si GROUP BY ns.si, ns.n_train""",
+       doubles=("train_mean", "train_std", "val_mean", "val_std"))
+def knn_learning_curve(spark, sf):
+    """10 train sizes x 5 folds → mean/std train and validation accuracy (KNN)."""
+    s = vector_splits(spark, sf).where(F.col("split") == "train")
+    return MD.knn_learning_curve(s, "row_id", VEC, "label", TRAIN_SIZES, k=5, folds=5)

@@ -17,7 +17,7 @@ def rounded_sql(sql: str, doubles: tuple = (), double_lists: tuple = ()) -> str:
     fix = ("(CASE WHEN abs({x}) < 1e5 THEN CAST(CAST({x} AS DECIMAL(38,6)) AS DOUBLE) + 0.0 "
            "ELSE CAST(printf('%.9e', {x}) AS DOUBLE) END)")
     reps = [f"{fix.format(x=c)} AS {c}" for c in doubles]
-    reps += [f"list_transform({c}, x -> {fix.format(x='x')}) AS {c}" for c in double_lists]
+    reps += [f"list_transform({c}, lambda x: {fix.format(x="x")}) AS {c}" for c in double_lists]
     if not reps:
         return sql
     return f"SELECT * REPLACE ({', '.join(reps)}) FROM (\n{sql}\n) _q"
