@@ -367,3 +367,93 @@ def knn_learning_curve(spark, sf):
     """10 train sizes x 5 folds → mean/std train and validation accuracy (KNN)."""
     s = vector_splits(spark, sf).where(F.col("split") == "train")
     return MD.knn_learning_curve(s, "row_id", VEC, "label", TRAIN_SIZES, k=5, folds=5)
+
+
+# ---------------------------------------------------------------- A8-A12: KNN robustness
+from tabsmith.operators import compare as A  # noqa: E402
+from tabsmith.operators import robustness as R  # noqa: E402
+
+
+def _settings_sql() -> str:
+    rows = ["(0, 'clean', 0.0, 0.0, 'clean', 'none')"]
+    for i, (t, p) in enumerate(NOISE_CONFIGS):
+        name = {"gaussian": "gaussian sigma", "salt_pepper": "salt-pepper", "label": "label flip",
+                "outlier": "outlier"}[t]
+        rows.append(f"({i + 1}, '{t}', {float(p)!r}, {p / 100.0!r}, '{name} {int(p)}%', "
+                    f"'{'label' if t == 'label' else 'feature'}')")
+    return (f"cfg AS (SELECT noise_id::INTEGER AS noise_id, type, param::DOUBLE AS param, ratio::DOUBLE AS ratio, "
+            f"label AS nlabel_name, category FROM (VALUES {', '.join(rows)}) t(noise_id, type, param, ratio, label, category))")
+
+
+def _robust_sql() -> str:
+    stats = ", ".join(f"avg({c}) AS mean_{c}, stddev_pop({c}) AS std_{c}, min({c}) AS min_{c}, max({c}) AS max_{c}"
+                      for c in VEC)
+
+    def tag(what, c=""):
+        return f"('{what}|' || CAST(noise_id AS VARCHAR) || '{'|' + c if c else ''}')"
+
+    cols = []
+    for c in VEC:
+        g = f"{c} + ratio * std_{c} * {normal_sql('row_id', tag('g', c))}"
+        sp = (f"CASE WHEN {u_sql('row_id', tag('sp', c))} < ratio THEN (CASE WHEN {u_sql('row_id', tag('spv', c))} "
+              f"< 0.5 THEN min_{c} ELSE max_{c} END) ELSE {c} END")
+        o = (f"CASE WHEN {u_sql('row_id', tag('o', c))} < ratio THEN mean_{c} + (CASE WHEN "
+             f"{u_sql('row_id', tag('os', c))} < 0.5 THEN 1.0 ELSE -1.0 END) * 5.0 * std_{c} ELSE {c} END")
+        cols.append(f"CASE WHEN type = 'gaussian' THEN {g} WHEN type = 'salt_pepper' THEN {sp} "
+                    f"WHEN type = 'outlier' THEN {o} ELSE {c} END AS {c}")
+    return VEC_SPLIT_SQL + f""",
+{_settings_sql()},
+st AS (SELECT {stats} FROM tr),
+ncls AS (SELECT max(label) + 1 AS kc FROM (SELECT label FROM tr UNION ALL SELECT label FROM te)),
+ntr AS (SELECT count(*) AS n FROM tr),
+rep AS (SELECT noise_id, type, ratio, row_id, label, {', '.join(cols)} FROM tr, cfg, st),
+rk AS (SELECT *, row_number() OVER (PARTITION BY noise_id ORDER BY {u_sql('row_id', tag('flip'))}, row_id) - 1 AS frank
+       FROM rep),
+noisy AS (SELECT rk.* EXCLUDE (label, frank), CASE WHEN type = 'label' AND frank < floor(n * ratio) THEN
+            ((label + 1 + CAST(floor({u_sql('row_id', tag('to'))} * (kc - 1)) AS INTEGER)) % kc)::INTEGER ELSE label END AS label
+          FROM rk, ntr, ncls),
+pairs AS (SELECT d.noise_id, q.row_id AS qid, d.row_id AS did, d.label AS nlabel, {_dist_sql('q', 'd')} AS dist
+          FROM te q JOIN noisy d ON true),
+{_vote_sql('pairs', ['noise_id'])},
+acc AS (SELECT pred.noise_id, avg(CASE WHEN pred.predicted = te.label THEN 1.0 ELSE 0.0 END) AS accuracy
+        FROM pred JOIN te ON pred.qid = te.row_id GROUP BY pred.noise_id),
+rob AS (SELECT 'knn' AS model, acc.noise_id, cfg.type, cfg.param, cfg.nlabel_name AS label, acc.accuracy
+        FROM acc JOIN cfg ON acc.noise_id = cfg.noise_id),
+deg AS (SELECT model, noise_id, clean - accuracy AS "drop" FROM (
+          SELECT *, max(CASE WHEN noise_id = 0 THEN accuracy END) OVER (PARTITION BY model) AS clean FROM rob)
+        WHERE noise_id <> 0 AND accuracy IS NOT NULL)"""
+
+
+_ROB = _robust_sql()
+
+
+def _robustness(spark, sf):
+    s = vector_splits(spark, sf)
+    tr, te = s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split")
+    return R.knn_robustness(tr, te, VEC, "label", "row_id", k=5).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+@query("knn_robustness", _ROB + "\nSELECT * FROM rob", doubles=("accuracy",))
+def knn_robustness(spark, sf):
+    """KNN trained on clean + 14 noisy copies, scored on the clean test split."""
+    return _robustness(spark, sf)
+
+
+@query("degradation", _ROB + "\nSELECT * FROM deg", doubles=("drop",))
+def degradation(spark, sf):
+    """A10 (and V19's data)."""
+    return A.degradation(_robustness(spark, sf).select("model", "noise_id", "accuracy"))
+
+
+@query("mean_drop", _ROB + "\nSELECT model, avg(\"drop\") AS mean_drop FROM deg GROUP BY model", doubles=("mean_drop",))
+def mean_drop(spark, sf):
+    """A11."""
+    return A.mean_drop(A.degradation(_robustness(spark, sf).select("model", "noise_id", "accuracy")))
+
+
+@query("robustness_table", _ROB + """
+SELECT rob.model, rob.noise_id, rob.accuracy, deg."drop" FROM rob LEFT JOIN deg
+ON rob.model = deg.model AND rob.noise_id = deg.noise_id""", doubles=("accuracy", "drop"))
+def robustness_table(spark, sf):
+    """A12."""
+    return A.robustness_table(_robustness(spark, sf).select("model", "noise_id", "accuracy"))
