@@ -67,7 +67,7 @@ def missing_map(df: DataFrame, key: str, cols: list[str], n_rows: int = 200, see
     fields = {f.name: f.dataType for f in df.schema.fields}
     sample = (df.withColumn("_u", keyed_uniform(key, "sample", seed))
               .orderBy("_u", key).limit(n_rows))
-    flags = sample.select(F.col(key).alias("row_id"),
+    flags = sample.select(F.col(key).alias("_rid"),
                           *[F.when(_is_missing(c, fields[c]), 1).otherwise(0).alias(c) for c in cols])
-    return flags.unpivot(["row_id"], cols, "column", "missing").select(
-        "row_id", "column", F.col("missing").cast("int").alias("missing"))
+    return flags.unpivot(["_rid"], cols, "column", "missing").select(
+        F.col("_rid").alias("row_id"), "column", F.col("missing").cast("int").alias("missing"))
