@@ -70,3 +70,46 @@ def knn_learning_curve(train: DataFrame, key: str, cols: list[str], label: str,
     return j.groupBy("si", "train_size").agg(
         F.avg("ta").alias("train_mean"), F.stddev_pop("ta").alias("train_std"),
         F.avg("va").alias("val_mean"), F.stddev_pop("va").alias("val_std")).drop("si")
+
+
+def balanced_accuracy_by(pred: DataFrame, truth: DataFrame, key: str, label: str, grp: list[str]) -> DataFrame:
+    """Balanced accuracy (mean recall over classes present) per group, one aggregate."""
+    j = pred.join(truth.select(F.col(key).alias("row_id"), F.col(label).alias("_y")), "row_id")
+    rec = j.groupBy(*grp, "_y").agg(F.avg(F.when(F.col("predicted") == F.col("_y"), 1.0).otherwise(0.0)).alias("r"))
+    return rec.groupBy(*grp).agg(F.avg("r").alias("score"))
+
+
+def knn_grid_scores(train: DataFrame, key: str, cols: list[str], label: str, ks: list[int], weights: list[str],
+                    folds: int = CV_FOLDS) -> DataFrame:
+    """T4 (KNN): 5-fold balanced accuracy for every (k, weights) → (k, weights, fold, score).
+
+    One top-max(k) search per weighting covers every k (no refits)."""
+    f = stratified_folds(train, label, key, k=folds).persist(DISK)
+    cv = train.sparkSession.range(folds).select(F.col("id").cast("int").alias("cv"))
+    q = f.withColumn("cv", F.col("fold"))
+    d = f.crossJoin(F.broadcast(cv)).where(F.col("fold") != F.col("cv"))
+    out = None
+    for w in weights:
+        p = knn_classify(d, q, key, cols, label, ks=ks, by=["cv"], weights=w)
+        s = balanced_accuracy_by(p, f, key, label, ["cv", "k"]).select(
+            F.col("k").cast("int").alias("k"), F.lit(w).alias("weights"), F.col("cv").cast("int").alias("fold"), "score")
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+def tuning_best(scores: DataFrame, params: list[str], score: str = "score") -> DataFrame:
+    """Mean / population std per parameter set; the best by mean (ties: parameter order)."""
+    from pyspark.sql import Window
+    m = scores.groupBy(*params).agg(F.avg(score).alias("mean_score"), F.stddev_pop(score).alias("std_score"))
+    w = Window.orderBy(F.desc("mean_score"), *[F.asc(p) for p in params])
+    return m.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
+
+
+def param_sensitivity(scores: DataFrame, params: list[str], score: str = "score") -> DataFrame:
+    """Mean score per (parameter, value)."""
+    out = None
+    for p in params:
+        s = scores.groupBy(F.lit(p).alias("param"), F.col(p).cast("string").alias("value")).agg(
+            F.avg(score).alias("mean_score"))
+        out = s if out is None else out.unionByName(s)
+    return out

@@ -457,3 +457,110 @@ ON rob.model = deg.model AND rob.noise_id = deg.noise_id""", doubles=("accuracy"
 def robustness_table(spark, sf):
     """A12."""
     return A.robustness_table(_robustness(spark, sf).select("model", "noise_id", "accuracy"))
+
+
+# ---------------------------------------------------------------- charts over the KNN results
+from tabsmith.operators import charts as V  # noqa: E402
+from tabsmith.plans.registry import RAW_SQL as _OR  # noqa: E402
+
+
+def _raw(name: str) -> str:
+    """Oracle text of an already registered query (without the rounding wrapper)."""
+    return _OR[name]
+
+
+@query("learning_bands", f"""SELECT train_size, train_mean, train_mean - train_std AS train_lo,
+  train_mean + train_std AS train_hi, val_mean, val_mean - val_std AS val_lo, val_mean + val_std AS val_hi
+FROM ({_raw('knn_learning_curve')})""", doubles=("train_mean", "train_lo", "train_hi", "val_mean", "val_lo", "val_hi"))
+def learning_bands(spark, sf):
+    """Learning-curve mean ± std bands (KNN)."""
+    s = vector_splits(spark, sf).where(F.col("split") == "train")
+    return V.learning_bands(MD.knn_learning_curve(s, "row_id", VEC, "label", TRAIN_SIZES, k=5, folds=5))
+
+
+@query("cv_box", f"""SELECT 'knn' AS model, quantile_cont(accuracy, 0.0) AS min, quantile_cont(accuracy, 0.25) AS q1,
+  quantile_cont(accuracy, 0.5) AS median, quantile_cont(accuracy, 0.75) AS q3, quantile_cont(accuracy, 1.0) AS max
+FROM ({_raw('knn_cv')})""", doubles=("min", "q1", "median", "q3", "max"))
+def cv_box(spark, sf):
+    """CV fold-score box per model."""
+    s = vector_splits(spark, sf).where(F.col("split") == "train")
+    scores = MD.knn_cv_scores(s, "row_id", VEC, "label", k=5, folds=5).withColumn("model", F.lit("knn"))
+    return V.cv_box(scores)
+
+
+@query("robustness_lines", _ROB + """
+SELECT deg.noise_id, cfg.nlabel_name AS label, deg."drop" FROM deg JOIN cfg ON deg.noise_id = cfg.noise_id""",
+       doubles=("drop",))
+def robustness_lines(spark, sf):
+    """Accuracy drop per noise setting, in setting order."""
+    rob = _robustness(spark, sf)
+    d = A.degradation(rob.select("model", "noise_id", "accuracy"))
+    return d.join(rob.select("noise_id", "label"), "noise_id").select("noise_id", "label", "drop")
+
+
+_NIDS = list(range(1, len(NOISE_CONFIGS) + 1))
+
+
+@query("robustness_heatmap", _ROB + "\nSELECT model, " + ", ".join(
+    f"coalesce(max(CASE WHEN noise_id = {i} THEN accuracy END), 0.0) AS noise_{i}" for i in _NIDS) +
+       " FROM rob GROUP BY model", doubles=tuple(f"noise_{i}" for i in _NIDS))
+def robustness_heatmap(spark, sf):
+    """Model x noise accuracy (clean column excluded)."""
+    return V.robustness_heatmap(_robustness(spark, sf), _NIDS)
+
+
+# ---------------------------------------------------------------- T4 / T6 / V25: KNN grid search (balanced accuracy)
+GRID_K = [3, 5, 7, 9]
+GRID_WEIGHTS = ["uniform", "distance"]
+
+
+def _grid_sql() -> str:
+    ks = ", ".join(f"({k})" for k in GRID_K)
+    ws = ", ".join(f"('{w}')" for w in GRID_WEIGHTS)
+    return VEC_SPLIT_SQL + TRF_SQL + f""",
+pairs AS (SELECT q.fold AS f, q.row_id AS qid, d.row_id AS did, d.label AS nlabel, {_dist_sql('q', 'd')} AS dist
+          FROM trf q JOIN trf d ON q.fold <> d.fold),
+nb AS (SELECT *, row_number() OVER (PARTITION BY f, qid ORDER BY dist, did) AS rn FROM pairs),
+grid AS (SELECT k, w FROM (VALUES {ks}) a(k) CROSS JOIN (VALUES {ws}) b(w)),
+sel AS (SELECT nb.*, grid.k, grid.w FROM nb JOIN grid ON nb.rn <= grid.k),
+hz AS (SELECT *, max(CASE WHEN dist = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY f, k, w, qid) AS has_zero FROM sel),
+votes AS (SELECT f, k, w, qid, nlabel, sum(CASE WHEN w = 'uniform' THEN 1.0 WHEN has_zero = 1 THEN
+                 (CASE WHEN dist = 0 THEN 1.0 ELSE 0.0 END) ELSE 1.0 / dist END) AS score FROM hz GROUP BY f, k, w, qid, nlabel),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY f, k, w, qid ORDER BY score DESC, nlabel) AS r FROM votes),
+pred AS (SELECT f, k, w, qid, max(CASE WHEN r = 1 THEN nlabel END) AS predicted FROM ranked GROUP BY f, k, w, qid),
+pj AS (SELECT pred.*, q.label AS actual FROM pred JOIN trf q ON pred.qid = q.row_id),
+rec AS (SELECT f, k, w, actual, avg(CASE WHEN predicted = actual THEN 1.0 ELSE 0.0 END) AS recall
+        FROM pj GROUP BY f, k, w, actual),
+scores AS (SELECT k::INTEGER AS k, w AS weights, f::INTEGER AS fold, avg(recall) AS score FROM rec GROUP BY f, k, w)"""
+
+
+_GRID = _grid_sql()
+
+
+def _grid_scores(spark, sf):
+    s = vector_splits(spark, sf).where(F.col("split") == "train")
+    return MD.knn_grid_scores(s, "row_id", VEC, "label", GRID_K, GRID_WEIGHTS, folds=5).persist(
+        StorageLevel.MEMORY_AND_DISK)
+
+
+@query("grid_search", _GRID + "\nSELECT * FROM scores", doubles=("score",))
+def grid_search(spark, sf):
+    """T4 (KNN grid, 5-fold balanced accuracy): (k, weights, fold, score)."""
+    return _grid_scores(spark, sf)
+
+
+@query("tuning_best", _GRID + """,
+m AS (SELECT k, weights, avg(score) AS mean_score, stddev_pop(score) AS std_score FROM scores GROUP BY k, weights)
+SELECT k, weights, mean_score, std_score FROM m ORDER BY mean_score DESC, k, weights LIMIT 1""",
+       doubles=("mean_score", "std_score"))
+def tuning_best(spark, sf):
+    """Best parameters, their mean and std score."""
+    return MD.tuning_best(_grid_scores(spark, sf), ["k", "weights"])
+
+
+@query("param_sensitivity", _GRID + """
+SELECT 'k' AS param, CAST(k AS VARCHAR) AS value, avg(score) AS mean_score FROM scores GROUP BY k
+UNION ALL SELECT 'weights', weights, avg(score) FROM scores GROUP BY weights""", doubles=("mean_score",))
+def param_sensitivity(spark, sf):
+    """V25 (re-aimed): mean CV score per parameter value."""
+    return MD.param_sensitivity(_grid_scores(spark, sf), ["k", "weights"])

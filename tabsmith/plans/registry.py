@@ -10,6 +10,7 @@ from tabsmith.plans.pipeline import round_doubles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+RAW_SQL: dict[str, str] = {}  # oracle text before output rounding (for composing queries)
 
 
 def rounded_sql(sql: str, doubles: tuple = (), double_lists: tuple = ()) -> str:
@@ -31,6 +32,7 @@ def query(name: str, sql: str | None = None, doubles: tuple = (), double_lists:
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if sql is not None:
+            RAW_SQL[name] = sql
             ORACLES[name] = rounded_sql(sql, doubles, double_lists)
         return fn
     return deco
