@@ -564,3 +564,121 @@ UNION ALL SELECT 'weights', weights, avg(score) FROM scores GROUP BY weights""",
 def param_sensitivity(spark, sf):
     """V25 (re-aimed): mean CV score per parameter value."""
     return MD.param_sensitivity(_grid_scores(spark, sf), ["k", "weights"])
+
+
+# ---------------------------------------------------------------- M1, M3-M6, A1-A2, V6, V21, V23: MLlib models
+from tabsmith.operators import models as ML  # noqa: E402
+from tabsmith.operators.compare import comparison_table  # noqa: E402
+from tabsmith.functions.presets import RF_SIZES  # noqa: E402
+
+
+def model_data(spark, sf):
+    """Vectors split 72/18/10 (stratified), standardised with train statistics."""
+    s = vector_splits(spark, sf)
+    sc = S.Scaler("standard", VEC, []).fit(s.where(F.col("split") == "train"))
+    return sc.transform(s).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _fit(spark, sf, name, params=None):
+    d = model_data(spark, sf)
+    tr, te, va = (d.where(F.col("split") == x) for x in ("train", "test", "val"))
+    return ML.fit_score(name, tr, te, VEC, "label", "row_id", val=va, params=params)
+
+
+def _scored(spark, sf, name, params=None):
+    pred, model, secs = _fit(spark, sf, name, params)
+    return comparison_table(pred).withColumn("train_seconds", F.lit(float(secs)))
+
+
+@query("lr_fit_score")
+def lr_fit_score(spark, sf):
+    """M1 / A1: multinomial logistic regression (L2, C=1, balanced)."""
+    return _scored(spark, sf, "logistic")
+
+
+def svm_fit_score(spark, sf):
+    """M3: RBF SVM re-aimed as random Fourier features + one-vs-rest LinearSVC (C=10, balanced)."""
+    return _scored(spark, sf, "svm")
+
+
+@query("rf_fit_score")
+def rf_fit_score(spark, sf):
+    """M4: random forest (200 trees, depth 20, balanced)."""
+    return _scored(spark, sf, "random_forest", {"n_estimators": 200, "max_depth": 20})
+
+
+def gbt_fit_score(spark, sf):
+    """M5: level-wise boosting (300 rounds, depth 6, lr 0.1) as one-vs-rest GBT."""
+    return _scored(spark, sf, "boosted")
+
+
+def gbt_early_stop_score(spark, sf):
+    """M6: leaf-wise boosting (lr 0.05, min 20 per leaf) with validation early stopping."""
+    return _scored(spark, sf, "boosted_leafwise")
+
+
+@query("feature_importance")
+def feature_importance(spark, sf):
+    """Per-model feature importances (logistic |coef| mean, forest Gini)."""
+    out = None
+    for name, params in (("logistic", None), ("random_forest", {"n_estimators": 200, "max_depth": 20})):
+        _, model, _ = _fit(spark, sf, name, params)
+        imp = ML.importances(model, name, VEC, spark)
+        out = imp if out is None else out.unionByName(imp)
+    return out
+
+
+@query("importance_by_model")
+def importance_by_model(spark, sf):
+    """Top-15 features per model."""
+    return V.top_k_per_group(feature_importance(spark, sf), "model", "importance", 15)
+
+
+@query("loss_curves")
+def loss_curves(spark, sf):
+    """Logistic objective per iteration."""
+    _, model, _ = _fit(spark, sf, "logistic")
+    return ML.loss_curve(model, "logistic", spark)
+
+
+@query("rf_size_curve")
+def rf_size_curve(spark, sf):
+    """Test accuracy of tree prefixes of ONE 200-tree forest (no refits)."""
+    d = model_data(spark, sf)
+    _, model, _ = _fit(spark, sf, "random_forest", {"n_estimators": 200, "max_depth": 20})
+    return ML.tree_prefix_curve(model, d.where(F.col("split") == "test"), VEC, "label",
+                                [n for n in RF_SIZES if n <= 200])
+
+
+@query("model_comparison")
+def model_comparison(spark, sf):
+    """A2: the model set on one prediction table → comparison rows (logistic, forest, KNN)."""
+    d = model_data(spark, sf)
+    tr, te = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
+    preds = []
+    for name, params in (("logistic", None), ("random_forest", {"n_estimators": 200, "max_depth": 20})):
+        p, _, _ = ML.fit_score(name, tr, te, VEC, "label", "row_id", params=params)
+        preds.append(p)
+    k = K.knn_classify(tr, te, "row_id", VEC, "label", k=5).drop("k").withColumn("split", F.lit("test"))
+    kt = K.knn_classify(tr, tr, "row_id", VEC, "label", k=5).drop("k").withColumn("split", F.lit("train"))
+    truth = d.select("row_id", F.col("label").cast("int").alias("actual"))
+    for p in (k, kt):
+        preds.append(p.join(truth, "row_id").select(F.lit("knn").alias("model"), "split", "row_id", "actual",
+                                                     "predicted", "proba"))
+    allp = preds[0]
+    for p in preds[1:]:
+        allp = allp.unionByName(p)
+    return comparison_table(allp)
+
+
+@query("time_vs_accuracy")
+def time_vs_accuracy(spark, sf):
+    """Train seconds vs accuracy, bubble size 200 + 20·t."""
+    rows = _scored(spark, sf, "logistic")
+    return rows.select("model", "train_seconds", "accuracy", (200 + 20 * F.col("train_seconds")).alias("bubble"))
+
+
+@query("pca_2d")
+def pca_2d(spark, sf):
+    """V6: 2-D PCA projection of the standardised vectors."""
+    return ML.pca_2d(model_data(spark, sf), VEC, "row_id", "label")
