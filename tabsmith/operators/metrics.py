@@ -22,7 +22,8 @@ def confusion_counts(pred: DataFrame, grp: list[str]) -> DataFrame:
 
 def confusion_matrix(pred: DataFrame, grp: list[str], counts: DataFrame | None = None) -> DataFrame:
     """(grp..., actual, predicted, n) including zero cells over the label union."""
-    c = counts if counts is not None else confusion_counts(pred, grp)
+    # ≤ groups x k² rows: computed once, reused by the label grid and the join
+    c = (counts if counts is not None else confusion_counts(pred, grp)).cache()
     labels = (c.select(*grp, F.col("actual").alias("l")).unionByName(c.select(*grp, F.col("predicted").alias("l")))
               .distinct())
     grid = labels.withColumnRenamed("l", "actual").join(labels.withColumnRenamed("l", "predicted"), grp)
