@@ -53,24 +53,18 @@ def _block_dist(q: np.ndarray, d: np.ndarray, metric: str, nan_aware: bool) -> n
 
 
 def _topk_rows(dist: np.ndarray, k: int):
-    """(query index, donor index) of donors at or below each query's k-th finite distance."""
-    out_q, out_d = [], []
-    for i in range(dist.shape[0]):
-        row = dist[i]
-        fin = np.flatnonzero(~np.isnan(row))
-        if fin.size == 0:
-            continue
-        vals = row[fin]
-        if fin.size > k:
-            kth = np.partition(vals, k - 1)[k - 1]
-            sel = fin[vals <= kth]
-        else:
-            sel = fin
-        out_q.append(np.full(sel.size, i))
-        out_d.append(sel)
-    if not out_q:
+    """(query index, donor index) of donors at or below each query's k-th finite distance.
+
+    Vectorised: one ``np.partition`` along the donor axis (NaN sorts last); rows
+    with fewer than k finite distances keep all of them."""
+    if dist.shape[1] == 0 or dist.shape[0] == 0:
         return np.zeros(0, dtype=int), np.zeros(0, dtype=int)
-    return np.concatenate(out_q), np.concatenate(out_d)
+    kk = min(k, dist.shape[1])
+    kth = np.partition(dist, kk - 1, axis=1)[:, kk - 1]
+    kth = np.where(np.isnan(kth), np.inf, kth)
+    mask = dist <= kth[:, None]  # NaN compares False
+    qi, di = np.nonzero(mask)
+    return qi, di
 
 
 def _make_kernel(cols: list[str], k: int, metric: str, by: list[str], impute_cols: list[str] | None):
@@ -143,6 +137,10 @@ def knn_search(queries: DataFrame, donors: DataFrame, key: str, cols: list[str],
     nq, nd = queries.count(), donors.count()
     n_blocks = max(1, math.ceil(nq / query_rows))
     n_buckets = max(1, math.ceil(nd / donor_rows))
+    # at least ~2 groups per core: extra donor buckets only replicate the (small) query block
+    target = 2 * queries.sparkSession.sparkContext.defaultParallelism
+    if n_blocks * n_buckets < target:
+        n_buckets = max(n_buckets, min(math.ceil(target / n_blocks), max(1, nd // 64)))
     h = F.xxhash64(F.col(key))
     # fresh column ids on both sides: queries and donors may share a lineage
     q = queries.select(*[F.col(b).alias(b) for b in by], F.col(key).alias("_qid"),

@@ -102,7 +102,8 @@ def build(name: str, n_features: int, n_train: float, params: dict | None = None
     if name == "random_forest":
         est = RandomForestClassifier(numTrees=p.get("n_estimators", 200), maxDepth=min(p.get("max_depth") or 30, 30),
                                      minInstancesPerNode=p.get("min_samples_leaf", 1), weightCol="w", seed=SEED,
-                                     featuresCol="features", labelCol="label_d", bootstrap=True)
+                                     featuresCol="features", labelCol="label_d", bootstrap=True,
+                                     maxMemoryInMB=1024, cacheNodeIds=True)
         return Spec(name, est, True)
     if name in ("boosted", "boosted_leafwise"):
         leafwise = name == "boosted_leafwise"
