@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +49,8 @@ def impute_knn(df: DataFrame, cols: list[str], key: str, by: list[str] | None =
     A cell with no donor at a finite distance takes the column mean.
     """
     by = list(by or [])
+    # read by the counts, the search (queries and donors), the means and the final join
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     any_null = None
     for c in cols:
         cond = F.col(c).isNull()
