@@ -203,27 +203,31 @@ def pca_2d(df: DataFrame, cols: list[str], key: str, label: str) -> DataFrame:
                                      F.lit(float(ev[0])).alias("explained_1"), F.lit(float(ev[1])).alias("explained_2"))
 
 
-def tree_prefix_curve(model, test: DataFrame, cols: list[str], label: str, sizes: list[int]) -> DataFrame:
+def tree_prefix_curve(model, test: DataFrame, cols: list[str], label: str, sizes: list[int],
+                      cut_every: int = 10) -> DataFrame:
     """Accuracy of the first n trees of ONE fitted forest for each n in ``sizes``.
 
-    Each tree's class-probability vector is computed in the same pass (one
-    ``transform`` per tree, bounded by the forest size); prefix sums give every n."""
-    x = assemble(test, cols)
-    trees = model.trees
-    sizes = [s for s in sizes if s <= len(trees)]
-    probs = []
-    cur = x.select(F.col(label).cast("int").alias("_y"), "features")
-    for i, t in enumerate(trees[: max(sizes)]):
-        cur = t.setPredictionCol(f"_p{i}").setProbabilityCol(f"_pr{i}").setRawPredictionCol(f"_r{i}").transform(cur)
-        cur = cur.withColumn(f"_a{i}", vector_to_array(f"_pr{i}")).drop(f"_p{i}", f"_pr{i}", f"_r{i}")
-        probs.append(f"_a{i}")
-    rows = []
-    for n in sizes:
-        summed = F.zip_with(F.col(probs[0]), F.col(probs[0]), lambda a, b: a * 0)
-        for c in probs[:n]:
-            summed = F.zip_with(summed, F.col(c), lambda a, b: a + b)
-        pred = F.array_position(summed, F.array_max(summed)) - 1
-        rows.append(F.avg(F.when(pred == F.col("_y"), 1.0).otherwise(0.0)).alias(f"n{n}"))
-    agg = cur.agg(*rows)
-    return agg.unpivot([], [f"n{n}" for n in sizes], "size", "accuracy").select(
-        F.regexp_replace("size", "n", "").cast("int").alias("n_trees"), "accuracy")
+    The running sum of tree probability vectors is carried row by row (Spark's
+    forest vote), the prefix vote is scored whenever n reaches a size, and the
+    lineage is cut with a reliable checkpoint every ``cut_every`` trees."""
+    from tabsmith.session import cut_lineage
+
+    sizes = sorted(s for s in sizes if s <= len(model.trees))
+    n_cls = model.numClasses
+    cur = assemble(test, cols).select(F.col(label).cast("int").alias("_y"), "features",
+                                      F.array_repeat(F.lit(0.0), n_cls).alias("_acc"))
+    oks: list[str] = []
+    for i, tree in enumerate(model.trees[: max(sizes)]):
+        t = tree.copy().setProbabilityCol("_pr").setPredictionCol("_p").setRawPredictionCol("_r")
+        step = t.transform(cur)
+        cur = step.select("_y", "features", *oks,
+                          F.zip_with("_acc", vector_to_array("_pr"), lambda a, b: a + b).alias("_acc"))
+        if i + 1 in sizes:
+            pred = F.array_position(F.col("_acc"), F.array_max("_acc")) - 1
+            cur = cur.withColumn(f"ok{i + 1}", F.when(pred == F.col("_y"), 1.0).otherwise(0.0))
+            oks.append(f"ok{i + 1}")
+        if (i + 1) % cut_every == 0:
+            cur = cut_lineage(cur)
+    agg = cur.agg(*[F.avg(c).alias(c) for c in oks])
+    return agg.unpivot([], oks, "size", "accuracy").select(
+        F.regexp_replace("size", "ok", "").cast("int").alias("n_trees"), "accuracy")

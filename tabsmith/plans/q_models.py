@@ -576,7 +576,9 @@ def model_data(spark, sf):
     """Vectors split 72/18/10 (stratified), standardised with train statistics."""
     s = vector_splits(spark, sf)
     sc = S.Scaler("standard", VEC, []).fit(s.where(F.col("split") == "train"))
-    return sc.transform(s).persist(StorageLevel.MEMORY_AND_DISK)
+    # reliable checkpoint: every model plan starts from a short lineage
+    from tabsmith.session import cut_lineage
+    return cut_lineage(sc.transform(s))
 
 
 def _fit(spark, sf, name, params=None):
