@@ -107,13 +107,12 @@ def build(name: str, n_features: int, n_train: float, params: dict | None = None
         return Spec(name, est, True)
     if name in ("boosted", "boosted_leafwise"):
         leafwise = name == "boosted_leafwise"
+        extra = {"validationIndicatorCol": "is_val", "validationTol": p.get("validation_tol", 0.001)} if leafwise else {}
         gbt = GBTClassifier(maxIter=p.get("n_estimators", 300), maxDepth=p.get("max_depth", 6),
                             stepSize=p.get("learning_rate", 0.05 if leafwise else 0.1),
                             subsamplingRate=p.get("subsample", 0.8), featureSubsetStrategy=str(p.get("colsample", 0.8)),
                             minInstancesPerNode=20 if leafwise else 1, seed=SEED, featuresCol="features",
-                            labelCol="label_d")
-        if leafwise:
-            gbt = gbt.setValidationIndicatorCol("is_val").setValidationTol(p.get("validation_tol", 0.001))
+                            labelCol="label_d", **extra)
         est = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label_d")
         return Spec(name, est, False)
     raise ValueError(f"unknown model {name!r}; use one of {MODELS}")
