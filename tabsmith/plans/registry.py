@@ -27,6 +27,8 @@ def rounded_sql(sql: str, doubles: tuple = (), double_lists: tuple = ()) -> str:
 def query(name: str, sql: str | None = None, doubles: tuple = (), double_lists: tuple = ()):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # queries run one after another: release what earlier queries persisted
+            spark.catalog.clearCache()
             return round_doubles(fn(spark, sf_dir), doubles, double_lists)
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__

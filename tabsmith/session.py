@@ -20,6 +20,10 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # long sessions run hundreds of small jobs: keep little listener history on the heap
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.ui.retainedJobs": "100",
+    "spark.ui.retainedStages": "100",
 }
 
 
