@@ -614,6 +614,7 @@ def gbt_fit_score(spark, sf):
     return _scored(spark, sf, "boosted")
 
 
+@query("gbt_early_stop_score")
 def gbt_early_stop_score(spark, sf):
     """M6: leaf-wise boosting (lr 0.05, min 20 per leaf) with validation early stopping."""
     return _scored(spark, sf, "boosted_leafwise")
