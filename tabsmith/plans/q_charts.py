@@ -7,6 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from tabsmith.functions.keyed import u_sql
+from tabsmith.functions.presets import overfit_level_sql, variant_map
 from tabsmith.operators import charts as V
 from tabsmith.operators import clean as C
 from tabsmith.operators import compare as A
@@ -16,6 +17,7 @@ from tabsmith.operators.features import anova_f
 from tabsmith.operators.impute import impute_median
 from tabsmith.plans import oracle_fixtures as OF
 from tabsmith.plans import sqlgen as G
+from tabsmith.plans.q_prep import EVENT_CLASSES
 from tabsmith.plans.registry import query
 from tabsmith.sources import fixtures as FX
 
@@ -112,13 +114,12 @@ def density_grid(spark, sf):
 
 @query("label_summary", DE + f""", per_raw AS (SELECT label_raw AS raw, count(*) AS n FROM dirty_events GROUP BY 1),
 t AS (SELECT {G.strip('raw')} AS label, n, CASE {G.strip('raw')} {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in
-    __import__('tabsmith.functions.presets', fromlist=['x']).variant_map(__import__('tabsmith.plans.q_prep', fromlist=['x']).EVENT_CLASSES))} END AS target FROM per_raw),
+    variant_map(EVENT_CLASSES))} END AS target FROM per_raw),
 v AS (SELECT label, first(target) AS target, sum(n)::BIGINT AS n FROM t WHERE target IS NOT NULL GROUP BY label)
 SELECT label, target, n, row_number() OVER (ORDER BY n DESC, label) AS position FROM v""")
 def label_summary(spark, sf):
     """V9: dirty spellings found, by count."""
     from pyspark.sql import Window
-    from tabsmith.plans.q_prep import EVENT_CLASSES
     rep = C.label_report(FX.dirty_events(spark, sf), "label_raw", EVENT_CLASSES).where(F.col("section") == "variant")
     return rep.select("label", "target", "n",
                       F.row_number().over(Window.orderBy(F.desc("n"), F.asc("label"))).alias("position"))
@@ -174,8 +175,8 @@ def f1_heatmap(spark, sf):
 
 
 @query("overfitting_bars", _COMP + """
-SELECT model, train_accuracy - accuracy AS gap, """ + __import__("tabsmith.functions.presets", fromlist=["x"])
-       .overfit_level_sql("train_accuracy - accuracy") + " AS level FROM comp", doubles=("gap",))
+SELECT model, train_accuracy - accuracy AS gap, """ + overfit_level_sql("train_accuracy - accuracy")
+       + " AS level FROM comp", doubles=("gap",))
 def overfitting_bars(spark, sf):
     """V16."""
     c = _comp(spark, sf).select("model", "train_accuracy", F.col("accuracy").alias("test_accuracy"))

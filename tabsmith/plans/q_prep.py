@@ -16,6 +16,7 @@ from tabsmith.plans.registry import query
 from tabsmith.sources import fixtures as FX
 from tabsmith.sources.io import read_table, tag_splits
 from tabsmith.functions.keyed import keyed_uniform, u_sql
+from tabsmith.functions.presets import variant_map
 
 # Canonical classes of the dirty-events fixture (upper-cased event types).
 EVENT_CLASSES = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
@@ -104,8 +105,7 @@ def invalid_rows(spark, sf):
 
 
 _MAPPED = "CASE " + G.strip("raw") + " " + " ".join(
-    f"WHEN '{a}' THEN '{b}'" for a, b in __import__("tabsmith.functions.presets", fromlist=["x"]).variant_map(
-        EVENT_CLASSES)) + " END"
+    f"WHEN '{a}' THEN '{b}'" for a, b in variant_map(EVENT_CLASSES)) + " END"
 
 
 @query("label_report", DE + f""", per_raw AS (SELECT label_raw AS raw, count(*) AS n FROM dirty_events GROUP BY 1),
