@@ -137,9 +137,10 @@ def knn_search(queries: DataFrame, donors: DataFrame, key: str, cols: list[str],
     nq, nd = queries.count(), donors.count()
     n_blocks = max(1, math.ceil(nq / query_rows))
     n_buckets = max(1, math.ceil(nd / donor_rows))
-    # at least ~2 groups per core: extra donor buckets only replicate the (small) query block
+    # big searches get at least ~2 groups per core (extra donor buckets only
+    # replicate the small query block); small ones stay in few groups
     target = 2 * queries.sparkSession.sparkContext.defaultParallelism
-    if n_blocks * n_buckets < target:
+    if n_blocks * n_buckets < target and nq * nd > 50_000_000:
         n_buckets = max(n_buckets, min(math.ceil(target / n_blocks), max(1, nd // 64)))
     h = F.xxhash64(F.col(key))
     # fresh column ids on both sides: queries and donors may share a lineage
