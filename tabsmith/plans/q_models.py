@@ -685,3 +685,40 @@ def time_vs_accuracy(spark, sf):
 def pca_2d(spark, sf):
     """V6: 2-D PCA projection of the standardised vectors."""
     return ML.pca_2d(model_data(spark, sf), VEC, "row_id", "label")
+
+
+# ---------------------------------------------------------------- A13 / V15: scoring-time summary (measured)
+import time as _time  # noqa: E402
+
+BATCHES = [1, 100, 1000]
+REPEATS = 3
+
+
+def _timings(spark, sf):
+    """Fit logistic once; time batch scoring (transform + count) of the first n test rows."""
+    d = model_data(spark, sf)
+    tr, te = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
+    _, model, _ = ML.fit_score("logistic", tr, te, VEC, "label", "row_id")
+    x = ML.assemble(te, VEC).orderBy("row_id")
+    rows = []
+    for b in BATCHES:
+        batch = x.limit(b).persist(StorageLevel.MEMORY_AND_DISK)
+        n = batch.count()  # the test split may hold fewer rows than the batch size
+        for r in range(REPEATS):
+            t0 = _time.perf_counter()
+            model.transform(batch).count()
+            rows.append(("logistic", n, r, _time.perf_counter() - t0))
+        batch.unpersist()
+    return spark.createDataFrame(rows, "model string, batch int, rep int, seconds double")
+
+
+@query("timing_summary")
+def timing_summary(spark, sf):
+    """A13 (re-aimed): median seconds of batch scoring at 1 / 100 / 1000 rows, rows per second."""
+    return A.timing_summary(_timings(spark, sf))
+
+
+@query("single_sample_times")
+def single_sample_times(spark, sf):
+    """Single-row scoring time per model (projection of A13)."""
+    return A.timing_summary(_timings(spark, sf)).where(F.col("batch") == 1).select("model", "median_seconds")
