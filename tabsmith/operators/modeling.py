@@ -113,3 +113,19 @@ def param_sensitivity(scores: DataFrame, params: list[str], score: str = "score"
             F.avg(score).alias("mean_score"))
         out = s if out is None else out.unionByName(s)
     return out
+
+
+def knn_random_scores(train: DataFrame, key: str, cols: list[str], label: str, ks: list[int], weights: list[str],
+                      n_iter: int, folds: int = CV_FOLDS, seed: int = 42) -> DataFrame:
+    """T5 (KNN): n_iter candidates drawn by keyed hash from k x weights, scored like T4."""
+    from tabsmith.functions.keyed import keyed_uniform
+
+    spark = train.sparkSession
+    space = spark.createDataFrame([(k, w) for k in ks for w in weights], "k int, weights string")
+    u = keyed_uniform(F.concat(F.col("k").cast("string"), F.lit("|"), F.col("weights")), "rs", seed)
+    # n_iter rows (bounded) choose which searches to run
+    chosen = space.orderBy(u, "k", "weights").limit(n_iter).collect()
+    picked = spark.createDataFrame([(r.k, r.weights) for r in chosen], "k int, weights string")
+    scores = knn_grid_scores(train, key, cols, label, sorted({r.k for r in chosen}),
+                             sorted({r.weights for r in chosen}), folds)
+    return scores.join(F.broadcast(picked), ["k", "weights"], "left_semi")

@@ -722,3 +722,30 @@ def timing_summary(spark, sf):
 def single_sample_times(spark, sf):
     """Single-row scoring time per model (projection of A13)."""
     return A.timing_summary(_timings(spark, sf)).where(F.col("batch") == 1).select("model", "median_seconds")
+
+
+# ---------------------------------------------------------------- T5: random search (KNN space, keyed draws)
+RS_K = KNN_K_VALUES
+RS_ITER = 6
+
+
+def _rs_candidates_sql() -> str:
+    ks = ", ".join(f"({k})" for k in RS_K)
+    ws = ", ".join(f"('{w}')" for w in GRID_WEIGHTS)
+    return (f"cand AS (SELECT k, w FROM (SELECT a.k, b.w FROM (VALUES {ks}) a(k) CROSS JOIN (VALUES {ws}) b(w)) "
+            f"ORDER BY {u_sql(chr(40) + 'CAST(k AS VARCHAR) || ' + repr('|') + ' || w' + chr(41), repr('rs'))}, k, w "
+            f"LIMIT {RS_ITER})")
+
+
+def _random_sql() -> str:
+    g = _grid_sql()
+    start = g.index("grid AS (")
+    end = g.index("\n", start)
+    return g[:start] + _rs_candidates_sql() + ",\ngrid AS (SELECT k, w FROM cand)," + g[end + 1:].lstrip()
+
+
+@query("random_search", _random_sql() + "\nSELECT * FROM scores", doubles=("score",))
+def random_search(spark, sf):
+    """T5 (re-aimed to the KNN space): 6 keyed draws from k x weights, 5-fold balanced accuracy."""
+    s = vector_splits(spark, sf).where(F.col("split") == "train")
+    return MD.knn_random_scores(s, "row_id", VEC, "label", RS_K, GRID_WEIGHTS, RS_ITER, folds=5)
