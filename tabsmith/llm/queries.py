@@ -3,13 +3,22 @@
 from __future__ import annotations
 
 from tabsmith.llm.exact_dedup import OP7_SQL, op7_bloom_exact_dedup
+from tabsmith.llm.langid import op1_language_id_ecoc
+from tabsmith.llm.licenses import op9_license_scan
 from tabsmith.llm.simhash import op3_simhash_near_dedup
+from tabsmith.llm.topk import OP8_SQL, op8_topk_uniform_threshold
+from tabsmith.llm.toxicity import op10_toxicity_counterfactual
 
 QUERIES = {
+    "op1_language_id_ecoc": op1_language_id_ecoc,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op7_bloom_exact_dedup": op7_bloom_exact_dedup,
+    "op8_topk_uniform_threshold": op8_topk_uniform_threshold,
+    "op9_license_scan": op9_license_scan,
+    "op10_toxicity_counterfactual": op10_toxicity_counterfactual,
 }
 
 ORACLES = {
     "op7_bloom_exact_dedup": OP7_SQL,
+    "op8_topk_uniform_threshold": OP8_SQL,
 }
