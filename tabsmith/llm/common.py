@@ -82,3 +82,20 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, count_col: str, n_rows:
     in_hot = flagged.filter(F.col("_hot_key").isNotNull()).drop("_hot_key").join(F.broadcast(hot), key)
     in_cold = flagged.filter(F.col("_hot_key").isNull()).drop("_hot_key").join(cold, key)
     return in_hot.unionByName(in_cold)
+
+
+def numbered(df: DataFrame, *order: Column, name: str = "_no") -> DataFrame:
+    """Add the 0-based position of each row in the given order, without a window over the whole table.
+
+    Rows are range-partitioned and written; a row's number is its place in its partition plus the sizes of the
+    partitions before it (one row per partition, so a broadcast of a known size).
+    """
+    from pyspark.sql import Window
+
+    placed = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        "*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_at")))
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    out = placed.join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + F.col("_at"))
+    return out.drop("_part", "_at", "_start")

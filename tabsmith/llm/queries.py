@@ -5,6 +5,7 @@ from __future__ import annotations
 from tabsmith.llm.exact_dedup import OP7_SQL, op7_bloom_exact_dedup
 from tabsmith.llm.langid import op1_language_id_ecoc
 from tabsmith.llm.licenses import op9_license_scan
+from tabsmith.llm.mixing import OP4_SQL, op4_mix_sainte_lague
 from tabsmith.llm.simhash import op3_simhash_near_dedup
 from tabsmith.llm.topk import OP8_SQL, op8_topk_uniform_threshold
 from tabsmith.llm.toxicity import op10_toxicity_counterfactual
@@ -12,6 +13,7 @@ from tabsmith.llm.toxicity import op10_toxicity_counterfactual
 QUERIES = {
     "op1_language_id_ecoc": op1_language_id_ecoc,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_mix_sainte_lague": op4_mix_sainte_lague,
     "op7_bloom_exact_dedup": op7_bloom_exact_dedup,
     "op8_topk_uniform_threshold": op8_topk_uniform_threshold,
     "op9_license_scan": op9_license_scan,
@@ -19,6 +21,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_mix_sainte_lague": OP4_SQL,
     "op7_bloom_exact_dedup": OP7_SQL,
     "op8_topk_uniform_threshold": OP8_SQL,
 }
