@@ -9,11 +9,15 @@ from tabsmith.llm.mixing import OP4_SQL, op4_mix_sainte_lague
 from tabsmith.llm.simhash import op3_simhash_near_dedup
 from tabsmith.llm.topk import OP8_SQL, op8_topk_uniform_threshold
 from tabsmith.llm.toxicity import op10_toxicity_counterfactual
+from tabsmith.llm.warc import OP6_SQL, op6_warc_round_trip
+from tabsmith.llm.wavelet import op2_wavelet_token_shards
 
 QUERIES = {
     "op1_language_id_ecoc": op1_language_id_ecoc,
+    "op2_wavelet_token_shards": op2_wavelet_token_shards,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_mix_sainte_lague": op4_mix_sainte_lague,
+    "op6_warc_round_trip": op6_warc_round_trip,
     "op7_bloom_exact_dedup": op7_bloom_exact_dedup,
     "op8_topk_uniform_threshold": op8_topk_uniform_threshold,
     "op9_license_scan": op9_license_scan,
@@ -22,6 +26,7 @@ QUERIES = {
 
 ORACLES = {
     "op4_mix_sainte_lague": OP4_SQL,
+    "op6_warc_round_trip": OP6_SQL,
     "op7_bloom_exact_dedup": OP7_SQL,
     "op8_topk_uniform_threshold": OP8_SQL,
 }
