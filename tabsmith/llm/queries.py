@@ -6,6 +6,7 @@ from tabsmith.llm.exact_dedup import OP7_SQL, op7_bloom_exact_dedup
 from tabsmith.llm.langid import op1_language_id_ecoc
 from tabsmith.llm.licenses import op9_license_scan
 from tabsmith.llm.mixing import OP4_SQL, op4_mix_sainte_lague
+from tabsmith.llm.pieces import op5_sentencepiece_viterbi
 from tabsmith.llm.simhash import op3_simhash_near_dedup
 from tabsmith.llm.topk import OP8_SQL, op8_topk_uniform_threshold
 from tabsmith.llm.toxicity import op10_toxicity_counterfactual
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_wavelet_token_shards": op2_wavelet_token_shards,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_mix_sainte_lague": op4_mix_sainte_lague,
+    "op5_sentencepiece_viterbi": op5_sentencepiece_viterbi,
     "op6_warc_round_trip": op6_warc_round_trip,
     "op7_bloom_exact_dedup": op7_bloom_exact_dedup,
     "op8_topk_uniform_threshold": op8_topk_uniform_threshold,
