@@ -130,7 +130,7 @@ def classes_of(prints: DataFrame, max_bits: int) -> DataFrame:
     """
     n = prints.count()
     nodes = checkpointed(prints.groupBy("fp").agg(F.min("_id").alias("low"), F.count("*").alias("rows")))
-    links = checkpointed(fingerprint_links(nodes.select("fp"), max_bits).distinct())
+    links = fingerprint_links(nodes.select("fp"), max_bits)  # repeats go in connected_components
     roots = connected_components(links).select(F.col("node").alias("fp"), "root")
     rooted = nodes.join(roots, "fp", "left").select("fp", "low", "rows", F.coalesce("root", "fp").alias("root"))
     lows = rooted.groupBy("root").agg(F.min("low").alias("root_id"))
