@@ -79,7 +79,7 @@ def _writer(folder: str, date: str, roll_bytes: int, level: int):
         fs, base = open_fs(folder)
         fs.create_dir(f"{base}/_temporary", recursive=True)
         out = name = None
-        shard, seq, n, size, check, last, copy = None, 0, 0, 0, None, None, 0
+        shard, seq, n, size, check, last, copy, note = None, 0, 0, 0, None, None, 0, None
 
         def close() -> pd.DataFrame:
             out.close()
@@ -90,12 +90,16 @@ def _writer(folder: str, date: str, roll_bytes: int, level: int):
             for row in pdf.to_dict("records"):
                 for c in ("page", "first"):
                     row[c] = None if pd.isna(row[c]) else int(row[c])
+                key = (row["page"], row["sha"])
+                if row["kind"] == 0:
+                    note = (key, row["first"], row["first_url"])
+                    continue
+                row["first"], row["first_url"] = note[1:] if note and note[0] == key else (row["page"], row["url"])
                 if out is not None and (row["shard"] != shard or size >= roll_bytes):
                     yield close()
                     out, seq = None, seq + 1 if row["shard"] == shard else 0
                 if row["shard"] != shard:
                     shard = row["shard"]
-                key = (row["page"], row["sha"])
                 copy = copy + 1 if key == last else 0
                 last = key
                 # of rows that repeat page and payload the first in order is the response, the others revisit it
@@ -164,16 +168,23 @@ def write_warc(pages: DataFrame, folder: str | None = None, id_col: str = "page_
     rows = pages.select(F.col(q(id_col)).cast("long").alias("page"), F.col(q(url_col)).cast("string").alias("url"),
                         html.alias("html"), F.sha2(html.cast("binary"), 256).alias("sha"),
                         (F.octet_length(html) >= min_revisit_bytes).alias("dedup"))
-    narrow = checkpointed(rows.select("page", "url", "sha"))
+    narrow = checkpointed(rows.select("page", "url", "sha", "dedup"))
     n = narrow.count()
     rank = F.struct(F.col("page").isNotNull().alias("known"), "page", "url")
-    groups = checkpointed(narrow.groupBy("sha").agg(F.max(rank).alias("top"), F.count("*").alias("rows")))
-    groups = groups.select("sha", "rows", F.col("top.page").alias("first"), F.col("top.url").alias("first_url"))
+    groups = narrow.filter("dedup").groupBy("sha").agg(F.max(rank).alias("top"), F.count("*").alias("rows")).filter("rows > 1")
+    groups = checkpointed(groups.select("sha", "rows", F.col("top.page").alias("first"), F.col("top.url").alias("first_url")))
     bounds = _bounds(narrow, n, -(-n // shard_rows))
-    found = attach(rows, groups, "sha", "rows", n).drop("rows")
-    found = found.withColumn("shard", _shard_column(bounds)(F.col("page"), F.col("sha")))
-    order = ["shard", F.col("page").asc_nulls_last(), "sha", "url"]
-    laid = found.repartition(max(1, len(bounds) + 1), "shard").sortWithinPartitions(*order)
+    # Payloads are shuffled once, by shard. What a repeated payload refers to is found on the narrow rows and travels as
+    # a row of its own that sorts just before the records it is for.
+    notes = attach(narrow, groups, "sha", "rows", n).select("page", "sha", "first", "first_url").distinct()
+    none = lambda kind: F.lit(None).cast(kind)
+    notes = notes.select("page", "sha", F.lit(0).alias("kind"), none("string").alias("url"), none("string").alias("html"),
+                         F.lit(True).alias("dedup"), "first", "first_url")
+    records = rows.select("page", "sha", F.lit(1).alias("kind"), "url", "html", "dedup", none("long").alias("first"),
+                          none("string").alias("first_url"))
+    found = records.unionByName(notes).withColumn("shard", _shard_column(bounds)(F.col("page"), F.col("sha")))
+    order = ["shard", F.col("page").asc_nulls_last(), "sha", "kind", "url"]
+    laid = found.repartition(2 * len(bounds) + 2, "shard").sortWithinPartitions(*order)
     manifest = checkpointed(laid.mapInPandas(_writer(folder, date, roll_bytes, level), MANIFEST))
     done = checkpointed(manifest.repartition(max(1, min(64, manifest.count())), "path").mapInPandas(_commit(folder), MANIFEST))
     _write_manifest(done, folder)
