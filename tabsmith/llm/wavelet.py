@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -21,6 +20,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ def _decompress(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
-def write_shard(out, ids: np.ndarray, doc_ids: list[int | None], lengths: list[int]) -> int:
+def write_shard(out, ids: np.ndarray, doc_ids: list[int | None], lengths: np.ndarray) -> int:
     """Write one shard to a binary stream; returns its bytes."""
     levels = max(1, int(ids.max()).bit_length()) if len(ids) else 1
     at = out.write(MAGIC)
@@ -187,14 +188,17 @@ class Encoder:
 
     Where white space comes as single spaces and line breaks inside a text, each between two other characters, the
     tokenizer always cuts before it: before a space (which belongs to the word after it) and around a line break. So
-    such a text's words can be encoded one by one and their ids joined. All other texts go to the tokenizer whole.
+    such a text's words can be encoded one by one and their ids joined: a batch is cut into words, only its distinct
+    words are looked up or encoded, and the ids of all words are gathered. All other texts go to the tokenizer whole.
     """
 
     KEPT = 300_000  # words in each of two generations
     LONG = 64  # longer words are not kept
-    OTHER = re.compile(r"[^\S \n]|\0")
+    # two white-space characters in a row, white space at an end, any white space but space and line break, or a zero
+    ODD = ("[ \\n][ \\n]|^[ \\n]|[ \\n]$|[\\x00\\t\\x0b-\\x0d\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
+           "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]|^$")
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, end_id: int = 0) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -202,94 +206,133 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         if hasattr(self.tokenizer.model, "_resize_cache"):
             self.tokenizer.model._resize_cache(0)  # known words are kept here, so its own cache would only cost time
-        self.newline = self._whole(["\n"])[0]
+        self.kind = np.dtype("<u2" if max(self.tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else "<u4")
+        self.end = np.array([end_id], self.kind).tobytes()
+        self.newline = self.whole(["\n"])[0]
         self.young: dict[str, bytes] = {}  # word → ids; the first character tells what stands before it, see encode
         self.old: dict[str, bytes] = {}
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
+    def whole(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts from the library."""
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in got]
+        return [np.array(e.ids, self.kind).tobytes() for e in got]
 
-    def _learn(self, keys: list[str]) -> None:
+    def _learn(self, keys: list[str]) -> dict[str, bytes]:
         """Encode unknown words, many in one call: line breaks between them cut exactly there."""
-        nl = int(np.frombuffer(self.newline, "<u4")[0])
+        nl, size, found = int(np.frombuffer(self.newline, self.kind)[0]), self.kind.itemsize, {}
         for at in range(0, len(keys), 500):
             some = keys[at:at + 500]
             plain = [k[1:] if k[0] in "\0\n" else " " + k for k in some]
-            ids = np.frombuffer(self._whole(["\n".join(plain)])[0], "<u4")
-            cuts = np.flatnonzero(ids == nl)
-            for key, a, b in zip(some, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
-                data = ids[a:b].tobytes()
-                self.young[key] = self.newline + data if key[0] == "\n" else data
-
-    def _keys(self, t: str) -> list[str] | None:
-        """A word after a space as it is, after a line break with the break, the first with a zero; None: not so simple."""
-        if (not t or t[0].isspace() or t[-1].isspace() or "  " in t or " \n" in t or "\n " in t or "\n\n" in t
-                or self.OTHER.search(t)):
-            return None
-        return ("\0" + t).replace("\n", " \n").split(" ")
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self._keys(t) for t in texts]
-        unknown = set().union(*filter(None, split)).difference(self.young)
-        known = [k for k in unknown if k in self.old]
-        self.young.update((k, self.old[k]) for k in known)
-        unknown.difference_update(known)
-        self._learn(list(unknown))
-        whole = iter(self._whole([t for t, s in zip(texts, split) if s is None]))
-        get = self.young.__getitem__
-        out = [np.frombuffer(next(whole) if s is None else b"".join(map(get, s)), "<u4") for s in split]
-        for k in unknown:
-            if len(k) > self.LONG:
-                del self.young[k]
-        if len(self.young) > self.KEPT:
-            self.old, self.young = self.young, {}
-        return out
-
-
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
+            data = self.whole(["\n".join(plain)])[0]
+            cuts = np.flatnonzero(np.frombuffer(data, self.kind) == nl) * size
+            for key, a, b in zip(some, [0, *(cuts + size).tolist()], [*cuts.tolist(), len(data)]):
+                found[key] = self.newline + data[a:b] if key[0] == "\n" else data[a:b]
+        return found
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        young, old = self.young, self.old
+        got = list(map(young.get, words))
+        again = {k: old[k] for k, v in zip(words, got) if v is None and k in old}
+        new = self._learn([k for k, v in zip(words, got) if v is None and k not in again])
+        values = [again.get(k) or new[k] if v is None else v for k, v in zip(words, got)]
+        young.update(again)
+        young.update((k, v) for k, v in new.items() if len(k) <= self.LONG)
+        if len(young) > self.KEPT:
+            self.old, self.young = young, {}
+        return values
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, each with the end id; how many each has)."""
+        odd = pc.match_substring_regex(texts, self.ODD)
+        # words: after a space as they are, after a line break with the break, the first of a text with a zero
+        keys = pc.binary_join_element_wise(pa.scalar("\0"), pc.replace_substring(texts, "\n", " \n"), pa.scalar(""))
+        marked = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        if len(marked):  # a text that goes to the tokenizer whole counts as one word of its own
+            names = pa.array([f"\0\0{i}" for i in range(len(texts))])
+            keys = pc.if_else(odd, names, keys)
+        words = pc.split_pattern(keys, " ")
+        coded = words.values.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        special = {i: k for i, k in enumerate(distinct) if k.startswith("\0\0")} if len(marked) else {}
+        if special:
+            plain = iter(self._ids([k for i, k in enumerate(distinct) if i not in special]))
+            rows = [int(k[2:]) for k in special.values()]
+            whole = dict(zip(special, self.whole(texts.take(pa.array(rows)).to_pylist())))
+            values = [whole[i] if i in whole else next(plain) for i in range(len(distinct))]
+        else:
+            values = self._ids(distinct)
+        values.append(self.end)
+        size = self.kind.itemsize
+        lengths = np.fromiter(map(len, values), np.int64, len(values)) // size
+        starts = np.cumsum(lengths) - lengths
+        pool = np.frombuffer(b"".join(values), self.kind)
+        offsets = words.offsets.to_numpy().astype(np.int64) - words.offsets[0].as_py()
+        codes = np.insert(coded.indices.to_numpy(), offsets[1:], len(values) - 1)
+        each = lengths[codes]
+        ends = np.cumsum(each)
+        ids = pool[np.repeat(starts[codes] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        last = ends[offsets[1:] + np.arange(len(texts))]  # each text's end id closes it
+        return ids, np.diff(last, prepend=0)
+
+
+_encoders: dict[tuple[str, int], Encoder] = {}
+
+
+def encoder(path: str, end_id: int) -> Encoder:
     """This Python worker's encoder."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, end_id) not in _encoders:
+        _encoders[path, end_id] = Encoder(path, end_id)
+    return _encoders[path, end_id]
 
 
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long, bytes long"
+TEXT_BYTES = 4 << 20  # texts that are encoded together
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """(ids, texts) slices of some MB; a longer text makes a slice of its own."""
+    texts, numbers = batch.column("text"), batch.column("id")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TEXT_BYTES, side="right")))
+        yield numbers.slice(at, upto - at), texts.slice(at, upto - at)
+        at = upto
 
 
 def _writer(folder: str, tokenizer: str, end_id: int, shard_tokens: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = open_fs(folder)
         fs.create_dir(base, recursive=True)
         part, seq = TaskContext.get().partitionId(), 0
         ids, docs, lengths, held = [], [], [], 0
 
-        def flush() -> pd.DataFrame:
+        def flush() -> pa.RecordBatch:
             nonlocal seq, ids, docs, lengths, held
             # a name of its own for every attempt: only the files that the manifest lists count
             path = f"{base}/part-{part:05d}-{seq:05d}-{uuid.uuid4().hex}.wvm"
-            kind = np.uint16 if all(int(x.max()) < 1 << 16 for x in ids) else np.uint32
-            tokens = np.concatenate([x.astype(kind) for x in ids])
             with fs.open_output_stream(path) as out:
-                size = write_shard(out, tokens, docs, lengths)
-            row = pd.DataFrame({"part": [part], "seq": [seq], "path": [path], "n_docs": [len(docs)],
-                                "n_tokens": [len(tokens)], "bytes": [size]})
+                size = write_shard(out, np.concatenate(ids), docs, np.concatenate(lengths))
+            row = pa.RecordBatch.from_pydict({
+                "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [path],
+                "n_docs": [len(docs)], "n_tokens": [held], "bytes": [size]})
             seq, ids, docs, lengths, held = seq + 1, [], [], [], 0
             return row
 
-        end = np.array([end_id], dtype=np.uint32)
-        for pdf in frames:
-            texts, numbers = pdf["text"].tolist(), pdf["id"].astype(object).tolist()
-            for at in range(0, len(texts), 256):
-                for doc, got in zip(numbers[at:at + 256], encoder(tokenizer).encode(texts[at:at + 256])):
-                    got = np.concatenate((got, end))
-                    ids.append(got.astype(np.uint16) if int(got.max()) < 1 << 16 else got)
-                    docs.append(None if pd.isna(doc) else int(doc))
-                    lengths.append(len(got))
-                    held += len(got)
+        for batch in batches:
+            for numbers, texts in _pieces(batch):
+                got, each = encoder(tokenizer, end_id).encode(texts)
+                ends = np.cumsum(each)
+                numbers, at = numbers.to_pylist(), 0
+                while at < len(each):  # shards end with the document that fills them
+                    done = int(ends[at - 1]) if at else 0
+                    upto = min(len(each), int(np.searchsorted(ends, done + shard_tokens - held)) + 1)
+                    ids.append(got[done:int(ends[upto - 1])])
+                    docs += numbers[at:upto]
+                    lengths.append(each[at:upto])
+                    held += int(ends[upto - 1]) - done
+                    at = upto
                     if held >= shard_tokens:
                         yield flush()
         if docs:
@@ -311,7 +354,7 @@ def write_shards(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     rows = docs.select(F.col(q(id_col)).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     order = [F.col("id").asc_nulls_last(), F.xxhash64("text")]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    manifest = checkpointed(rows.mapInPandas(_writer(folder, tokenizer, end_id, shard_tokens), MANIFEST))
+    manifest = checkpointed(rows.mapInArrow(_writer(folder, tokenizer, end_id, shard_tokens), MANIFEST))
     # two steps, so that no window holds more than the partitions or one partition's shards
     parts = manifest.groupBy("part").agg(F.sum("n_tokens").alias("t"))
     upto = (Window.unboundedPreceding, -1)
