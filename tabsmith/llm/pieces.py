@@ -32,7 +32,7 @@ BREAK = "\n"
 class Codec:
     """Vocabulary of a model file and the search over it; one per Python worker."""
 
-    KEPT = 300_000  # words in each of two generations of the memo
+    KEPT = 800_000  # words in each of two generations of the memo (about 0.2 KB a word)
     LONG = 64  # longer words are searched each time
     PAIRS = 400_000  # remembered answers of ``follows``
 
@@ -59,16 +59,18 @@ class Codec:
                 self.ids[piece] = i
                 self.bytes_of.append(piece.replace(SPACE, " ").encode())
         self.longest = max(map(len, self.ids), default=1)
+        self.tails = {p[i:] for p in self.ids for i in range(len(p))}
         self.lowest = min(self.scores, default=0.0) - UNKNOWN_PENALTY
         # A word can be searched alone if no piece goes on with a space after another character, or holds a line break.
         self.by_word = not any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.ids)
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.halves: dict[str, tuple[str, str] | None] = {}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def merges(self, text: str) -> list[str]:
-        """Pieces of a short text by merging neighbours, the best score first, then the leftmost."""
-        parts = list(text)
+    def merges(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
+        """Pieces of a short text by merging neighbours, the best score first, then the leftmost; and the last merge."""
+        parts, pair = list(text), None
         while len(parts) > 1:
             best, at = None, -1
             for i in range(len(parts) - 1):
@@ -77,62 +79,94 @@ class Codec:
                     best, at = self.scores[n], i
             if best is None:
                 break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+            pair = (parts[at], parts[at + 1])
+            parts[at:at + 2] = [pair[0] + pair[1]]
+        return parts, pair
+
+    def split(self, piece: str) -> tuple[str, str] | None:
+        """The two pieces whose merge made this one; None for a single character; ("", "") if merges never make it."""
+        if piece not in self.halves:
+            parts, pair = self.merges(piece)
+            self.halves[piece] = (pair if len(parts) == 1 else ("", "")) if len(piece) > 1 else None
+        return self.halves[piece]
 
     def follows(self, left: str, right: str) -> bool:
-        """May ``right`` stand after ``left`` (empty: at the start)?"""
-        key = (left, right)
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= self.PAIRS:
-                self.pairs.clear()
-            known = self.pairs[key] = self.merges(left + right) == ([left, right] if left else [right])
-        return known
+        """May ``right`` stand after ``left`` (empty: at the start), that is, do the merges of both leave their border?
+
+        Go back in time: undo the later of the two pieces' last merges, keeping the parts at the border. If the parts at
+        the border could merge before the merge that was undone (or as one with it, but further left), they would have.
+        """
+        if self.split(right) == ("", "") or left and self.split(left) == ("", ""):
+            return False
+        if not left:
+            return True
+        scores, ids, low = self.scores, self.ids, -float("inf")
+        bar, ties = low, False  # score of the merge undone last, and whether a tie goes to the border
+        while True:
+            n = ids.get(left + right)
+            if n is not None and (scores[n] > bar or ties and scores[n] == bar):
+                return False
+            a, b = self.split(left), self.split(right)
+            if a is None and b is None:
+                return True
+            # the later merge has the lower score; of equal ones the right piece's is the later
+            if b is None or a is not None and scores[ids[left]] < scores[ids[right]]:
+                bar, ties, left = scores[ids[left]], False, a[1]
+            else:
+                bar, ties, right = scores[ids[right]], True, b[0]
 
     def search(self, chunks: Iterable[str]) -> Iterator[str]:
         """Pieces of the concatenated chunks, each as soon as it is certain. A character without a piece is its own."""
-        text, base = "", 0  # the uncommitted text begins at boundary ``base``
-        before: list[int] = [0]  # per boundary from base on: where its last piece begins
+        text = ""  # what is not committed yet
+        before: list[int] = [0]  # per boundary of it: where the last piece of the best way there begins
         best: list[float] = [0.0]
         last = ""  # the last committed piece
         for chunk in chunks:
-            for c in chunk:
-                text += c
-                end = len(text)
-                self._reach(text, end, before, best, last)
-                if end >= 4 * self.longest:
-                    cut = self._meeting(before, end)
+            for at in range(0, len(chunk), self.longest):
+                text += chunk[at:at + self.longest]
+                self._extend(text, before, best, last)
+                if len(text) >= 4 * self.longest:
+                    cut = self._meeting(before, len(text))
                     if cut:
                         done = list(self._path(text, before, cut))
                         yield from done
-                        last = done[-1]
-                        text, base = text[cut:], base + cut
+                        last, text = done[-1], text[cut:]
                         before = [max(0, b - cut) for b in before[cut:]]
                         best = best[cut:]
         yield from self._path(text, before, len(text))
 
-    def _reach(self, text: str, end: int, before: list[int], best: list[float], last: str) -> None:
-        ids, top, at = self.ids, None, end - 1
-        for start in range(max(0, end - self.longest), end):  # longest first
-            piece = text[start:end]
-            n = ids.get(piece)
-            if n is None:
-                if end - start > 1:
-                    continue
-                score = self.lowest
-            else:
-                score = self.scores[n]
-            if self.rule == "unigram":
-                if best[start] + score > (top if top is not None else -float("inf")):
-                    top, at = best[start] + score, start
-            elif before[start] is not None:
-                left = text[before[start]:start] if start else last
-                if self.follows(left, piece):
-                    top, at = 0.0, start
+    def _extend(self, text: str, before: list[int], best: list[float], last: str) -> None:
+        """Best ways to the boundaries that ``before`` does not have yet."""
+        ids, tails, pairs, bpe = self.ids, self.tails, self.pairs, self.rule == "bpe"
+        for end in range(len(before), len(text) + 1):
+            at = end - 1
+            found = [at]  # starts of pieces that end here, shortest piece first; a character alone always counts
+            for start in range(end - 2, -1, -1):
+                piece = text[start:end]
+                if piece not in tails:
                     break
-        before.append(at)
-        best.append(top if top is not None else 0.0)
+                if piece in ids:
+                    found.append(start)
+            if bpe:
+                for start in reversed(found):
+                    key = (text[before[start]:start] if start else last, text[start:end])
+                    ok = pairs.get(key)
+                    if ok is None:
+                        if len(pairs) >= self.PAIRS:
+                            pairs.clear()
+                        ok = pairs[key] = self.follows(*key)
+                    if ok:
+                        at = start
+                        break
+            else:
+                top = -float("inf")
+                for start in reversed(found):
+                    piece = text[start:end]
+                    score = best[start] + (self.scores[ids[piece]] if piece in ids else self.lowest)
+                    if score > top:
+                        top, at = score, start
+                best.append(top)
+            before.append(at)
 
     def _meeting(self, before: list[int], end: int) -> int:
         """The boundary through which the paths of all boundaries in the window go (0: none but the start)."""
