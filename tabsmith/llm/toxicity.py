@@ -68,6 +68,8 @@ class Model:
 
     def score(self, text: str | None) -> float:
         words = words_of(text)
+        if not words:
+            return 0.0
         z = self.bias + sum(self.words[w] for w in words & self.words.keys())
         for n, table in self.starts:
             found = {w[:n] for w in words if len(w) > n} & table.keys()
@@ -194,7 +196,7 @@ def score_column(model: Model):
 def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` with ``score`` (0 to 1), from its whole text alone.
 
-    Null and empty texts get the score of a text without any known word. Repeated rows appear once each; an input
+    A text without a word (null and empty ones too) holds no evidence and scores 0. Repeated rows appear once each; an input
     column named ``score`` is replaced.
     """
     rows = docs.select(packed(docs).alias("_row"), score_column(model)(F.col(q(text_col)).cast("string")).alias("score"))
