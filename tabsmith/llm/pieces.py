@@ -32,7 +32,7 @@ BREAK = "\n"
 class Codec:
     """Vocabulary of a model file and the search over it; one per Python worker."""
 
-    KEPT = 800_000  # words in each of two generations of the memo (about 0.2 KB a word)
+    KEPT = 300_000  # words in each of two generations of the memo (about 0.2 KB a word)
     LONG = 64  # longer words are searched each time
     PAIRS = 400_000  # remembered answers of ``follows``
 
@@ -242,10 +242,13 @@ def codec(path: str, rule: str) -> Codec:
 
 
 def encode_column(path: str, rule: str = "bpe"):
-    @F.pandas_udf("array<int>")
-    def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Ids of a text, and whether they decode to it again; one pass, so one Python worker per task."""
+    @F.pandas_udf("ids array<int>, round_trip boolean")
+    def encode(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in texts:
-            yield pd.Series([codec(path, rule).encode(t) for t in s], dtype=object)
+            ids = [codec(path, rule).encode(t) for t in s]
+            same = [codec(path, rule).decode(x) == t for x, t in zip(ids, s)]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "round_trip": pd.Series(same, dtype=bool)})
 
     return encode
 
@@ -286,10 +289,8 @@ def encode_documents(docs: DataFrame, path: str | None = None, text_col: str = "
     rows appear once each; an input column named like an output is replaced.
     """
     path = path or model_path()
-    text = text_or_empty(text_col)
-    rows = docs.select(packed(docs).alias("_row"), text.alias("_text"), encode_column(path, rule)(text).alias("ids"))
-    rows = rows.select("_row", "ids", F.size("ids").cast("long").alias("n_tokens"),
-                       (decode_column(path, rule)("ids") == F.col("_text")).alias("round_trip"))
+    rows = docs.select(packed(docs).alias("_row"), encode_column(path, rule)(text_or_empty(text_col)).alias("_e"))
+    rows = rows.select("_row", "_e.ids", F.size("_e.ids").cast("long").alias("n_tokens"), "_e.round_trip")
     return unpacked(rows, docs.columns, ["ids", "n_tokens", "round_trip"])
 
 

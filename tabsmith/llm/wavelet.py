@@ -192,7 +192,7 @@ class Encoder:
     words are looked up or encoded, and the ids of all words are gathered. All other texts go to the tokenizer whole.
     """
 
-    KEPT = 600_000  # words in each of two generations (about 0.2 KB a word)
+    KEPT = 400_000  # words in each of two generations (about 0.2 KB a word)
     LONG = 64  # longer words are not kept
     # two white-space characters in a row, white space at an end, any white space but space and line break, or a zero
     ODD = ("[ \\n][ \\n]|^[ \\n]|[ \\n]$|[\\x00\\t\\x0b-\\x0d\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"

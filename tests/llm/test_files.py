@@ -225,6 +225,12 @@ def test_unigram_rule_is_the_best_path(codec):
         assert abs(sum(uni.scores[uni.ids[p]] if p in uni.ids else uni.lowest for p in got) - best(text)) < 1e-6
 
 
+def test_decode_column(docs_of, cases):
+    rows = pieces.encode_documents(docs_of(cases))
+    rows = rows.withColumn("again", pieces.decode_column(PIECES)("ids")).collect()
+    assert all(r.again == (r.text or "") for r in rows)
+
+
 def test_encode_documents(docs_of, cases):
     rows = pieces.encode_documents(docs_of(cases, extra=["ids", "_text"])).collect()
     assert len(rows) == len(cases) and all(r.round_trip for r in rows)
