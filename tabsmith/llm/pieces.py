@@ -34,7 +34,7 @@ class Codec:
 
     KEPT = 300_000  # words in each of two generations of the memo (about 0.2 KB a word)
     LONG = 64  # longer words are searched each time
-    PAIRS = 400_000  # remembered answers of ``follows``
+    PAIRS = 200_000  # remembered answers of ``follows``
 
     def __init__(self, path: str, rule: str = "bpe") -> None:
         import sentencepiece
