@@ -48,7 +48,7 @@ def box_stats(df: DataFrame, cols: list[str], label: str, top_n: int = BOX_TOP_N
                                            for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
     iqr = F.col("q3") - F.col("q1")
     qw = qw.select("*", (F.col("q1") - 1.5 * iqr).alias("_lo"), (F.col("q3") + 1.5 * iqr).alias("_hi"))
-    j = long.join(F.broadcast(qw), [label, "feature"])  # classes x features rows
+    j = long.join(qw, [label, "feature"])
     inside = (F.col("value") >= F.col("_lo")) & (F.col("value") <= F.col("_hi"))
     return j.groupBy(label, "feature", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("value"))).alias("whisker_lo"),

@@ -6,6 +6,7 @@ from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tabsmith.session import hold
 from pyspark.sql import types as T
 
 from tabsmith.functions.parse import null_tokens, safe_double, strip_blanks
@@ -44,7 +45,7 @@ def label_report(df: DataFrame, col: str, canonical: list[str],
     t = per_raw.select("raw", "n", s.alias("stripped"),
                        F.try_element_at(_map_expr(pairs), s).alias("mapped"))
     t = t.withColumn("clean", F.coalesce("mapped", "stripped"))
-    t = t.withColumn("valid", F.coalesce(F.col("clean").isin(*canonical), F.lit(False))).cache()
+    t = hold(t.withColumn("valid", F.coalesce(F.col("clean").isin(*canonical), F.lit(False))))
     variants = (t.where(F.col("mapped").isNotNull()).groupBy(F.col("stripped").alias("label"))
                 .agg(F.first("mapped").alias("target"), F.sum("n").alias("n"))
                 .select(F.lit("variant").alias("section"), "label", "target", "n"))

@@ -7,6 +7,8 @@ here is itself a DataFrame expression over them.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,29 +44,45 @@ def overfitting(scores: DataFrame, train: str = "train_accuracy", test: str = "t
                          overfit_level(gap).alias("level"))
 
 
-def _gamma_half(a2: Column) -> Column:
-    """Γ(a) for a = a2 / 2 with a2 a positive integer, by recurrence from Γ(1) = 1 or Γ(1/2) = √π."""
-    base = F.when(a2 % 2 == 0, F.lit(1.0)).otherwise(F.sqrt(F.lit(3.141592653589793)))
-    start = F.when(a2 % 2 == 0, F.lit(2)).otherwise(F.lit(1))
-    # Γ(a) = Π_{j: start, start+2, ..., a2-2} (j / 2) · base
-    steps = F.sequence(start, F.greatest(a2 - 2, start), F.lit(2))
-    prod = F.aggregate(F.when(a2 - 2 >= start, steps).otherwise(F.array().cast("array<int>")), F.lit(1.0),
-                       lambda acc, j: acc * (j / F.lit(2.0)))
-    return prod * base
+def _ln_gamma_half(a2: Column) -> Column:
+    """ln Γ(a2 / 2) for a positive integer a2: ln Γ(1) = 0 or ln Γ(1/2) = ln √π, then the recurrence in logarithms."""
+    even = a2 % 2 == 0
+    start = F.when(even, F.lit(2)).otherwise(F.lit(1)).cast("int")
+    steps = F.when(a2 - 2 >= start, F.sequence(start, (a2 - 2).cast("int"), F.lit(2))).otherwise(F.array().cast("array<int>"))
+    first = F.when(even, F.lit(0.0)).otherwise(F.lit(0.5 * math.log(math.pi)))
+    return F.aggregate(steps, first, lambda acc, j: acc + F.ln(j / F.lit(2.0)))
 
 
-def chi2_sf(x: Column, df: Column, terms: int = 300) -> Column:
-    """Upper tail of the χ² distribution: 1 - P(df/2, x/2), P by its power series.
+def chi2_sf(x: Column, df: Column) -> Column:
+    """Upper tail of the χ² distribution with ``df`` degrees of freedom.
 
-    Spark has no gamma function; Γ(df/2 + 1) comes from ``_gamma_half``.
+    Beyond x = df + 2 by the continued fraction of the upper incomplete gamma function (no cancellation, so tiny tails
+    stay exact), below by one minus its power series. The number of terms grows with √df, which both need near x = df.
     """
-    a = df.cast("double") / 2
-    h = x / 2
-    series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s")),
-                         lambda acc, n: F.struct((acc["t"] * h / (a + n)).alias("t"),
-                                                 (acc["s"] + acc["t"] * h / (a + n)).alias("s")))["s"]
-    lower = F.exp(a * F.ln(h) - h) / _gamma_half(df + 2) * series
-    return F.when(x <= 0, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.lit(1.0) - lower))
+    a, h = df.cast("double") / 2, x / 2
+    n = (F.lit(200) + F.ceil(F.sqrt(df.cast("double")) * 20)).cast("int")
+    front = F.exp(a * F.ln(h) - h - _ln_gamma_half(df))
+    tiny = F.lit(1e-300)
+    safe = lambda v: F.when(F.abs(v) < tiny, tiny).otherwise(v)
+
+    def fraction(acc, i):
+        num = -i * (i - a)
+        b = acc["b"] + 2.0
+        d = F.lit(1.0) / safe(b + num * acc["d"])
+        c = safe(b + num / acc["c"])
+        return F.struct(b.alias("b"), c.alias("c"), d.alias("d"), (acc["f"] * c * d).alias("f"))
+
+    b0 = h + 1.0 - a
+    d0 = F.lit(1.0) / safe(b0)
+    upper = F.aggregate(F.sequence(F.lit(1), n), F.struct(b0.alias("b"), F.lit(1e300).alias("c"), d0.alias("d"), d0.alias("f")),
+                        fraction)["f"]
+
+    def series(acc, i):
+        t = acc["t"] * h / (a + i)
+        return F.struct(t.alias("t"), (acc["s"] + t).alias("s"))
+
+    lower = F.aggregate(F.sequence(F.lit(1), n), F.struct((F.lit(1.0) / a).alias("t"), (F.lit(1.0) / a).alias("s")), series)["s"]
+    return F.when(x <= 0, F.lit(1.0)).when(x > df + 2, front * upper).otherwise(F.greatest(F.lit(0.0), F.lit(1.0) - front * lower))
 
 
 def friedman(per_class_scores: DataFrame, model: str = "model", block: str = "class",
@@ -78,7 +96,7 @@ def friedman(per_class_scores: DataFrame, model: str = "model", block: str = "cl
                                 F.count(F.lit(1)).over(Window.partitionBy(block, score)).alias("_t"))
     r = r.withColumn("rank", F.col("_r") + (F.col("_t") - 1) / 2.0)
     ties = r.groupBy(block, score).agg(F.count(F.lit(1)).alias("t")).agg(
-        F.sum(F.col("t") * (F.col("t") * F.col("t") - 1)).alias("ties"))
+        F.sum(F.col("t").cast("double") * (F.col("t").cast("double") * F.col("t") - 1)).alias("ties"))
     rs = r.groupBy(model).agg(F.sum("rank").alias("R"))
     k_n = per_class_scores.agg(F.count_distinct(model).alias("k"), F.count_distinct(block).alias("n"))
     s = rs.agg(F.sum(F.col("R") * F.col("R")).alias("ssbn")).crossJoin(ties).crossJoin(k_n)
@@ -131,9 +149,10 @@ def robustness_table(acc: DataFrame, model: str = "model", condition: str = "noi
 
 
 def timing_summary(timings: DataFrame) -> DataFrame:
-    """Median seconds per (model, batch) and rows/s throughput."""
-    med = timings.groupBy("model", "batch").agg(F.percentile("seconds", 0.5).alias("median_seconds"))
-    return med.withColumn("rows_per_sec", F.col("batch") / F.col("median_seconds"))
+    """Per (model, requested batch) the rows really scored, median seconds, rows/s and whether rows were too few."""
+    med = timings.groupBy("model", "batch").agg(F.max("n_rows").alias("n_rows"), F.percentile("seconds", 0.5).alias("median_seconds"))
+    return med.withColumn("rows_per_sec", F.col("n_rows") / F.col("median_seconds")).withColumn(
+        "short", F.col("n_rows") < F.col("batch"))
 
 
 def best_model(scores: DataFrame, model: str = "model", score: str = "accuracy") -> DataFrame:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith.functions.presets import KNN_IMPUTE_K
 from tabsmith.operators.knn import knn_search
 from tabsmith.operators.quantile import quantiles, to_long
-from tabsmith.operators.stats import attach, drop_stats, stat, wide_stats
+from tabsmith.operators.stats import attach, free_name, wide_stats
+from tabsmith.session import hold
 
 STRATEGIES = ("median", "knn")
 
@@ -25,9 +25,8 @@ def impute_median(df: DataFrame, cols: list[str], by: list[str] | None = None, m
     """NULL → column median (per ``by`` group); an all-NULL column stays NULL."""
     by = list(by or [])
     st = stats if stats is not None else median_stats(df, cols, by, method)
-    j = attach(df, wide_stats(st, by, cols, ["median"]), by)
-    sel = [(F.coalesce(F.col(c), stat("median", c)).alias(c) if c in cols else F.col(c)) for c in df.columns]
-    return drop_stats(j.select(*sel))
+    j, stat = attach(df, wide_stats(st, by, cols, ["median"]), by)
+    return j.select(*[(F.coalesce(F.col(c), stat("median", c)).alias(c) if c in cols else F.col(c)) for c in df.columns])
 
 
 def impute(df: DataFrame, cols: list[str], strategy: str = "median", **kw) -> DataFrame:
@@ -50,19 +49,20 @@ def impute_knn(df: DataFrame, cols: list[str], key: str, by: list[str] | None =
     """
     by = list(by or [])
     # read by the counts, the search (queries and donors), the means and the final join
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = hold(df)
     any_null = None
     for c in cols:
         cond = F.col(c).isNull()
         any_null = cond if any_null is None else (any_null | cond)
     queries = df.where(any_null)
     nb = knn_search(queries, df, key, cols, k, by=by, impute_cols=cols, **search_kw)
-    fills = nb.groupBy(*by, "qid").agg(
-        *[F.avg(F.when(F.col("col") == i, F.col("val"))).alias(f"fill__{c}") for i, c in enumerate(cols)])
+    name = free_name(df.columns, "_fills")
+    fills = nb.groupBy(*by, "qid").agg(F.struct(
+        *[F.avg(F.when(F.col("col") == i, F.col("val"))).alias(c) for i, c in enumerate(cols)]).alias(name))
     means = df.groupBy(*by).agg(*[F.avg(c).alias(f"mean__{c}") for c in cols]) if by else \
         df.agg(*[F.avg(c).alias(f"mean__{c}") for c in cols])
     j = df.join(fills.withColumnRenamed("qid", key), by + [key], "left")
-    j = attach(j, means, by)
-    sel = [(F.coalesce(F.col(c), stat("fill", c), stat("mean", c)).alias(c) if c in cols else F.col(c))
+    j, stat = attach(j, means, by)
+    sel = [(F.coalesce(F.col(c), F.col(name).getField(c), stat("mean", c)).alias(c) if c in cols else F.col(c))
            for c in df.columns]
     return j.select(*sel)

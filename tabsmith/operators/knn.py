@@ -8,8 +8,8 @@ Plan (no driver collection, bounded memory per task, whatever the sizes):
   Q and D are chosen from the row counts so a group holds at most
   ``query_rows`` queries and ``donor_rows`` donors;
 * ``cogroup(...).applyInPandas`` computes the distance block with numpy, in
-  slices, and keeps per query only donors at or below its k-th distance (ties
-  kept, so the final order is deterministic);
+  slices, and keeps per query its k nearest donors of the group, ties to the
+  smaller id as in the final order;
 * a window ``row_number() OVER (PARTITION BY query ORDER BY dist, donor)``
   keeps k: ``WindowGroupLimit`` prunes before the shuffle.
 
@@ -52,19 +52,23 @@ def _block_dist(q: np.ndarray, d: np.ndarray, metric: str, nan_aware: bool) -> n
     return np.sqrt(acc) if metric == "euclidean" else acc
 
 
-def _topk_rows(dist: np.ndarray, k: int):
-    """(query index, donor index) of donors at or below each query's k-th finite distance.
+def _topk_rows(dist: np.ndarray, k: int, donor: np.ndarray):
+    """(query index, donor index) of each query's k nearest donors at a finite distance, ties to the smaller id.
 
-    Vectorised: one ``np.partition`` along the donor axis (NaN sorts last); rows
-    with fewer than k finite distances keep all of them."""
+    Vectorised: one ``np.partition`` along the donor axis (NaN sorts last) bounds the candidates; of those that tie at
+    the bound only as many as are missing stay, so no query returns more than k rows however many donors are equal."""
     if dist.shape[1] == 0 or dist.shape[0] == 0:
         return np.zeros(0, dtype=int), np.zeros(0, dtype=int)
     kk = min(k, dist.shape[1])
     kth = np.partition(dist, kk - 1, axis=1)[:, kk - 1]
     kth = np.where(np.isnan(kth), np.inf, kth)
-    mask = dist <= kth[:, None]  # NaN compares False
-    qi, di = np.nonzero(mask)
-    return qi, di
+    qi, di = np.nonzero(dist < kth[:, None])  # fewer than k each; NaN compares False
+    rank = np.argsort(donor, kind="stable")
+    tied = dist[:, rank] == kth[:, None]  # donors in id order
+    missing = kk - np.bincount(qi, minlength=dist.shape[0])
+    first = tied & (np.cumsum(tied, axis=1) <= missing[:, None])
+    ti, tj = np.nonzero(first)
+    return np.concatenate((qi, ti)), np.concatenate((di, rank[tj]))
 
 
 def _make_kernel(cols: list[str], k: int, metric: str, by: list[str], impute_cols: list[str] | None):
@@ -84,7 +88,7 @@ def _make_kernel(cols: list[str], k: int, metric: str, by: list[str], impute_col
             qs = q[s:s + step]
             dist = _block_dist(qs, d, metric, impute_cols is not None)
             if impute_cols is None:
-                qi, di = _topk_rows(dist, k)
+                qi, di = _topk_rows(dist, k, did)
                 parts.append(pd.DataFrame({"_qid": qid[s:s + step][qi], "_did": did[di], "dist": dist[qi, di]}))
                 continue
             # imputation: per missing column, candidates are donors that have it
@@ -95,7 +99,7 @@ def _make_kernel(cols: list[str], k: int, metric: str, by: list[str], impute_col
                 if not need.any() or not have.any():
                     continue
                 sub = dist[np.ix_(need, have)]
-                qi, di = _topk_rows(sub, k)
+                qi, di = _topk_rows(sub, k, did[have])
                 qrows = np.flatnonzero(need)[qi]
                 drows = np.flatnonzero(have)[di]
                 parts.append(pd.DataFrame({"_qid": qid[s:s + step][qrows], "col": np.full(qrows.size, ci),
@@ -167,19 +171,21 @@ def knn_search(queries: DataFrame, donors: DataFrame, key: str, cols: list[str],
 
 def knn_classify(train: DataFrame, test: DataFrame, key: str, cols: list[str], label: str, k: int = 5,
                  metric: str = "euclidean", weights: str = "distance", ks: list[int] | None = None,
-                 by: list[str] | None = None, n_classes: int | None = None) -> DataFrame:
+                 by: list[str] | None = None, n_classes: int | None = None,
+                 neighbours: DataFrame | None = None) -> DataFrame:
     """Vote of the k nearest training rows → (by..., k, row_id, predicted, proba).
 
     weights='distance': weight 1/d; when any neighbour is at distance 0, those
     neighbours alone vote (weight 1). weights='uniform': weight 1. Vote ties go
     to the lowest class index. ``ks`` scores several k from one top-max(k) search.
     ``by`` runs independent problems (folds, noise settings) in the same job:
-    a query only meets donors of its own group.
+    a query only meets donors of its own group. ``neighbours`` (a ``knn_search``
+    of at least max(k)) lets several votes share one search.
     """
     by = list(by or [])
     ks = ks or [k]
     kmax = max(ks)
-    nb = knn_search(test, train, key, cols, kmax, by=by, metric=metric)
+    nb = neighbours if neighbours is not None else knn_search(test, train, key, cols, kmax, by=by, metric=metric)
     lab = train.select(*by, F.col(key).alias("did"), F.col(label).cast("int").alias("nlabel"))
     kk = test.sparkSession.createDataFrame([(x,) for x in ks], "k int")
     j = nb.join(lab, by + ["did"]).crossJoin(F.broadcast(kk)).where(F.col("rn") <= F.col("k"))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tabsmith.session import hold
 
 EPS = 2.220446049250313e-16
 
@@ -23,7 +24,7 @@ def confusion_counts(pred: DataFrame, grp: list[str]) -> DataFrame:
 def confusion_matrix(pred: DataFrame, grp: list[str], counts: DataFrame | None = None) -> DataFrame:
     """(grp..., actual, predicted, n) including zero cells over the label union."""
     # ≤ groups x k² rows: computed once, reused by the label grid and the join
-    c = (counts if counts is not None else confusion_counts(pred, grp)).cache()
+    c = hold(counts if counts is not None else confusion_counts(pred, grp))
     labels = (c.select(*grp, F.col("actual").alias("l")).unionByName(c.select(*grp, F.col("predicted").alias("l")))
               .distinct())
     grid = labels.withColumnRenamed("l", "actual").join(labels.withColumnRenamed("l", "predicted"), grp)
@@ -59,15 +60,15 @@ def per_class(pred: DataFrame, grp: list[str], cm: DataFrame | None = None) -> D
 
 def metrics_wide(pred: DataFrame, grp: list[str]) -> DataFrame:
     """One row per group with every scalar metric."""
-    cm = confusion_matrix(pred, grp).cache()
+    cm = hold(confusion_matrix(pred, grp))
     pc = per_class(pred, grp, cm)
     # marginals for kappa / MCC: t_k (actual counts) and p_k (predicted counts)
-    t = cm.groupBy(*grp, F.col("actual").alias("c")).agg(F.sum("n").alias("t"))
-    p = cm.groupBy(*grp, F.col("predicted").alias("c")).agg(F.sum("n").alias("p"))
+    t = cm.groupBy(*grp, F.col("actual").alias("c")).agg(F.sum("n").cast("double").alias("t"))
+    p = cm.groupBy(*grp, F.col("predicted").alias("c")).agg(F.sum("n").cast("double").alias("p"))
     tp = t.join(p, grp + ["c"])
-    marg = tp.groupBy(*grp).agg(F.sum(F.col("t") * F.col("p")).cast("double").alias("sum_tp"),
-                                F.sum(F.col("t") * F.col("t")).cast("double").alias("sum_tt"),
-                                F.sum(F.col("p") * F.col("p")).cast("double").alias("sum_pp"))
+    marg = tp.groupBy(*grp).agg(F.sum(F.col("t") * F.col("p")).alias("sum_tp"),
+                                F.sum(F.col("t") * F.col("t")).alias("sum_tt"),
+                                F.sum(F.col("p") * F.col("p")).alias("sum_pp"))
     tot = cm.groupBy(*grp).agg(F.sum("n").cast("double").alias("s"),
                                F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n"))).cast("double").alias("c"))
     agg = pc.groupBy(*grp).agg(

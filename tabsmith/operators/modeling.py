@@ -8,14 +8,13 @@ group and ``knn_classify(by=[group])`` only pairs rows of the same group.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tabsmith.session import hold
 
-DISK = StorageLevel.MEMORY_AND_DISK
 
 from tabsmith.functions.presets import CV_FOLDS
-from tabsmith.operators.knn import knn_classify
+from tabsmith.operators.knn import knn_classify, knn_search
 from tabsmith.operators.split import class_rank, stratified_folds
 
 
@@ -27,7 +26,7 @@ def accuracy_by(pred: DataFrame, truth: DataFrame, key: str, label: str, grp: li
 def knn_cv_scores(train: DataFrame, key: str, cols: list[str], label: str, k: int = 5,
                   folds: int = CV_FOLDS) -> DataFrame:
     """T2 (KNN): per-fold accuracy → (fold, accuracy)."""
-    f = stratified_folds(train, label, key, k=folds).persist(DISK)
+    f = hold(stratified_folds(train, label, key, k=folds))
     cv = train.sparkSession.range(folds).select(F.col("id").cast("int").alias("cv"))
     q = f.withColumn("cv", F.col("fold"))
     d = f.crossJoin(F.broadcast(cv)).where(F.col("fold") != F.col("cv"))  # folds-1 copies of each row
@@ -49,14 +48,15 @@ def knn_learning_curve(train: DataFrame, key: str, cols: list[str], label: str,
     of the fold's training part; score those rows and the held-out fold.
     → (train_size, train_mean, train_std, val_mean, val_std)."""
     spark = train.sparkSession
-    f = stratified_folds(train, label, key, k=folds).persist(DISK)
+    f = hold(stratified_folds(train, label, key, k=folds))
     cv = spark.range(folds).select(F.col("id").cast("int").alias("cvf"))
     tpos = class_rank(f.crossJoin(F.broadcast(cv)).where(F.col("fold") != F.col("cvf")), "cvf", key, "lc", out="pos")
     ntr = tpos.groupBy("cvf").agg(F.count(F.lit(1)).alias("ntr"))
     sz = spark.createDataFrame([(i, float(x)) for i, x in enumerate(sizes)], "si int, frac double")
     pref = (tpos.join(F.broadcast(ntr), "cvf").crossJoin(F.broadcast(sz))
             .withColumn("n_train", F.floor(F.col("frac") * F.col("ntr")).cast("long"))
-            .where(F.col("pos") < F.col("n_train"))).persist(DISK)
+            .where(F.col("pos") < F.col("n_train")))
+    pref = hold(pref)
     val_q = f.withColumn("cvf", F.col("fold")).crossJoin(F.broadcast(sz))
     grp = ["si", "cvf"]
     pv = knn_classify(pref, val_q, key, cols, label, k=k, by=grp)
@@ -80,20 +80,23 @@ def balanced_accuracy_by(pred: DataFrame, truth: DataFrame, key: str, label: str
 
 
 def knn_grid_scores(train: DataFrame, key: str, cols: list[str], label: str, ks: list[int], weights: list[str],
-                    folds: int = CV_FOLDS) -> DataFrame:
-    """T4 (KNN): 5-fold balanced accuracy for every (k, weights) → (k, weights, fold, score).
+                    folds: int = CV_FOLDS, metrics: tuple[str, ...] = ("euclidean", "manhattan")) -> DataFrame:
+    """T4 (KNN): 5-fold balanced accuracy for every (k, weights, metric) → (k, weights, metric, fold, score).
 
-    One top-max(k) search per weighting covers every k (no refits)."""
-    f = stratified_folds(train, label, key, k=folds).persist(DISK)
+    One top-max(k) search per metric covers every k and weighting (no refits)."""
+    f = hold(stratified_folds(train, label, key, k=folds))
     cv = train.sparkSession.range(folds).select(F.col("id").cast("int").alias("cv"))
     q = f.withColumn("cv", F.col("fold"))
     d = f.crossJoin(F.broadcast(cv)).where(F.col("fold") != F.col("cv"))
     out = None
-    for w in weights:
-        p = knn_classify(d, q, key, cols, label, ks=ks, by=["cv"], weights=w)
-        s = balanced_accuracy_by(p, f, key, label, ["cv", "k"]).select(
-            F.col("k").cast("int").alias("k"), F.lit(w).alias("weights"), F.col("cv").cast("int").alias("fold"), "score")
-        out = s if out is None else out.unionByName(s)
+    for metric in metrics:
+        near = hold(knn_search(q, d, key, cols, max(ks), by=["cv"], metric=metric))
+        for w in weights:
+            p = knn_classify(d, q, key, cols, label, ks=ks, by=["cv"], weights=w, neighbours=near)
+            s = balanced_accuracy_by(p, f, key, label, ["cv", "k"]).select(
+                F.col("k").cast("int").alias("k"), F.lit(w).alias("weights"), F.lit(metric).alias("metric"),
+                F.col("cv").cast("int").alias("fold"), "score")
+            out = s if out is None else out.unionByName(s)
     return out
 
 
@@ -101,7 +104,8 @@ def tuning_best(scores: DataFrame, params: list[str], score: str = "score") -> D
     """Mean / population std per parameter set; the best by mean (ties: parameter order)."""
     from pyspark.sql import Window
     m = scores.groupBy(*params).agg(F.avg(score).alias("mean_score"), F.stddev_pop(score).alias("std_score"))
-    w = Window.orderBy(F.desc("mean_score"), *[F.asc(p) for p in params])
+    # equal means can differ in their last bits with the order of the folds
+    w = Window.orderBy(F.desc(F.round("mean_score", 12)), *[F.asc(p) for p in params])
     return m.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
 
 
@@ -127,5 +131,5 @@ def knn_random_scores(train: DataFrame, key: str, cols: list[str], label: str, k
     chosen = space.orderBy(u, "k", "weights").limit(n_iter).collect()
     picked = spark.createDataFrame([(r.k, r.weights) for r in chosen], "k int, weights string")
     scores = knn_grid_scores(train, key, cols, label, sorted({r.k for r in chosen}),
-                             sorted({r.weights for r in chosen}), folds)
+                             sorted({r.weights for r in chosen}), folds, ("euclidean",))
     return scores.join(F.broadcast(picked), ["k", "weights"], "left_semi")

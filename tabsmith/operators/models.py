@@ -16,7 +16,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.ml import Transformer
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
@@ -24,6 +23,7 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tabsmith.session import hold
 from pyspark.sql import types as T
 
 from tabsmith.functions.presets import SEED
@@ -38,7 +38,7 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
 
 def with_balanced_weight(df: DataFrame, label: str) -> DataFrame:
     w = class_weights(df, label).select(label, F.col("weight").alias("w"))
-    return df.join(F.broadcast(w), label, "left")  # one row per class
+    return df.join(w, label, "left")
 
 
 class FourierFeatures(Transformer):
@@ -152,7 +152,7 @@ def fit_score(name: str, train: DataFrame, test: DataFrame, cols: list[str], lab
             fit_df = fit_df.unionByName(vv.withColumn("is_val", F.lit(True)), allowMissingColumns=True)
     if spec.pre is not None:
         # the Python feature map runs once; iterations read the cached vectors
-        fit_df = spec.pre.transform(fit_df).persist(StorageLevel.MEMORY_AND_DISK)
+        fit_df = hold(spec.pre.transform(fit_df))
     t0 = time.time()
     model = spec.estimator.fit(fit_df)
     secs = time.time() - t0

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tabsmith.functions.keyed import keyed_normal, keyed_uniform
 from tabsmith.functions.presets import NOISE_CONFIGS, OUTLIER_MAGNITUDE, SEED
 from tabsmith.operators.split import class_rank
-from tabsmith.operators.stats import moments, stat
+from tabsmith.operators.stats import attach, moments
 
 NOISE_TYPES = ("gaussian", "salt_pepper", "label", "outlier")
 
@@ -34,18 +34,19 @@ def _tag(noise_id, c: str, what: str):
     return F.concat(F.lit(f"{what}|"), F.lit(str(noise_id)), F.lit(f"|{c}"))
 
 
-def add_gaussian(df: DataFrame, cols: list[str], key: str, ratio: float, noise_id=0, seed: int = SEED) -> DataFrame:
+def add_gaussian(df: DataFrame, cols: list[str], key: str, ratio: float, noise_id=0, seed: int = SEED,
+                 stats: DataFrame | None = None) -> DataFrame:
     """X + N(0, ratio · std_pop(x)) per cell."""
-    j = df.crossJoin(F.broadcast(moments(df, cols)))  # one row
+    j, stat = attach(df, moments(df, cols) if stats is None else stats, [])
     sel = [(F.col(c) + F.lit(ratio) * stat("std", c) * keyed_normal(key, _tag(noise_id, c, "g"), seed)).alias(c)
            if c in cols else F.col(c) for c in df.columns]
     return j.select(*sel)
 
 
 def add_salt_pepper(df: DataFrame, cols: list[str], key: str, ratio: float, noise_id=0,
-                    seed: int = SEED) -> DataFrame:
+                    seed: int = SEED, stats: DataFrame | None = None) -> DataFrame:
     """Each cell with probability ``ratio`` becomes its column's min or max (50/50)."""
-    j = df.crossJoin(F.broadcast(moments(df, cols)))
+    j, stat = attach(df, moments(df, cols) if stats is None else stats, [])
     sel = []
     for c in df.columns:
         if c not in cols:
@@ -58,9 +59,9 @@ def add_salt_pepper(df: DataFrame, cols: list[str], key: str, ratio: float, nois
 
 
 def add_outliers(df: DataFrame, cols: list[str], key: str, ratio: float, magnitude: float = OUTLIER_MAGNITUDE,
-                 noise_id=0, seed: int = SEED) -> DataFrame:
+                 noise_id=0, seed: int = SEED, stats: DataFrame | None = None) -> DataFrame:
     """Each cell with probability ``ratio`` becomes mean ± magnitude · std_pop."""
-    j = df.crossJoin(F.broadcast(moments(df, cols)))
+    j, stat = attach(df, moments(df, cols) if stats is None else stats, [])
     sel = []
     for c in df.columns:
         if c not in cols:
@@ -85,15 +86,17 @@ def add_label_noise(df: DataFrame, label: str, key: str, ratio: float, n_classes
 
 
 def apply_noise(df: DataFrame, cols: list[str], label: str, key: str, noise_type: str, param: float,
-                n_classes: int, noise_id=0, seed: int = SEED) -> DataFrame:
-    """Dispatch on the type; ``param`` is a percentage. Unknown types are an error."""
+                n_classes: int, noise_id=0, seed: int = SEED, stats: DataFrame | None = None) -> DataFrame:
+    """Dispatch on the type; ``param`` is a percentage. Unknown types are an error.
+
+    ``stats`` (``moments`` of the columns) can be given when many settings share one table."""
     r = param / 100.0
     if noise_type == "gaussian":
-        return add_gaussian(df, cols, key, r, noise_id, seed)
+        return add_gaussian(df, cols, key, r, noise_id, seed, stats)
     if noise_type == "salt_pepper":
-        return add_salt_pepper(df, cols, key, r, noise_id, seed)
+        return add_salt_pepper(df, cols, key, r, noise_id, seed, stats)
     if noise_type == "label":
         return add_label_noise(df, label, key, r, n_classes, noise_id, seed)
     if noise_type == "outlier":
-        return add_outliers(df, cols, key, r, noise_id=noise_id, seed=seed)
+        return add_outliers(df, cols, key, r, noise_id=noise_id, seed=seed, stats=stats)
     raise ValueError(f"unknown noise type {noise_type!r}; use one of {NOISE_TYPES}")

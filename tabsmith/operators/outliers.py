@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions.presets import IQR_FACTOR
 from tabsmith.operators.quantile import quantiles, to_long
-from tabsmith.operators.stats import attach, drop_stats, stat, wide_stats
+from tabsmith.operators.stats import attach, wide_stats
 
 
 def iqr_bounds(df: DataFrame, cols: list[str], by: list[str] | None = None, factor: float = IQR_FACTOR,
@@ -23,7 +23,7 @@ def iqr_bounds(df: DataFrame, cols: list[str], by: list[str] | None = None, fact
                     (F.col("q3") + factor * iqr).alias("hi"))
 
 
-def _clip(c: str) -> F.Column:
+def _clip(c: str, stat) -> F.Column:
     x = F.col(c)
     return F.when(x.isNull(), x).otherwise(F.least(F.greatest(x, stat("lo", c)), stat("hi", c)))
 
@@ -34,9 +34,8 @@ def winsorize(df: DataFrame, cols: list[str], by: list[str] | None = None, facto
     by = list(by or [])
     b = bounds if bounds is not None else iqr_bounds(df, cols, by, factor, method)
     wide = wide_stats(b, by, cols, ["lo", "hi"])
-    j = attach(df, wide, by)
-    return drop_stats(j.select(*[(_clip(c).alias(c) if c in cols else F.col(c)) for c in df.columns],
-                               *[F.col(x) for x in j.columns if "__" in x]))
+    j, stat = attach(df, wide, by)
+    return j.select(*[(_clip(c, stat).alias(c) if c in cols else F.col(c)) for c in df.columns])
 
 
 def outlier_counts(df: DataFrame, cols: list[str], by: list[str] | None = None, factor: float = IQR_FACTOR,
@@ -45,7 +44,7 @@ def outlier_counts(df: DataFrame, cols: list[str], by: list[str] | None = None,
     by = list(by or [])
     b = iqr_bounds(df, cols, by, factor, method)
     wide = wide_stats(b, by, cols, ["lo", "hi"])
-    j = attach(df, wide, by)
+    j, stat = attach(df, wide, by)
     aggs = [F.count_if((F.col(c) < stat("lo", c)) | (F.col(c) > stat("hi", c))).alias(c) for c in cols]
     agg = j.groupBy(*by).agg(*aggs) if by else j.agg(*aggs)
     long = agg.unpivot(by, cols, "column", "n_outliers")

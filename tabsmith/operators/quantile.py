@@ -24,6 +24,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tabsmith.session import hold
 
 WINDOW_ROWS = 2_000_000
 BUCKETS = 4096
@@ -74,7 +75,7 @@ def quantiles(long: DataFrame, probs: list[float], keys: list[str], value_col: s
 
     v = F.col(value_col)
     stats = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
-    stats = stats.cache()
+    stats = hold(stats)
     big = stats.where(F.col("n") > window_rows)
     n_big = big.count()
     if n_big == 0:
@@ -107,7 +108,7 @@ def _refine(long: DataFrame, big: DataFrame, ranks: DataFrame, keys: list[str],
                                         F.col("n").alias("cnt")))
     resolved = []
     for _ in range(MAX_ROUNDS):
-        tgt = tgt.cache()
+        tgt = hold(tgt)
         # Finished: a single distinct value in range, or few enough rows to rank.
         done_const = tgt.where(F.col("lo") == F.col("hi")).select(*keys, "rank", F.col("lo").alias("v"))
         resolved.append(done_const)
@@ -130,7 +131,7 @@ def _refine(long: DataFrame, big: DataFrame, ranks: DataFrame, keys: list[str],
                             (F.col("below") + F.col("cum") - F.col("c")).alias("below"), F.col("c").alias("cnt"))
         tgt = keep.unionByName(nxt)
     else:
-        tgt = tgt.cache()
+        tgt = hold(tgt)
         resolved.append(tgt.where(F.col("lo") == F.col("hi")).select(*keys, "rank", F.col("lo").alias("v")))
     final_t = tgt.where(F.col("lo") < F.col("hi"))
     rows = long.join(bounded_broadcast(final_t, max_targets), keys).where((v >= F.col("lo")) & (v <= F.col("hi")))

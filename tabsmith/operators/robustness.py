@@ -1,23 +1,21 @@
 """Robustness of KNN to training noise (A8, A9) as ONE Spark job.
 
-The training table is replicated once per noise setting (clean + 14, a
-15-row broadcast), each copy gets its noise from column expressions keyed by
-(row, setting, feature) — no per-cell loops, no per-setting jobs — and one
-grouped KNN search (``by=[noise_id]``) scores the clean test rows against
-every noisy copy. Label flips use the exact per-setting rank (``class_rank``).
+The training table is copied once per noise setting (clean + 14); each copy
+gets its noise from wide column expressions keyed by (row, setting, feature),
+and one grouped KNN search (``by=[noise_id]``) scores the clean test rows
+against every noisy copy. Label flips use the exact per-setting rank.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabsmith.functions.keyed import keyed_normal, keyed_uniform
-from tabsmith.functions.presets import OUTLIER_MAGNITUDE, SEED
+from tabsmith.functions.presets import SEED
 from tabsmith.operators.knn import knn_classify
-from tabsmith.operators.noise import noise_configs
-from tabsmith.operators.split import class_rank
+from tabsmith.operators.noise import apply_noise, noise_configs
+from tabsmith.operators.stats import moments
+from tabsmith.session import hold
 
 
 def settings(spark) -> DataFrame:
@@ -27,45 +25,22 @@ def settings(spark) -> DataFrame:
     return clean.unionByName(noise_configs(spark))
 
 
-def _tag(what: str, c: str = ""):
-    return F.concat(F.lit(f"{what}|"), F.col("noise_id").cast("string"), F.lit(f"|{c}" if c else ""))
-
-
 def noisy_copies(train: DataFrame, cols: list[str], label: str, key: str, n_classes: int,
                  seed: int = SEED) -> DataFrame:
     """(noise_id, key, label, cols...) — one noisy copy of ``train`` per setting.
 
-    Cells are processed in long form (row, feature, value) so the noise rule is
-    ONE expression (the feature name is part of the random key), then pivoted
-    back to one row per (setting, row).
+    A union of one wide projection per setting over the kept training table: no cell is shuffled. Only the label
+    settings rank their rows.
     """
-    spark = train.sparkSession
-    cfg = settings(spark).select("noise_id", F.col("type").alias("_type"), F.col("ratio").alias("_ratio"))
-    long = train.select(key, label, *cols).unpivot([key, label], cols, "feature", "x")
-    st = long.groupBy("feature").agg(F.avg("x").alias("_mean"), F.stddev_pop("x").alias("_std"),
-                                     F.min("x").alias("_min"), F.max("x").alias("_max"))
-    rep = long.join(F.broadcast(st), "feature").crossJoin(F.broadcast(cfg))  # features rows, 15 rows
-    t, r, x = F.col("_type"), F.col("_ratio"), F.col("x")
-
-    def tag(what):
-        return F.concat(F.lit(f"{what}|"), F.col("noise_id").cast("string"), F.lit("|"), F.col("feature"))
-
-    gauss = x + r * F.col("_std") * keyed_normal(key, tag("g"), seed)
-    sp = F.when(keyed_uniform(key, tag("sp"), seed) < r,
-                F.when(keyed_uniform(key, tag("spv"), seed) < 0.5, F.col("_min")).otherwise(F.col("_max"))).otherwise(x)
-    sign = F.when(keyed_uniform(key, tag("os"), seed) < 0.5, F.lit(1.0)).otherwise(F.lit(-1.0))
-    out = F.when(keyed_uniform(key, tag("o"), seed) < r,
-                 F.col("_mean") + sign * F.lit(OUTLIER_MAGNITUDE) * F.col("_std")).otherwise(x)
-    val = F.when(t == "gaussian", gauss).when(t == "salt_pepper", sp).when(t == "outlier", out).otherwise(x)
-    cells = rep.select("noise_id", "_type", "_ratio", key, label, "feature", val.alias("v"))
-    noisy = (cells.groupBy("noise_id", "_type", "_ratio", key, label).pivot("feature", cols)
-             .agg(F.first("v")))
-    n = train.count()
-    ranked = class_rank(noisy, "noise_id", key, _tag("flip"), seed, out="_frank")
-    shift = 1 + F.floor(keyed_uniform(key, _tag("to"), seed) * (n_classes - 1)).cast("int")
-    flip = (F.col("_type") == "label") & (F.col("_frank") < F.floor(F.lit(float(n)) * F.col("_ratio")))
-    new = ((F.col(label) + shift) % n_classes).cast(train.schema[label].dataType)
-    return ranked.withColumn(label, F.when(flip, new).otherwise(F.col(label))).drop("_frank", "_type", "_ratio")
+    base = hold(train.select(key, label, *cols))
+    stats = hold(moments(base, cols))
+    out = None
+    for r in settings(train.sparkSession).select("noise_id", "type", "param").collect():  # fixed presets
+        copy = base if r["type"] == "clean" else apply_noise(base, cols, label, key, r["type"], r["param"], n_classes,
+                                                            r["noise_id"], seed, stats)
+        copy = copy.select(F.lit(r["noise_id"]).alias("noise_id"), key, label, *cols)
+        out = copy if out is None else out.unionByName(copy)
+    return out
 
 
 def knn_robustness(train: DataFrame, test: DataFrame, cols: list[str], label: str, key: str, k: int = 5,
@@ -75,7 +50,7 @@ def knn_robustness(train: DataFrame, test: DataFrame, cols: list[str], label: st
     spark = train.sparkSession
     if n_classes is None:
         n_classes = int(train.select(label).unionByName(test.select(label)).agg(F.max(label)).first()[0]) + 1
-    noisy = noisy_copies(train, cols, label, key, n_classes, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    noisy = hold(noisy_copies(train, cols, label, key, n_classes, seed))
     cfg = settings(spark)
     q = test.crossJoin(F.broadcast(cfg.select("noise_id")))
     p = knn_classify(noisy, q, key, cols, label, k=k, by=["noise_id"], n_classes=n_classes)

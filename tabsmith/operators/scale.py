@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabsmith.operators.quantile import quantiles, to_long
-from tabsmith.operators.stats import attach, drop_stats, stat, wide_stats
+from tabsmith.operators.stats import attach, wide_stats
 
 EPS10 = 10 * 2.220446049250313e-16
 METHODS = ("standard", "minmax", "robust", "none")
@@ -33,13 +33,13 @@ def label_index(df: DataFrame, label: str) -> DataFrame:
 def encode_labels(df: DataFrame, label: str, out: str = "label_idx", mapping: DataFrame | None = None) -> DataFrame:
     """String label → 0..k-1 (fit once, e.g. on train; unseen labels → NULL)."""
     m = mapping if mapping is not None else label_index(df, label)
-    return df.join(F.broadcast(m.withColumnRenamed("idx", out)), label, "left")
+    return df.join(m.withColumnRenamed("idx", out), label, "left")
 
 
 def decode_labels(df: DataFrame, idx_col: str, mapping: DataFrame, label: str, out: str = "label") -> DataFrame:
     """Inverse of ``encode_labels``."""
     m = mapping.select(F.col("idx").alias(idx_col), F.col(label).alias(out))
-    return df.join(F.broadcast(m), idx_col, "left")
+    return df.join(m, idx_col, "left")
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -50,7 +50,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    return df.join(F.broadcast(class_weights(df, label).select(label, F.col("weight").alias(out))), label, "left")
+    return df.join(class_weights(df, label).select(label, F.col("weight").alias(out)), label, "left")
 
 
 @dataclass
@@ -89,7 +89,7 @@ class Scaler:
     def _apply(self, df: DataFrame, inverse: bool) -> DataFrame:
         if self.stats is None:
             return df
-        j = attach(df, wide_stats(self.stats, self.by, self.cols, ["center", "scale"]), self.by)
+        j, stat = attach(df, wide_stats(self.stats, self.by, self.cols, ["center", "scale"]), self.by)
         sel = []
         for c in df.columns:
             if c not in self.cols:
@@ -98,7 +98,7 @@ class Scaler:
                 sel.append((F.col(c) * stat("scale", c) + stat("center", c)).alias(c))
             else:
                 sel.append(((F.col(c) - stat("center", c)) / stat("scale", c)).alias(c))
-        return drop_stats(j.select(*sel))
+        return j.select(*sel)
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Apply the fitted statistics (e.g. train's) to any split."""

@@ -27,15 +27,14 @@ def class_rank(df: DataFrame, label: str, key: str, tag: str = "order", seed: in
     (class, bucket) numbers the rows inside it.
     """
     n = df.count()
-    n_buckets = int(min(1 << 16, max(1, -(-n // rows_per_bucket))))
+    n_buckets = int(max(1, -(-n // rows_per_bucket)))
     t = df.withColumn("_u", keyed_uniform(key, tag, seed)).withColumn(
-        "_b", F.least(F.floor(F.col("_u") * n_buckets), F.lit(n_buckets - 1)).cast("int"))
+        "_b", F.least(F.floor(F.col("_u") * n_buckets), F.lit(n_buckets - 1)).cast("long"))
     counts = t.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(label, "_b", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    # offsets: (classes x buckets) rows; buckets are sized from the data, so the
-    # table stays small relative to it.
-    j = t.join(F.broadcast(offsets) if n_buckets <= 4096 else offsets, [label, "_b"])
+    # (classes x buckets) rows grow with the data: Spark broadcasts them if their measured size allows
+    j = t.join(offsets, [label, "_b"])
     wr = Window.partitionBy(label, "_b").orderBy("_u", key)
     return j.withColumn(out, (F.col("_off") + F.row_number().over(wr) - 1).cast("long")).drop("_u", "_b", "_off")
 
@@ -52,7 +51,7 @@ def stratified_split(df: DataFrame, label: str, key: str, val_fraction: float =
     """
     r = class_rank(df, label, key, "split", seed)
     sizes = class_sizes(df, label)
-    j = r.join(F.broadcast(sizes), label)  # one row per class
+    j = r.join(sizes, label)
     n_val = F.round(F.col("_class_n") * val_fraction)
     n_test = F.round((F.col("_class_n") - n_val) * test_fraction)
     s = (F.when(F.col("rank") < n_val, F.lit("val"))

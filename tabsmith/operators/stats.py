@@ -7,9 +7,13 @@ row (size bound: 1); grouped cases are counted before they are broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabsmith.session import hold
+
 BROADCAST_ROWS = 100_000
 
 
@@ -20,22 +24,28 @@ def wide_stats(stats_long: DataFrame, by: list[str], cols: list[str], stat_cols:
     return stats_long.agg(*aggs)
 
 
-def attach(df: DataFrame, wide: DataFrame, by: list[str]) -> DataFrame:
-    """Join a statistics table onto every row: broadcast when its size is bounded."""
-    if not by:
-        return df.crossJoin(F.broadcast(wide))  # exactly one row
-    wide = wide.cache()
-    n = wide.count()
-    side = F.broadcast(wide) if n <= BROADCAST_ROWS else wide
-    return df.join(side, by, "left")
+def free_name(columns: list[str], wanted: str) -> str:
+    """``wanted``, with underscores added until no column has that name."""
+    taken = {c.lower() for c in columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
 
 
-def stat(name: str, col: str) -> F.Column:
-    return F.col(f"{name}__{col}")
+def attach(df: DataFrame, wide: DataFrame, by: list[str]) -> tuple[DataFrame, Callable[[str, str], Column]]:
+    """Join a statistics table onto every row; returns (joined, stat) with stat(name, column) → Column.
 
-
-def drop_stats(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if "__" in c])
+    The statistics travel in one struct column whose name no column of ``df`` has, so select ``df.columns`` to be rid
+    of them. A grouped table is broadcast only if its counted rows are few.
+    """
+    name = free_name(df.columns, "_stats")
+    side = wide.select(*by, F.struct(*[F.col(c) for c in wide.columns if c not in by]).alias(name))
+    if by:
+        side = hold(side)
+        joined = df.join(F.broadcast(side) if side.count() <= BROADCAST_ROWS else side, by, "left")
+    else:
+        joined = df.crossJoin(F.broadcast(side))  # exactly one row
+    return joined, lambda stat, col: F.col(name).getField(f"{stat}__{col}")
 
 
 def moments(df: DataFrame, cols: list[str], by: list[str] | None = None) -> DataFrame:

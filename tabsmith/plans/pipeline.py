@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +10,7 @@ from tabsmith.operators.features import anova_f, interaction_features, ratio_fea
 from tabsmith.operators.impute import impute_median
 from tabsmith.operators.outliers import winsorize
 from tabsmith.sources.fixtures import ORDER_FEATURES, order_features
+from tabsmith.session import hold
 
 # Ratio features for the order fixture (same shape as the original preset).
 ORDER_RATIOS = [
@@ -21,28 +21,28 @@ ORDER_RATIOS = [
 ]
 
 
-def sig_round(c):
-    """Round a double to 6 decimals below 1e5, else to 10 significant digits.
+DIGITS = 10  # significant digits that the engines' summing orders leave alone
 
-    Aggregates summed in another order differ in their last bits between engines
-    (and centring can magnify that); this maps both results onto the same double
-    at any magnitude. Exact row-wise values are left alone: rounding them could
-    only create decimal ties.
+
+def sig_round(c, digits: int = DIGITS, zero: float = 0.0):
+    """Round a double to ``digits`` significant digits at every magnitude; below ``zero`` in size it becomes 0.
+
+    Sums taken in another order differ in their last bits between engines; this maps both onto one double. It only
+    serves the comparison of queries with their oracles: operators return full precision.
     """
     x = c.cast("double")
-    small = x.try_cast("decimal(38,6)").cast("double") + F.lit(0.0)
-    big = F.format_string("%.9e", x).cast("double")
-    return F.when(x.isNull(), F.lit(None).cast("double")).when(F.abs(x) < 1e5, small).otherwise(big)
+    out = F.format_string(f"%.{digits - 1}e", x).cast("double") + F.lit(0.0)
+    return F.when(x.isNull(), F.lit(None).cast("double")).when(F.abs(x) < zero, F.lit(0.0)).otherwise(out)
 
 
-def round_doubles(df: DataFrame, cols=(), list_cols=()) -> DataFrame:
+def round_doubles(df: DataFrame, cols=(), list_cols=(), zero: float = 0.0, digits: int = DIGITS) -> DataFrame:
     """Apply ``sig_round`` to the named DOUBLE columns and ARRAY<DOUBLE> columns."""
     sel = []
     for f in df.schema.fields:
         if f.name in cols:
-            sel.append(sig_round(F.col(f.name)).alias(f.name))
+            sel.append(sig_round(F.col(f.name), digits, zero).alias(f.name))
         elif f.name in list_cols:
-            sel.append(F.transform(f.name, sig_round).alias(f.name))
+            sel.append(F.transform(f.name, lambda x: sig_round(x, digits, zero)).alias(f.name))
         else:
             sel.append(F.col(f.name))
     return df.select(*sel)
@@ -53,8 +53,8 @@ def engineered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Each fitted step reads its input twice (fit, apply): keep the inputs in
     # memory/disk so the joins and decimal sums run once (recomputed from lineage
     # if an executor is lost).
-    of = order_features(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    imp = impute_median(of, ORDER_FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+    of = hold(order_features(spark, sf_dir))
+    imp = hold(impute_median(of, ORDER_FEATURES))
     win = winsorize(imp, ORDER_FEATURES, by=["class"])
     eng = ratio_features(win, ORDER_RATIOS)
     cols = ORDER_FEATURES + [r[0] for r in ORDER_RATIOS]

@@ -215,8 +215,7 @@ def _points(spark, sf):
     return V.roc_points(pred, ["model"], 5)
 
 
-@query("roc_curve", _ROC + "\nSELECT model, class, threshold, fpr, tpr FROM pts",
-       doubles=("threshold", "fpr", "tpr"))
+@query("roc_curve", _ROC + "\nSELECT model, class, threshold, fpr, tpr FROM pts")
 def roc_curve(spark, sf):
     """One-vs-rest ROC points."""
     return _points(spark, sf).select("model", "class", "threshold", "fpr", "tpr")
@@ -232,8 +231,7 @@ def roc_auc(spark, sf):
     return V.roc_auc(_points(spark, sf), ["model"])
 
 
-@query("pr_curve", _ROC + "\nSELECT model, class, threshold, tpr AS recall, precision FROM pts",
-       doubles=("threshold", "recall", "precision"))
+@query("pr_curve", _ROC + "\nSELECT model, class, threshold, tpr AS recall, precision FROM pts")
 def pr_curve(spark, sf):
     """Precision-recall points."""
     return _points(spark, sf).select("model", "class", "threshold", F.col("tpr").alias("recall"), "precision")
@@ -252,7 +250,7 @@ def average_precision(spark, sf):
 SELECT model, class, threshold, fpr, tpr FROM (
   SELECT *, count(*) OVER (PARTITION BY model, class) AS cnt,
          row_number() OVER (PARTITION BY model, class ORDER BY threshold) AS rd FROM pts)
-WHERE cnt <= 100 OR rd <= 50""", doubles=("threshold", "fpr", "tpr"))
+WHERE cnt <= 100 OR rd <= 50""")
 def curve_tail(spark, sf):
     """Last 50 points (lowest thresholds = curve end) of curves with more than 100."""
     pts = _points(spark, sf).select("model", "class", "threshold", "fpr", "tpr")

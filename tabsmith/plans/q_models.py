@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabsmith.session import hold
 from tabsmith.functions.keyed import keyed_uniform, normal_sql, u_sql
 from tabsmith.operators import noise as N
 from tabsmith.operators import scale as S
@@ -59,7 +60,7 @@ def _scale_sql(center: str, scale: str, table: str = "line_stats", by_split: boo
     return LSW + f", st AS (SELECT {stats} FROM {table})\nSELECT class, {sel} FROM {table}, st"
 
 
-@query("scale_standard", _scale_sql("avg({c})", "stddev_pop({c})"), doubles=tuple(LS))
+@query("scale_standard", _scale_sql("avg({c})", "stddev_pop({c})"), doubles=tuple(LS), digits=8)
 def scale_standard(spark, sf):
     """(x - mean) / std_pop."""
     return S.scale(FX.line_stats(spark, sf), LS, "standard")
@@ -278,7 +279,7 @@ pred AS (SELECT {g}, max(CASE WHEN r = 1 THEN nlabel END)::INTEGER AS predicted
 
 def vector_splits(spark, sf):
     v = FX.vectors(spark, sf)
-    return SP.stratified_split(v, "label", "row_id").persist(StorageLevel.MEMORY_AND_DISK)
+    return hold(SP.stratified_split(v, "label", "row_id"))
 
 
 @query("knn_predict", VEC_SPLIT_SQL + f""",
@@ -430,7 +431,7 @@ _ROB = _robust_sql()
 def _robustness(spark, sf):
     s = vector_splits(spark, sf)
     tr, te = s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split")
-    return R.knn_robustness(tr, te, VEC, "label", "row_id", k=5).persist(StorageLevel.MEMORY_AND_DISK)
+    return hold(R.knn_robustness(tr, te, VEC, "label", "row_id", k=5))
 
 
 @query("knn_robustness", _ROB + "\nSELECT * FROM rob", doubles=("accuracy",))
@@ -510,28 +511,38 @@ def robustness_heatmap(spark, sf):
 
 
 # ---------------------------------------------------------------- T4 / T6 / V25: KNN grid search (balanced accuracy)
-GRID_K = [3, 5, 7, 9]
+GRID_K = [3, 5, 7, 9, 11, 15]
+GRID_METRICS = ("euclidean", "manhattan")
 GRID_WEIGHTS = ["uniform", "distance"]
 
 
-def _grid_sql() -> str:
+def _manhattan_sql(q: str, d: str) -> str:
+    return " + ".join(f"abs({q}.{c} - {d}.{c})" for c in VEC)
+
+
+def _grid_sql(metrics=GRID_METRICS) -> str:
+    dist = {"euclidean": _dist_sql("q", "d"), "manhattan": _manhattan_sql("q", "d")}
+    pairs = "\n  UNION ALL ".join(
+        f"SELECT '{m}' AS metric, q.fold AS f, q.row_id AS qid, d.row_id AS did, d.label AS nlabel, {dist[m]} AS dist "
+        "FROM trf q JOIN trf d ON q.fold <> d.fold" for m in metrics)
     ks = ", ".join(f"({k})" for k in GRID_K)
     ws = ", ".join(f"('{w}')" for w in GRID_WEIGHTS)
     return VEC_SPLIT_SQL + TRF_SQL + f""",
-pairs AS (SELECT q.fold AS f, q.row_id AS qid, d.row_id AS did, d.label AS nlabel, {_dist_sql('q', 'd')} AS dist
-          FROM trf q JOIN trf d ON q.fold <> d.fold),
-nb AS (SELECT *, row_number() OVER (PARTITION BY f, qid ORDER BY dist, did) AS rn FROM pairs),
+pairs AS ({pairs}),
+nb AS (SELECT *, row_number() OVER (PARTITION BY metric, f, qid ORDER BY dist, did) AS rn FROM pairs),
 grid AS (SELECT k, w FROM (VALUES {ks}) a(k) CROSS JOIN (VALUES {ws}) b(w)),
 sel AS (SELECT nb.*, grid.k, grid.w FROM nb JOIN grid ON nb.rn <= grid.k),
-hz AS (SELECT *, max(CASE WHEN dist = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY f, k, w, qid) AS has_zero FROM sel),
-votes AS (SELECT f, k, w, qid, nlabel, sum(CASE WHEN w = 'uniform' THEN 1.0 WHEN has_zero = 1 THEN
-                 (CASE WHEN dist = 0 THEN 1.0 ELSE 0.0 END) ELSE 1.0 / dist END) AS score FROM hz GROUP BY f, k, w, qid, nlabel),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY f, k, w, qid ORDER BY score DESC, nlabel) AS r FROM votes),
-pred AS (SELECT f, k, w, qid, max(CASE WHEN r = 1 THEN nlabel END) AS predicted FROM ranked GROUP BY f, k, w, qid),
+hz AS (SELECT *, max(CASE WHEN dist = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY metric, f, k, w, qid) AS has_zero FROM sel),
+votes AS (SELECT metric, f, k, w, qid, nlabel, sum(CASE WHEN w = 'uniform' THEN 1.0 WHEN has_zero = 1 THEN
+                 (CASE WHEN dist = 0 THEN 1.0 ELSE 0.0 END) ELSE 1.0 / dist END) AS score FROM hz GROUP BY metric, f, k, w, qid, nlabel),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY metric, f, k, w, qid ORDER BY score DESC, nlabel) AS r FROM votes),
+pred AS (SELECT metric, f, k, w, qid, max(CASE WHEN r = 1 THEN nlabel END) AS predicted FROM ranked
+         GROUP BY metric, f, k, w, qid),
 pj AS (SELECT pred.*, q.label AS actual FROM pred JOIN trf q ON pred.qid = q.row_id),
-rec AS (SELECT f, k, w, actual, avg(CASE WHEN predicted = actual THEN 1.0 ELSE 0.0 END) AS recall
-        FROM pj GROUP BY f, k, w, actual),
-scores AS (SELECT k::INTEGER AS k, w AS weights, f::INTEGER AS fold, avg(recall) AS score FROM rec GROUP BY f, k, w)"""
+rec AS (SELECT metric, f, k, w, actual, avg(CASE WHEN predicted = actual THEN 1.0 ELSE 0.0 END) AS recall
+        FROM pj GROUP BY metric, f, k, w, actual),
+scores AS (SELECT k::INTEGER AS k, w AS weights, metric, f::INTEGER AS fold, avg(recall) AS score
+           FROM rec GROUP BY metric, f, k, w)"""
 
 
 _GRID = _grid_sql()
@@ -539,31 +550,31 @@ _GRID = _grid_sql()
 
 def _grid_scores(spark, sf):
     s = vector_splits(spark, sf).where(F.col("split") == "train")
-    return MD.knn_grid_scores(s, "row_id", VEC, "label", GRID_K, GRID_WEIGHTS, folds=5).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    return hold(MD.knn_grid_scores(s, "row_id", VEC, "label", GRID_K, GRID_WEIGHTS, folds=5, metrics=GRID_METRICS))
 
 
 @query("grid_search", _GRID + "\nSELECT * FROM scores", doubles=("score",))
 def grid_search(spark, sf):
-    """T4 (KNN grid, 5-fold balanced accuracy): (k, weights, fold, score)."""
+    """T4 (KNN grid, 5-fold balanced accuracy): (k, weights, metric, fold, score)."""
     return _grid_scores(spark, sf)
 
 
 @query("tuning_best", _GRID + """,
-m AS (SELECT k, weights, avg(score) AS mean_score, stddev_pop(score) AS std_score FROM scores GROUP BY k, weights)
-SELECT k, weights, mean_score, std_score FROM m ORDER BY mean_score DESC, k, weights LIMIT 1""",
+m AS (SELECT k, weights, metric, avg(score) AS mean_score, stddev_pop(score) AS std_score FROM scores GROUP BY k, weights, metric)
+SELECT k, weights, metric, mean_score, std_score FROM m ORDER BY round(mean_score, 12) DESC, k, weights, metric LIMIT 1""",
        doubles=("mean_score", "std_score"))
 def tuning_best(spark, sf):
     """Best parameters, their mean and std score."""
-    return MD.tuning_best(_grid_scores(spark, sf), ["k", "weights"])
+    return MD.tuning_best(_grid_scores(spark, sf), ["k", "weights", "metric"])
 
 
 @query("param_sensitivity", _GRID + """
 SELECT 'k' AS param, CAST(k AS VARCHAR) AS value, avg(score) AS mean_score FROM scores GROUP BY k
-UNION ALL SELECT 'weights', weights, avg(score) FROM scores GROUP BY weights""", doubles=("mean_score",))
+UNION ALL SELECT 'weights', weights, avg(score) FROM scores GROUP BY weights
+UNION ALL SELECT 'metric', metric, avg(score) FROM scores GROUP BY metric""", doubles=("mean_score",))
 def param_sensitivity(spark, sf):
     """V25 (re-aimed): mean CV score per parameter value."""
-    return MD.param_sensitivity(_grid_scores(spark, sf), ["k", "weights"])
+    return MD.param_sensitivity(_grid_scores(spark, sf), ["k", "weights", "metric"])
 
 
 # ---------------------------------------------------------------- M1, M3-M6, A1-A2, V6, V21, V23: MLlib models
@@ -576,9 +587,7 @@ def model_data(spark, sf):
     """Vectors split 72/18/10 (stratified), standardised with train statistics."""
     s = vector_splits(spark, sf)
     sc = S.Scaler("standard", VEC, []).fit(s.where(F.col("split") == "train"))
-    # reliable checkpoint: every model plan starts from a short lineage
-    from tabsmith.session import cut_lineage
-    return cut_lineage(sc.transform(s))
+    return hold(sc.transform(s))  # every fit makes many passes over it
 
 
 def _fit(spark, sf, name, params=None):
@@ -703,13 +712,13 @@ def _timings(spark, sf):
     rows = []
     for b in BATCHES:
         batch = x.limit(b).persist(StorageLevel.MEMORY_AND_DISK)
-        n = batch.count()  # the test split may hold fewer rows than the batch size
+        n = batch.count()  # the test split may hold fewer rows than the batch asks for
         for r in range(REPEATS):
             t0 = _time.perf_counter()
             model.transform(batch).count()
-            rows.append(("logistic", n, r, _time.perf_counter() - t0))
+            rows.append(("logistic", b, n, r, _time.perf_counter() - t0))
         batch.unpersist()
-    return spark.createDataFrame(rows, "model string, batch int, rep int, seconds double")
+    return spark.createDataFrame(rows, "model string, batch int, n_rows int, rep int, seconds double")
 
 
 @query("timing_summary")
@@ -738,7 +747,7 @@ def _rs_candidates_sql() -> str:
 
 
 def _random_sql() -> str:
-    g = _grid_sql()
+    g = _grid_sql(("euclidean",))
     start = g.index("grid AS (")
     end = g.index("\n", start)
     return g[:start] + _rs_candidates_sql() + ",\ngrid AS (SELECT k, w FROM cand)," + g[end + 1:].lstrip()

@@ -1,8 +1,9 @@
 """SparkSession construction and lineage checkpoints.
 
 On a cluster the session comes from the launcher; we only read
-``spark.checkpoint.dir`` from it. A local checkpoint directory is created
-only when the setting is absent (tests, local benches).
+``spark.checkpoint.dir`` from it, and a cluster session without one is an
+error. A local folder is made only in local mode with the setting absent, and
+only when something is about to be written there.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
@@ -40,12 +42,11 @@ def get_spark(master: str | None = None, app: str = "tabsmith",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory, creating a local one only if unset."""
+    """Return the reliable checkpoint directory; makes a local one only if unset and the master is in this process."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -54,12 +55,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    # Only reached when nothing was configured, i.e. local tests and benches.
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="tabsmith-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
 
 
+_held: list[DataFrame] = []
+
+
+def hold(df: DataFrame) -> DataFrame:
+    """Keep a frame that several passes read (memory, then disk; recomputed if an executor is lost)."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _held.append(df)
+    return df
+
+
+def release() -> None:
+    """Let go of every frame that ``hold`` kept; frames that a caller cached stay."""
+    while _held:
+        _held.pop().unpersist()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss); never a local checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabsmith.operators.clean import parse_suffix, repair_labels, to_numeric
-from tabsmith.operators.stats import attach, drop_stats, stat, wide_stats
+from tabsmith.operators.stats import attach, wide_stats
 
 
 def read_raw_stream(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -30,16 +30,16 @@ def clean_stream(raw: DataFrame, label: str, features: list[str], canonical: lis
     for c in suffix_cols:
         out = parse_suffix(out, c)
     out = to_numeric(out, features)
-    j = attach(attach(out, wide_stats(medians, [], features, ["median"]), []),
-               wide_stats(bounds, [], features, ["lo", "hi"]), [])
+    j, median = attach(out, wide_stats(medians, [], features, ["median"]), [])
+    j, fence = attach(j, wide_stats(bounds, [], features, ["lo", "hi"]), [])
     sel = []
     for c in out.columns:
         if c in features:
-            x = F.coalesce(F.col(c), stat("median", c))
-            sel.append(F.least(F.greatest(x, stat("lo", c)), stat("hi", c)).alias(c))
+            x = F.coalesce(F.col(c), median("median", c))
+            sel.append(F.least(F.greatest(x, fence("lo", c)), fence("hi", c)).alias(c))
         else:
             sel.append(F.col(c))
-    return drop_stats(j.select(*sel)).where(F.col("valid"))
+    return j.select(*sel).where(F.col("valid"))
 
 
 def start(cleaned: DataFrame, out_path: str, checkpoint: str, once: bool = True):

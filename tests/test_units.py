@@ -125,3 +125,116 @@ def test_anova_matches_hand(spark):
     f = FE.anova_f(df, ["x"], "c").first().f_score
     # means 1.5, 4.5; grand 3; SSB = 2*2.25*2 = 9; SSW = 4*0.25 = 1; F = 9 / (1/2) = 18
     assert abs(f - 18.0) < 1e-12
+
+
+def test_columns_with_double_underscores_survive(spark):
+    from tabsmith.operators.impute import impute_knn, impute_median
+    from tabsmith.operators.outliers import winsorize
+
+    df = spark.createDataFrame([(i, float(i) if i % 3 else None, f"u{i}", 7.0, "s") for i in range(12)],
+                               "row_id long, x double, user__id string, median__x double, _stats string")
+    for out in (impute_median(df, ["x"]), winsorize(df, ["x"]), S.scale(df, ["x"]), impute_knn(df, ["x", "median__x"], "row_id", k=2)):
+        assert out.columns == df.columns
+        rows = out.orderBy("row_id").collect()
+        assert [r["user__id"] for r in rows] == [f"u{i}" for i in range(12)] and {r["_stats"] for r in rows} == {"s"}
+    assert [r.x for r in impute_median(df, ["x"]).orderBy("row_id").collect()][0] == 6.0
+
+
+@pytest.mark.parametrize("x, df, want", [
+    # fixed values: upper tails from tables of the distribution
+    (50.0, 5, 1.3857e-9), (2.0, 2, math.exp(-1)), (600.0, 2, math.exp(-300)), (3.841458820694124, 1, 0.05),
+    (11.070497693516351, 5, 0.05), (124.3421134, 100, 0.05), (77.9294652, 100, 0.95), (0.0, 3, 1.0)])
+def test_chi2_tail(spark, x, df, want):
+    got = spark.createDataFrame([(x, df)], "x double, df long").select(A.chi2_sf(F.col("x"), F.col("df")).alias("p")).first().p
+    assert got == pytest.approx(want, rel=1e-4)
+
+
+def test_chi2_far_tails(spark):
+    rows = spark.createDataFrame([(600.0, 5), (700.0, 5), (1000.0, 5), (3000.0, 900)], "x double, df long")
+    ps = [r.p for r in rows.select(A.chi2_sf(F.col("x"), F.col("df")).alias("p")).collect()]
+    assert 0 <= ps[2] < 1e-200 and ps[2] <= ps[1] < ps[0] < 1e-100 and ps[3] < 1e-100
+
+
+def test_metrics_on_huge_counts(spark):
+    big = 4 * 10**9
+    cm = spark.createDataFrame([("m", 0, 0, big), ("m", 1, 1, big), ("m", 0, 1, 1)], "model string, actual int, predicted int, n long")
+    import tabsmith.operators.metrics as MM
+
+    original = MM.confusion_matrix
+    MM.confusion_matrix = lambda pred, grp, *a: cm
+    try:
+        r = M.metrics_wide(cm, ["model"]).first()
+    finally:
+        MM.confusion_matrix = original
+    assert r.cohen_kappa == pytest.approx(1.0, abs=1e-6) and r.matthews_corrcoef == pytest.approx(1.0, abs=1e-6)
+
+
+def test_small_values_keep_their_digits(spark):
+    from tabsmith.plans.pipeline import round_doubles
+
+    rows = [(3.8e-9,), (3.9e-9,), (1e-300,), (123456789.123456,), (None,), (0.0,)]
+    got = [r.x for r in round_doubles(spark.createDataFrame(rows, "x double"), ("x",)).collect()]
+    assert got == [3.8e-9, 3.9e-9, 1e-300, 123456789.1, None, 0.0]
+
+
+def test_knn_ties_return_k_rows():
+    import numpy as np
+    from tabsmith.operators.knn import _topk_rows
+
+    dist = np.array([[1.0, 1.0, 1.0, 1.0], [2.0, 1.0, np.nan, 1.0], [np.nan] * 4])
+    donors = np.array([9, 3, 5, 1])
+    qi, di = _topk_rows(dist, 2, donors)
+    assert sorted(zip(qi.tolist(), donors[di].tolist())) == [(0, 1), (0, 3), (1, 1), (1, 3)]
+
+
+def test_timing_summary_keeps_requested_batches(spark):
+    rows = [("m", b, min(b, 90), r, 0.5) for b in (1, 100, 1000) for r in range(3)]
+    got = A.timing_summary(spark.createDataFrame(rows, "model string, batch int, n_rows int, rep int, seconds double")).orderBy("batch").collect()
+    assert [(r.batch, r.n_rows, r.rows_per_sec, r.short) for r in got] == [(1, 1, 2.0, False), (100, 90, 180.0, True), (1000, 90, 180.0, True)]
+
+
+def test_noise_dispatch_and_imputation_dispatch(spark):
+    from tabsmith.operators.impute import impute
+    from tabsmith.operators.noise import apply_noise
+
+    df = spark.createDataFrame([(i, i % 2, float(i)) for i in range(50)], "row_id long, label int, x double")
+    for kind, param in (("gaussian", 20.0), ("salt_pepper", 50.0), ("outlier", 50.0)):
+        out = apply_noise(df, ["x"], "label", "row_id", kind, param, 2).orderBy("row_id").collect()
+        assert [r.label for r in out] == [i % 2 for i in range(50)] and any(r.x != i for i, r in enumerate(out))
+    flipped = apply_noise(df, ["x"], "label", "row_id", "label", 10.0, 2).orderBy("row_id").collect()
+    assert sum(r.label != r.row_id % 2 for r in flipped) == 5
+    with pytest.raises(ValueError):
+        apply_noise(df, ["x"], "label", "row_id", "pink", 1.0, 2)
+    holes = spark.createDataFrame([(1, 1.0, 5.0), (2, None, 5.0), (3, 3.0, 9.0)], "row_id long, x double, y double")
+    assert [r.x for r in impute(holes, ["x"], "median").orderBy("row_id").collect()] == [1.0, 2.0, 3.0]
+    assert [r.x for r in impute(holes, ["x", "y"], "knn", key="row_id", k=1).orderBy("row_id").collect()] == [1.0, 1.0, 3.0]
+    with pytest.raises(ValueError):
+        impute(holes, ["x"], "mode")
+
+
+def test_checkpoint_folder_is_only_made_for_local_masters(monkeypatch):
+    from tabsmith import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {"none": None}
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_held_frames_are_released_and_a_callers_cache_stays(spark):
+    from tabsmith.session import hold, release
+
+    mine, held = spark.range(5).cache(), hold(spark.range(6))
+    release()
+    assert mine.is_cached and not held.is_cached
+    mine.unpersist()
