@@ -18,8 +18,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabsmith.llm.common import packed, q, read, text_or_empty, unpacked
 
@@ -32,9 +34,9 @@ BREAK = "\n"
 class Codec:
     """Vocabulary of a model file and the search over it; one per Python worker."""
 
-    KEPT = 300_000  # words in each of two generations of the memo (about 0.2 KB a word)
+    KEPT = 200_000  # words in each of two generations of the memo (about 0.2 KB a word)
     LONG = 64  # longer words are searched each time
-    PAIRS = 200_000  # remembered answers of ``follows``
+    PAIRS = 150_000  # remembered answers of ``follows``
 
     def __init__(self, path: str, rule: str = "bpe") -> None:
         import sentencepiece
@@ -241,16 +243,23 @@ def codec(path: str, rule: str) -> Codec:
     return _codecs[path, rule]
 
 
-def encode_column(path: str, rule: str = "bpe"):
-    """Ids of a text, and whether they decode to it again; one pass, so one Python worker per task."""
-    @F.pandas_udf("ids array<int>, round_trip boolean")
-    def encode(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for s in texts:
-            ids = [codec(path, rule).encode(t) for t in s]
-            same = [codec(path, rule).decode(x) == t for x, t in zip(ids, s)]
-            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "round_trip": pd.Series(same, dtype=bool)})
+ROWS = 512  # rows whose ids are held at once
+
+
+def _encoder(path: str, rule: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                texts = part.column("_text").to_pylist()
+                ids = [codec(path, rule).encode(t) for t in texts]
+                same = [codec(path, rule).decode(x) == t for x, t in zip(ids, texts)]
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32), np.concatenate(ids))
+                yield pa.RecordBatch.from_arrays([part.column("_row"), lists, pa.array(sizes), pa.array(same, pa.bool_())],
+                                                 names=["_row", "ids", "n_tokens", "round_trip"])
 
-    return encode
+    return run
 
 
 def decode_column(path: str, rule: str = "bpe"):
@@ -282,16 +291,19 @@ def model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def encode_documents(docs: DataFrame, path: str | None = None, text_col: str = "text", rule: str = "bpe") -> DataFrame:
+def encode_documents(docs: DataFrame, path: str | None = None, text_col: str = "text", rule: str = "bpe",
+                     keep: list[str] | None = None) -> DataFrame:
     """Every row of ``docs`` with ``ids``, ``n_tokens`` and ``round_trip`` (decoding the ids gives the text again).
 
     The whole text is encoded. Null and empty texts have no ids and count as a round trip to the empty text. Repeated
-    rows appear once each; an input column named like an output is replaced.
+    rows appear once each; an input column named like an output is replaced. ``keep`` names the columns that go along
+    (all by default). One pass through one Python worker per task, which holds the ids of ROWS rows at a time.
     """
-    path = path or model_path()
-    rows = docs.select(packed(docs).alias("_row"), encode_column(path, rule)(text_or_empty(text_col)).alias("_e"))
-    rows = rows.select("_row", "_e.ids", F.size("_e.ids").cast("long").alias("n_tokens"), "_e.round_trip")
-    return unpacked(rows, docs.columns, ["ids", "n_tokens", "round_trip"])
+    columns = docs.columns if keep is None else keep
+    rows = docs.select(packed(docs.select(*[q(c) for c in columns])).alias("_row"), text_or_empty(text_col).alias("_text"))
+    schema = T.StructType([rows.schema["_row"], T.StructField("ids", T.ArrayType(T.IntegerType())),
+                           T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType())])
+    return unpacked(rows.mapInArrow(_encoder(path or model_path(), rule), schema), columns, ["ids", "n_tokens", "round_trip"])
 
 
 def op5_sentencepiece_viterbi(spark, sf_dir: str) -> DataFrame:
