@@ -41,7 +41,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per mixed text: doc_id, lang, source, ids, n_tokens, round_trip."""
-    return encode_documents(docs).select("doc_id", "lang", "source", "ids", "n_tokens", "round_trip")
+    return encode_documents(docs, keep=["doc_id", "lang", "source"])
 
 
 STAGES = [("toxicity", toxicity), ("exact dedup", exact), ("SimHash near-dedup", near), ("mixing", mix),
