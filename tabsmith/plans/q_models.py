@@ -112,7 +112,7 @@ def _fit_train_scaler(spark, sf):
     return of, sc
 
 
-@query("scale_apply", _apply_sql(False), doubles=tuple(OFS))
+@query("scale_apply", _apply_sql(False), doubles=tuple(OFS), digits=8)
 def scale_apply(spark, sf):
     """Statistics fitted on the train split, applied to every split."""
     of, sc = _fit_train_scaler(spark, sf)
