@@ -29,14 +29,16 @@ SPACE = "▁"  # stands for a space in pieces
 LITERAL = "\ud800"  # stands for that character itself in a text; a lone surrogate is in no valid text
 UNKNOWN_PENALTY = 10.0
 BREAK = "\n"
+START = (1 << 32) - 1  # number of what stands before the first piece
+CHARACTER = 1 << 22  # first number of characters without a piece
 
 
 class Codec:
     """Vocabulary of a model file and the search over it; one per Python worker."""
 
-    KEPT = 200_000  # words in each of two generations of the memo (about 0.2 KB a word)
+    KEPT = 250_000  # words in each of two generations of the memo (about 0.2 KB a word)
     LONG = 64  # longer words are searched each time
-    PAIRS = 150_000  # remembered answers of ``follows``
+    PAIRS = 400_000  # remembered answers of ``follows``
 
     def __init__(self, path: str, rule: str = "bpe") -> None:
         import sentencepiece
@@ -61,11 +63,13 @@ class Codec:
                 self.ids[piece] = i
                 self.bytes_of.append(piece.replace(SPACE, " ").encode())
         self.longest = max(map(len, self.ids), default=1)
-        self.tails = {p[i:] for p in self.ids for i in range(len(p))}
+        self.pieces = {i: p for p, i in self.ids.items()}
+        # every ending of a piece → the id of the piece it is itself, or -1
+        self.tails = {p[i:]: -1 for p in self.ids for i in range(len(p))} | self.ids
         self.lowest = min(self.scores, default=0.0) - UNKNOWN_PENALTY
         # A word can be searched alone if no piece goes on with a space after another character, or holds a line break.
         self.by_word = not any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.ids)
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.halves: dict[str, tuple[str, str] | None] = {}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -117,58 +121,64 @@ class Codec:
             else:
                 bar, ties, right = scores[ids[right]], True, b[0]
 
-    def search(self, chunks: Iterable[str]) -> Iterator[str]:
-        """Pieces of the concatenated chunks, each as soon as it is certain. A character without a piece is its own."""
+    def _piece(self, n: int) -> str:
+        return "" if n == START else self.pieces[n] if n < CHARACTER else chr(n - CHARACTER)
+
+    def search(self, chunks: Iterable[str]) -> Iterator[int]:
+        """Numbers of the pieces of the concatenated chunks, each as soon as it is certain.
+
+        A piece's number is its id, that of a character without a piece CHARACTER plus its code point.
+        """
         text = ""  # what is not committed yet
-        before: list[int] = [0]  # per boundary of it: where the last piece of the best way there begins
-        best: list[float] = [0.0]
-        last = ""  # the last committed piece
+        before, tail, best = [0], [START], [0.0]  # per boundary of it: where its last piece begins, which it is, the score
         for chunk in chunks:
             for at in range(0, len(chunk), self.longest):
                 text += chunk[at:at + self.longest]
-                self._extend(text, before, best, last)
+                self._extend(text, before, tail, best)
                 if len(text) >= 4 * self.longest:
                     cut = self._meeting(before, len(text))
                     if cut:
-                        done = list(self._path(text, before, cut))
-                        yield from done
-                        last, text = done[-1], text[cut:]
+                        yield from self._path(before, tail, cut)
+                        text = text[cut:]
                         before = [max(0, b - cut) for b in before[cut:]]
-                        best = best[cut:]
-        yield from self._path(text, before, len(text))
+                        tail, best = tail[cut:], best[cut:]
+        yield from self._path(before, tail, len(text))
 
-    def _extend(self, text: str, before: list[int], best: list[float], last: str) -> None:
+    def _extend(self, text: str, before: list[int], tail: list[int], best: list[float]) -> None:
         """Best ways to the boundaries that ``before`` does not have yet."""
-        ids, tails, pairs, bpe = self.ids, self.tails, self.pairs, self.rule == "bpe"
+        known, pairs, bpe = self.tails.get, self.pairs, self.rule == "bpe"
         for end in range(len(before), len(text) + 1):
             at = end - 1
-            found = [at]  # starts of pieces that end here, shortest piece first; a character alone always counts
+            c = text[at]
+            n = known(c, -1)
+            starts, numbers = [at], [n if n >= 0 else CHARACTER + ord(c)]  # pieces that end here, the shortest first
             for start in range(end - 2, -1, -1):
-                piece = text[start:end]
-                if piece not in tails:
+                n = known(text[start:end])
+                if n is None:
                     break
-                if piece in ids:
-                    found.append(start)
+                if n >= 0:
+                    starts.append(start)
+                    numbers.append(n)
+            j = 0
             if bpe:
-                for start in reversed(found):
-                    key = (text[before[start]:start] if start else last, text[start:end])
+                for j in range(len(starts) - 1, -1, -1):  # longest first
+                    key = tail[starts[j]] << 32 | numbers[j]
                     ok = pairs.get(key)
                     if ok is None:
                         if len(pairs) >= self.PAIRS:
                             pairs.clear()
-                        ok = pairs[key] = self.follows(*key)
+                        ok = pairs[key] = self.follows(self._piece(tail[starts[j]]), self._piece(numbers[j]))
                     if ok:
-                        at = start
                         break
             else:
                 top = -float("inf")
-                for start in reversed(found):
-                    piece = text[start:end]
-                    score = best[start] + (self.scores[ids[piece]] if piece in ids else self.lowest)
+                for i in range(len(starts) - 1, -1, -1):
+                    score = best[starts[i]] + (self.scores[numbers[i]] if numbers[i] < CHARACTER else self.lowest)
                     if score > top:
-                        top, at = score, start
+                        top, j = score, i
                 best.append(top)
-            before.append(at)
+            before.append(starts[j])
+            tail.append(numbers[j])
 
     def _meeting(self, before: list[int], end: int) -> int:
         """The boundary through which the paths of all boundaries in the window go (0: none but the start)."""
@@ -180,27 +190,32 @@ class Codec:
         return alive.pop()
 
     @staticmethod
-    def _path(text: str, before: list[int], end: int) -> Iterator[str]:
-        pieces = []
+    def _path(before: list[int], tail: list[int], end: int) -> Iterator[int]:
+        numbers = []
         while end > 0:
-            pieces.append(text[before[end]:end])
+            numbers.append(tail[end])
             end = before[end]
-        return reversed(pieces)
+        return reversed(numbers)
 
-    def _numbers(self, pieces: Iterable[str]) -> bytes:
+    def _numbers(self, found: Iterable[int]) -> bytes:
         out: list[int] = []
-        for p in pieces:
-            n = self.ids.get(p)
-            if n is not None:
+        for n in found:
+            if n < CHARACTER:
                 out.append(n)
             else:
-                out.extend(self.byte_ids[b] for b in (SPACE if p == LITERAL else p).encode("utf-8", "surrogatepass"))
+                c = chr(n - CHARACTER)
+                out.extend(self.byte_ids[b] for b in (SPACE if c == LITERAL else c).encode("utf-8", "surrogatepass"))
         return np.array(out, "<i4").tobytes()
 
     def _word(self, key: str) -> bytes:
         if key[0] == BREAK:
-            return self._numbers([BREAK]) + self._numbers(self.search([key[1:]]))
-        return self._numbers(self.search([SPACE + key]))
+            return self._numbers([CHARACTER + ord(BREAK)]) + self._numbers(self.search([key[1:]]))
+        text = SPACE + key
+        if len(text) >= 4 * self.longest:
+            return self._numbers(self.search([text]))
+        before, tail = [0], [START]  # too short for anything to be committed on the way
+        self._extend(text, before, tail, [0.0])
+        return self._numbers(self._path(before, tail, len(text)))
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text; a space goes before it, spaces are SPACE, and an empty text has none."""
