@@ -161,6 +161,19 @@ def fit_score(name: str, train: DataFrame, test: DataFrame, cols: list[str], lab
     return pred, model, secs
 
 
+def model_facts(pred: DataFrame) -> DataFrame:
+    """What must hold of any probabilistic classifier's table, over all its rows: (split, label, n, proba_sums, argmax,
+    beats_majority) — probabilities sum to one, the prediction is the first largest, accuracy reaches the majority's."""
+    top = F.array_position("proba", F.array_max("proba")) - 1
+    total = F.aggregate("proba", F.lit(0.0), lambda a, x: a + x)
+    rows = pred.groupBy("split", F.col("actual").alias("label")).agg(
+        F.count("*").alias("n"), F.max(F.abs(total - 1)).alias("off"), F.count_if(top == F.col("predicted")).alias("same"),
+        F.count_if(F.col("predicted") == F.col("actual")).alias("right"))
+    split = rows.groupBy("split").agg((F.sum("right") >= F.max("n")).alias("beats_majority"))
+    return rows.join(split, "split").select("split", "label", "n", (F.col("off") < 1e-9).alias("proba_sums"),
+                                            (F.col("same") == F.col("n")).alias("argmax"), "beats_majority")
+
+
 def importances(model, name: str, cols: list[str], spark) -> DataFrame:
     """(model, feature, importance)."""
     if name == "logistic":

@@ -607,6 +607,23 @@ def lr_fit_score(spark, sf):
     return _scored(spark, sf, "logistic")
 
 
+_FACTS = VEC_SPLIT_SQL + """
+SELECT split, label::INTEGER AS label, count(*) AS n, true AS proba_sums, true AS argmax, true AS beats_majority
+FROM vsplit WHERE split <> 'val' GROUP BY split, label"""
+
+
+@query("lr_facts", _FACTS)
+def lr_facts(spark, sf):
+    """M1 / A1: facts of the logistic prediction table over all train and test rows."""
+    return ML.model_facts(_fit(spark, sf, "logistic")[0])
+
+
+@query("rf_facts", _FACTS)
+def rf_facts(spark, sf):
+    """M4 / A1: facts of the forest's prediction table over all train and test rows."""
+    return ML.model_facts(_fit(spark, sf, "random_forest", {"n_estimators": 50, "max_depth": 10})[0])
+
+
 def svm_fit_score(spark, sf):
     """M3: RBF SVM re-aimed as random Fourier features + one-vs-rest LinearSVC (C=10, balanced)."""
     return _scored(spark, sf, "svm")
@@ -727,6 +744,37 @@ def timing_summary(spark, sf):
     return A.timing_summary(_timings(spark, sf))
 
 
+_TIMES = f"""WITH t AS (
+  SELECT CASE o_orderkey % 3 WHEN 0 THEN 'model_a' WHEN 1 THEN 'model_b' ELSE 'model_c' END AS model,
+         (CASE (o_orderkey // 3) % 3 WHEN 0 THEN 1 WHEN 1 THEN 100 ELSE 1000 END)::INTEGER AS batch,
+         {u_sql('o_orderkey', "'time'")} + 0.001 AS seconds FROM orders),
+s AS (SELECT model, batch, least(batch, 500)::INTEGER AS n_rows, quantile_cont(seconds, 0.5) AS median_seconds
+      FROM t GROUP BY model, batch)"""
+
+
+def _keyed_timings(spark, sf):
+    """A timing table derived from the orders by keyed values, so that its summary has one right answer."""
+    o = read_table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    model = F.element_at(F.array(*[F.lit(f"model_{x}") for x in "abc"]), (k % 3 + 1).cast("int"))
+    batch = F.element_at(F.array(*[F.lit(b) for b in BATCHES]), (F.floor(k / 3) % 3 + 1).cast("int"))
+    return o.select(model.alias("model"), batch.alias("batch"), F.least(batch, F.lit(500)).alias("n_rows"),
+                    (keyed_uniform("o_orderkey", F.lit("time")) + 0.001).alias("seconds"))
+
+
+@query("timing_table", _TIMES + """
+SELECT *, n_rows / median_seconds AS rows_per_sec, n_rows < batch AS short FROM s""", doubles=("median_seconds", "rows_per_sec"))
+def timing_table(spark, sf):
+    """The timing summary over a keyed timing table."""
+    return A.timing_summary(_keyed_timings(spark, sf))
+
+
+@query("single_sample_table", _TIMES + "\nSELECT model, median_seconds FROM s WHERE batch = 1", doubles=("median_seconds",))
+def single_sample_table(spark, sf):
+    """Single-row times of the keyed timing table."""
+    return A.timing_summary(_keyed_timings(spark, sf)).where(F.col("batch") == 1).select("model", "median_seconds")
+
+
 @query("single_sample_times")
 def single_sample_times(spark, sf):
     """Single-row scoring time per model (projection of A13)."""
