@@ -184,7 +184,7 @@ def write_warc(pages: DataFrame, folder: str | None = None, id_col: str = "page_
                           none("string").alias("first_url"))
     found = records.unionByName(notes).withColumn("shard", _shard_column(bounds)(F.col("page"), F.col("sha")))
     order = ["shard", F.col("page").asc_nulls_last(), "sha", "kind", "url"]
-    laid = found.repartition(2 * len(bounds) + 2, "shard").sortWithinPartitions(*order)
+    laid = found.repartitionById(len(bounds) + 1, F.col("shard").cast("int")).sortWithinPartitions(*order)
     manifest = checkpointed(laid.mapInPandas(_writer(folder, date, roll_bytes, level), MANIFEST))
     done = checkpointed(manifest.repartition(max(1, min(64, manifest.count())), "path").mapInPandas(_commit(folder), MANIFEST))
     _write_manifest(done, folder)
