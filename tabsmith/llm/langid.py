@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabsmith.llm.common import crc32_of, packed, q, read, unpacked
+from tabsmith.llm.common import HOT_SHARE, crc32_of, packed, q, read, unpacked
 
 DIM = 4096  # hashed n-gram features
 GRAMS = (1, 2, 3, 4)
@@ -138,6 +138,7 @@ def fit(labelled: DataFrame, text_col: str, lang_col: str, key_col: str, sample_
     share = max(1, sample_rows // n_langs)
     # a first cut at twice the share keeps the ranking small whatever the size of a language
     cut = sizes.withColumn("top", F.least(F.lit(1.0), F.lit(2.0 * share) / F.col("n"))).select("lang", "top")
+    cut = F.broadcast(cut) if n_langs <= HOT_SHARE else cut  # so that no text is shuffled by its language
     drawn = rows.join(cut, "lang").filter((F.pmod("order", F.lit(1 << 30)) / F.lit(float(1 << 30))) < F.col("top"))
     rank = Window.partitionBy("lang").orderBy("order", F.xxhash64("text"))
     drawn = drawn.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= share)
