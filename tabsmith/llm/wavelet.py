@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -190,6 +191,9 @@ class Encoder:
     tokenizer always cuts before it: before a space (which belongs to the word after it) and around a line break. So
     such a text's words can be encoded one by one and their ids joined: a batch is cut into words, only its distinct
     words are looked up or encoded, and the ids of all words are gathered. All other texts go to the tokenizer whole.
+
+    With ``match_added`` the strings of the tokenizer's added tokens (such as <|endoftext|>) get those tokens' ids, as the
+    library does unless told otherwise; texts that hold one go to the tokenizer whole. Without it they are ordinary text.
     """
 
     KEPT = 400_000  # words in each of two generations (about 0.2 KB a word)
@@ -198,12 +202,18 @@ class Encoder:
     ODD = ("[ \\n][ \\n]|^[ \\n]|[ \\n]$|[\\x00\\t\\x0b-\\x0d\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
            "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]|^$")
 
-    def __init__(self, path: str, end_id: int = 0) -> None:
+    def __init__(self, path: str, end_id: int = 0, match_added: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.odd = self.ODD
+        if match_added:
+            added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+            # words are learnt with line breaks between them, so a token with one leaves no text to cut
+            self.odd = "" if any("\n" in t for t in added) else "|".join([self.ODD, *map(re.escape, added)])
+        else:
+            self.tokenizer.encode_special_tokens = True
         if hasattr(self.tokenizer.model, "_resize_cache"):
             self.tokenizer.model._resize_cache(0)  # known words are kept here, so its own cache would only cost time
         self.kind = np.dtype("<u2" if max(self.tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else "<u4")
@@ -244,7 +254,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, each with the end id; how many each has)."""
-        odd = pc.match_substring_regex(texts, self.ODD)
+        odd = pc.match_substring_regex(texts, self.odd)
         # words: after a space as they are, after a line break with the break, the first of a text with a zero
         keys = pc.binary_join_element_wise(pa.scalar("\0"), pc.replace_substring(texts, "\n", " \n"), pa.scalar(""))
         marked = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
@@ -276,14 +286,15 @@ class Encoder:
         return ids, np.diff(last, prepend=0)
 
 
-_encoders: dict[tuple[str, int], Encoder] = {}
+_encoders: dict[tuple[str, int, bool], Encoder] = {}
 
 
-def encoder(path: str, end_id: int) -> Encoder:
+def encoder(path: str, end_id: int, match_added: bool) -> Encoder:
     """This Python worker's encoder."""
-    if (path, end_id) not in _encoders:
-        _encoders[path, end_id] = Encoder(path, end_id)
-    return _encoders[path, end_id]
+    key = (path, end_id, match_added)
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
 
 
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long, bytes long"
@@ -301,7 +312,7 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array]]:
         at = upto
 
 
-def _writer(folder: str, tokenizer: str, end_id: int, shard_tokens: int):
+def _writer(folder: str, tokenizer: str, end_id: int, shard_tokens: int, match_added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = open_fs(folder)
         fs.create_dir(base, recursive=True)
@@ -322,7 +333,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, shard_tokens: int):
 
         for batch in batches:
             for numbers, texts in _pieces(batch):
-                got, each = encoder(tokenizer, end_id).encode(texts)
+                got, each = encoder(tokenizer, end_id, match_added).encode(texts)
                 ends = np.cumsum(each)
                 numbers, at = numbers.to_pylist(), 0
                 while at < len(each):  # shards end with the document that fills them
@@ -342,19 +353,19 @@ def _writer(folder: str, tokenizer: str, end_id: int, shard_tokens: int):
 
 
 def write_shards(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0,
-                 shard_tokens: int = 1 << 22, folder: str | None = None) -> DataFrame:
+                 shard_tokens: int = 1 << 22, folder: str | None = None, match_added: bool = False) -> DataFrame:
     """Encode and write all documents in ascending id order; returns the manifest (part, seq, path, ...) with ``start``.
 
     Shards follow each other by (part, seq) and ``start`` is the number of ids before a shard. Null texts are empty; a
     null id comes last; rows with the same id are ordered by a hash of their text; repeated rows are all written. An
     empty table gives no shard. Files are written under names of their own, and only those of finished tasks are in
-    the manifest, so a lost executor leaves at most files that nothing refers to.
+    the manifest, so a lost executor leaves at most files that nothing refers to. ``match_added`` is that of Encoder.
     """
     folder = folder or scratch_dir(docs.sparkSession, "tokens")
     rows = docs.select(F.col(q(id_col)).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     order = [F.col("id").asc_nulls_last(), F.xxhash64("text")]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    manifest = checkpointed(rows.mapInArrow(_writer(folder, tokenizer, end_id, shard_tokens), MANIFEST))
+    manifest = checkpointed(rows.mapInArrow(_writer(folder, tokenizer, end_id, shard_tokens, match_added), MANIFEST))
     # two steps, so that no window holds more than the partitions or one partition's shards
     parts = manifest.groupBy("part").agg(F.sum("n_tokens").alias("t"))
     upto = (Window.unboundedPreceding, -1)
@@ -390,5 +401,5 @@ def read_shards(manifest: DataFrame) -> DataFrame:
 def op2_wavelet_token_shards(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    manifest = write_shards(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    manifest = write_shards(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), match_added=True)
     return read_shards(manifest)

@@ -45,6 +45,33 @@ def test_encoder_equals_the_library(monkeypatch):
         assert each.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
 
 
+def _untouched(texts):
+    from tokenizers import Tokenizer
+
+    return [e.ids for e in Tokenizer.from_file(BPE).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_encoder_matches_added_tokens_as_the_library_does():
+    e = wavelet.Encoder(BPE, match_added=True)
+    texts = ["a<|endoftext|>b", "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|> <|endoftext|>", "a\n<|endoftext|>\nb",
+             "<|endoftext|", "plain words here", *_texts(4000, 2)]
+    ids, each = e.encode(pa.array(texts))
+    want = [x + [0] for x in _untouched(texts)]
+    assert want[0] == [64, 50256, 65, 0]
+    assert each.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+
+
+def test_token_shards_query_equals_the_untouched_library(spark, docs_of, cases, tmp_path):
+    rows = [(0, "a<|endoftext|>b"), *cases, *[(100 + i, t) for i, t in enumerate(_texts(200, 4))]]
+    docs_of(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(wavelet.op2_wavelet_token_shards(spark, str(tmp_path)).collect(), key=lambda r: r.start)
+    want = []
+    for (i, _), x in zip(rows, _untouched([t or "" for _, t in rows])):
+        want.append((str(i), len(x) + 1, zlib.crc32(np.array(x + [0], "<u4").tobytes())))
+    assert sorted((str(r.doc_id), r.n_tokens, r.ids_crc32) for r in got) == sorted(want)
+    assert [r.start for r in got] == np.cumsum([0] + [r.n_tokens for r in got])[:-1].tolist()
+
+
 @pytest.mark.parametrize("n, top", [(0, 1), (1, 1), (1000, 2), (70000, 300), (150000, 50257)])
 def test_wavelet_matrix(n, top):
     ids = np.random.default_rng(n).integers(0, top, n).astype(np.uint16)
