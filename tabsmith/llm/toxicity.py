@@ -9,6 +9,7 @@ its own, and a neutral mention does not raise the score.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from tabsmith.llm.common import checkpointed, packed, q, read, unpacked
 from tabsmith.llm.langid import held_out
 
-# fixed values: terms that name groups, by kind; the first of each kind is the neutral word
+# fixed values: terms that name groups, by kind and language; the first of each kind is the neutral word
 IDENTITY_TERMS = {
     "person": "person woman man girl boy lesbian gay transgender christian muslim jew hindu buddhist atheist immigrant "
               "refugee foreigner american mexican african asian arab",
@@ -27,9 +28,46 @@ IDENTITY_TERMS = {
               "refugees foreigners americans mexicans africans asians arabs",
     "quality": "usual female male black white brown latino jewish islamic catholic protestant queer bisexual "
                "disabled blind deaf elderly young old",
+    "person de": "mensch frau mann mädchen bub lesbe schwuler christ christin muslim muslimin jude jüdin hindu buddhist "
+                 "buddhistin atheist atheistin einwanderer einwanderin migrant migrantin flüchtling ausländer ausländerin "
+                 "amerikaner amerikanerin mexikaner mexikanerin afrikaner afrikanerin asiate asiatin araber araberin türke türkin",
+    "people de": "menschen leute frauen männer jungs lesben schwulen christen christinnen muslime muslimen muslimas juden "
+                 "jüdinnen hindus buddhisten atheisten einwanderern migranten migrantinnen flüchtlinge flüchtlingen "
+                 "ausländern ausländerinnen amerikanern mexikanern afrikanern asiaten arabern türken türkinnen",
+    "person es": "persona mujer hombre niña niño chica chico lesbiana gay transexual cristiano cristiana musulmán musulmana "
+                 "judío judía hindú budista ateo atea inmigrante refugiado refugiada extranjero extranjera americano "
+                 "americana mexicano mexicana africano africana asiático asiática árabe",
+    "people es": "personas gente mujeres hombres niñas niños chicas chicos lesbianas gays transexuales cristianos cristianas "
+                 "musulmanes musulmanas judíos judías hindúes budistas ateos ateas inmigrantes refugiados refugiadas "
+                 "extranjeros extranjeras americanos americanas mexicanos mexicanas africanos africanas asiáticos asiáticas árabes",
+    "quality es": "habitual femenino femenina masculino masculina negro negra blanco blanca moreno morena latino latina islámico "
+                  "islámica católico católica protestante bisexual discapacitado discapacitada ciego ciega sordo sorda "
+                  "anciano anciana joven viejo vieja",
+    "qualities es": "habituales femeninos femeninas masculinos masculinas negros negras blancos blancas morenos morenas latinos "
+                    "latinas islámicos islámicas católicos católicas protestantes bisexuales discapacitados discapacitadas "
+                    "ciegos ciegas sordos sordas ancianos ancianas jóvenes viejos viejas",
+    "person fr": "personne femme homme fille garçon lesbienne gay homosexuel homosexuelle transgenre chrétien chrétienne musulman "
+                 "musulmane juif juive hindou hindoue bouddhiste athée immigré immigrée réfugié réfugiée étranger étrangère "
+                 "américain américaine mexicain mexicaine africain africaine asiatique arabe maghrébin maghrébine",
+    "people fr": "personnes gens femmes hommes filles garçons lesbiennes gays homosexuels homosexuelles transgenres chrétiens "
+                 "chrétiennes musulmans musulmanes juifs juives hindous hindoues bouddhistes athées immigrés immigrées réfugiés "
+                 "réfugiées étrangers étrangères américains américaines mexicains mexicaines africains africaines asiatiques "
+                 "arabes maghrébins maghrébines",
+    "quality fr": "habituel féminin féminine masculin masculine noir noire blanc blanche latino islamique catholique protestant "
+                  "protestante bisexuel bisexuelle handicapé handicapée aveugle sourd sourde âgé âgée jeune vieux vieille",
+    "qualities fr": "habituels féminins féminines masculins masculines noirs noires blancs blanches latinos islamiques catholiques "
+                    "protestants protestantes bisexuels bisexuelles handicapés handicapées aveugles sourds sourdes âgés âgées "
+                    "jeunes vieilles",
 }
+_QUALITY_DE = ("üblich weiblich männlich schwarz weiß braun lateinamerikanisch jüdisch islamisch muslimisch katholisch evangelisch "
+               "queer bisexuell lesbisch schwul behindert blind gehörlos betagt jung alt")
+for _end in ("", "e", "en", "er", "es", "em"):  # German adjectives are swapped for others with the same ending
+    IDENTITY_TERMS[f"quality de -{_end}"] = " ".join(w + _end for w in _QUALITY_DE.split())
 KINDS = {kind: terms.split() for kind, terms in IDENTITY_TERMS.items()}
-KIND_OF = {t: kind for kind, terms in KINDS.items() for t in terms}
+KIND_OF: dict[str, str] = {}
+for _kind, _terms in KINDS.items():  # a term of several kinds or languages belongs to the first
+    for _term in _terms:
+        KIND_OF.setdefault(_term, _kind)
 PREFIXES = (4, 5, 6)
 OUTS = ["score"]
 
@@ -61,8 +99,11 @@ def swaps(words: set[str]) -> list[set[str]]:
 
 
 class Model:
-    def __init__(self, weights: dict[str, float], bias: float) -> None:
+    """Weights of features; ``pairs`` is how many counterfactual pairs the fit had (0: a plain logistic regression)."""
+
+    def __init__(self, weights: dict[str, float], bias: float, pairs: int = 0) -> None:
         self.bias = bias
+        self.pairs = pairs
         self.words = {f: w for f, w in weights.items() if f[:1] != "^"}
         self.starts = [(n, {f[1:]: w for f, w in weights.items() if f[:1] == "^" and len(f) == n + 1}) for n in PREFIXES]
 
@@ -79,9 +120,11 @@ class Model:
 
 def fit_weights(x: np.ndarray, y: np.ndarray, pairs: tuple[np.ndarray, np.ndarray], fairness: float, l2: float = 2e-4,
                 rounds: int = 300, step: float = 0.1) -> np.ndarray:
-    """Full-batch Adam on log-loss + l2 + fairness * mean squared score change over the counterfactual pairs."""
-    a, b = pairs
-    d = a - b
+    """Full-batch Adam on log-loss + l2 + fairness * mean squared score change over the counterfactual pairs.
+
+    ``pairs`` holds the distinct feature changes and how often each occurs.
+    """
+    d, times = pairs
     w = np.zeros(x.shape[1] + 1, dtype=np.float32)
     m, v = np.zeros_like(w), np.zeros_like(w)
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())).astype(np.float32)
@@ -90,7 +133,7 @@ def fit_weights(x: np.ndarray, y: np.ndarray, pairs: tuple[np.ndarray, np.ndarra
         g = (p - y) * weight
         grad = np.append(x.T @ g + l2 * w[:-1], g.sum())
         if len(d):
-            grad[:-1] += fairness * 2 * (d.T @ (d @ w[:-1])) / len(d)
+            grad[:-1] += fairness * 2 * (d.T @ (times * (d @ w[:-1]))) / times.sum()
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
         w -= (step * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)).astype(np.float32)
     return w
@@ -109,16 +152,16 @@ def _fitter(names: list[str], fairness: float):
         x = np.zeros((len(pdf), len(names)), dtype=np.float32)
         for i, fs in enumerate(pdf["features"]):
             x[i, [index[f] for f in fs]] = 1
-        first, second = [], []
-        for fs, named in zip(pdf["features"], pdf["named"]):
+        changes, times = [], []
+        for named, n in Counter(map(tuple, pdf["named"])).items():
             own = set(named)
             for other in swaps(own):  # the rest of the text is the same on both sides
-                first.append(vector(features_of(own)))
-                second.append(vector(features_of(other)))
-        shape = (0, len(names))
-        pairs = (np.stack(first), np.stack(second)) if first else (np.zeros(shape, np.float32), np.zeros(shape, np.float32))
+                changes.append(vector(features_of(own)) - vector(features_of(other)))
+                times.append(n)
+        pairs = (np.array(changes, np.float32).reshape(-1, len(names)), np.array(times, np.float32))
         w = fit_weights(x, pdf["y"].to_numpy(np.float32), pairs, fairness)
-        return pd.DataFrame({"names": [names], "weights": [w[:-1].tolist()], "bias": [float(w[-1])]})
+        return pd.DataFrame({"names": [names], "weights": [w[:-1].tolist()], "bias": [float(w[-1])],
+                             "pairs": [sum(times)]})
 
     return run
 
@@ -178,10 +221,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     names = sorted(chosen | features_of(set(KIND_OF)))
     picked = rows.select("y", "order", "named", _features_column(frozenset(names))("words").alias("features"))
     fitted = picked.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(
-        _fitter(names, fairness), "names array<string>, weights array<double>, bias double").first()
+        _fitter(names, fairness), "names array<string>, weights array<double>, bias double, pairs long").first()
     # the sample holds the classes in equal weight: move the bias back by half the log-odds of the true shares
     prior = 0.5 * float(np.log(sizes[1] / sizes[0]))
-    return Model({f: w for f, w in zip(fitted["names"], fitted["weights"]) if w}, fitted["bias"] + prior)
+    return Model({f: w for f, w in zip(fitted["names"], fitted["weights"]) if w}, fitted["bias"] + prior, fitted["pairs"])
 
 
 def score_column(model: Model):

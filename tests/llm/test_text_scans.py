@@ -138,6 +138,36 @@ def test_counterfactual_penalty_lowers_neutral_mentions(spark, docs_of):
     assert gap(fair) < 0.25 * gap(free)
 
 
+NAMED = {"de": ("frauen", "menschen"), "es": ("mujeres", "personas"), "fr": ("femmes", "personnes")}
+
+
+@pytest.mark.parametrize("lang", sorted(NAMED))
+def test_counterfactual_penalty_acts_in_every_language(spark, docs_of, lang):
+    docs, labels = _identity_corpus(docs_of, spark)
+    group, neutral = NAMED[lang]
+    docs = docs.withColumn("text", F.regexp_replace("text", "women", group))
+    free, fair = toxicity.fit(docs, labels, fairness=0.0), toxicity.fit(docs, labels, fairness=50.0)
+    gap = lambda m: abs(m.score(f"{group} walk") - m.score(f"{neutral} walk"))
+    assert gap(free) > 0.1 and gap(fair) < 0.25 * gap(free)
+    named = docs.filter(F.col("text").contains(f" {group}")).count()
+    assert fair.pairs == 4 * named > 0
+    assert toxicity.fit(docs.withColumn("text", F.regexp_replace("text", group, "")), labels).pairs == 0
+
+
+def test_identity_terms_move_within_their_kind():
+    for term, kind in toxicity.KIND_OF.items():
+        neutral, *moved = toxicity.swaps({term, "x"})
+        assert neutral == {toxicity.KINDS[kind][0], "x"}
+        assert all(m <= {*toxicity.KINDS[kind], "x"} and term not in m for m in moved)
+
+
+def test_toxicity_held_out_recall(spark):
+    large = "/root/testdata/sf0.1"  # 120 held-out toxic rows; the smaller table has 14
+    got = toxicity.op10_toxicity_counterfactual(spark, large)
+    labels = spark.read.parquet(f"{large}/labels.parquet").filter("toxic = 1")
+    assert got.filter("held_out").join(labels, "doc_id").agg(F.avg("predicted")).first()[0] >= 0.85
+
+
 def test_toxicity_odd_cases(spark, docs_of, cases):
     docs, labels = _identity_corpus(docs_of, spark)
     odd = spark.createDataFrame([(None, 1, 1), (3, 1, None), (4, 1, 7), (8, 1, 1), (8, 1, 0)], "doc_id long, quality int, toxic int")
