@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tabsmith.llm.common import WORD, attach, checkpointed, numbered, packed, q, read, text_or_empty, unpacked
 
 GRID = 32  # divisors tried in one round of the search
+SMALL_PARTS = 16  # with fit_small, a block is at most this part of a small shard's words and of its target
 WEIGHTS = (3, 1, 2)
 
 
@@ -101,8 +102,21 @@ def _number(hash_hex: Column) -> Column:
     return F.conv(F.substring(hash_hex, 1, 8), 16, 10).cast("long")
 
 
+def _fit_small(quotas: DataFrame, shards: DataFrame, block_words: int, cap: float) -> DataFrame:
+    """Give shards with few words or a small target blocks of their own size, and as many as come nearest the target."""
+    goals = shards.select("key", "shard", (F.col("target") * F.try_divide("words", "source_size")).alias("goal"))
+    least = F.least("words", "goal")
+    small = (F.col("words") > 0) & (least < SMALL_PARTS * block_words)
+    n = F.ceil(F.col("words") / F.greatest(F.lit(1), F.floor(least / SMALL_PARTS)))
+    rows = quotas.join(goals, ["key", "shard"]).withColumn("n", F.when(small, n).otherwise(F.col("n")).cast("long"))
+    nearest = F.floor(F.col("goal") * F.try_divide("n", "words") + 0.5)
+    quota = F.when(small, F.least(nearest, (F.lit(cap) * F.col("n")).cast("long"))).otherwise(F.col("quota"))
+    return rows.select("key", "shard", "words", "n", quota.cast("long").alias("quota"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = 1.5,
-        cap: float = 2.0, weights=WEIGHTS, block_words: int = 32, shard_words: int = 1 << 20, seed: int = 42) -> DataFrame:
+        cap: float = 2.0, weights=WEIGHTS, block_words: int = 32, shard_words: int = 1 << 20, seed: int = 42,
+        fit_small: bool = False) -> DataFrame:
     """(row, id, size, source_size, target, taken, spans) of every row of ``docs``.
 
     ``size`` counts the words (runs without white space; null and empty: 0), ``source_size`` those of the row's source,
@@ -111,6 +125,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     the row's number in the scan, to find it again. A null source is a source of its own, after all others. Repeated
     rows are separate rows. Rows without words get 0 and no span. An empty table gives an empty result.
 
+    Blocks hold about ``block_words`` words, so a source of few words can miss its target by about one block, or get no
+    seat. With ``fit_small`` a shard whose words or target are below 16 blocks is cut into smaller ones and takes as many
+    as come nearest its share of the target.
+
     A source has one shard per ``shard_words`` words, so a window over a shard is bounded however large the source is.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(q(id_col)).alias("id"),
@@ -127,12 +145,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     placed = attach(rows, sources.withColumnRenamed("size", "source_size"), "key", "rows", n)
     placed = placed.withColumn("shard", F.pmod(_number(_hash(seed, "shard")), F.col("shards")))
-    shards = checkpointed(placed.groupBy("key", "shard").agg(F.sum("size").alias("words")))
+    shards = checkpointed(placed.groupBy("key", "shard").agg(
+        F.sum("size").alias("words"), F.max("target").alias("target"), F.max("source_size").alias("source_size")))
     quotas = sainte_lague(shards.select(F.col("key").alias("grp"), F.col("shard").alias("name"),
                                         F.col("words").cast("double").alias("value")), won)
     blocks = F.greatest(F.lit(1), F.floor(F.col("value") / block_words + 0.5)).cast("long")
     quotas = quotas.select(F.col("grp").alias("key"), F.col("name").alias("shard"), F.col("value").cast("long").alias("words"),
                            blocks.alias("n"), F.least(F.col("won"), (F.lit(cap) * blocks).cast("long")).alias("quota"))
+    if fit_small:
+        quotas = _fit_small(quotas, shards, block_words, cap)
     phase = F.pmod(_number(F.md5(F.concat_ws("|", F.lit(f"{seed}|phase"), "key", F.col("shard").cast("string")).cast("binary"))), F.col("n"))
     quotas = checkpointed(quotas.withColumn("phase", phase))
 

@@ -106,6 +106,36 @@ def test_mixed_documents(docs_of):
     assert sum(r.text in whole for r in rows) > len(rows) / 2
 
 
+def _small_rows(sizes):
+    """Sources of so many words, in texts of up to 9."""
+    rows = []
+    for s, n in sizes.items():
+        rows += [(len(rows) + at // 9, " ".join(f"{s}{i}" for i in range(at, min(n, at + 9))), "en", s) for at in range(0, n, 9)]
+    return rows
+
+
+@pytest.mark.parametrize("sizes, want", [
+    ({"a": 7, "b": 20, "c": 50, "d": 3000}, {"a": 14, "b": 40, "c": 100}),
+    ({"a": 100, "b": 100, "c": 100}, {"a": 200, "b": 250 / 3, "c": 500 / 3}),
+    ({"a": 1, "b": 0, "c": 4000}, {"a": 2, "b": 0})])
+def test_small_sources_come_near_their_targets(spark, docs_of, sizes, want):
+    docs = docs_of(_small_rows(sizes))
+    rows = mixing.mix(docs, fit_small=True).collect()
+    assert all(r.taken <= 2 * r.size and r.taken == sum((s.until - s.first) * s.times for s in r.spans) for r in rows)
+    source = {r.doc_id: r.source for r in docs.collect()}
+    taken, targets = dict.fromkeys(sizes, 0), {}
+    for r in rows:
+        taken[source[r.id]] += r.taken
+        targets[source[r.id]] = r.target
+    for s, t in want.items():
+        assert abs(targets.get(s, 0) - t) < 1e-6 and abs(taken[s] - t) <= max(0.03 * t, 0.5)
+    assert abs(sum(taken.values()) - 1.5 * sum(sizes.values())) <= 32 * len(sizes)
+    staged = dict.fromkeys(sizes, 0)  # the pipeline's stage takes the same words
+    for r in corpus_pipeline.mix(spark, docs, "").collect():
+        staged[r.source] += len(r.text.split())
+    assert staged == taken
+
+
 def test_copies():
     assert mixing.copies("a b  c d", 4, [(0, 2, 1), (2, 4, 1)]) == ["a b  c d"]
     assert mixing.copies("a b  c d", 4, [(0, 2, 2), (2, 4, 1)]) == ["a b  c d", "a b"]
