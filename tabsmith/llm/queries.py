@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from tabsmith.llm.centroids import OP13_SQL, op13_vptree_centroids
+from tabsmith.llm.decontaminate import OP11_SQL, op11_prefix_decontamination
 from tabsmith.llm.exact_dedup import OP7_SQL, op7_bloom_exact_dedup
+from tabsmith.llm.fim import OP12_SQL, op12_fim_piece_table
 from tabsmith.llm.langid import op1_language_id_ecoc
 from tabsmith.llm.licenses import op9_license_scan
 from tabsmith.llm.mixing import OP4_SQL, op4_mix_sainte_lague
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_topk_uniform_threshold": op8_topk_uniform_threshold,
     "op9_license_scan": op9_license_scan,
     "op10_toxicity_counterfactual": op10_toxicity_counterfactual,
+    "op11_prefix_decontamination": op11_prefix_decontamination,
+    "op12_fim_piece_table": op12_fim_piece_table,
+    "op13_vptree_centroids": op13_vptree_centroids,
 }
 
 ORACLES = {
@@ -31,4 +37,7 @@ ORACLES = {
     "op6_warc_round_trip": OP6_SQL,
     "op7_bloom_exact_dedup": OP7_SQL,
     "op8_topk_uniform_threshold": OP8_SQL,
+    "op11_prefix_decontamination": OP11_SQL,
+    "op12_fim_piece_table": OP12_SQL,
+    "op13_vptree_centroids": OP13_SQL,
 }
