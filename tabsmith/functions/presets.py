@@ -55,6 +55,23 @@ TRAIN_SIZES = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]
 # SVM C sweep.
 SVM_C_VALUES = [0.01, 0.1, 1.0, 10.0, 100.0]
 CV_FOLDS = 5
+# Search spaces: model -> (method, values in their order, draws of a random search).
+PARAM_GRIDS = {
+    "logistic": ("grid", {"C": [0.01, 0.1, 1, 10, 100], "solver": ["lbfgs", "saga"], "max_iter": [1000, 3000, 5000]}, 0),
+    "knn": ("grid", {"n_neighbors": [3, 5, 7, 9, 11, 15], "weights": ["uniform", "distance"],
+                     "metric": ["euclidean", "manhattan", "minkowski"], "p": [1, 2]}, 0),
+    "svm": ("grid", {"C": [0.1, 1, 10, 100], "kernel": ["rbf", "poly", "linear"], "gamma": ["scale", "auto", 0.01, 0.1]}, 0),
+    "random_forest": ("random", {"n_estimators": [100, 200, 500], "max_depth": [10, 20, 30, None],
+                                 "min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2, 4],
+                                 "class_weight": ["balanced", "balanced_subsample", None]}, 6),
+    "boosted": ("random", {"n_estimators": [100, 200, 500], "max_depth": [3, 6, 9], "learning_rate": [0.01, 0.05, 0.1, 0.3],
+                           "subsample": [0.7, 0.8, 1.0], "colsample_bytree": [0.7, 0.8, 1.0], "gamma": [0, 0.1, 0.3],
+                           "reg_alpha": [0, 0.1, 1.0], "reg_lambda": [1, 1.5, 2.0]}, 8),
+    "boosted_leafwise": ("random", {"n_estimators": [100, 200, 300, 500], "num_leaves": [31, 63, 127],
+                                    "learning_rate": [0.01, 0.05, 0.1], "min_child_samples": [20, 50, 100],
+                                    "subsample": [0.7, 0.8, 1.0], "colsample_bytree": [0.7, 0.8, 1.0],
+                                    "reg_alpha": [0, 0.1, 1.0], "reg_lambda": [0, 0.1, 1.0], "class_weight": ["balanced"]}, 9),
+}
 SEED = 42
 VAL_FRACTION = 0.1
 TEST_FRACTION = 0.2

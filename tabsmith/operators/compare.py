@@ -18,10 +18,12 @@ from tabsmith.operators import metrics as M
 
 def comparison_table(pred: DataFrame, model: str = "model", split: str = "split") -> DataFrame:
     """A3: one row per model — test scores and train accuracy (numbers, not text)."""
-    test = M.metrics_wide(pred.where(F.col(split) == "test"), [model]).select(
-        model, "accuracy", "balanced_accuracy", "f1_macro", "f1_weighted", "cohen_kappa")
-    train = M.accuracy(pred.where(F.col(split) == "train"), [model]).withColumnRenamed("accuracy", "train_accuracy")
-    return test.join(train, model, "left")
+    both = M.metrics_wide(pred.where(F.col(split).isin("test", "train")), [model, split])
+    test = lambda c: F.max(F.when(F.col(split) == "test", F.col(c))).alias(c)
+    rows = both.groupBy(model).agg(
+        *[test(c) for c in ("accuracy", "balanced_accuracy", "f1_macro", "f1_weighted", "cohen_kappa")],
+        F.max(F.when(F.col(split) == "train", F.col("accuracy"))).alias("train_accuracy"))
+    return rows.where(F.col("accuracy").isNotNull())  # a model without test rows has no line
 
 
 def per_class_table(pred: DataFrame, model: str = "model", split: str = "split") -> DataFrame:

@@ -44,41 +44,41 @@ def _div0(a, b):
     return F.when(b == 0, F.lit(0.0)).otherwise(a / b)
 
 
-def per_class(pred: DataFrame, grp: list[str], cm: DataFrame | None = None) -> DataFrame:
+def class_totals(pred: DataFrame, grp: list[str]) -> DataFrame:
+    """(grp..., class, support, pred_n, tp) for every label seen in actual or predicted, from the confusion counts.
+
+    Each count goes to its row's and its column's class, so no zero cells and no joins are needed.
+    """
+    n, zero = F.col("n"), F.lit(0).cast("long")
+    tp = F.when(F.col("actual") == F.col("predicted"), n).otherwise(zero)
+    sides = F.explode(F.array(F.struct(F.col("actual").alias("class"), n.alias("support"), zero.alias("pred_n"), tp.alias("tp")),
+                              F.struct(F.col("predicted").alias("class"), zero.alias("support"), n.alias("pred_n"), zero.alias("tp"))))
+    return confusion_counts(pred, grp).select(*grp, sides.alias("_s")).groupBy(*grp, F.col("_s.class").alias("class")).agg(
+        *[F.sum(f"_s.{c}").cast("long").alias(c) for c in ("support", "pred_n", "tp")])
+
+
+def per_class(pred: DataFrame, grp: list[str]) -> DataFrame:
     """(grp..., class, precision, recall, f1, support)."""
-    cm = cm if cm is not None else confusion_matrix(pred, grp)
-    rows = cm.groupBy(*grp, F.col("actual").alias("class")).agg(
-        F.sum("n").alias("support"), F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n"))).alias("tp"))
-    cols = cm.groupBy(*grp, F.col("predicted").alias("class")).agg(F.sum("n").alias("pred_n"))
-    j = rows.join(cols, grp + ["class"])
     p = _div0(F.col("tp"), F.col("pred_n"))
     r = _div0(F.col("tp"), F.col("support"))
-    j = j.select(*grp, "class", p.alias("precision"), r.alias("recall"), F.col("support").cast("long").alias("support"))
+    j = class_totals(pred, grp).select(*grp, "class", p.alias("precision"), r.alias("recall"), "support")
     f1 = _div0(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
     return j.select(*grp, "class", "precision", "recall", f1.alias("f1"), "support")
 
 
 def metrics_wide(pred: DataFrame, grp: list[str]) -> DataFrame:
-    """One row per group with every scalar metric."""
-    cm = hold(confusion_matrix(pred, grp))
-    pc = per_class(pred, grp, cm)
-    # marginals for kappa / MCC: t_k (actual counts) and p_k (predicted counts)
-    t = cm.groupBy(*grp, F.col("actual").alias("c")).agg(F.sum("n").cast("double").alias("t"))
-    p = cm.groupBy(*grp, F.col("predicted").alias("c")).agg(F.sum("n").cast("double").alias("p"))
-    tp = t.join(p, grp + ["c"])
-    marg = tp.groupBy(*grp).agg(F.sum(F.col("t") * F.col("p")).alias("sum_tp"),
-                                F.sum(F.col("t") * F.col("t")).alias("sum_tt"),
-                                F.sum(F.col("p") * F.col("p")).alias("sum_pp"))
-    tot = cm.groupBy(*grp).agg(F.sum("n").cast("double").alias("s"),
-                               F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n"))).cast("double").alias("c"))
-    agg = pc.groupBy(*grp).agg(
-        F.avg(F.when(F.col("support") > 0, F.col("recall"))).alias("balanced_accuracy"),
-        F.avg("precision").alias("precision_macro"), F.avg("recall").alias("recall_macro"),
-        F.avg("f1").alias("f1_macro"),
-        (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("precision_weighted"),
-        (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("recall_weighted"),
-        (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1_weighted"))
-    j = tot.join(marg, grp).join(agg, grp)
+    """One row per group with every scalar metric, two small aggregates over the confusion counts."""
+    p = _div0(F.col("tp"), F.col("pred_n"))
+    r = _div0(F.col("tp"), F.col("support"))
+    pc = class_totals(pred, grp).withColumns({"precision": p, "recall": r})
+    pc = pc.withColumn("f1", _div0(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
+    t, q = F.col("support").cast("double"), F.col("pred_n").cast("double")  # squares of counts leave 64 bits
+    weighted = lambda c: F.sum(F.col(c) * F.col("support")) / F.sum("support")
+    j = pc.groupBy(*grp).agg(
+        F.sum(t).alias("s"), F.sum(F.col("tp").cast("double")).alias("c"), F.sum(t * q).alias("sum_tp"), F.sum(t * t).alias("sum_tt"),
+        F.sum(q * q).alias("sum_pp"), F.avg(F.when(F.col("support") > 0, F.col("recall"))).alias("balanced_accuracy"),
+        F.avg("precision").alias("precision_macro"), F.avg("recall").alias("recall_macro"), F.avg("f1").alias("f1_macro"),
+        weighted("precision").alias("precision_weighted"), weighted("recall").alias("recall_weighted"), weighted("f1").alias("f1_weighted"))
     po = F.col("c") / F.col("s")
     pe = F.col("sum_tp") / (F.col("s") * F.col("s"))
     kappa = _div0(po - pe, 1 - pe)

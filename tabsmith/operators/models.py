@@ -1,41 +1,53 @@
-"""MLlib classifiers behind one contract (M1, M3-M6, A1, A2, T1) and PCA (V6).
-
-Each builder returns an MLlib estimator configured like the original model;
-``fit_score`` fits on the train split, predicts test and train, and returns the
-prediction table ``(model, split, row_id, actual, predicted, proba)`` that all
-metric operators consume. Re-aimed pieces (see README): the RBF SVM uses a
-random-Fourier feature map + one-vs-rest LinearSVC, and both boosted-tree
-models use one-vs-rest GBTClassifier (MLlib GBT is binary).
+"""The six classifiers behind one contract (M1-M6, A1, T1), their curves, importances and facts, and PCA (V6).
+
+``fit_model`` fits one by name and returns a ``Fitted``, whose ``predict`` gives the prediction table
+``(model, split, row_id, actual, predicted, proba)`` that all metric operators consume. Logistic regression, SVM and
+forest are MLlib estimators configured like the original models: the SVM is one-vs-rest ``LinearSVC`` on the raw
+columns (linear), a degree-3 polynomial expansion (poly) or a random-Fourier map (rbf). KNN is the exact search of
+``operators.knn``. Both boosted models are the softmax boosting of ``operators.boosting``.
 """
 
 from __future__ import annotations
 
 import math
 import time
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Transformer
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, OneVsRest,
-                                       RandomForestClassifier)
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.feature import PCA, PolynomialExpansion, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tabsmith.session import hold
 from pyspark.sql import types as T
 
 from tabsmith.functions.presets import SEED
+from tabsmith.operators import boosting as BO
+from tabsmith.operators import knn as K
+from tabsmith.operators.metrics import EPS
 from tabsmith.operators.scale import class_weights
+from tabsmith.session import ensure_checkpoint_dir, hold
 
-MODELS = ("logistic", "svm", "random_forest", "boosted", "boosted_leafwise")
+MODELS = ("logistic", "knn", "svm", "random_forest", "boosted", "boosted_leafwise")
+BOOSTED = ("boosted", "boosted_leafwise")
+ROWS_PER_PARTITION = 20_000
 
 
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep").transform(df)
 
 
+def fit_frame(df: DataFrame, least: int = 1) -> DataFrame:
+    """Keep a training table in as many partitions as its counted rows need: an optimizer's step is a job over them.
+
+    A forest finds its splits per partition, so it asks for one a core at ``least``."""
+    parts = max(least, -(-df.count() // ROWS_PER_PARTITION))
+    return hold(df.coalesce(parts) if least == 1 else df.repartition(parts))
+
+
 def with_balanced_weight(df: DataFrame, label: str) -> DataFrame:
     w = class_weights(df, label).select(label, F.col("weight").alias("w"))
     return df.join(w, label, "left")
@@ -47,7 +59,7 @@ class FourierFeatures(Transformer):
     (D x d) matrix fixed by the seed; rows are mapped in Arrow batches."""
 
     def __init__(self, n_features: int, gamma: float, n_components: int = 256, seed: int = SEED,
-                 input_col: str = "features", output_col: str = "rff"):
+                 input_col: str = "features", output_col: str = "mapped"):
         super().__init__()
         rng = np.random.default_rng(seed)
         self.w = rng.normal(0.0, math.sqrt(2 * gamma), size=(n_components, n_features))
@@ -76,48 +88,57 @@ class FourierFeatures(Transformer):
 class Spec:
     name: str
     estimator: object
-    weighted: bool
     pre: Transformer | None = None
 
 
-def build(name: str, n_features: int, n_train: float, params: dict | None = None) -> Spec:
-    """Model registry: name → configured estimator (original defaults)."""
+def build(name: str, n_features: int, n_train: float, params: dict | None = None, n_classes: int = 2) -> Spec:
+    """MLlib estimator of a model with the original's defaults; ``params`` has the original's parameter names."""
     p = dict(params or {})
     if name == "logistic":
-        c = p.get("C", 1.0)
-        est = LogisticRegression(family="multinomial", regParam=1.0 / (c * n_train), elasticNetParam=0.0,
-                                 standardization=False, maxIter=p.get("max_iter", 3000), weightCol="w",
+        # every solver name of the original's grid finds the same optimum; MLlib's is L-BFGS
+        est = LogisticRegression(family="multinomial", regParam=1.0 / (p.get("C", 1.0) * n_train), elasticNetParam=0.0,
+                                 standardization=False, maxIter=p.get("max_iter", 3000), tol=p.get("tol", 1e-8), weightCol="w",
                                  featuresCol="features", labelCol="label_d")
-        return Spec(name, est, True)
+        return Spec(name, est)
     if name == "svm":
-        c = p.get("C", 10.0)
-        kernel = p.get("kernel", "rbf")
-        gamma = p.get("gamma", 1.0 / n_features)  # 'scale' on standardised data
-        # LinearSVC iterations are Spark jobs: 50 L-BFGS steps on the Fourier map
-        svc = LinearSVC(regParam=1.0 / (c * n_train), maxIter=p.get("max_iter", 50), weightCol="w",
-                        featuresCol="rff" if kernel == "rbf" else "features")
-        est = OneVsRest(classifier=svc, featuresCol=svc.getFeaturesCol(), labelCol="label_d", weightCol="w")
-        pre = FourierFeatures(n_features, gamma) if kernel == "rbf" else None
-        return Spec(name, est, True, pre)
+        kernel, gamma = p.get("kernel", "rbf"), p.get("gamma", "scale")
+        if kernel not in ("rbf", "poly", "linear"):
+            raise ValueError(f"unknown kernel {kernel!r}; use 'rbf', 'poly' or 'linear'")
+        # 'scale' and 'auto' agree on standardised columns
+        gamma = 1.0 / n_features if gamma in ("scale", "auto") else float(gamma)
+        pre, source = None, "features"
+        if kernel == "rbf":
+            pre, source = FourierFeatures(n_features, gamma, n_components=p.get("n_components", 256)), "mapped"
+        elif kernel == "poly":
+            pre, source = PolynomialExpansion(degree=p.get("degree", 3), inputCol="features", outputCol="mapped"), "mapped"
+        # each step is a Spark job, and on the hinge loss steps beyond some tens hardly change the margins
+        svc = LinearSVC(regParam=1.0 / (p.get("C", 10.0) * n_train), maxIter=p.get("max_iter", 50), tol=p.get("tol", 1e-3),
+                        weightCol="w", featuresCol=source)
+        est = OneVsRest(classifier=svc, featuresCol=source, labelCol="label_d", weightCol="w", parallelism=min(n_classes, 8))
+        return Spec(name, est, pre)
     if name == "random_forest":
-        est = RandomForestClassifier(numTrees=p.get("n_estimators", 200), maxDepth=min(p.get("max_depth") or 30, 30),
-                                     minInstancesPerNode=p.get("min_samples_leaf", 1), weightCol="w", seed=SEED,
-                                     featuresCol="features", labelCol="label_d", bootstrap=True,
-                                     maxMemoryInMB=1024, cacheNodeIds=True)
-        return Spec(name, est, True)
-    if name in ("boosted", "boosted_leafwise"):
-        leafwise = name == "boosted_leafwise"
-        extra = {"validationIndicatorCol": "is_val", "validationTol": p.get("validation_tol", 0.001)} if leafwise else {}
-        gbt = GBTClassifier(maxIter=p.get("n_estimators", 300), maxDepth=p.get("max_depth", 6),
-                            stepSize=p.get("learning_rate", 0.05 if leafwise else 0.1),
-                            subsamplingRate=p.get("subsample", 0.8), featureSubsetStrategy=str(p.get("colsample", 0.8)),
-                            minInstancesPerNode=20 if leafwise else 1, seed=SEED, featuresCol="features",
-                            labelCol="label_d", **extra)
-        est = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label_d")
-        return Spec(name, est, False)
+        est = RandomForestClassifier(numTrees=p.get("n_estimators", 200), maxDepth=min(p.get("max_depth", 20) or 30, 30),
+                                     minInstancesPerNode=max(p.get("min_samples_leaf", 1), 1), weightCol="w", seed=SEED,
+                                     featuresCol="features", labelCol="label_d", bootstrap=True, maxMemoryInMB=1024, cacheNodeIds=True)
+        return Spec(name, est)
     raise ValueError(f"unknown model {name!r}; use one of {MODELS}")
 
 
+def boost_params(name: str, params: dict | None = None) -> BO.Boost:
+    """The boosted models' parameters from the original's names; those it does not know raise."""
+    names = {"n_estimators": "rounds", "max_depth": "depth", "learning_rate": "rate", "subsample": "subsample",
+             "colsample_bytree": "colsample", "gamma": "gamma", "reg_alpha": "alpha", "reg_lambda": "lam",
+             "num_leaves": "leaves", "min_child_samples": "min_rows", "early_stopping_rounds": "patience"}
+    params = {k: v for k, v in (params or {}).items() if k != "class_weight"}
+    if unknown := set(params) - set(names):
+        raise ValueError(f"unknown parameters {sorted(unknown)}")
+    own = {names[k]: v for k, v in params.items()}
+    if name == "boosted_leafwise":
+        own.pop("subsample", None)  # the original's library draws rows only with a second parameter, which nobody sets
+        return BO.Boost.leafwise(**own)
+    return BO.Boost(**own)
+
+
 def _softmax_raw(raw_col: str):
     """Uncalibrated probabilities from one-vs-rest margins (softmax)."""
     arr = vector_to_array(raw_col)
@@ -127,75 +148,168 @@ def _softmax_raw(raw_col: str):
     return F.transform(e, lambda v: v / tot)
 
 
-def predictions(model, spec: Spec, df: DataFrame, name: str, split: str, key: str, label: str) -> DataFrame:
-    x = spec.pre.transform(df) if spec.pre is not None else df
-    out = model.transform(x)
-    proba = vector_to_array("probability") if "probability" in out.columns else _softmax_raw("rawPrediction")
-    return out.select(F.lit(name).alias("model"), F.lit(split).alias("split"), F.col(key).alias("row_id"),
-                      F.col(label).cast("int").alias("actual"), F.col("prediction").cast("int").alias("predicted"),
-                      proba.alias("proba"))
+@dataclass
+class Fitted:
+    """A fitted classifier: ``model`` is MLlib's, a ``Booster`` (its problem 0), or for KNN the training rows."""
+
+    name: str
+    model: object
+    cols: list[str]
+    label: str
+    key: str
+    spec: Spec | None = None
+    seconds: float = 0.0
+    params: dict | None = None
+    n_classes: int = 0
+
+    def predict(self, df: DataFrame, split: str) -> DataFrame:
+        """(model, split, row_id, actual, predicted, proba) of every row of ``df``."""
+        actual = F.col(self.label).cast("int").alias("actual")
+        if self.name in BOOSTED:
+            rows = df.select(F.lit(0).alias("problem"), F.col(self.key).alias("row_id"), actual,
+                             F.array(*[F.col(c).cast("double") for c in self.cols]).alias("x"))
+            out = self.model.predict(rows, ["row_id", "actual"])
+        elif self.name == "knn":
+            p = self.params or {}
+            found = K.knn_classify(self.model, df.select(*[F.col(c).alias(c) for c in df.columns]), self.key, self.cols, self.label,
+                                   k=p.get("n_neighbors", 5), weights=p.get("weights", "distance"),
+                                   metric=p.get("metric", "euclidean"), n_classes=self.n_classes)
+            out = found.join(df.select(F.col(self.key).alias("row_id"), actual), "row_id")
+        else:
+            x = assemble(df, self.cols)
+            x = self.spec.pre.transform(x) if self.spec.pre is not None else x
+            scored = self.model.transform(x)
+            proba = vector_to_array("probability") if "probability" in scored.columns else _softmax_raw("rawPrediction")
+            out = scored.select(F.col(self.key).alias("row_id"), actual, F.col("prediction").cast("int").alias("predicted"),
+                                proba.alias("proba"))
+        return out.select(F.lit(self.name).alias("model"), F.lit(split).alias("split"), "row_id", "actual", "predicted", "proba")
+
+
+def fit_model(name: str, train: DataFrame, cols: list[str], label: str, key: str, val: DataFrame | None = None,
+              params: dict | None = None, n_classes: int | None = None) -> Fitted:
+    """Fit one model on ``train``. ``val`` gives boosted models their validation curve and, leaf-wise, its early stop."""
+    n_classes = n_classes or int(train.agg(F.max(F.col(label).cast("int"))).first()[0]) + 1
+    if name == "knn":
+        return Fitted(name, train, cols, label, key, params=params, n_classes=n_classes)
+    if name in BOOSTED:
+        rows = BO.problem_rows(train, cols, label, key, F.lit(BO.TRAIN))
+        if val is not None:
+            rows = rows.unionByName(BO.problem_rows(val, cols, label, key, F.lit(BO.VAL)))
+        t0 = time.time()
+        booster = BO.fit(rows, {0: boost_params(name, params)}, n_classes)
+        return Fitted(name, booster, cols, label, key, seconds=time.time() - t0, params=params, n_classes=n_classes)
+    tr = with_balanced_weight(assemble(train, cols).withColumn("label_d", F.col(label).cast("double")), label)
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    tr = fit_frame(tr.select(label, "label_d", "w", "features"), cores if name == "random_forest" else 1)
+    spec = build(name, len(cols), float(tr.count()), params, n_classes)
+    if spec.pre is not None:
+        tr = fit_frame(spec.pre.transform(tr))  # the feature map runs once, the iterations read its result
+    t0 = time.time()
+    model = spec.estimator.fit(tr)
+    return Fitted(name, model, cols, label, key, spec, time.time() - t0, params, n_classes)
 
 
 def fit_score(name: str, train: DataFrame, test: DataFrame, cols: list[str], label: str, key: str,
               val: DataFrame | None = None, params: dict | None = None):
-    """Fit on train (val for early stopping when the model uses it), predict
-    test and train → (prediction table, fitted model, train seconds)."""
-    tr = assemble(train, cols).withColumn("label_d", F.col(label).cast("double"))
-    te = assemble(test, cols).withColumn("label_d", F.col(label).cast("double"))
-    n_train = tr.count()
-    spec = build(name, len(cols), float(n_train), params)
-    fit_df = with_balanced_weight(tr, label) if spec.weighted else tr
-    if name == "boosted_leafwise":
-        vv = assemble(val, cols).withColumn("label_d", F.col(label).cast("double")) if val is not None else None
-        fit_df = fit_df.withColumn("is_val", F.lit(False))
-        if vv is not None:
-            fit_df = fit_df.unionByName(vv.withColumn("is_val", F.lit(True)), allowMissingColumns=True)
-    if spec.pre is not None:
-        # the Python feature map runs once; iterations read the cached vectors
-        fit_df = hold(spec.pre.transform(fit_df))
-    t0 = time.time()
-    model = spec.estimator.fit(fit_df)
-    secs = time.time() - t0
-    pred = predictions(model, spec, te, name, "test", key, label).unionByName(
-        predictions(model, spec, tr, name, "train", key, label))
-    return pred, model, secs
+    """Fit on train, predict test and train → (prediction table, fitted model, train seconds)."""
+    fitted = fit_model(name, train, cols, label, key, val, params)
+    pred = fitted.predict(test, "test").unionByName(fitted.predict(train, "train"))
+    return pred, fitted, fitted.seconds
+
+
+def train_record(pred: DataFrame, seconds: float | None = None) -> DataFrame:
+    """(model, split, n, accuracy, log_loss, train_seconds) of a prediction table, both scores in one aggregate."""
+    p = F.least(F.greatest(F.element_at("proba", F.col("actual") + 1), F.lit(EPS)), F.lit(1 - EPS))
+    return pred.groupBy("model", "split").agg(
+        F.count("*").alias("n"), F.avg((F.col("predicted") == F.col("actual")).cast("double")).alias("accuracy"),
+        (-F.avg(F.ln(p))).alias("log_loss")).withColumn("train_seconds", F.lit(seconds).cast("double"))
 
 
 def model_facts(pred: DataFrame) -> DataFrame:
-    """What must hold of any probabilistic classifier's table, over all its rows: (split, label, n, proba_sums, argmax,
-    beats_majority) — probabilities sum to one, the prediction is the first largest, accuracy reaches the majority's."""
+    """What must hold of any classifier's table, over all its rows: (split, label, n, proba_sums, argmax, beats_majority).
+
+    Probabilities sum to one, the prediction is the first largest, and on the rows it learned from the model is right
+    at least as often as the most frequent label would be. Nothing of that kind holds of unseen rows, so for other
+    splits ``beats_majority`` is null.
+    """
     top = F.array_position("proba", F.array_max("proba")) - 1
     total = F.aggregate("proba", F.lit(0.0), lambda a, x: a + x)
     rows = pred.groupBy("split", F.col("actual").alias("label")).agg(
         F.count("*").alias("n"), F.max(F.abs(total - 1)).alias("off"), F.count_if(top == F.col("predicted")).alias("same"),
         F.count_if(F.col("predicted") == F.col("actual")).alias("right"))
-    split = rows.groupBy("split").agg((F.sum("right") >= F.max("n")).alias("beats_majority"))
-    return rows.join(split, "split").select("split", "label", "n", (F.col("off") < 1e-9).alias("proba_sums"),
-                                            (F.col("same") == F.col("n")).alias("argmax"), "beats_majority")
-
-
-def importances(model, name: str, cols: list[str], spark) -> DataFrame:
-    """(model, feature, importance)."""
+    split = rows.groupBy("split").agg((F.sum("right") >= F.max("n")).alias("b"))
+    return rows.join(split, "split").select(
+        "split", "label", "n", (F.col("off") < 1e-9).alias("proba_sums"), (F.col("same") == F.col("n")).alias("argmax"),
+        F.when(F.col("split") == "train", F.col("b")).alias("beats_majority"))
+
+
+def logistic_gradient(fitted: Fitted, train: DataFrame) -> np.ndarray:
+    """Gradient of the logistic objective at the returned coefficients (classes x features, 0 at the optimum).
+
+    Summed per Arrow batch, so the driver adds a few small matrices per task.
+    """
+    k, d = fitted.n_classes, len(fitted.cols)
+    weighted = with_balanced_weight(train.withColumn("_row", F.col(fitted.key)), fitted.label)
+    both = fitted.predict(train, "train").select("row_id", "actual", "proba").join(
+        weighted.select(F.col("_row").alias("row_id"), "w", F.array(*fitted.cols).alias("x")), "row_id")
+
+    def run(frames):
+        for pdf in frames:
+            if len(pdf):
+                x, p, w = np.stack(pdf["x"]), np.stack(pdf["proba"]), pdf["w"].to_numpy()
+                p[np.arange(len(p)), pdf["actual"]] -= 1.0
+                yield pd.DataFrame({"g": [((p * w[:, None]).T @ x).ravel()], "w": [w.sum()]})
+
+    parts = both.mapInPandas(run, "g array<double>, w double").collect()
+    total = sum(r.w for r in parts)
+    grad = np.sum([r.g for r in parts], axis=0).reshape(k, d) / total
+    return grad + fitted.spec.estimator.getRegParam() * fitted.model.coefficientMatrix.toArray()
+
+
+def svm_c_sweep(train: DataFrame, val: DataFrame, cols: list[str], label: str, key: str, c_values: list[float],
+                params: dict | None = None) -> DataFrame:
+    """(kernel, C, split, n, accuracy) on train and val for each C, all fits on one held feature map."""
+    p = dict(params or {})
+    n_classes = int(train.agg(F.max(F.col(label).cast("int"))).first()[0]) + 1
+    tr = with_balanced_weight(assemble(train, cols).withColumn("label_d", F.col(label).cast("double")), label)
+    tr = fit_frame(tr)
+    n = float(tr.count())
+    mapped, out = None, None
+    for c in c_values:
+        spec = build("svm", len(cols), n, {**p, "C": c}, n_classes)
+        if mapped is None:
+            mapped = fit_frame(spec.pre.transform(tr)) if spec.pre is not None else tr
+        fitted = Fitted("svm", spec.estimator.fit(mapped), cols, label, key, spec, n_classes=n_classes)
+        for split, df in (("train", train), ("val", val)):
+            row = fitted.predict(df, split).agg(F.count("*").alias("n"), F.avg((F.col("predicted") == F.col("actual")).cast("double")).alias("accuracy"))
+            row = row.select(F.lit(p.get("kernel", "rbf")).alias("kernel"), F.lit(float(c)).alias("C"), F.lit(split).alias("split"), "n", "accuracy")
+            out = row if out is None else out.unionByName(row)
+    return out
+
+
+def importances(fitted: Fitted, cols: list[str], spark) -> DataFrame:
+    """(model, feature, importance); KNN and the SVM have none."""
+    name, model = fitted.name, fitted.model
     if name == "logistic":
-        coef = model.coefficientMatrix.toArray()  # k x d, bounded by classes x features
-        imp = np.abs(coef).mean(axis=0)
+        imp = np.abs(model.coefficientMatrix.toArray()).mean(axis=0)  # k x d, bounded by classes x features
     elif name == "random_forest":
         imp = model.featureImportances.toArray()
-    elif name in ("boosted", "boosted_leafwise"):
-        imp = np.mean([m.featureImportances.toArray() for m in model.models], axis=0)
+    elif name in BOOSTED:
+        imp = model.importances(0, "gain" if name == "boosted" else "split")
     else:
         return spark.createDataFrame([], "model string, feature string, importance double")
     return spark.createDataFrame([(name, c, float(v)) for c, v in zip(cols, imp)],
                                  "model string, feature string, importance double")
 
 
-def loss_curve(model, name: str, spark) -> DataFrame:
-    """Per-iteration objective of the logistic fit → (model, curve_type, x, value)."""
-    if name != "logistic":
-        return spark.createDataFrame([], "model string, curve_type string, x int, value double")
-    hist = model.summary.objectiveHistory
-    return spark.createDataFrame([(name, "objective", i, float(v)) for i, v in enumerate(hist)],
-                                 "model string, curve_type string, x int, value double")
+def loss_curve(fitted: Fitted, spark) -> DataFrame:
+    """(model, curve_type, x, series, value); models without a curve by iteration give no row."""
+    rows = []
+    if fitted.name == "logistic":
+        rows = [("logistic", "objective", i, "train", float(v)) for i, v in enumerate(fitted.model.summary.objectiveHistory)]
+    elif fitted.name in BOOSTED:
+        rows = [(fitted.name, "log_loss", r, split, loss) for _, r, split, loss, _ in fitted.model.curve]
+    return spark.createDataFrame(rows, "model string, curve_type string, x int, series string, value double")
 
 
 def pca_2d(df: DataFrame, cols: list[str], key: str, label: str) -> DataFrame:
@@ -215,31 +329,68 @@ def pca_2d(df: DataFrame, cols: list[str], key: str, label: str) -> DataFrame:
                                      F.lit(float(ev[0])).alias("explained_1"), F.lit(float(ev[1])).alias("explained_2"))
 
 
-def tree_prefix_curve(model, test: DataFrame, cols: list[str], label: str, sizes: list[int],
-                      cut_every: int = 10) -> DataFrame:
-    """Accuracy of the first n trees of ONE fitted forest for each n in ``sizes``.
-
-    The running sum of tree probability vectors is carried row by row (Spark's
-    forest vote), the prefix vote is scored whenever n reaches a size, and the
-    lineage is cut with a reliable checkpoint every ``cut_every`` trees."""
-    from tabsmith.session import cut_lineage
-
-    sizes = sorted(s for s in sizes if s <= len(model.trees))
-    n_cls = model.numClasses
-    cur = assemble(test, cols).select(F.col(label).cast("int").alias("_y"), "features",
-                                      F.array_repeat(F.lit(0.0), n_cls).alias("_acc"))
-    oks: list[str] = []
-    for i, tree in enumerate(model.trees[: max(sizes)]):
-        t = tree.copy().setProbabilityCol("_pr").setPredictionCol("_p").setRawPredictionCol("_r")
-        step = t.transform(cur)
-        cur = step.select("_y", "features", *oks,
-                          F.zip_with("_acc", vector_to_array("_pr"), lambda a, b: a + b).alias("_acc"))
-        if i + 1 in sizes:
-            pred = F.array_position(F.col("_acc"), F.array_max("_acc")) - 1
-            cur = cur.withColumn(f"ok{i + 1}", F.when(pred == F.col("_y"), 1.0).otherwise(0.0))
-            oks.append(f"ok{i + 1}")
-        if (i + 1) % cut_every == 0:
-            cur = cut_lineage(cur)
-    agg = cur.agg(*[F.avg(c).alias(c) for c in oks])
-    return agg.unpivot([], oks, "size", "accuracy").select(
-        F.regexp_replace("size", "ok", "").cast("int").alias("n_trees"), "accuracy")
+def pca_facts(projected: DataFrame, df: DataFrame, cols: list[str], key: str, label: str) -> dict[str, bool]:
+    """Of a ``pca_2d`` table: centred, uncorrelated, variances in the explained shares and order, and no direction of the
+    centred rows (any column, as a spot check) holds more variance than the first component."""
+    a = projected.agg(F.avg("pc1").alias("m1"), F.avg("pc2").alias("m2"), F.var_samp("pc1").alias("v1"), F.var_samp("pc2").alias("v2"),
+                      F.covar_samp("pc1", "pc2").alias("c"), F.max("explained_1").alias("e1"), F.max("explained_2").alias("e2")).first()
+    v = df.agg(*[F.var_samp(c).alias(c) for c in cols]).first()
+    total = sum(v)
+    return {"centred": abs(a.m1) < 1e-9 and abs(a.m2) < 1e-9, "uncorrelated": abs(a.c) < 1e-9 * max(1.0, a.v1),
+            "shares": abs(a.v1 / total - a.e1) < 1e-9 and abs(a.v2 / total - a.e2) < 1e-9, "ordered": a.v1 >= a.v2,
+            "largest": a.v1 >= max(v) - 1e-9}
+
+
+def forest_nodes(fitted: Fitted, spark) -> DataFrame:
+    """Nodes of a fitted forest as a table, read from the model's own saved form:
+    (tree, node, feature, threshold, left, right, votes); feature -1 marks a leaf, votes sum to one."""
+    path = f"{ensure_checkpoint_dir(spark)}/forest-{uuid.uuid4().hex}"
+    fitted.model.write().save(path)
+    n = F.col("nodeData")
+    total = F.aggregate(n["impurityStats"], F.lit(0.0), lambda a, x: a + x)
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), n["id"].alias("node"),
+        F.when(n["leftChild"] < 0, -1).otherwise(n["split"]["featureIndex"]).alias("feature"),
+        F.coalesce(F.try_element_at(n["split"]["leftCategoriesOrThreshold"], F.lit(1)), F.lit(0.0)).alias("threshold"),
+        n["leftChild"].alias("left"), n["rightChild"].alias("right"),
+        F.transform(n["impurityStats"], lambda x: F.try_divide(x, total)).alias("votes"))
+
+
+def tree_prefix_curve(fitted: Fitted, test: DataFrame, sizes: list[int]) -> DataFrame:
+    """(n_trees, accuracy) of the first n trees of ONE fitted forest for each n in ``sizes``, in one pass.
+
+    The forest's nodes (which the driver holds anyway) go to the tasks once; a batch of rows walks tree by tree, adds up
+    the trees' votes and is scored whenever a size is reached. Sizes beyond the forest are left out.
+    """
+    spark = test.sparkSession
+    k, n_trees = fitted.n_classes, len(fitted.model.trees)
+    sizes = sorted(s for s in sizes if s <= n_trees)
+    trees: list = [None] * n_trees
+    for r in forest_nodes(fitted, spark).groupBy("tree").agg(F.array_sort(F.collect_list(F.struct(
+            "node", "feature", "threshold", "left", "right", "votes"))).alias("nodes")).toLocalIterator():
+        trees[r.tree] = (np.array([x.feature for x in r.nodes], np.int32), np.array([x.threshold for x in r.nodes]),
+                         np.array([x.left for x in r.nodes], np.int32), np.array([x.right for x in r.nodes], np.int32),
+                         np.array([x.votes for x in r.nodes]))
+    shared = spark.sparkContext.broadcast(trees)
+    rows = test.select(F.col(fitted.label).cast("int").alias("y"), F.array(*[F.col(c).cast("double") for c in fitted.cols]).alias("x"))
+
+    def run(frames):
+        for pdf in frames:
+            if not len(pdf):
+                continue
+            x, y, votes = np.stack(pdf["x"]), pdf["y"].to_numpy(), np.zeros((len(pdf), k))
+            out = []
+            for i, (feature, cut, left, right, share) in enumerate(shared.value[:max(sizes)]):
+                node = np.zeros(len(x), np.int32)
+                todo = np.arange(len(x)) if feature[0] >= 0 else np.zeros(0, np.int64)
+                while len(todo):
+                    at = node[todo]
+                    node[todo] = np.where(x[todo, feature[at]] <= cut[at], left[at], right[at])
+                    todo = todo[feature[node[todo]] >= 0]
+                votes += share[node]
+                if i + 1 in sizes:
+                    out.append((i + 1, int((votes.argmax(axis=1) == y).sum()), len(y)))
+            yield pd.DataFrame(out, columns=["n_trees", "right", "n"])
+
+    return rows.mapInPandas(run, "n_trees int, right long, n long").groupBy("n_trees").agg(
+        (F.sum("right") / F.sum("n")).alias("accuracy"))

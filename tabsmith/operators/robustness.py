@@ -1,9 +1,10 @@
-"""Robustness of KNN to training noise (A8, A9) as ONE Spark job.
+"""Robustness of the models to training noise.
 
-The training table is copied once per noise setting (clean + 14); each copy
-gets its noise from wide column expressions keyed by (row, setting, feature),
-and one grouped KNN search (``by=[noise_id]``) scores the clean test rows
-against every noisy copy. Label flips use the exact per-setting rank.
+The training table is copied once per noise setting (clean + 14) in one projection: the row's features are an array, the
+setting's type and size are columns, and the keyed noise of a cell depends on (row, setting, feature), so no cell is
+shuffled and the plan has one expression whatever the number of features and settings. Label flips use the exact
+per-setting rank. KNN searches all copies in one grouped search and boosting grows them as problems of one run; MLlib
+models fit one copy at a time from a thread pool.
 """
 
 from __future__ import annotations
@@ -11,11 +12,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabsmith.functions.presets import SEED
+from tabsmith.functions.keyed import keyed_normal, keyed_uniform
+from tabsmith.functions.presets import OUTLIER_MAGNITUDE, SEED
+from tabsmith.operators import boosting as BO
+from tabsmith.operators import models as ML
 from tabsmith.operators.knn import knn_classify
-from tabsmith.operators.noise import apply_noise, noise_configs
+from tabsmith.operators.noise import noise_configs
+from tabsmith.operators.split import class_rank
 from tabsmith.operators.stats import moments
-from tabsmith.session import hold
+from tabsmith.session import hold, in_threads
+
+RESULT = ("model", "noise_id", "type", "param", "label", "accuracy")
 
 
 def settings(spark) -> DataFrame:
@@ -27,35 +34,100 @@ def settings(spark) -> DataFrame:
 
 def noisy_copies(train: DataFrame, cols: list[str], label: str, key: str, n_classes: int,
                  seed: int = SEED) -> DataFrame:
-    """(noise_id, key, label, cols...) — one noisy copy of ``train`` per setting.
-
-    A union of one wide projection per setting over the kept training table: no cell is shuffled. Only the label
-    settings rank their rows.
-    """
-    base = hold(train.select(key, label, *cols))
-    stats = hold(moments(base, cols))
-    out = None
-    for r in settings(train.sparkSession).select("noise_id", "type", "param").collect():  # fixed presets
-        copy = base if r["type"] == "clean" else apply_noise(base, cols, label, key, r["type"], r["param"], n_classes,
-                                                            r["noise_id"], seed, stats)
-        copy = copy.select(F.lit(r["noise_id"]).alias("noise_id"), key, label, *cols)
-        out = copy if out is None else out.unionByName(copy)
-    return out
+    """(noise_id, key, label, cols...) — one noisy copy of ``train`` per setting, the same values as ``apply_noise``."""
+    base = hold(train.select(F.col(key).alias("_key"), F.col(label).alias("_label"), *[F.col(c).cast("double").alias(c) for c in cols]))
+    stats = moments(base, cols).select(*[F.array(*[F.col(f"{s}__{c}") for c in cols]).alias(f"_{s}") for s in ("mean", "std", "min", "max")])
+    cfg = settings(train.sparkSession).select("noise_id", "type", "ratio")
+    rows = base.select("_key", "_label", F.array(*cols).alias("_x")).crossJoin(F.broadcast(stats)).crossJoin(F.broadcast(cfg))  # 1 and 15 rows
+    names = F.array(*[F.lit(c) for c in cols])
+
+    def cell(x, i):
+        tag = lambda what: F.concat(F.lit(f"{what}|"), F.col("noise_id").cast("string"), F.lit("|"), F.get(names, i))
+        u = lambda what: keyed_uniform(F.col("_key"), tag(what), seed)
+        at = lambda s: F.get(F.col(f"_{s}"), i)
+        sign = F.when(u("os") < 0.5, F.lit(1.0)).otherwise(F.lit(-1.0))
+        return (F.when(F.col("type") == "gaussian", x + F.col("ratio") * at("std") * keyed_normal(F.col("_key"), tag("g"), seed))
+                .when(F.col("type") == "salt_pepper",
+                      F.when(u("sp") < F.col("ratio"), F.when(u("spv") < 0.5, at("min")).otherwise(at("max"))).otherwise(x))
+                .when(F.col("type") == "outlier",
+                      F.when(u("o") < F.col("ratio"), at("mean") + sign * F.lit(OUTLIER_MAGNITUDE) * at("std")).otherwise(x))
+                .otherwise(x))
+
+    rows = rows.select("noise_id", "type", "ratio", "_key", "_label", F.transform("_x", cell).alias("_x"))
+    plain = rows.where("type <> 'label'").select("noise_id", "_key", "_label", "_x")
+    n = base.count()
+    ranked = class_rank(rows.where("type = 'label'"), "noise_id", "_key", F.concat(F.lit("flip|"), F.col("noise_id").cast("string")), seed, out="_r")
+    shift = 1 + F.floor(keyed_uniform(F.col("_key"), F.concat(F.lit("to|"), F.col("noise_id").cast("string")), seed) * (n_classes - 1)).cast("int")
+    flipped = F.when(F.col("_r") < F.floor(F.col("ratio") * n), ((F.col("_label") + shift) % n_classes)).otherwise(F.col("_label"))
+    labelled = ranked.select("noise_id", "_key", flipped.cast(train.schema[label].dataType).alias("_label"), "_x")
+    return plain.unionByName(labelled).select("noise_id", F.col("_key").alias(key), F.col("_label").alias(label),
+                                              *[F.col("_x")[i].alias(c) for i, c in enumerate(cols)])
+
+
+def _classes(train: DataFrame, test: DataFrame, label: str) -> int:
+    return int(train.select(label).unionByName(test.select(label)).agg(F.max(label)).first()[0]) + 1
+
+
+def _with_settings(acc: DataFrame, name: str) -> DataFrame:
+    """Every setting with its accuracy; null where the model failed on it."""
+    return settings(acc.sparkSession).join(acc, "noise_id", "left").select(F.lit(name).alias("model"), *RESULT[1:])
 
 
 def knn_robustness(train: DataFrame, test: DataFrame, cols: list[str], label: str, key: str, k: int = 5,
                    n_classes: int | None = None, seed: int = SEED) -> DataFrame:
     """A9 (KNN): accuracy on clean test rows after training on each noisy copy →
     (model, noise_id, type, param, label, accuracy)."""
-    spark = train.sparkSession
-    if n_classes is None:
-        n_classes = int(train.select(label).unionByName(test.select(label)).agg(F.max(label)).first()[0]) + 1
+    n_classes = n_classes or _classes(train, test, label)
     noisy = hold(noisy_copies(train, cols, label, key, n_classes, seed))
-    cfg = settings(spark)
-    q = test.crossJoin(F.broadcast(cfg.select("noise_id")))
+    q = test.crossJoin(F.broadcast(settings(train.sparkSession).select("noise_id")))
     p = knn_classify(noisy, q, key, cols, label, k=k, by=["noise_id"], n_classes=n_classes)
     truth = test.select(F.col(key).alias("row_id"), F.col(label).alias("_y"))
     acc = p.join(truth, "row_id").groupBy("noise_id").agg(
         F.avg(F.when(F.col("predicted") == F.col("_y"), 1.0).otherwise(0.0)).alias("accuracy"))
-    return acc.join(F.broadcast(cfg), "noise_id").select(
-        F.lit("knn").alias("model"), "noise_id", "type", "param", "label", "accuracy")
+    return _with_settings(acc, "knn")
+
+
+def boosted_robustness(name: str, train: DataFrame, test: DataFrame, cols: list[str], label: str, key: str,
+                       params: dict | None = None, seed: int = SEED) -> DataFrame:
+    """A9 (boosted): the noisy copies are problems of one boosting run."""
+    n_classes = _classes(train, test, label)
+    noisy = noisy_copies(train, cols, label, key, n_classes, seed)
+    ids = [r.noise_id for r in settings(train.sparkSession).collect()]  # fixed presets
+    par = ML.boost_params(name, params)
+    model = BO.fit(BO.problem_rows(noisy, cols, label, key, F.lit(BO.TRAIN), F.col("noise_id")), {i: par for i in ids}, n_classes)
+    rows = test.select(F.col(label).cast("int").alias("y"), F.array(*[F.col(c).cast("double") for c in cols]).alias("x")).crossJoin(
+        F.broadcast(settings(train.sparkSession).select(F.col("noise_id").alias("problem"))))
+    acc = model.predict(rows.withColumn("noise_id", F.col("problem")), ["y", "noise_id"]).groupBy("noise_id").agg(
+        F.avg((F.col("predicted") == F.col("y")).cast("double")).alias("accuracy"))
+    return _with_settings(acc, name)
+
+
+def mllib_robustness(name: str, train: DataFrame, test: DataFrame, cols: list[str], label: str, key: str,
+                     params: dict | None = None, seed: int = SEED, threads: int = 5) -> DataFrame:
+    """A9 (MLlib models): one fit per copy; a copy on which the fit fails gets a null accuracy, the others stay."""
+    spark = train.sparkSession
+    n_classes = _classes(train, test, label)
+    noisy = hold(noisy_copies(train, cols, label, key, n_classes, seed))
+    ids = [r.noise_id for r in settings(spark).collect()]  # fixed presets
+
+    def one(i):
+        try:
+            fitted = ML.fit_model(name, noisy.where(F.col("noise_id") == i).drop("noise_id"), cols, label, key, params=params, n_classes=n_classes)
+            return i, fitted.predict(test, "test").agg(F.avg((F.col("predicted") == F.col("actual")).cast("double"))).first()[0]
+        except Exception:  # noqa: BLE001  one failed setting is a result, as a failed model is in the comparison
+            return i, None
+
+    rows = in_threads(spark, one, ids, threads)
+    return _with_settings(spark.createDataFrame(rows, "noise_id int, accuracy double"), name)
+
+
+def robustness(name: str, train: DataFrame, test: DataFrame, cols: list[str], label: str, key: str,
+               params: dict | None = None, seed: int = SEED) -> DataFrame:
+    """A9 for any model of the registry."""
+    if name == "knn":
+        return knn_robustness(train, test, cols, label, key, seed=seed, **({"k": params["n_neighbors"]} if params else {}))
+    if name in ML.BOOSTED:
+        return boosted_robustness(name, train, test, cols, label, key, params, seed)
+    if name not in ML.MODELS:
+        raise ValueError(f"unknown model {name!r}; use one of {ML.MODELS}")
+    return mllib_robustness(name, train, test, cols, label, key, params, seed)

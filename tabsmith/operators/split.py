@@ -27,6 +27,9 @@ def class_rank(df: DataFrame, label: str, key: str, tag: str = "order", seed: in
     (class, bucket) numbers the rows inside it.
     """
     n = df.count()
+    if n <= rows_per_bucket:  # one bucket: its offset is 0
+        w = Window.partitionBy(label).orderBy("_u", key)
+        return df.withColumn("_u", keyed_uniform(key, tag, seed)).withColumn(out, (F.row_number().over(w) - 1).cast("long")).drop("_u")
     n_buckets = int(max(1, -(-n // rows_per_bucket)))
     t = df.withColumn("_u", keyed_uniform(key, tag, seed)).withColumn(
         "_b", F.least(F.floor(F.col("_u") * n_buckets), F.lit(n_buckets - 1)).cast("long"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tabsmith.functions.keyed import u_sql
-from tabsmith.sources.fixtures import N_DIMS, PRED_MODELS
+from tabsmith.sources.fixtures import N_DIMS, N_FORMS, PRED_MODELS
 
 DIRTY_EVENTS = f"""dirty_events AS (
   SELECT event_id AS row_id,
@@ -61,6 +61,11 @@ VECTORS = ("vectors AS (\n  SELECT vec_id AS row_id, CAST(label AS INTEGER) AS l
            + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(N_DIMS))
            + "\n  FROM embeddings\n)")
 
+_forms = ", ".join(f"CAST(embedding[{c + 1}] AS DOUBLE) + CAST(embedding[{c + 11}] AS DOUBLE) + CAST(embedding[{c + 21}] AS DOUBLE)"
+                   for c in range(N_FORMS))
+LEARNABLE_VECTORS = f"""learnable AS (
+  SELECT vec_id AS row_id, CAST(list_position([{_forms}], list_max([{_forms}])) - 1 AS INTEGER) AS label FROM embeddings)"""
+
 _models = " UNION ALL ".join(f"SELECT '{m}' AS model, {r} AS err_rate" for m, r in PRED_MODELS)
 _us = [f"({u_sql('row_id', repr(f'p{j}') + ' || model')} + CASE WHEN predicted = {j} THEN 2.0 ELSE 0.0 END)"
        for j in range(5)]

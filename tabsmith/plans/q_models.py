@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from tabsmith.session import hold
+from tabsmith.session import ensure_checkpoint_dir, hold
 from tabsmith.functions.keyed import keyed_uniform, normal_sql, u_sql
 from tabsmith.operators import noise as N
 from tabsmith.operators import scale as S
@@ -13,7 +15,7 @@ from tabsmith.operators.impute import impute_median
 from tabsmith.plans import oracle_fixtures as OF
 from tabsmith.plans.registry import query
 from tabsmith.sources import fixtures as FX
-from tabsmith.sources.io import read_table
+from tabsmith.sources.io import persist_table, read_table
 
 OFS = FX.ORDER_FEATURES
 LS = FX.LINE_FEATURES
@@ -577,28 +579,69 @@ def param_sensitivity(spark, sf):
     return MD.param_sensitivity(_grid_scores(spark, sf), ["k", "weights", "metric"])
 
 
-# ---------------------------------------------------------------- M1, M3-M6, A1-A2, V6, V21, V23: MLlib models
+# ---------------------------------------------------------------- M1, M3-M6, A1-A2, T1, T4-T7, V6, V21, V23: models
+import time as _time  # noqa: E402
+
+from tabsmith.functions.presets import (IMPORTANCE_TOP_PER_MODEL, K_BEST, PARAM_GRIDS, RF_SIZES, SVM_C_VALUES)  # noqa: E402
+from tabsmith.operators import boosting as BO  # noqa: E402
+from tabsmith.operators import features as FE  # noqa: E402
 from tabsmith.operators import models as ML  # noqa: E402
+from tabsmith.operators import tuning as TU  # noqa: E402
 from tabsmith.operators.compare import comparison_table  # noqa: E402
-from tabsmith.functions.presets import RF_SIZES  # noqa: E402
+from tabsmith.operators.metrics import log_loss  # noqa: E402
+
+LEARN_SPLIT_SQL = "WITH " + OF.LEARNABLE_VECTORS + f""",
+vsplit AS (SELECT * EXCLUDE (cn, rk), CASE WHEN rk < round(cn * 0.1) THEN 'val'
+           WHEN rk < round(cn * 0.1) + round((cn - round(cn * 0.1)) * 0.2) THEN 'test' ELSE 'train' END AS split
+           FROM ({_vec_rank_sql('split', 'learnable')}))"""
+
+
+_FITTED: dict = {}  # what queries about one model share within a session: prepared rows, fitted models, score tables
 
 
 def model_data(spark, sf):
-    """Vectors split 72/18/10 (stratified), standardised with train statistics."""
-    s = vector_splits(spark, sf)
+    """Vectors with the learnable label, split 72/18/10 (stratified), standardised with train statistics."""
+    s = hold(SP.stratified_split(FX.learnable_vectors(spark, sf), "label", "row_id"))
     sc = S.Scaler("standard", VEC, []).fit(s.where(F.col("split") == "train"))
-    return hold(sc.transform(s))  # every fit makes many passes over it
+    return ML.fit_frame(sc.transform(s))  # every fit makes many passes over it
 
 
-def _fit(spark, sf, name, params=None):
-    d = model_data(spark, sf)
-    tr, te, va = (d.where(F.col("split") == x) for x in ("train", "test", "val"))
-    return ML.fit_score(name, tr, te, VEC, "label", "row_id", val=va, params=params)
+def _splits(spark, sf):
+    """Train, test and val rows; prepared once and kept below the checkpoint folder, as every model reads them."""
+    key = ("data", spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        _FITTED[key] = f"{ensure_checkpoint_dir(spark)}/model-data-{uuid.uuid4().hex}"
+        persist_table(model_data(spark, sf), _FITTED[key])
+    d = ML.fit_frame(spark.read.parquet(_FITTED[key]))
+    return tuple(d.where(F.col("split") == x) for x in ("train", "test", "val"))
+
 
+def fitted_model(spark, sf, name, params=None, cols=None):
+    """The model fitted on the train split; fitted once per session, table folder and parameters."""
+    key = (spark.sparkContext.applicationId, sf, name, tuple(sorted((params or {}).items())), tuple(cols or VEC))
+    if key not in _FITTED:
+        tr, _, va = _splits(spark, sf)
+        _FITTED[key] = ML.fit_model(name, tr, cols or VEC, "label", "row_id", val=va, params=params)
+    return _FITTED[key]
+
+
+def _pred(spark, sf, fitted, splits=("test", "train")):
+    frames = dict(zip(("train", "test", "val"), _splits(spark, sf)))
+    if fitted.name == "knn":  # its model is the training rows
+        fitted = ML.fit_model("knn", frames["train"], VEC, "label", "row_id", params=fitted.params)
+    out = None
+    for split in splits:
+        p = fitted.predict(frames[split], split)
+        out = p if out is None else out.unionByName(p)
+    return hold(out)
 
-def _scored(spark, sf, name, params=None):
-    pred, model, secs = _fit(spark, sf, name, params)
-    return comparison_table(pred).withColumn("train_seconds", F.lit(float(secs)))
+
+def _scored(spark, sf, name, params=None, cols=None):
+    fitted = fitted_model(spark, sf, name, params, cols)
+    return comparison_table(_pred(spark, sf, fitted)).withColumn("train_seconds", F.lit(float(fitted.seconds)))
+
+
+FOREST = {"n_estimators": 200, "max_depth": 20}
 
 
 @query("lr_fit_score")
@@ -607,52 +650,191 @@ def lr_fit_score(spark, sf):
     return _scored(spark, sf, "logistic")
 
 
-_FACTS = VEC_SPLIT_SQL + """
-SELECT split, label::INTEGER AS label, count(*) AS n, true AS proba_sums, true AS argmax, true AS beats_majority
-FROM vsplit WHERE split <> 'val' GROUP BY split, label"""
+@query("rf_fit_score")
+def rf_fit_score(spark, sf):
+    """M4: random forest (200 trees, depth 20, balanced)."""
+    return _scored(spark, sf, "random_forest", FOREST)
 
 
-@query("lr_facts", _FACTS)
-def lr_facts(spark, sf):
-    """M1 / A1: facts of the logistic prediction table over all train and test rows."""
-    return ML.model_facts(_fit(spark, sf, "logistic")[0])
+def selected_columns(spark, sf):
+    """The 30 vector columns with the highest F, as the original's models get 30 selected features."""
+    tr, _, _ = _splits(spark, sf)
+    top = FE.select_top_k(FE.anova_f(tr, VEC, "label"), K_BEST).collect()  # 30 names
+    names = {r.feature for r in top}
+    return [c for c in VEC if c in names]
 
 
-@query("rf_facts", _FACTS)
-def rf_facts(spark, sf):
-    """M4 / A1: facts of the forest's prediction table over all train and test rows."""
-    return ML.model_facts(_fit(spark, sf, "random_forest", {"n_estimators": 50, "max_depth": 10})[0])
+KERNELS = ("rbf", "poly", "linear")
 
 
+@query("svm_fit_score")
 def svm_fit_score(spark, sf):
-    """M3: RBF SVM re-aimed as random Fourier features + one-vs-rest LinearSVC (C=10, balanced)."""
-    return _scored(spark, sf, "svm")
+    """M3: the SVM (C=10, balanced) with each kernel, on the 30 selected columns."""
+    cols = selected_columns(spark, sf)
+    out = None
+    for kernel in KERNELS:
+        row = _scored(spark, sf, "svm", {"kernel": kernel}, cols).withColumn("kernel", F.lit(kernel))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
-@query("rf_fit_score")
-def rf_fit_score(spark, sf):
-    """M4: random forest (200 trees, depth 20, balanced)."""
-    return _scored(spark, sf, "random_forest", {"n_estimators": 200, "max_depth": 20})
+def _sweep(spark, sf):
+    key = ("sweep", spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        tr, _, va = _splits(spark, sf)
+        cols = selected_columns(spark, sf)
+        _FITTED[key] = [tuple(r) for kernel in KERNELS for r in ML.svm_c_sweep(
+            tr, va, cols, "label", "row_id", SVM_C_VALUES, {"kernel": kernel}).collect()]  # 10 rows a kernel
+    return spark.createDataFrame(_FITTED[key], "kernel string, C double, split string, n long, accuracy double")
+
+
+@query("svm_c_sweep")
+def svm_c_sweep(spark, sf):
+    """Train and val accuracy for five values of C, each kernel."""
+    return _sweep(spark, sf)
+
+
+_CS = ", ".join(f"({c!r}::DOUBLE)" for c in SVM_C_VALUES)
+
+
+@query("svm_c_facts", LEARN_SPLIT_SQL + f"""
+SELECT kernel, C, split, count(*) AS n, true AS scored, CASE WHEN C = 10.0 AND split = 'train' THEN true END AS same_as_fit
+FROM vsplit CROSS JOIN (VALUES ('rbf'), ('poly'), ('linear')) k(kernel) CROSS JOIN (VALUES {_CS}) c(C)
+WHERE split <> 'test' GROUP BY kernel, C, split""")
+def svm_c_facts(spark, sf):
+    """Every kernel and C scores all rows of both splits; at C = 10 the sweep is the fit of its own."""
+    cols = selected_columns(spark, sf)
+    own = None
+    for kernel in KERNELS:
+        p = _pred(spark, sf, fitted_model(spark, sf, "svm", {"kernel": kernel}, cols), ("train",))
+        row = p.agg(F.avg((F.col("predicted") == F.col("actual")).cast("double")).alias("own")).withColumn("kernel", F.lit(kernel))
+        own = row if own is None else own.unionByName(row)
+    same = F.when((F.col("C") == 10.0) & (F.col("split") == "train"), F.abs(F.col("accuracy") - F.col("own")) < 1e-12)
+    return _sweep(spark, sf).join(F.broadcast(own), "kernel").select(
+        "kernel", "C", "split", "n", F.col("accuracy").between(0.0, 1.0).alias("scored"), same.alias("same_as_fit"))
 
 
+@query("gbt_fit_score")
 def gbt_fit_score(spark, sf):
-    """M5: level-wise boosting (300 rounds, depth 6, lr 0.1) as one-vs-rest GBT."""
+    """M5: level-wise boosting (300 rounds, depth 6, lr 0.1, row and column share 0.8)."""
     return _scored(spark, sf, "boosted")
 
 
 @query("gbt_early_stop_score")
 def gbt_early_stop_score(spark, sf):
-    """M6: leaf-wise boosting (lr 0.05, min 20 per leaf) with validation early stopping."""
+    """M6: leaf-wise boosting (up to 300 rounds, 63 leaves, lr 0.05, min 20 per leaf), stopped 50 rounds after the best."""
     return _scored(spark, sf, "boosted_leafwise")
 
 
+# ---- facts: what must hold of a fit, over all rows, with the row counts from SQL
+_BY_LABEL = LEARN_SPLIT_SQL + """
+SELECT split, label, count(*) AS n, true AS proba_sums, true AS argmax, CASE WHEN split = 'train' THEN true END AS beats_majority{more}
+FROM vsplit WHERE split <> 'val' GROUP BY split, label"""
+
+
+@query("lr_facts", _BY_LABEL.format(more=", true AS stationary, true AS log_loss_agrees"))
+def lr_facts(spark, sf):
+    """The prediction table's facts; the gradient vanishes at the coefficients; T1's log-loss is E8's."""
+    fitted = fitted_model(spark, sf, "logistic")
+    pred = _pred(spark, sf, fitted)
+    flat = float(abs(ML.logistic_gradient(fitted, _splits(spark, sf)[0])).max()) < 1e-4
+    both = ML.train_record(pred).select("split", F.col("log_loss").alias("a")).join(
+        log_loss(pred, ["split"]).select("split", F.col("log_loss").alias("b")), "split")
+    agrees = both.select("split", (F.abs(F.col("a") - F.col("b")) < 1e-9).alias("log_loss_agrees"))
+    return ML.model_facts(pred).withColumn("stationary", F.lit(flat)).join(agrees, "split")
+
+
+@query("rf_facts", _BY_LABEL.format(more=", true AS importance_shares, true AS last_prefix_is_forest"))
+def rf_facts(spark, sf):
+    """Facts of the full forest (200 x 20); its importances are shares; the 200-tree prefix is the forest."""
+    fitted = fitted_model(spark, sf, "random_forest", FOREST)
+    pred = _pred(spark, sf, fitted)
+    imp = fitted.model.featureImportances.toArray()
+    test = _splits(spark, sf)[1]
+    last = ML.tree_prefix_curve(fitted, test, [FOREST["n_estimators"]]).first().accuracy
+    own = pred.where("split = 'test'").agg(F.avg((F.col("predicted") == F.col("actual")).cast("double"))).first()[0]
+    return ML.model_facts(pred).withColumns({"importance_shares": F.lit(bool((imp >= 0).all() and abs(imp.sum() - 1) < 1e-9)),
+                                             "last_prefix_is_forest": F.lit(abs(last - own) < 1e-12)})
+
+
+@query("svm_facts", LEARN_SPLIT_SQL + """
+SELECT kernel, split, label, count(*) AS n, true AS proba_sums, true AS argmax, CASE WHEN split = 'train' THEN true END AS beats_majority
+FROM vsplit CROSS JOIN (VALUES ('rbf'), ('poly'), ('linear')) k(kernel) WHERE split <> 'val' GROUP BY kernel, split, label""")
+def svm_facts(spark, sf):
+    """M3: facts of each kernel's prediction table."""
+    cols = selected_columns(spark, sf)
+    out = None
+    for kernel in KERNELS:
+        pred = _pred(spark, sf, fitted_model(spark, sf, "svm", {"kernel": kernel}, cols))
+        facts = ML.model_facts(pred).withColumn("kernel", F.lit(kernel))
+        out = facts if out is None else out.unionByName(facts)
+    return out
+
+
+def _boost_facts(spark, sf, name):
+    """Facts of a boosted model with its curve: the last point is E8 of the predictions, importances are shares."""
+    fitted = fitted_model(spark, sf, name)
+    booster, par = fitted.model, ML.boost_params(name)
+    pred = _pred(spark, sf, fitted, ("test", "train", "val"))
+    used, grown = booster.best[0], len(booster.trees[0])
+    losses = {(r, s): loss for _, r, s, loss, _ in booster.curve}
+    val = [losses[r, "val"] for r in range(1, grown + 1)]
+    stopped = grown == par.rounds if not par.patience else (used == min(range(grown), key=val.__getitem__) + 1 and (
+        grown == par.rounds or grown == used + par.patience))
+    own = {r.split: r.log_loss for r in log_loss(pred, ["split"]).collect()}
+    agrees = all(abs(own[s] - losses[used, s]) < 1e-6 for s in ("train", "val"))  # the curve sums losses in steps of 2^-24
+    shares = [booster.importances(0, k) for k in ("gain", "split")]
+    return ML.model_facts(pred.where("split <> 'val'")).withColumns({
+        "rounds_right": F.lit(bool(stopped)), "curve_ends_at_e8": F.lit(bool(agrees)),
+        "curve_falls": F.lit(losses[grown, "train"] < losses[1, "train"]),
+        "importance_shares": F.lit(all((x >= 0).all() and abs(x.sum() - 1) < 1e-9 for x in shares))})
+
+
+_BOOST_SQL = _BY_LABEL.format(more=", true AS rounds_right, true AS curve_ends_at_e8, true AS curve_falls, true AS importance_shares")
+
+
+@query("gbt_facts", _BOOST_SQL)
+def gbt_facts(spark, sf):
+    """Facts of the level-wise model: 300 rounds, its curve and importances."""
+    return _boost_facts(spark, sf, "boosted")
+
+
+@query("leafwise_facts", _BOOST_SQL)
+def leafwise_facts(spark, sf):
+    """Facts of the leaf-wise model: it stops 50 rounds after its best validation loss and uses that round."""
+    return _boost_facts(spark, sf, "boosted_leafwise")
+
+
+@query("gbt_loss_curve")
+def gbt_loss_curve(spark, sf):
+    """Log-loss per round on train and val, level-wise."""
+    return ML.loss_curve(fitted_model(spark, sf, "boosted"), spark)
+
+
+@query("leafwise_loss_curve")
+def leafwise_loss_curve(spark, sf):
+    """Log-loss per round on train and val up to the early stop, leaf-wise."""
+    return ML.loss_curve(fitted_model(spark, sf, "boosted_leafwise"), spark)
+
+
+@query("loss_curves")
+def loss_curves(spark, sf):
+    """Logistic objective per iteration, and the fit's log-loss on train and val."""
+    fitted = fitted_model(spark, sf, "logistic")
+    ends = ML.train_record(_pred(spark, sf, fitted, ("train", "val"))).select(
+        "model", F.lit("log_loss").alias("curve_type"), F.lit(1).alias("x"), F.col("split").alias("series"), F.col("log_loss").alias("value"))
+    return ML.loss_curve(fitted, spark).unionByName(ends)
+
+
+PARAMS = {"random_forest": FOREST}
+
+
 @query("feature_importance")
 def feature_importance(spark, sf):
-    """Per-model feature importances (logistic |coef| mean, forest Gini)."""
+    """Importances of every model that has them."""
     out = None
-    for name, params in (("logistic", None), ("random_forest", {"n_estimators": 200, "max_depth": 20})):
-        _, model, _ = _fit(spark, sf, name, params)
-        imp = ML.importances(model, name, VEC, spark)
+    for name in ("logistic", "random_forest", *ML.BOOSTED):
+        imp = ML.importances(fitted_model(spark, sf, name, PARAMS.get(name)), VEC, spark)
         out = imp if out is None else out.unionByName(imp)
     return out
 
@@ -660,50 +842,66 @@ def feature_importance(spark, sf):
 @query("importance_by_model")
 def importance_by_model(spark, sf):
     """Top-15 features per model."""
-    return V.top_k_per_group(feature_importance(spark, sf), "model", "importance", 15)
+    return V.top_k_per_group(feature_importance(spark, sf), "model", "importance", IMPORTANCE_TOP_PER_MODEL)
 
 
-@query("loss_curves")
-def loss_curves(spark, sf):
-    """Logistic objective per iteration."""
-    _, model, _ = _fit(spark, sf, "logistic")
-    return ML.loss_curve(model, "logistic", spark)
+@query("importance_facts", """
+SELECT model, 64::BIGINT AS n_features, true AS non_negative, model <> 'logistic' AS sums_to_one, 15::BIGINT AS n_top
+FROM (VALUES ('logistic'), ('random_forest'), ('boosted'), ('boosted_leafwise')) t(model)
+WHERE (SELECT count(*) FROM embeddings) > 0""")
+def importance_facts(spark, sf):
+    """Every model reports each column once, none below zero; tree models report shares; 15 columns are charted."""
+    imp = feature_importance(spark, sf)
+    top = importance_by_model(spark, sf).groupBy("model").agg(F.count("*").alias("n_top"))
+    return imp.groupBy("model").agg(F.countDistinct("feature").alias("n_features"), (F.min("importance") >= 0).alias("non_negative"),
+                                    (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one")).join(top, "model")
 
 
 @query("rf_size_curve")
 def rf_size_curve(spark, sf):
     """Test accuracy of tree prefixes of ONE 200-tree forest (no refits)."""
-    d = model_data(spark, sf)
-    _, model, _ = _fit(spark, sf, "random_forest", {"n_estimators": 200, "max_depth": 20})
-    return ML.tree_prefix_curve(model, d.where(F.col("split") == "test"), VEC, "label",
-                                [n for n in RF_SIZES if n <= 200])
+    return ML.tree_prefix_curve(fitted_model(spark, sf, "random_forest", FOREST), _splits(spark, sf)[1],
+                                [n for n in RF_SIZES if n <= FOREST["n_estimators"]])
+
+
+def all_predictions(spark, sf):
+    """A2: the prediction tables of all six models, test and train rows."""
+    out = None
+    for name in ML.MODELS:
+        p = _pred(spark, sf, fitted_model(spark, sf, name, PARAMS.get(name)))
+        out = p if out is None else out.unionByName(p)
+    return hold(out)
 
 
 @query("model_comparison")
 def model_comparison(spark, sf):
-    """A2: the model set on one prediction table → comparison rows (logistic, forest, KNN)."""
-    d = model_data(spark, sf)
-    tr, te = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
-    preds = []
-    for name, params in (("logistic", None), ("random_forest", {"n_estimators": 200, "max_depth": 20})):
-        p, _, _ = ML.fit_score(name, tr, te, VEC, "label", "row_id", params=params)
-        preds.append(p)
-    k = K.knn_classify(tr, te, "row_id", VEC, "label", k=5).drop("k").withColumn("split", F.lit("test"))
-    kt = K.knn_classify(tr, tr, "row_id", VEC, "label", k=5).drop("k").withColumn("split", F.lit("train"))
-    truth = d.select("row_id", F.col("label").cast("int").alias("actual"))
-    for p in (k, kt):
-        preds.append(p.join(truth, "row_id").select(F.lit("knn").alias("model"), "split", "row_id", "actual",
-                                                     "predicted", "proba"))
-    allp = preds[0]
-    for p in preds[1:]:
-        allp = allp.unionByName(p)
-    return comparison_table(allp)
+    """A2: all six models on one split → comparison rows."""
+    return comparison_table(all_predictions(spark, sf))
+
+
+@query("model_comparison_facts", LEARN_SPLIT_SQL + """
+SELECT model, count_if(split = 'test')::BIGINT AS n_test, count_if(split = 'train')::BIGINT AS n_train, true AS accuracy_recomputed,
+       true AS gap_recomputed
+FROM vsplit CROSS JOIN (VALUES ('logistic'), ('knn'), ('svm'), ('random_forest'), ('boosted'), ('boosted_leafwise')) m(model)
+GROUP BY model""")
+def model_comparison_facts(spark, sf):
+    """A2: the comparison's rows against plain SQL over the prediction tables."""
+    pred = all_predictions(spark, sf)
+    view = "all_predictions_" + uuid.uuid4().hex
+    pred.createOrReplaceTempView(view)
+    plain = spark.sql(f"""SELECT model, count_if(split = 'test') AS n_test, count_if(split = 'train') AS n_train,
+        avg(CASE WHEN split = 'test' THEN CAST(predicted = actual AS DOUBLE) END) AS a,
+        avg(CASE WHEN split = 'train' THEN CAST(predicted = actual AS DOUBLE) END) AS t FROM {view} GROUP BY model""")
+    rows = plain.join(comparison_table(pred), "model")
+    return rows.select("model", "n_test", "n_train", (F.abs(F.col("a") - F.col("accuracy")) < 1e-12).alias("accuracy_recomputed"),
+                       (F.abs(F.col("t") - F.col("train_accuracy")) < 1e-12).alias("gap_recomputed"))
 
 
 @query("time_vs_accuracy")
 def time_vs_accuracy(spark, sf):
-    """Train seconds vs accuracy, bubble size 200 + 20·t."""
-    rows = _scored(spark, sf, "logistic")
+    """Train seconds vs accuracy of all six models, bubble size 200 + 20·t."""
+    secs = spark.createDataFrame([(n, float(fitted_model(spark, sf, n, PARAMS.get(n)).seconds)) for n in ML.MODELS], "model string, train_seconds double")
+    rows = comparison_table(all_predictions(spark, sf)).drop("train_seconds").join(F.broadcast(secs), "model")
     return rows.select("model", "train_seconds", "accuracy", (200 + 20 * F.col("train_seconds")).alias("bubble"))
 
 
@@ -713,26 +911,142 @@ def pca_2d(spark, sf):
     return ML.pca_2d(model_data(spark, sf), VEC, "row_id", "label")
 
 
-# ---------------------------------------------------------------- A13 / V15: scoring-time summary (measured)
-import time as _time  # noqa: E402
+@query("pca_facts", "WITH " + OF.LEARNABLE_VECTORS + """
+SELECT label, count(*) AS n, true AS centred, true AS uncorrelated, true AS shares, true AS ordered, true AS largest FROM learnable GROUP BY label""")
+def pca_facts(spark, sf):
+    """V6: the projection is centred and uncorrelated, its variances are the explained shares, the first is the largest."""
+    d = model_data(spark, sf)
+    projected = hold(ML.pca_2d(d, VEC, "row_id", "label"))
+    facts = ML.pca_facts(projected, d, VEC, "row_id", "label")
+    return projected.groupBy("label").agg(F.count("*").alias("n")).withColumns({k: F.lit(bool(v)) for k, v in facts.items()})
+
+
+# ---- A9 for every model
+def _robust(spark, sf, name):
+    key = ("robust", spark.sparkContext.applicationId, sf, name)
+    if key not in _FITTED:
+        tr, te, _ = _splits(spark, sf)
+        rows = R.robustness(name, tr.drop("split"), te.drop("split"), VEC, "label", "row_id", PARAMS.get(name)).collect()  # 15 rows
+        _FITTED[key] = [tuple(r) for r in rows]
+    return spark.createDataFrame(_FITTED[key], "model string, noise_id int, type string, param double, label string, accuracy double")
+
+
+def _robust_query(name):
+    title = f"robustness_{name}"
+
+    @query(title)
+    def scores(spark, sf):
+        return _robust(spark, sf, name)
+
+    scores.__doc__ = f"A9: accuracy of {name} on clean test rows after training on the clean and 14 noisy copies."
+
+    @query(title + "_facts", "WITH " + OF.LEARNABLE_VECTORS + f""",
+{_settings_sql()}
+SELECT '{name}' AS model, noise_id, type, param, nlabel_name AS label, true AS scored FROM cfg WHERE (SELECT count(*) FROM learnable) > 0""")
+    def facts(spark, sf):
+        acc = F.col("accuracy")
+        return _robust(spark, sf, name).select("model", "noise_id", "type", "param", "label",
+                                               (acc.isNotNull() & (acc >= 0) & (acc <= 1)).alias("scored"))
+
+    facts.__doc__ = f"A9: {name} gives a score for each of the 15 settings."
 
+
+for _name in ML.MODELS[0], *ML.MODELS[2:]:  # KNN has its own query with a full oracle above
+    _robust_query(_name)
+
+
+# ---- T4 / T5 / T6 / T7: searches over the models' own spaces
+def _search(spark, sf, name):
+    key = ("search", spark.sparkContext.applicationId, sf, name)
+    if key not in _FITTED:
+        method, space, n_iter = PARAM_GRIDS[name]
+        candidates = TU.grid(space) if method == "grid" else TU.draws(spark, space, n_iter)
+        cols = selected_columns(spark, sf)
+        rows = TU.search(name, _splits(spark, sf)[0], cols, "label", "row_id", candidates).collect()  # candidates x folds
+        _FITTED[key] = [tuple(r) for r in rows]
+    return spark.createDataFrame(_FITTED[key], TU.SCORES)
+
+
+LEARN_FOLD_SQL = LEARN_SPLIT_SQL + f""",
+tr AS (SELECT * FROM vsplit WHERE split = 'train'),
+trf AS (SELECT * EXCLUDE (cn, rk), (rk % 5)::INTEGER AS fold FROM ({_vec_rank_sql('fold', 'tr')})),
+sizes AS (SELECT fold, count(*)::INTEGER AS n FROM trf GROUP BY fold)"""
+
+
+def _grid_values_sql(space: dict) -> str:
+    tables = " CROSS JOIN ".join(f"(VALUES {', '.join(f'({str(v)!r})' for v in values)}) t{i}({name})" for i, (name, values) in enumerate(space.items()))
+    return f"cand AS (SELECT * FROM {tables})"
+
+
+def _draw_values_sql(space: dict, n_iter: int) -> str:
+    pick = ", ".join(f"[{', '.join(repr(str(v)) for v in values)}][CAST(floor({u_sql('id', repr('draw|' + name))} * {len(values)}) AS INTEGER) + 1] AS {name}"
+                     for name, values in space.items())
+    return f"cand AS (SELECT id AS draw, {pick} FROM range({n_iter}) r(id))"
+
+
+def _search_facts(scores, names):
+    """One row per candidate and fold with the rows that were scored; the score is a mean of recalls."""
+    return scores.select(*[F.element_at("params", n).alias(n) for n in names], "fold", "n",
+                         ((F.col("score") >= 0) & (F.col("score") <= 1)).alias("scored"))
+
+
+def _search_query(name):
+    method, space, n_iter = PARAM_GRIDS[name]
+    title = f"{'grid' if method == 'grid' else 'random'}_search_{name}"
+    names = list(space)
+
+    @query(title)
+    def scores(spark, sf):
+        return _search(spark, sf, name).select(*[F.element_at("params", n).alias(n) for n in names], "fold", "n", "score")
+
+    scores.__doc__ = f"{'T4' if method == 'grid' else 'T5'} / T7: 5-fold balanced accuracy of every candidate of {name}."
+    values = _grid_values_sql(space) if method == "grid" else _draw_values_sql(space, n_iter)
+
+    @query(title + "_facts", LEARN_FOLD_SQL + f""",
+{values}
+SELECT {', '.join(names)}, fold, n, true AS scored FROM cand CROSS JOIN sizes""")
+    def facts(spark, sf):
+        return _search_facts(_search(spark, sf, name), names)
+
+    facts.__doc__ = f"T4 / T5: the candidates of {name}, the rows scored in each fold."
+
+
+for _name in ("logistic", "random_forest"):
+    _search_query(_name)
+
+
+@query("tuning_best_logistic", """SELECT true AS same_set, true AS same_mean, true AS same_std, 30::BIGINT AS n_candidates
+WHERE (SELECT count(*) FROM embeddings) > 0""")
+def tuning_best_logistic(spark, sf):
+    """T6 over the logistic grid's score table, against plain SQL over the same table."""
+    scores = _search(spark, sf, "logistic")
+    view = "scores_" + uuid.uuid4().hex
+    scores.createOrReplaceTempView(view)
+    plain = spark.sql(f"""WITH t AS (SELECT params['C'] AS c, params['solver'] AS s, params['max_iter'] AS i, score FROM {view}),
+        m AS (SELECT c, s, i, avg(score) AS a, stddev_pop(score) AS d FROM t GROUP BY c, s, i)
+        SELECT *, (SELECT count(*) FROM m) AS n FROM m ORDER BY round(a, 12) DESC, concat('C=', c, ',max_iter=', i, ',solver=', s) LIMIT 1""")
+    return TU.best_params(scores).crossJoin(plain).select(
+        ((F.col("params")["C"] == F.col("c")) & (F.col("params")["solver"] == F.col("s")) & (F.col("params")["max_iter"] == F.col("i"))).alias("same_set"),
+        (F.abs(F.col("mean_score") - F.col("a")) < 1e-12).alias("same_mean"), (F.abs(F.col("std_score") - F.col("d")) < 1e-12).alias("same_std"),
+        F.col("n").alias("n_candidates"))
+
+
+# ---------------------------------------------------------------- A13 / V15: scoring-time summary (measured)
 BATCHES = [1, 100, 1000]
 REPEATS = 3
 
 
 def _timings(spark, sf):
-    """Fit logistic once; time batch scoring (transform + count) of the first n test rows."""
-    d = model_data(spark, sf)
-    tr, te = d.where(F.col("split") == "train"), d.where(F.col("split") == "test")
-    _, model, _ = ML.fit_score("logistic", tr, te, VEC, "label", "row_id")
-    x = ML.assemble(te, VEC).orderBy("row_id")
+    """Time batch scoring (transform + count) of the first n test rows by the fitted logistic model."""
+    fitted = fitted_model(spark, sf, "logistic")
+    x = ML.assemble(_splits(spark, sf)[1], VEC).orderBy("row_id")
     rows = []
     for b in BATCHES:
         batch = x.limit(b).persist(StorageLevel.MEMORY_AND_DISK)
         n = batch.count()  # the test split may hold fewer rows than the batch asks for
         for r in range(REPEATS):
             t0 = _time.perf_counter()
-            model.transform(batch).count()
+            fitted.model.transform(batch).count()
             rows.append(("logistic", b, n, r, _time.perf_counter() - t0))
         batch.unpersist()
     return spark.createDataFrame(rows, "model string, batch int, n_rows int, rep int, seconds double")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tabsmith.plans.pipeline import DIGITS, round_doubles
-from tabsmith.session import release
+from tabsmith.session import held_with
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,8 +30,7 @@ def query(name: str, sql: str | None = None, doubles: tuple = (), double_lists:
     """Register a query; ``zero`` and fewer ``digits`` are for differences of larger numbers, see ``sig_round``."""
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            release()  # queries run one after another: let go of what earlier ones kept
-            return round_doubles(fn(spark, sf_dir), doubles, double_lists, zero, digits)
+            return held_with(lambda: round_doubles(fn(spark, sf_dir), doubles, double_lists, zero, digits))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import weakref
+from collections.abc import Callable
+from contextvars import ContextVar, copy_context
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -62,20 +65,56 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-_held: list[DataFrame] = []
+_global: list[DataFrame] = []
+_scope: ContextVar[list[DataFrame] | None] = ContextVar("held_frames", default=None)
 
 
 def hold(df: DataFrame) -> DataFrame:
-    """Keep a frame that several passes read (memory, then disk; recomputed if an executor is lost)."""
+    """Keep a frame that several passes read (memory, then disk; recomputed if an executor is lost).
+
+    Within ``held_with`` it is kept as long as that block's result; otherwise until ``release``.
+    """
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _held.append(df)
+    frames = _scope.get()
+    (_global if frames is None else frames).append(df)
     return df
 
 
+def _let_go(frames: list[DataFrame]) -> None:
+    while frames:
+        try:
+            frames.pop().unpersist()
+        except Exception:  # noqa: BLE001  the session may have ended before the result did
+            frames.clear()
+
+
+def held_with(make: Callable[[], DataFrame]) -> DataFrame:
+    """Result of ``make``; the frames held while making it are let go when the result is no longer referred to."""
+    frames: list[DataFrame] = []
+    token = _scope.set(frames)
+    try:
+        out = make()
+    finally:
+        _scope.reset(token)
+    weakref.finalize(out, _let_go, frames)
+    return out
+
+
 def release() -> None:
-    """Let go of every frame that ``hold`` kept; frames that a caller cached stay."""
-    while _held:
-        _held.pop().unpersist()
+    """Let go of every frame that ``hold`` kept outside ``held_with``; frames that a caller cached stay."""
+    _let_go(_global)
+
+
+def in_threads(spark: SparkSession, fn: Callable, items: list, threads: int) -> list:
+    """``fn`` of every item, several at a time; frames that it holds belong to the caller's result."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
+
+    context = copy_context()
+    run = inheritable_thread_target(spark)(lambda item: context.copy().run(fn, item))
+    with ThreadPool(max(1, min(threads, len(items)))) as pool:
+        return pool.map(run, items, chunksize=1)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

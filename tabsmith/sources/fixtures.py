@@ -100,6 +100,17 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
                     *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(N_DIMS)])
 
 
+N_FORMS = 5
+
+
+def learnable_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the vectors of F4 with label = the largest of five fixed linear forms (x_c + x_c+10 + x_c+20, the first of
+    equal ones), so that a classifier has something to learn and its quality means something."""
+    v = vectors(spark, sf_dir)
+    forms = F.array(*[F.col(f"x{c}") + F.col(f"x{c + 10}") + F.col(f"x{c + 20}") for c in range(N_FORMS)])
+    return v.withColumn("label", (F.array_position(forms, F.array_max(forms)) - 1).cast("int"))
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(model, split, row_id, actual, predicted, proba) for three pretend models.
 
