@@ -28,15 +28,18 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts equal but for white space keep the row with the smallest id (null ids last; null texts are empty ones)."""
     return keep_first(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per near-duplicate class stays, the smallest id (null ids last); texts without words are one class."""
     return keep_one_per_class(docs, shingle=3, max_bits=2)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixed(docs, fit_small=True)
+    """One row per copy that the mix takes, with the words taken; null sources are one, null and empty texts go."""
+    return mixed(docs)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
