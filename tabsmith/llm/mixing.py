@@ -1,8 +1,9 @@
 """Mixing sources to target weights by Sainte-Lague apportionment of equal-token blocks.
 
 Targets: sources share the mix by weight, up to a cap on repetition; what a capped source cannot take is shared again.
-Seats: the mix is cut into blocks of equally many words. Sainte-Lague gives the sources their numbers of blocks (each
-next block goes to the highest quotient target / (2 seats + 1)), and each source's blocks go to its shards the same way.
+Seats: a source is cut into blocks of equally many words, ``block_words`` or a 16th of its words or target if that is
+less. Sainte-Lague gives the sources their numbers of blocks (each next block goes to the highest quotient of target, in
+the source's blocks, by 2 seats + 1), and each source's blocks go to its shards the same way.
 Blocks: inside a shard documents lie one after another in a seeded order, cut into equal blocks; a seeded phase decides
 which blocks are taken and which are taken once more, so that the shard's quota is met exactly.
 """
@@ -16,10 +17,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabsmith.llm.common import WORD, attach, checkpointed, numbered, packed, q, read, text_or_empty, unpacked
+from tabsmith.llm.common import HOT_SHARE, WORD, attach, checkpointed, numbered, packed, q, read, text_or_empty, unpacked
 
 GRID = 32  # divisors tried in one round of the search
-SMALL_PARTS = 16  # with fit_small, a block is at most this part of a small shard's words and of its target
+LEAST_BLOCKS = 16  # a source's words and its target make at least so many blocks, as far as a block has a word
 WEIGHTS = (3, 1, 2)
 
 
@@ -102,21 +103,8 @@ def _number(hash_hex: Column) -> Column:
     return F.conv(F.substring(hash_hex, 1, 8), 16, 10).cast("long")
 
 
-def _fit_small(quotas: DataFrame, shards: DataFrame, block_words: int, cap: float) -> DataFrame:
-    """Give shards with few words or a small target blocks of their own size, and as many as come nearest the target."""
-    goals = shards.select("key", "shard", (F.col("target") * F.try_divide("words", "source_size")).alias("goal"))
-    least = F.least("words", "goal")
-    small = (F.col("words") > 0) & (least < SMALL_PARTS * block_words)
-    n = F.ceil(F.col("words") / F.greatest(F.lit(1), F.floor(least / SMALL_PARTS)))
-    rows = quotas.join(goals, ["key", "shard"]).withColumn("n", F.when(small, n).otherwise(F.col("n")).cast("long"))
-    nearest = F.floor(F.col("goal") * F.try_divide("n", "words") + 0.5)
-    quota = F.when(small, F.least(nearest, (F.lit(cap) * F.col("n")).cast("long"))).otherwise(F.col("quota"))
-    return rows.select("key", "shard", "words", "n", quota.cast("long").alias("quota"))
-
-
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = 1.5,
-        cap: float = 2.0, weights=WEIGHTS, block_words: int = 32, shard_words: int = 1 << 20, seed: int = 42,
-        fit_small: bool = False) -> DataFrame:
+        cap: float = 2.0, weights=WEIGHTS, block_words: int = 32, shard_words: int = 1 << 20, seed: int = 42) -> DataFrame:
     """(row, id, size, source_size, target, taken, spans) of every row of ``docs``.
 
     ``size`` counts the words (runs without white space; null and empty: 0), ``source_size`` those of the row's source,
@@ -125,47 +113,55 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     the row's number in the scan, to find it again. A null source is a source of its own, after all others. Repeated
     rows are separate rows. Rows without words get 0 and no span. An empty table gives an empty result.
 
-    Blocks hold about ``block_words`` words, so a source of few words can miss its target by about one block, or get no
-    seat. With ``fit_small`` a shard whose words or target are below 16 blocks is cut into smaller ones and takes as many
-    as come nearest its share of the target.
+    A block of a source holds about min(``block_words``, words / 16, target / 16) words, at least one, by the same rule
+    at every size; so a source of any size comes within half a block of its target (with several shards, which are cut
+    separately, within a few words more). The mix as a whole is off by no more than the sources' sum of that.
 
-    A source has one shard per ``shard_words`` words, so a window over a shard is bounded however large the source is.
+    A source has one shard per ``shard_words`` words, and rows without words stand in no window, so a window over a shard
+    is bounded however large the source is. Rows are dealt to shards by id; those of an id (or of none) with over a
+    thousandth of all rows by row number too. Input columns that are not named are not read, whatever their names; a very
+    long text is one row of a window, which holds its size and not the text.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(q(id_col)).alias("id"),
                        source_key(source_col).alias("key"), word_count(text_col).alias("size"))
     rows = checkpointed(rows)
     n = rows.count()
     sizes = rows.groupBy("key").agg(F.sum("size").alias("size"), F.count("*").alias("rows"))
-    sources = checkpointed(targets(sizes, share, cap, weights).withColumn(
-        "shards", F.greatest(F.lit(1), F.ceil(F.col("size") / shard_words)).cast("long")))
-    total = int(sources.agg(F.sum("size")).first()[0] or 0)
-    one = docs.sparkSession.createDataFrame([(0, int(share * total / block_words + 0.5))], "grp int, seats long")
-    won = sainte_lague(sources.select(F.lit(0).alias("grp"), F.col("key").alias("name"), F.col("target").alias("value")), one)
-    won = checkpointed(won.select(F.col("name").alias("grp"), F.col("won").alias("seats")))
+    sources = targets(sizes, share, cap, weights).withColumn(
+        "shards", F.greatest(F.lit(1), F.ceil(F.col("size") / shard_words)).cast("long"))
+    block = F.floor(F.least(F.col("size").cast("double"), F.col("target")) / LEAST_BLOCKS)
+    sources = checkpointed(sources.withColumn("block", F.greatest(F.lit(1), F.least(F.lit(block_words), block)).cast("long")))
 
     placed = attach(rows, sources.withColumnRenamed("size", "source_size"), "key", "rows", n)
-    placed = placed.withColumn("shard", F.pmod(_number(_hash(seed, "shard")), F.col("shards")))
-    shards = checkpointed(placed.groupBy("key", "shard").agg(
-        F.sum("size").alias("words"), F.max("target").alias("target"), F.max("source_size").alias("source_size")))
-    quotas = sainte_lague(shards.select(F.col("key").alias("grp"), F.col("shard").alias("name"),
-                                        F.col("words").cast("double").alias("value")), won)
-    blocks = F.greatest(F.lit(1), F.floor(F.col("value") / block_words + 0.5)).cast("long")
-    quotas = quotas.select(F.col("grp").alias("key"), F.col("name").alias("shard"), F.col("value").cast("long").alias("words"),
-                           blocks.alias("n"), F.least(F.col("won"), (F.lit(cap) * blocks).cast("long")).alias("quota"))
-    if fit_small:
-        quotas = _fit_small(quotas, shards, block_words, cap)
+    often = rows.groupBy("id").agg(F.count("*").alias("rows")).filter(F.col("rows") > max(n // HOT_SHARE, 4096)).select(
+        F.col("id").alias("_often"))  # fewer than HOT_SHARE ids
+    often = often.withColumn("_hot", F.lit(True))
+    placed = placed.join(F.broadcast(often), F.col("id").eqNullSafe(F.col("_often")), "left")
+    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64("row"), F.col("shards"))).otherwise(0)
+    placed = placed.withColumn("shard", F.pmod(_number(_hash(seed, "shard")) + spread, F.col("shards"))).drop("_often", "_hot")
+    shards = placed.filter("size > 0").groupBy("key", "shard").agg(F.sum("size").alias("words"), F.max("block").alias("block"))
+    shards = checkpointed(shards.withColumn("n", F.ceil(F.col("words") / F.col("block")).cast("long")))
+    blocks = shards.groupBy("key").agg(F.sum("n").alias("n"))
+    values = checkpointed(sources.join(blocks, "key").select(
+        F.lit(0).alias("grp"), F.col("key").alias("name"), (F.col("target") * F.col("n") / F.col("size")).alias("value")))
+    seats = values.groupBy("grp").agg(F.sum(F.floor(F.col("value") + 0.5)).cast("long").alias("seats"))
+    won = sainte_lague(values, seats)
+    won = checkpointed(won.select(F.col("name").alias("grp"), F.col("won").alias("seats")))
+    quotas = sainte_lague(shards.select(F.col("key").alias("grp"), F.col("shard").alias("name"), F.col("n").cast("double").alias("value")), won)
+    quotas = quotas.select(F.col("grp").alias("key"), F.col("name").alias("shard"), "won").join(shards.drop("block"), ["key", "shard"])
+    quotas = quotas.withColumn("quota", F.least(F.col("won"), (F.lit(cap) * F.col("n")).cast("long"))).drop("won")
     phase = F.pmod(_number(F.md5(F.concat_ws("|", F.lit(f"{seed}|phase"), "key", F.col("shard").cast("string")).cast("binary"))), F.col("n"))
     quotas = checkpointed(quotas.withColumn("phase", phase))
 
     order = Window.partitionBy("key", "shard").orderBy(_hash(seed, "order"), "id", "size", "row")
-    laid = placed.withColumn("end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    laid = placed.filter("size > 0").withColumn("end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     laid = laid.withColumn("start", F.col("end") - F.col("size")).join(quotas, ["key", "shard"])
     spans = """transform(sequence(((start + 1) * n - 1) div words, (end * n - 1) div words), j -> struct(
                  greatest(start, j * words div n) - start as first,
                  least(end, (j + 1) * words div n) - start as until,
                  ((j + 1 + phase) * quota) div n - ((j + phase) * quota) div n as times))"""
     empty = "cast(array() as array<struct<first: bigint, until: bigint, times: bigint>>)"
-    laid = laid.withColumn("spans", F.expr(f"case when size > 0 then {spans} else {empty} end"))
+    laid = laid.withColumn("spans", F.expr(spans)).unionByName(placed.filter("size = 0").withColumn("spans", F.expr(empty)), True)
     taken = F.expr("aggregate(spans, cast(0 as bigint), (sum, s) -> sum + (s.until - s.first) * s.times)")
     return laid.select("row", "id", "size", "source_size", "target", taken.alias("taken"), "spans")
 
@@ -235,24 +231,26 @@ c AS (  -- sources by the level at which they are capped: all before the first t
          (SELECT sum(w) FROM s) - coalesce(sum(w) OVER b, 0.0) AS free
   FROM s WINDOW b AS (ORDER BY 2.0::DOUBLE * ss / w, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 l AS (SELECT arg_min(rest / free, stop) AS level FROM c WHERE stop >= rest / free),
-t AS (SELECT k, ss, least(2.0::DOUBLE * ss, l.level * w) AS target, greatest(1, ceil(ss / 1048576.0))::BIGINT AS shards FROM s, l),
-seats AS (SELECT floor(1.5 * sum(ss) / 32 + 0.5)::BIGINT AS n FROM s),
-quot AS (SELECT k, target / (2 * i.i + 1) AS x FROM t, LATERAL (SELECT unnest(range(0, (target / 32)::BIGINT + 50)) AS i) i),
-won AS (SELECT k, count(*) AS won FROM (SELECT k FROM quot WHERE x > 0 ORDER BY x DESC, k LIMIT (SELECT n FROM seats)) GROUP BY k),
-p AS (SELECT d.*, t.ss, t.target, ('0x' || substr(md5('42|shard|' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT % t.shards AS shard,
+t AS (SELECT *, greatest(1, least(32, floor(least(ss::DOUBLE, target) / 16)))::BIGINT AS b FROM (
+        SELECT k, ss, least(2.0::DOUBLE * ss, l.level * w) AS target, greatest(1, ceil(ss / 1048576.0))::BIGINT AS shards FROM s, l)),
+p AS (SELECT d.*, t.ss, t.target, t.b, ('0x' || substr(md5('42|shard|' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT % t.shards AS shard,
              md5('42|order|' || coalesce(doc_id::VARCHAR, '')) AS o FROM d JOIN t USING (k)),
-sh AS (SELECT k, shard, sum(size)::BIGINT AS words FROM p GROUP BY k, shard),
-q2 AS (SELECT k, shard, words / (2 * i.i + 1)::DOUBLE AS x FROM sh, LATERAL (SELECT unnest(range(0, (words / 16)::BIGINT + 50)) AS i) i),
+sh AS (SELECT k, shard, sum(size)::BIGINT AS words, ceil(sum(size) / max(b)::DOUBLE)::BIGINT AS n FROM p WHERE size > 0 GROUP BY k, shard),
+v AS (SELECT k, target * n / ss AS v FROM t JOIN (SELECT k, sum(n)::BIGINT AS n FROM sh GROUP BY k) USING (k)),
+quot AS (SELECT k, v / (2 * i.i + 1) AS x FROM v, LATERAL (SELECT unnest(range(0, v.v::BIGINT + 50)) AS i) i),
+won AS (SELECT k, count(*) AS won FROM (
+          SELECT k FROM quot WHERE x > 0 ORDER BY x DESC, k LIMIT (SELECT sum(floor(v + 0.5))::BIGINT FROM v)) GROUP BY k),
+q2 AS (SELECT k, shard, n / (2 * i.i + 1)::DOUBLE AS x FROM sh, LATERAL (SELECT unnest(range(0, 2 * n + 50)) AS i) i),
 qr AS (SELECT k, shard, row_number() OVER (PARTITION BY k ORDER BY x DESC, shard) AS r FROM q2 WHERE x > 0),
 sq AS (SELECT k, shard, count(*) AS won FROM qr JOIN won USING (k) WHERE r <= won.won GROUP BY k, shard),
 qt AS (
   SELECT k, shard, words, n, least(coalesce(won, 0), 2 * n) AS quota,
          ('0x' || substr(md5('42|phase|' || k || '|' || shard::VARCHAR), 1, 8))::BIGINT % n AS phase
-  FROM (SELECT sh.*, sq.won, greatest(1, floor(words / 32.0 + 0.5))::BIGINT AS n FROM sh LEFT JOIN sq USING (k, shard))),
+  FROM sh LEFT JOIN sq USING (k, shard)),
 laid AS (
   SELECT p.doc_id, p.size, p.ss, p.target, words, n, quota, phase,
-         (sum(size) OVER (PARTITION BY k, shard ORDER BY o, doc_id, size ROWS UNBOUNDED PRECEDING))::BIGINT AS e
-  FROM p JOIN qt USING (k, shard))
+         (sum(size) OVER (PARTITION BY k, shard ORDER BY o, doc_id, size ROWS UNBOUNDED PRECEDING))::BIGINT AS e  -- size 0 adds nothing
+  FROM p LEFT JOIN qt USING (k, shard))
 SELECT doc_id, size, ss AS source_size, target,
        CASE WHEN size = 0 THEN 0 ELSE list_sum(list_transform(
          range(((e - size + 1) * n - 1) // words, (e * n - 1) // words + 1), lambda j:
