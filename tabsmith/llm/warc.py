@@ -1,7 +1,7 @@
 """WARC archives: a deterministic sharded writer and a reader.
 
-Writer: records are range-sorted by (page id, payload digest); the bounds come from a hash sample of the rows, so they
-depend on the data alone. A shard's files roll when their compressed size reaches a limit. Every record is a gzip member
+Writer: records are range-sorted by (page id, payload digest); a shard is the payload bytes before a record divided by the
+shard size, so shards depend on the data alone. A shard's files roll when their compressed size reaches a limit. Every record is a gzip member
 of its own with regenerated headers and digests. Tasks write under temporary names; their manifest rows are written as
 a table, and only then are the files of that manifest renamed and the manifest file put next to them.
 """
@@ -19,7 +19,8 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabsmith.llm.common import attach, checkpointed, open_fs, q, read, scratch_dir, text_or_empty
@@ -74,22 +75,24 @@ def member(data: bytes, level: int) -> bytes:
 MANIFEST = "shard long, seq int, temp string, path string, records long, bytes long, sha256 string"
 
 
+_MANIFEST = pa.schema([("shard", pa.int64()), ("seq", pa.int32()), ("temp", pa.string()), ("path", pa.string()),
+                       ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())])
+
+
 def _writer(folder: str, date: str, roll_bytes: int, level: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = open_fs(folder)
         fs.create_dir(f"{base}/_temporary", recursive=True)
         out = name = None
         shard, seq, n, size, check, last, copy, note = None, 0, 0, 0, None, None, 0, None
 
-        def close() -> pd.DataFrame:
+        def close() -> pa.RecordBatch:
             out.close()
-            return pd.DataFrame({"shard": [shard], "seq": [seq], "temp": [name], "path": [f"{base}/shard-{shard:06d}-{seq:05d}.warc.gz"],
-                                 "records": [n], "bytes": [size], "sha256": [check.hexdigest()]})
+            return pa.RecordBatch.from_pydict({"shard": [shard], "seq": [seq], "temp": [name], "path": [
+                f"{base}/shard-{shard:06d}-{seq:05d}.warc.gz"], "records": [n], "bytes": [size], "sha256": [check.hexdigest()]}, schema=_MANIFEST)
 
-        for pdf in frames:
-            for row in pdf.to_dict("records"):
-                for c in ("page", "first"):
-                    row[c] = None if pd.isna(row[c]) else int(row[c])
+        for batch in frames:
+            for row in batch.to_pylist():  # Arrow values: a 64-bit id beside a null stays an integer
                 key = (row["page"], row["sha"])
                 if row["kind"] == 0:
                     note = (key, row["first"], row["first_url"])
@@ -132,48 +135,65 @@ def _commit(folder: str):
     return run
 
 
-def _bounds(rows: DataFrame, n: int, shards: int, per_shard: int = 64) -> list[tuple]:
-    """Upper bounds of the shards from the rows with the smallest hashes; about per_shard * shards rows are looked at."""
-    if shards <= 1:
-        return []
-    share = min(1.0, per_shard * shards / max(1, n))
-    pick = F.pmod(F.xxhash64("page", "sha"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
-    drawn = sorted((r["page"] is None, r["page"] or 0, r["sha"]) for r in rows.filter(pick).select("page", "sha").collect())
-    return sorted({drawn[i * len(drawn) // shards] for i in range(1, shards)}) if drawn else []
+MAX_SHARDS = 100_000  # so many bounds go to the driver at most; beyond that shards get larger
+
+
+def _bounds(narrow: DataFrame, shard_bytes: int) -> list[tuple]:
+    """The first key (no id, id, payload hash) of each shard but the first, in order: at most MAX_SHARDS.
+
+    Spark range-partitions the keys, without payloads; a key's shard is the bytes before it (its partition's start, one
+    number a partition, and the running sum inside the partition) by the shard size.
+    """
+    keys = narrow.groupBy("page", "sha").agg(F.sum("bytes").alias("bytes"))
+    order = [F.col("page").asc_nulls_last(), F.col("sha")]
+    placed = checkpointed(keys.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    totals = placed.groupBy("part").agg(F.sum("bytes").alias("total"))  # a row a partition
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    size = max(shard_bytes, -(-int(totals.agg(F.sum("total")).first()[0] or 0) // (MAX_SHARDS - 1)))
+    at = F.col("start") + F.sum("bytes").over(inside) - F.col("bytes")
+    rows = placed.join(F.broadcast(starts), "part").select(F.floor(at / size).alias("shard"), F.struct(
+        F.col("page").isNull().alias("none"), F.coalesce("page", F.lit(0)).alias("page"), "sha").alias("key"))
+    firsts = rows.groupBy("shard").agg(F.min("key").alias("key")).orderBy("shard").collect()
+    return [tuple(r.key) for r in firsts[1:]]
 
 
 def _shard_column(bounds: list[tuple]):
+    """Shard of (page is null, page or 0, sha); without nulls pandas keeps 64-bit integers as they are."""
     @F.pandas_udf("long")
-    def shard(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for page, sha in parts:
-            keys = [(True, 0, s) if pd.isna(p) else (False, int(p), s) for p, s in zip(page.astype(object), sha)]
-            yield pd.Series([bisect_right(bounds, k) for k in keys], dtype="int64")
+    def shard(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for none, page, sha in parts:
+            yield pd.Series([bisect_right(bounds, k) for k in zip(none.tolist(), page.tolist(), sha)], dtype="int64")
 
-    return shard
+    return shard(F.col("page").isNull(), F.coalesce("page", F.lit(0)), F.col("sha"))
 
 
 def write_warc(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", url_col: str = "url",
-               html_col: str = "html", min_revisit_bytes: int = 0, shard_rows: int = 4000, roll_bytes: int = 64 << 20,
+               html_col: str = "html", min_revisit_bytes: int = 0, shard_bytes: int = 16 << 20, roll_bytes: int = 64 << 20,
                date: str = "2024-01-01T00:00:00Z", level: int = 6) -> DataFrame:
     """Write a record per row of ``pages`` and return the committed manifest (MANIFEST columns and ``folder``).
 
     Of records with equal payloads of at least ``min_revisit_bytes`` bytes the one with the largest id is the response
     and the others are revisits of it; smaller payloads are all responses. A null payload is empty, a null id is below
     all others and a null url becomes a urn. Rows that repeat id and payload: the first of them is the response, the
-    others revisit it. The bytes of every archive depend on the rows alone, not on partitions or retries. An empty
-    table gives no file. Other columns are not written.
+    others revisit it. Ids are exact over all of 64 bits. Records are written in order of id, a shard of about
+    ``shard_bytes`` payload bytes to a task (a longer payload is a shard of its own; a record is in memory at once), and
+    a shard rolls to a new file beyond ``roll_bytes`` compressed bytes. Shards and bytes of every archive depend on the
+    rows alone, not on partitions or retries. An empty table gives no file. Other columns are not written, whatever their
+    names.
     """
     folder = folder or scratch_dir(pages.sparkSession, "warc")
     html = text_or_empty(html_col)
     rows = pages.select(F.col(q(id_col)).cast("long").alias("page"), F.col(q(url_col)).cast("string").alias("url"),
                         html.alias("html"), F.sha2(html.cast("binary"), 256).alias("sha"),
-                        (F.octet_length(html) >= min_revisit_bytes).alias("dedup"))
-    narrow = checkpointed(rows.select("page", "url", "sha", "dedup"))
+                        (F.octet_length(html) >= min_revisit_bytes).alias("dedup"), F.octet_length(html).cast("long").alias("bytes"))
+    narrow = checkpointed(rows.select("page", "url", "sha", "dedup", "bytes"))
     n = narrow.count()
     rank = F.struct(F.col("page").isNotNull().alias("known"), "page", "url")
     groups = narrow.filter("dedup").groupBy("sha").agg(F.max(rank).alias("top"), F.count("*").alias("rows")).filter("rows > 1")
     groups = checkpointed(groups.select("sha", "rows", F.col("top.page").alias("first"), F.col("top.url").alias("first_url")))
-    bounds = _bounds(narrow, n, -(-n // shard_rows))
+    bounds = _bounds(narrow, shard_bytes)
     # Payloads are shuffled once, by shard. What a repeated payload refers to is found on the narrow rows and travels as
     # a row of its own that sorts just before the records it is for.
     notes = attach(narrow, groups, "sha", "rows", n).select("page", "sha", "first", "first_url").distinct()
@@ -182,10 +202,10 @@ def write_warc(pages: DataFrame, folder: str | None = None, id_col: str = "page_
                          F.lit(True).alias("dedup"), "first", "first_url")
     records = rows.select("page", "sha", F.lit(1).alias("kind"), "url", "html", "dedup", none("long").alias("first"),
                           none("string").alias("first_url"))
-    found = records.unionByName(notes).withColumn("shard", _shard_column(bounds)(F.col("page"), F.col("sha")))
+    found = records.unionByName(notes).withColumn("shard", _shard_column(bounds))
     order = ["shard", F.col("page").asc_nulls_last(), "sha", "kind", "url"]
     laid = found.repartitionById(len(bounds) + 1, F.col("shard").cast("int")).sortWithinPartitions(*order)
-    manifest = checkpointed(laid.mapInPandas(_writer(folder, date, roll_bytes, level), MANIFEST))
+    manifest = checkpointed(laid.mapInArrow(_writer(folder, date, roll_bytes, level), MANIFEST))
     done = checkpointed(manifest.repartition(max(1, min(64, manifest.count())), "path").mapInPandas(_commit(folder), MANIFEST))
     _write_manifest(done, folder)
     return done.withColumn("folder", F.lit(folder))
@@ -239,45 +259,45 @@ RECORD = ("page_id long, payload_bytes long, payload_digest string, record_type
 _LENGTH = re.compile(rb"^Content-Length: (\d+)\r$", re.MULTILINE)
 
 
+_RECORD = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()),
+                     ("refers_to", pa.int64()), ("url", pa.string()), ("record_id", pa.string()), ("file", pa.string()), ("payload", pa.string())])
+
+
 def _reader(with_payload: bool):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            for path, folder in zip(pdf["path"], pdf["folder"]):
-                fs, _ = open_fs(folder)
-                rows, held = [], 0
-                with fs.open_input_stream(path, compression=None) as f:
-                    for raw in members(f):
-                        r = parse(raw)
-                        http, _, payload = r["block"].partition(b"\r\n\r\n")
-                        size = int(_LENGTH.search(http + b"\r\n").group(1))
-                        own = r["warc-payload-digest"].removeprefix("sha1:")
-                        if r["warc-type"] == "response" and (size != len(payload) or own != digest(payload)):
-                            raise ValueError(f"payload differs from its headers: {r['warc-record-id']}")
-                        number = lambda k: int(r[k]) if k in r else None  # noqa: E731,B023
-                        rows.append((number("x-page"), size, own, r["warc-type"], number("x-refers-to-page"),
-                                     r["warc-target-uri"], r["warc-record-id"], path,
-                                     payload.decode("utf-8", "surrogatepass") if with_payload and r["warc-type"] == "response" else None))
-                        held += len(payload)
-                        if len(rows) >= 1000 or held >= 16 << 20:
-                            yield _frame(rows)
-                            rows, held = [], 0
-                if rows:
-                    yield _frame(rows)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for path, folder in ((x["path"], x["folder"]) for batch in batches for x in batch.to_pylist()):
+            fs, _ = open_fs(folder)
+            rows, held = [], 0
+            with fs.open_input_stream(path, compression=None) as f:
+                for raw in members(f):
+                    r = parse(raw)
+                    http, _, payload = r["block"].partition(b"\r\n\r\n")
+                    size = int(_LENGTH.search(http + b"\r\n").group(1))
+                    own = r["warc-payload-digest"].removeprefix("sha1:")
+                    if r["warc-type"] == "response" and (size != len(payload) or own != digest(payload)):
+                        raise ValueError(f"payload differs from its headers: {r['warc-record-id']}")
+                    number = lambda k: int(r[k]) if k in r else None  # noqa: E731,B023
+                    rows.append((number("x-page"), size, own, r["warc-type"], number("x-refers-to-page"),
+                                 r["warc-target-uri"], r["warc-record-id"], path,
+                                 payload.decode("utf-8", "surrogatepass") if with_payload and r["warc-type"] == "response" else None))
+                    held += len(payload)
+                    if len(rows) >= 1000 or held >= 16 << 20:
+                        yield _batch(rows)
+                        rows, held = [], 0
+            if rows:
+                yield _batch(rows)
 
     return run
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=[f.strip().split(" ")[0] for f in RECORD.split(",")])
-    for c in ("page_id", "refers_to"):
-        out[c] = pd.array([None if v is None or pd.isna(v) else int(v) for v in (r[0 if c == "page_id" else 4] for r in rows)], dtype="Int64")
-    return out
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _RECORD.types)], schema=_RECORD)
 
 
 def read_warc(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
     """One row per record of the manifest's archives, digests checked; a revisit has no payload of its own."""
     files = manifest.select("path", "folder")
-    return files.repartition(max(1, manifest.count()), "path").mapInPandas(_reader(with_payload), RECORD)
+    return files.repartition(max(1, manifest.count()), "path").mapInArrow(_reader(with_payload), RECORD)
 
 
 def op6_warc_round_trip(spark, sf_dir: str) -> DataFrame:

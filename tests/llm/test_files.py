@@ -127,7 +127,7 @@ def _pages(spark, rows):
 
 @pytest.mark.parametrize("least", [0, 5, 10**6])
 def test_warc_round_trip(spark, least):
-    manifest = warc.write_warc(_pages(spark, PAGES), min_revisit_bytes=least, shard_rows=3, roll_bytes=400)
+    manifest = warc.write_warc(_pages(spark, PAGES), min_revisit_bytes=least, shard_bytes=600, roll_bytes=400)
     got = warc.read_warc(manifest, with_payload=True).collect()
     assert len(got) == len(PAGES)
     groups = {}
@@ -159,8 +159,8 @@ def _files(manifest):
 
 
 def test_warc_bytes_do_not_depend_on_partitions(spark):
-    a = _files(warc.write_warc(_pages(spark, PAGES).repartition(1), shard_rows=3, roll_bytes=400))
-    b = _files(warc.write_warc(_pages(spark, PAGES[::-1]).repartition(5), shard_rows=3, roll_bytes=400))
+    a = _files(warc.write_warc(_pages(spark, PAGES).repartition(1), shard_bytes=600, roll_bytes=400))
+    b = _files(warc.write_warc(_pages(spark, PAGES[::-1]).repartition(5), shard_bytes=600, roll_bytes=400))
     assert a == b and len(a) > 2
     whole = b"".join(gzip.decompress(x) for x in a.values())
     assert len(re.findall(rb"WARC/1.1\r\nWARC-Type: ", whole)) == len(PAGES)
@@ -177,6 +177,24 @@ def test_warc_damage_is_found():
         list(warc.members(io.BytesIO(warc.member(raw, 6)[:-9])))
 
 
+def test_warc_ids_are_exact_over_64_bits(spark):
+    big = [2**53 + 1, 2**53 + 3, 2**63 - 1, -(2**63) + 1, 5]
+    for null in ([], [(None, "u", "<p>none</p>"), (None, None, "<p>same</p>")]):
+        rows = [(i, "u", "<p>same</p>") for i in big] + [(2**53 + 2, "u", "<p>other</p>")] + null
+        got = warc.read_warc(warc.write_warc(_pages(spark, rows), shard_bytes=20)).select("page_id", "refers_to", "record_type").collect()
+        top = 2**63 - 1
+        want = [(i, None if i == top else top, "response" if i == top else "revisit") for i in big] + [(2**53 + 2, None, "response")]
+        want += [(None, None, "response"), (None, top, "revisit")] if null else []
+        assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_warc_bounds_are_of_one_size(spark):
+    keys = spark.createDataFrame([(i, f"{i:04d}", 10) for i in range(100)] + [(None, "z", 10)], "page long, sha string, bytes long")
+    bounds = warc._bounds(keys.repartition(7), 100)
+    assert [b[1] for b in bounds] == list(range(10, 100, 10)) + [0] and bounds[-1][0]
+    assert warc._bounds(keys.limit(0), 100) == []
+
+
 def test_warc_empty(spark):
     assert warc.read_warc(warc.write_warc(_pages(spark, []))).collect() == []
 
