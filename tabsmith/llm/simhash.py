@@ -95,18 +95,17 @@ def fingerprint_links(fps: DataFrame, max_bits: int, bucket_rows: int = 64) -> D
     """
     keyed = fps.select("fp", F.explode(F.array(*[
         F.struct(F.lit(n).alias("n"), _segment("fp", i).alias("x"), _segment("fp", j).alias("y"))
-        for n, (i, j) in enumerate(_keys(max_bits))])).alias("k")).select("fp", "k.n", "k.x", "k.y")
-    sizes = keyed.groupBy("n", "x", "y").agg(F.count("*").alias("rows")).filter("rows > 1")
-    sizes = checkpointed(sizes)
-    small = keyed.join(sizes.filter(F.col("rows") <= bucket_rows), ["n", "x", "y"])
-    left = small.select("n", "x", "y", F.col("fp").alias("a"))
-    right = small.select("n", "x", "y", F.col("fp").alias("b"))
-    pairs = left.join(right, (left.n == right.n) & (left.x == right.x) & (left.y == right.y)
-                      & (F.col("a") < F.col("b")) & _chain("a", "b", max_bits)
+        for n, (i, j) in enumerate(_keys(max_bits))])).alias("k"))
+    sizes = checkpointed(keyed.groupBy("k").agg(F.count("*").alias("rows")).filter("rows > 1"))
+    small = keyed.join(sizes.filter(F.col("rows") <= bucket_rows), "k")
+    left = small.select("k", F.col("fp").alias("a"))
+    right = small.select(F.col("k").alias("k2"), F.col("fp").alias("b"))
+    pairs = left.join(right, (F.col("k") == F.col("k2")) & (F.col("a") < F.col("b")) & _chain("a", "b", max_bits)
                       & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)).select("a", "b")
     if max_bits == 0:
         return pairs
-    large = keyed.join(sizes.filter(F.col("rows") > bucket_rows), ["n", "x", "y"])
+    n_keyed = int(sizes.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0])  # lower than all rows: hot a little earlier
+    large = attach(keyed, sizes.filter(F.col("rows") > bucket_rows), "k", "rows", n_keyed).select("fp", "k.n")
     flips = F.lit(None)
     for n, pair in enumerate(_keys(max_bits)):
         free = [b for b in range(64) if b // WIDTH not in pair]
@@ -124,7 +123,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int, bucket_rows: int = 64) -> D
 
 
 def classes_of(prints: DataFrame, max_bits: int) -> DataFrame:
-    """Rows (_id, fp, any others) with ``fp_hex``, ``root_id`` (smallest id of the class) and ``n_links``.
+    """Rows (_id, fp, any others) with ``fp_hex`` and ``root_id`` (smallest id of the class).
 
     Rows of one fingerprint collapse to one node first, so copies are never expanded into pairs.
     """
@@ -133,8 +132,9 @@ def classes_of(prints: DataFrame, max_bits: int) -> DataFrame:
     links = fingerprint_links(nodes.select("fp"), max_bits)  # repeats go in connected_components
     roots = connected_components(links).select(F.col("node").alias("fp"), "root")
     rooted = nodes.join(roots, "fp", "left").select("fp", "low", "rows", F.coalesce("root", "fp").alias("root"))
-    lows = rooted.groupBy("root").agg(F.min("low").alias("root_id"))
-    table = checkpointed(rooted.join(lows, "root").select("fp", "rows", "root_id"))
+    rooted = checkpointed(rooted)
+    lows = checkpointed(rooted.groupBy("root").agg(F.min("low").alias("root_id"), F.count("*").alias("members")))
+    table = checkpointed(attach(rooted, lows, "root", "members", n).select("fp", "rows", "root_id"))
     return attach(prints, table, "fp", "rows", n).withColumn("fp_hex", F.lower(F.lpad(F.hex("fp"), 16, "0"))).drop("rows")
 
 
