@@ -118,13 +118,24 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray, pairs: tuple[np.ndarray, np.ndarray], fairness: float, l2: float = 2e-4,
-                rounds: int = 300, step: float = 0.1) -> np.ndarray:
-    """Full-batch Adam on log-loss + l2 + fairness * mean squared score change over the counterfactual pairs.
+class Changes:
+    """Feature changes of counterfactual pairs as sparse rows (a swap touches a few features), and how often each occurs."""
 
-    ``pairs`` holds the distinct feature changes and how often each occurs.
-    """
-    d, times = pairs
+    def __init__(self, changes: list[dict[int, float]], times: list[float], width: int) -> None:
+        self.row = np.repeat(np.arange(len(changes)), [len(c) for c in changes])
+        self.column = np.array([i for c in changes for i in c], dtype=np.int64)
+        self.value = np.array([v for c in changes for v in c.values()], dtype=np.float64)
+        self.times, self.width = np.array(times, dtype=np.float64), width
+
+    def gradient(self, w: np.ndarray) -> np.ndarray:
+        """Gradient of the mean squared score change."""
+        change = np.bincount(self.row, self.value * w[self.column], len(self.times))
+        return 2 * np.bincount(self.column, self.value * (self.times * change)[self.row], self.width) / self.times.sum()
+
+
+def fit_weights(x: np.ndarray, y: np.ndarray, pairs: Changes, fairness: float, l2: float = 2e-4,
+                rounds: int = 300, step: float = 0.1) -> np.ndarray:
+    """Full-batch Adam on log-loss + l2 + fairness * mean squared score change over the counterfactual pairs."""
     w = np.zeros(x.shape[1] + 1, dtype=np.float32)
     m, v = np.zeros_like(w), np.zeros_like(w)
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())).astype(np.float32)
@@ -132,8 +143,8 @@ def fit_weights(x: np.ndarray, y: np.ndarray, pairs: tuple[np.ndarray, np.ndarra
         p = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
         g = (p - y) * weight
         grad = np.append(x.T @ g + l2 * w[:-1], g.sum())
-        if len(d):
-            grad[:-1] += fairness * 2 * (d.T @ (times * (d @ w[:-1]))) / times.sum()
+        if len(pairs.times):
+            grad[:-1] += fairness * pairs.gradient(w[:-1])
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
         w -= (step * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)).astype(np.float32)
     return w
@@ -142,10 +153,8 @@ def fit_weights(x: np.ndarray, y: np.ndarray, pairs: tuple[np.ndarray, np.ndarra
 def _fitter(names: list[str], fairness: float):
     index = {f: i for i, f in enumerate(names)}
 
-    def vector(fs) -> np.ndarray:
-        x = np.zeros(len(names), dtype=np.float32)
-        x[[index[f] for f in fs if f in index]] = 1
-        return x
+    def change(own, other) -> dict[int, float]:
+        return {index[f]: 1.0 if f in own else -1.0 for f in sorted(own ^ other) if f in index}
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("order")
@@ -156,9 +165,9 @@ def _fitter(names: list[str], fairness: float):
         for named, n in Counter(map(tuple, pdf["named"])).items():
             own = set(named)
             for other in swaps(own):  # the rest of the text is the same on both sides
-                changes.append(vector(features_of(own)) - vector(features_of(other)))
+                changes.append(change(features_of(own), features_of(other)))
                 times.append(n)
-        pairs = (np.array(changes, np.float32).reshape(-1, len(names)), np.array(times, np.float32))
+        pairs = Changes(changes, times, len(names))
         w = fit_weights(x, pdf["y"].to_numpy(np.float32), pairs, fairness)
         return pd.DataFrame({"names": [names], "weights": [w[:-1].tolist()], "bias": [float(w[-1])],
                              "pairs": [sum(times)]})
@@ -192,7 +201,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Learn from the texts of ``docs`` whose id ``labels`` marks 0 or 1 (an id marked twice counts as its highest mark).
 
     At most ``sample_rows`` labelled rows are used, half for each class, drawn by a hash of the id; that bound lets the
-    drawn labels be broadcast to the texts and the feature rows meet in one task. The ``n_features`` features with the
+    drawn labels be broadcast to the texts and the feature rows meet in one task; of an id that stands in several rows of
+    ``docs`` the text with the smallest hash is used, so repeated rows do not stretch it. The ``n_features`` features with the
     strongest association and at least ``least_docs`` texts are kept, and all identity terms. Rows with a null id, label
     or text are left out. Without both classes every score is the share of class 1 (0 for no labelled text).
     """
@@ -206,7 +216,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rank = Window.partitionBy("y").orderBy("order", "id")
     drawn = drawn.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= half).drop("rank")
     texts = docs.select(F.col(q(id_col)).alias("id"), F.col(q(text_col)).cast("string").alias("text")).filter("text is not null")
-    rows = texts.join(F.broadcast(drawn), "id").select("y", "order", _words_column()(F.col("text")).alias("f"))
+    rows = texts.join(F.broadcast(drawn), "id").groupBy("id", "y", "order").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = rows.select("y", "order", _words_column()(F.col("text")).alias("f"))
     rows = checkpointed(rows.select("y", "order", "f.words", "f.named"))
     got = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n1, n0 = got.get(1, 0), got.get(0, 0)
@@ -222,7 +233,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     picked = rows.select("y", "order", "named", _features_column(frozenset(names))("words").alias("features"))
     fitted = picked.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(
         _fitter(names, fairness), "names array<string>, weights array<double>, bias double, pairs long").first()
-    # the sample holds the classes in equal weight: move the bias back by half the log-odds of the true shares
+    # The fit weighs both classes alike. The full log-odds of the true shares would make the score a probability; half
+    # of them is the point between that and equal weights: a threshold of 0.3 then leaves clean texts alone and still
+    # catches toxic ones that hold little evidence.
     prior = 0.5 * float(np.log(sizes[1] / sizes[0]))
     return Model({f: w for f, w in zip(fitted["names"], fitted["weights"]) if w}, fitted["bias"] + prior, fitted["pairs"])
 
