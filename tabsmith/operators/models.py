@@ -29,7 +29,7 @@ from tabsmith.operators import boosting as BO
 from tabsmith.operators import knn as K
 from tabsmith.operators.metrics import EPS
 from tabsmith.operators.scale import class_weights
-from tabsmith.session import ensure_checkpoint_dir, hold
+from tabsmith.session import ensure_checkpoint_dir, hold, in_threads
 
 MODELS = ("logistic", "knn", "svm", "random_forest", "boosted", "boosted_leafwise")
 BOOSTED = ("boosted", "boosted_leafwise")
@@ -268,18 +268,22 @@ def logistic_gradient(fitted: Fitted, train: DataFrame) -> np.ndarray:
 
 def svm_c_sweep(train: DataFrame, val: DataFrame, cols: list[str], label: str, key: str, c_values: list[float],
                 params: dict | None = None) -> DataFrame:
-    """(kernel, C, split, n, accuracy) on train and val for each C, all fits on one held feature map."""
+    """(kernel, C, split, n, accuracy) on train and val for each C; all fits share one held feature map."""
     p = dict(params or {})
     n_classes = int(train.agg(F.max(F.col(label).cast("int"))).first()[0]) + 1
     tr = with_balanced_weight(assemble(train, cols).withColumn("label_d", F.col(label).cast("double")), label)
-    tr = fit_frame(tr)
+    tr = fit_frame(tr.select("label_d", "w", "features"))
     n = float(tr.count())
-    mapped, out = None, None
-    for c in c_values:
+    pre = build("svm", len(cols), n, p, n_classes).pre
+    mapped = fit_frame(pre.transform(tr)) if pre is not None else tr
+    mapped.count()
+
+    def fit(c):
         spec = build("svm", len(cols), n, {**p, "C": c}, n_classes)
-        if mapped is None:
-            mapped = fit_frame(spec.pre.transform(tr)) if spec.pre is not None else tr
-        fitted = Fitted("svm", spec.estimator.fit(mapped), cols, label, key, spec, n_classes=n_classes)
+        return Fitted("svm", spec.estimator.fit(mapped), cols, label, key, spec, n_classes=n_classes)
+
+    out = None
+    for c, fitted in zip(c_values, in_threads(train.sparkSession, fit, c_values, len(c_values))):
         for split, df in (("train", train), ("val", val)):
             row = fitted.predict(df, split).agg(F.count("*").alias("n"), F.avg((F.col("predicted") == F.col("actual")).cast("double")).alias("accuracy"))
             row = row.select(F.lit(p.get("kernel", "rbf")).alias("kernel"), F.lit(float(c)).alias("C"), F.lit(split).alias("split"), "n", "accuracy")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tabsmith.operators import clean as C
@@ -14,7 +16,11 @@ from tabsmith.plans import sqlgen as G
 from tabsmith.plans.pipeline import ORDER_RATIOS, engineered_columns, engineered_orders
 from tabsmith.plans.registry import query
 from tabsmith.sources import fixtures as FX
-from tabsmith.sources.io import read_table, tag_splits
+from tabsmith.operators import models as ML
+from tabsmith.operators import scale as SC
+from tabsmith.session import ensure_checkpoint_dir, hold
+from tabsmith.sources import store as ST
+from tabsmith.sources.io import load_splits, persist_table, read_table, tag_splits, write_csv
 from tabsmith.functions.keyed import keyed_uniform, u_sql
 from tabsmith.functions.presets import variant_map
 
@@ -147,13 +153,16 @@ def null_tokens(spark, sf):
                         ["num_value"]).select("row_id", "num_token", "num_value")
 
 
-@query("numeric_columns", OFW + """
-SELECT * FROM (VALUES """ + ", ".join(f"({i}, '{c}')" for i, c in enumerate(["row_id"] + OFS)) +
-       """) t(position, "column")""")
+@query("numeric_columns", OFW + " UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS \"column\", count({c})::BIGINT AS n, sum({c})::DOUBLE AS total FROM order_features"
+    for i, c in enumerate(["row_id"] + OFS)), doubles=("total",))
 def numeric_columns(spark, sf):
-    """Numeric projection of the order fixture's schema."""
-    names = C.numeric_columns(FX.order_features(spark, sf))
-    return spark.createDataFrame([(i, c) for i, c in enumerate(names)], "position int, column string")
+    """The numeric projection of the order fixture, each column's values counted and summed over all rows."""
+    df = FX.order_features(spark, sf)
+    names = C.numeric_columns(df)
+    agg = df.select(*names).agg(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.count(c).alias("n"),
+                                           F.sum(F.col(c).cast("double")).alias("total")).alias(c) for i, c in enumerate(names)])
+    return agg.select(F.explode(F.array(*names)).alias("r")).select("r.*")
 
 
 _CLEAN_SQL = DE + f""", lab AS (
@@ -396,13 +405,51 @@ def anova_vectors(spark, sf):
 @query("apply_selection", _anova_sql() + """,
 top AS (SELECT feature FROM (SELECT *, row_number() OVER (ORDER BY f_score DESC NULLS LAST, feature_index DESC) AS r
         FROM scores) WHERE r <= 30)
-SELECT count(*)::BIGINT AS n_rows, (SELECT count(*) FROM top)::BIGINT AS n_columns FROM eng""")
+SELECT (row_number() OVER (ORDER BY feature_index) - 1)::INTEGER AS position, feature, count(value)::BIGINT AS n, sum(value) AS total
+FROM lg JOIN top USING (feature) JOIN idx USING (feature) GROUP BY feature, feature_index""", doubles=("total",))
 def apply_selection(spark, sf):
-    """Fit the selector on the order fixture, replay it; shape of the result."""
-    from tabsmith.plans.pipeline import ORDER_RATIOS as R
+    """Fit the selector on the order fixture and replay it: each selected column with its values' count and sum."""
     of = FX.order_features(spark, sf)
-    prepared = W.winsorize(I.impute_median(of, OFS), OFS, by=["class"])
-    sel = FE.FeatureSelector(ratio_spec=R, k_best=30, exclude=("row_id",)).fit(prepared, "class")
+    prepared = hold(W.winsorize(I.impute_median(of, OFS), OFS, by=["class"]))
+    sel = FE.FeatureSelector(ratio_spec=ORDER_RATIOS, k_best=30, exclude=("row_id",)).fit(prepared, "class")
     out = sel.transform(prepared)
-    return out.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        "n_rows", F.lit(len(out.columns)).cast("long").alias("n_columns"))
+    agg = out.agg(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("feature"), F.count(F.col(c)).alias("n"),
+                             F.sum(F.col(c)).alias("total")).alias(f"c{i}") for i, c in enumerate(out.columns)])
+    return agg.select(F.explode(F.array(*[f"c{i}" for i in range(len(out.columns))])).alias("r")).select("r.*")
+
+
+# ---------------------------------------------------------------- S1, S2, S4-S6 over files
+
+@query("csv_scan", DE + """
+SELECT CASE row_id % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'test' ELSE 'val' END AS split, row_id::VARCHAR AS "row id", label_raw AS "label, raw",
+       nullif(num_raw, '') AS num_raw, user_id::VARCHAR AS user_id FROM dirty_events""")
+def csv_scan(spark, sf):
+    """Three CSV splits that Spark writes from the dirty events (quoted and blank names, blanks in fields)
+    read back as one all-string table; an empty field is missing, as in the original."""
+    folder = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    ev = FX.dirty_events(spark, sf).select(F.col("row_id").alias(" row id "), F.col("label_raw").alias("label, raw"), "num_raw", "user_id")
+    for i, split in enumerate(("train", "test", "val")):
+        write_csv(ev.where(F.col(" row id ") % 3 == i), f"{folder}/{split}")
+    out = load_splits(spark, {s: f"{folder}/{s}" for s in ("train", "test", "val")})
+    return out.withColumn("num_raw", F.nullif("num_raw", F.lit("")))
+
+
+@query("store_round_trip", OFW + """
+SELECT what, count(*) AS n, true AS same FROM order_features CROSS JOIN (VALUES ('scaler'), ('selector'), ('model')) t(what) GROUP BY what""")
+def store_round_trip(spark, sf):
+    """Scaler, selector and classifier saved, loaded and applied to all rows give the rows of the unsaved ones."""
+    folder = f"{ensure_checkpoint_dir(spark)}/store-{uuid.uuid4().hex}"
+    rows = persist_table(I.impute_median(FX.order_features(spark, sf), OFS), f"{folder}/rows", None)
+    scaler = SC.Scaler("standard", OFS, []).fit(rows)
+    ST.save_scaler(scaler, spark, f"{folder}/scaler")
+    scaled = hold(scaler.transform(rows))
+    same = {"scaler": ST.same_rows(scaled, ST.load_scaler(spark, f"{folder}/scaler").transform(rows))}
+    sel = FE.FeatureSelector(ratio_spec=ORDER_RATIOS, k_best=10, exclude=("row_id",)).fit(rows, "class")
+    ST.save_selector(sel, spark, f"{folder}/selector")
+    same["selector"] = ST.same_rows(sel.transform(rows, ["row_id"]), ST.load_selector(spark, f"{folder}/selector").transform(rows, ["row_id"]))
+    coded = hold(scaled.withColumn("y", F.substring("class", 1, 1).cast("int") - 1))
+    fitted = ML.fit_model("logistic", coded, OFS, "y", "row_id", params={"max_iter": 30})
+    ST.save_model(fitted, spark, f"{folder}/model")
+    same["model"] = ST.same_rows(fitted.predict(coded, "all"), ST.load_model(spark, f"{folder}/model").predict(coded, "all"))
+    table = spark.createDataFrame(list(same.items()), "what string, same boolean")
+    return rows.agg(F.count("*").alias("n")).crossJoin(F.broadcast(table)).select("what", "n", "same")  # one row and three

@@ -28,17 +28,15 @@ def clean_header(name: str) -> str:
 def read_csv_split(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """CSV with header, UTF-8 (BOM tolerated), every column read as STRING.
 
-    ``columns`` gives the header when it is known; otherwise the header line is
-    read once (a single-row scan) to build the all-string schema.
+    ``columns`` gives the header when it is known; otherwise Spark's CSV reader takes the names from the first line, so
+    quoted commas are no separators. Names are freed of blanks and a BOM. Data fields keep their blanks.
     """
+    how = {"header": True, "encoding": "UTF-8", "escape": '"'}
     if columns is None:
-        first = spark.read.text(path).limit(1).collect()
-        columns = first[0][0].split(",") if first else []
+        columns = spark.read.options(**how).csv(path).columns  # without inferSchema only the first line is read
     names = [clean_header(c) for c in columns]
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(names))])
-    df = (spark.read.schema(schema).option("header", True).option("encoding", "UTF-8")
-          .option("enforceSchema", True).csv(path))
-    return df.toDF(*names)
+    return spark.read.schema(schema).options(**how, enforceSchema=True).csv(path).toDF(*names)
 
 
 def load_splits(spark: SparkSession, paths: dict[str, str], columns: list[str] | None = None) -> DataFrame:
@@ -61,7 +59,12 @@ def tag_splits(frames: dict[str, DataFrame]) -> DataFrame:
 
 def write_csv_report(df: DataFrame, path: str) -> None:
     """Small report table as one CSV file with header (no BOM)."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    write_csv(df.coalesce(1), path)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV files with header that ``read_csv_split`` reads back as they were: blanks kept, quotes doubled."""
+    df.write.mode("overwrite").options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def persist_table(df: DataFrame, path: str, partition_by: str | None = "split") -> DataFrame:
