@@ -25,7 +25,7 @@ def test_logistic(spark):
     tr, te = _data(spark)
     pred, model, _ = ML.fit_score("logistic", tr, te, ["a", "b"], "label", "row_id", params={"max_iter": 50})
     _check(pred)
-    assert ML.importances(model, "logistic", ["a", "b"], spark).count() == 2
+    assert ML.importances(model, ["a", "b"], spark).count() == 2
 
 
 def test_svm_fourier(spark):
@@ -47,5 +47,5 @@ def test_forest_prefix_curve(spark):
     tr, te = _data(spark)
     _, model, _ = ML.fit_score("random_forest", tr, te, ["a", "b"], "label", "row_id",
                                params={"n_estimators": 10, "max_depth": 3})
-    curve = {r.n_trees: r.accuracy for r in ML.tree_prefix_curve(model, te, ["a", "b"], "label", [5, 10]).collect()}
+    curve = {r.n_trees: r.accuracy for r in ML.tree_prefix_curve(model, te, [5, 10]).collect()}
     assert set(curve) == {5, 10} and curve[10] > 0.5
