@@ -15,6 +15,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 # A key with more than 1/HOT_SHARE of all rows is "hot": there are fewer than HOT_SHARE such keys, whatever the size.
 HOT_SHARE = 1000
+HOT_LEAST = 100  # rows of a key that no task minds
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -71,12 +72,14 @@ def open_fs(uri: str):
 def attach(rows: DataFrame, groups: DataFrame, key: str, count_col: str, n_rows: int) -> DataFrame:
     """Inner join of ``rows`` with ``groups`` (one row per ``key``, ``count_col`` = its rows) that no hot key can skew.
 
-    Keys with more than n_rows / HOT_SHARE rows are fewer than HOT_SHARE, so they are joined by broadcast (a proven
-    bound); each of the others has at most n_rows / HOT_SHARE rows and is joined by shuffling both sides.
-    ``groups`` should be materialised: it is read three times.
+    Keys with more than n_rows / HOT_SHARE rows (and more than HOT_LEAST) are fewer than HOT_SHARE, so they are joined by
+    broadcast (a proven bound); each of the others has few rows and is joined by shuffling both sides, as all are if no
+    key is hot. ``groups`` should be materialised: it is read several times.
     """
-    limit = n_rows // HOT_SHARE
+    limit = max(n_rows // HOT_SHARE, HOT_LEAST)
     hot = groups.filter(F.col(count_col) > limit)
+    if not hot.limit(1).count():
+        return rows.join(groups, key)
     cold = groups.filter(F.col(count_col) <= limit)
     flagged = rows.join(F.broadcast(hot.select(F.col(key).alias("_hot_key"))), F.col(key) == F.col("_hot_key"), "left")
     in_hot = flagged.filter(F.col("_hot_key").isNotNull()).drop("_hot_key").join(F.broadcast(hot), key)
