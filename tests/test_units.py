@@ -160,12 +160,12 @@ def test_metrics_on_huge_counts(spark):
     cm = spark.createDataFrame([("m", 0, 0, big), ("m", 1, 1, big), ("m", 0, 1, 1)], "model string, actual int, predicted int, n long")
     import tabsmith.operators.metrics as MM
 
-    original = MM.confusion_matrix
-    MM.confusion_matrix = lambda pred, grp, *a: cm
+    original = MM.confusion_counts
+    MM.confusion_counts = lambda pred, grp: cm  # the counts that the metrics start from
     try:
         r = M.metrics_wide(cm, ["model"]).first()
     finally:
-        MM.confusion_matrix = original
+        MM.confusion_counts = original
     assert r.cohen_kappa == pytest.approx(1.0, abs=1e-6) and r.matthews_corrcoef == pytest.approx(1.0, abs=1e-6)
 
 
