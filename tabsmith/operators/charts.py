@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from tabsmith.functions.presets import (BOX_TOP_N, CONFUSION_LABEL_MIN, CURVE_TAIL, CURVE_TAIL_WHEN, HIST_BINS,
                                         IMPORTANCE_TOP, IMPORTANCE_TOP_PER_MODEL, KDE_GRID)
 from tabsmith.operators.quantile import quantiles, to_long
+from tabsmith.session import cut_lineage, hold
+
+CURVE_RANGE_ROWS = 500_000
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -101,10 +104,13 @@ def score_bars(comp: DataFrame, metrics=("accuracy", "balanced_accuracy", "f1_we
 
 def curve_tail(curve: DataFrame, grp: list[str], order: str, n: int = CURVE_TAIL,
                when_over: int = CURVE_TAIL_WHEN) -> DataFrame:
-    """Keep the last ``n`` points of each curve that has more than ``when_over``."""
-    w = Window.partitionBy(*grp)
+    """Keep the last ``n`` points of each curve that has more than ``when_over``.
+
+    The rank filter comes first, so Spark keeps at most that many rows of a curve per task before the shuffle;
+    a curve is long when the kept rows already exceed ``when_over``."""
     wd = Window.partitionBy(*grp).orderBy(F.desc(order))
-    c = curve.withColumn("_cnt", F.count(F.lit(1)).over(w)).withColumn("_rd", F.row_number().over(wd))
+    ends = curve.withColumn("_rd", F.row_number().over(wd)).where(F.col("_rd") <= max(n, when_over + 1))
+    c = ends.withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*grp)))
     return c.where((F.col("_cnt") <= when_over) | (F.col("_rd") <= n)).drop("_cnt", "_rd")
 
 
@@ -167,35 +173,70 @@ def _ovr_counts(pred: DataFrame, grp: list[str], n_classes: int, digits: int | N
         F.sum(F.when(F.col("actual") != F.col("class"), 1).otherwise(0)).alias("neg"))
 
 
-def roc_points(pred: DataFrame, grp: list[str], n_classes: int, digits: int | None = None) -> DataFrame:
-    """One-vs-rest ROC points per distinct threshold → (grp..., class, threshold, fpr, tpr).
-
-    Counts are aggregated per (class, score) first, so the cumulative window runs
-    over distinct scores only; ``digits`` rounds scores when they are too many."""
-    c = _ovr_counts(pred, grp, n_classes, digits)
+def _score_ranges(c: DataFrame, part: list[str], rows_per_range: int) -> DataFrame:
+    """``c`` with ``_range``: a number that rises with the score and splits each (part) into bounded ranges.
+
+    Range bounds are a quantile sketch of each part's scores. A row is placed in two steps (a head, then the bounds
+    behind it), so its cost grows with the root of the number of ranges. NULL scores form range -1."""
+    n = c.count()
+    if n <= rows_per_range:
+        return c.withColumn("_range", F.lit(0))
+    n_cuts = -(-n // rows_per_range)
+    step = max(2, round(n_cuts ** 0.5))
+    sketch = F.percentile_approx("score", [i / n_cuts for i in range(1, n_cuts)] or [0.5], max(10_000, 8 * n_cuts))
+    # a sketch may differ when merged in another order: written once, so that a lost executor changes no range
+    bounds = cut_lineage(c.groupBy(*part).agg(F.array_distinct(sketch).alias("_cuts")))
+    heads = F.filter("_cuts", lambda x, i: i % step == 0)
+    bounds = bounds.select(*[F.col(p).alias(f"_k_{p}") for p in part], "_cuts", heads.alias("_heads"))
+    on = [F.col(p).eqNullSafe(F.col(f"_k_{p}")) for p in part]
+    j = c.join(bounds, on, "left").drop(*[f"_k_{p}" for p in part])
+    head = F.size(F.filter("_heads", lambda x: x <= F.col("score")))
+    first = F.greatest(F.col("_h") - 1, F.lit(0)) * step
+    behind = F.size(F.filter(F.slice("_cuts", first + 1, step), lambda x: x <= F.col("score")))
+    return (j.withColumn("_h", head)
+            .withColumn("_range", F.when(F.col("score").isNull() | F.col("_cuts").isNull(), -1)
+                        .otherwise(first + behind))
+            .drop("_h", "_cuts", "_heads"))
+
+
+def roc_points(pred: DataFrame, grp: list[str], n_classes: int, digits: int | None = None,
+               rows_per_range: int = CURVE_RANGE_ROWS) -> DataFrame:
+    """One-vs-rest ROC points per distinct threshold
+    → (grp..., class, threshold, fpr, tpr, precision, fpr_before, tpr_before).
+
+    Counts are aggregated per (class, score) first. A curve's distinct scores are cut into ranges of about
+    ``rows_per_range``; sums per range give each its offset, and the running sum stays within a range, so a single
+    (model, class) is spread over tasks like any other. ``*_before`` is the point before (0 at the start).
+    ``digits`` rounds scores when they are too many."""
     part = grp + ["class"]
-    w = Window.partitionBy(*part).orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    wa = Window.partitionBy(*part)
-    c = c.select(*part, "score", F.sum("pos").over(w).alias("tp"), F.sum("neg").over(w).alias("fp"),
-                 F.sum("pos").over(wa).alias("P"), F.sum("neg").over(wa).alias("N"))
+    c = _score_ranges(hold(_ovr_counts(pred, grp, n_classes, digits)), part, rows_per_range)
+    sums = c.groupBy(*part, "_range").agg(F.sum("pos").alias("_rp"), F.sum("neg").alias("_rn"))
+    above = Window.partitionBy(*part).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*part)
+    sums = sums.select(*[F.col(x).alias(f"_k_{x}") for x in [*part, "_range"]],
+                       F.coalesce(F.sum("_rp").over(above), F.lit(0)).alias("_tp0"),
+                       F.coalesce(F.sum("_rn").over(above), F.lit(0)).alias("_fp0"),
+                       F.sum("_rp").over(whole).alias("P"), F.sum("_rn").over(whole).alias("N"))
+    c = c.join(sums, [F.col(x).eqNullSafe(F.col(f"_k_{x}")) for x in [*part, "_range"]])
+    w = (Window.partitionBy(*part, "_range").orderBy(F.desc("score"))
+         .rowsBetween(Window.unboundedPreceding, 0))
+    c = c.select(*part, "score", "pos", "neg", "P", "N", (F.col("_tp0") + F.sum("pos").over(w)).alias("tp"),
+                 (F.col("_fp0") + F.sum("neg").over(w)).alias("fp"))
     return c.select(*part, F.col("score").alias("threshold"),
                     F.when(F.col("N") > 0, F.col("fp") / F.col("N")).alias("fpr"),
                     F.when(F.col("P") > 0, F.col("tp") / F.col("P")).alias("tpr"),
-                    F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"))
+                    F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
+                    F.when(F.col("N") > 0, (F.col("fp") - F.col("neg")) / F.col("N")).alias("fpr_before"),
+                    F.when(F.col("P") > 0, (F.col("tp") - F.col("pos")) / F.col("P")).alias("tpr_before"))
 
 
 def roc_auc(points: DataFrame, grp: list[str]) -> DataFrame:
-    """Trapezoid area under (fpr, tpr), starting from (0, 0)."""
-    part = grp + ["class"]
-    w = Window.partitionBy(*part).orderBy(F.desc("threshold"))
-    p = points.select(*part, "fpr", "tpr", F.coalesce(F.lag("fpr").over(w), F.lit(0.0)).alias("f0"),
-                      F.coalesce(F.lag("tpr").over(w), F.lit(0.0)).alias("t0"))
-    return p.groupBy(*part).agg(F.sum((F.col("fpr") - F.col("f0")) * (F.col("tpr") + F.col("t0")) / 2).alias("auc"))
+    """Trapezoid area under (fpr, tpr) of ``roc_points``, starting from (0, 0). One aggregate, no window."""
+    strip = (F.col("fpr") - F.col("fpr_before")) * (F.col("tpr") + F.col("tpr_before")) / 2
+    return points.groupBy(*grp, "class").agg(F.sum(strip).alias("auc"))
 
 
 def average_precision(points: DataFrame, grp: list[str]) -> DataFrame:
-    """AP = Σ (R_n - R_{n-1}) · P_n over decreasing thresholds, R_0 = 0."""
-    part = grp + ["class"]
-    w = Window.partitionBy(*part).orderBy(F.desc("threshold"))
-    p = points.select(*part, "tpr", "precision", F.coalesce(F.lag("tpr").over(w), F.lit(0.0)).alias("r0"))
-    return p.groupBy(*part).agg(F.sum((F.col("tpr") - F.col("r0")) * F.col("precision")).alias("average_precision"))
+    """AP = Σ (R_n - R_{n-1}) · P_n over decreasing thresholds of ``roc_points``, R_0 = 0. One aggregate."""
+    step = (F.col("tpr") - F.col("tpr_before")) * F.col("precision")
+    return points.groupBy(*grp, "class").agg(F.sum(step).alias("average_precision"))

@@ -7,11 +7,14 @@ group in one task's memory: a global quantile over 10^12 doubles cannot work.
 1. one aggregate pass: n, min, max per (group, feature);
 2. groups with n <= ``window_rows``: Spark's exact ``percentile`` (its per-group
    value map is then bounded by ``window_rows``);
-3. larger groups: histogram refinement. Bucket values into ``buckets`` equal-width
-   bins over the current range, count per bin (map-side partial aggregation),
-   keep the bin containing each wanted rank, repeat on that bin's rows until it
-   holds <= ``window_rows`` rows (or one distinct value), then rank inside it.
-
+3. larger groups: refinement. A quantile sketch of the current range proposes two
+   values around each wanted rank; the rows below, at, between and above them are
+   counted exactly (map-side partial aggregation); the cell that holds the rank is
+   the next range, until it is one value or has <= ``window_rows`` rows to rank.
+
+The two values come from the data's own order, so the range shrinks by some
+``buckets`` / 3 a round however widely the magnitudes spread. Both leave the open
+cells, so every round removes a distinct value and the loop ends for any input.
 Every pass is a shuffle of small aggregates; no task ever holds more than
 ``window_rows`` values of one group, whatever the skew between groups.
 ``method="inmemory"`` uses Spark's ``percentile`` (one pass, fine when groups
@@ -24,11 +27,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tabsmith.session import hold
+from tabsmith.session import cut_lineage, hold
 
 WINDOW_ROWS = 2_000_000
-BUCKETS = 4096
-MAX_ROUNDS = 12
+BUCKETS = 1000
+SKETCH_ACCURACY = 10_000
 BROADCAST_ROWS = 200_000
 
 
@@ -102,39 +105,46 @@ def bounded_broadcast(df: DataFrame, max_rows: int, limit: int = BROADCAST_ROWS)
 
 def _refine(long: DataFrame, big: DataFrame, ranks: DataFrame, keys: list[str], value_col: str,
             window_rows: int, buckets: int, max_targets: int) -> DataFrame:
-    """Histogram refinement for groups larger than ``window_rows``."""
+    """Sketch-guided refinement for groups larger than ``window_rows``."""
     v = F.col(value_col)
+    inside = (v >= F.col("lo")) & (v <= F.col("hi"))
+    grid = [i / buckets for i in range(buckets + 1)]
     tgt = (big.join(ranks, keys).select(*keys, "rank", "lo", "hi", F.lit(0).cast("long").alias("below"),
                                         F.col("n").alias("cnt")))
     resolved = []
-    for _ in range(MAX_ROUNDS):
+    while True:
         tgt = hold(tgt)
         # Finished: a single distinct value in range, or few enough rows to rank.
-        done_const = tgt.where(F.col("lo") == F.col("hi")).select(*keys, "rank", F.col("lo").alias("v"))
-        resolved.append(done_const)
+        resolved.append(tgt.where(F.col("lo") == F.col("hi")).select(*keys, "rank", F.col("lo").alias("v")))
         open_t = tgt.where(F.col("lo") < F.col("hi"))
-        if open_t.where(F.col("cnt") > window_rows).count() == 0:
+        work = open_t.where(F.col("cnt") > window_rows)
+        if work.isEmpty():
             break
-        # Targets already small keep their range; the rest are bucketed.
         keep = open_t.where(F.col("cnt") <= window_rows)
-        work = open_t.where(F.col("cnt") > window_rows)
-        rows = long.join(bounded_broadcast(work, max_targets), keys).where((v >= F.col("lo")) & (v <= F.col("hi")))
-        width = (F.col("hi") - F.col("lo")) / F.lit(float(buckets))
-        b = F.least(F.floor((v - F.col("lo")) / width), F.lit(buckets - 1)).cast("int")
-        hist = (rows.groupBy(*keys, "rank", "below", b.alias("bucket"))
+        ranges = work.select(*keys, "lo", "hi").distinct()
+        cuts = (long.join(bounded_broadcast(ranges, max_targets), keys).where(inside).groupBy(*keys, "lo", "hi")
+                .agg(F.percentile_approx(v, grid, max(SKETCH_ACCURACY, 8 * buckets)).alias("cuts")))
+        # a sketch may differ when merged in another order: written once, so that a lost executor changes no range
+        cuts = cut_lineage(cuts)
+        at = F.floor((F.col("rank") - F.col("below")) * F.lit(float(buckets)) / F.col("cnt")).cast("int")
+        lower = F.element_at("cuts", F.greatest(at - 1, F.lit(0)) + 1)
+        upper = F.element_at("cuts", F.least(at + 2, F.lit(buckets)) + 1)
+        aim = work.join(cuts, [*keys, "lo", "hi"]).select(*keys, "rank", "lo", "hi", "below",
+                                                          lower.alias("a"), upper.alias("b"))
+        rows = long.join(bounded_broadcast(aim, max_targets), keys).where(inside)
+        cell = (F.when(v < F.col("a"), 0).when(v == F.col("a"), 1).when(v < F.col("b"), 2)
+                .when(v == F.col("b"), 3).otherwise(4))
+        hist = (rows.groupBy(*keys, "rank", "below", cell.alias("cell"))
                 .agg(F.count(F.lit(1)).alias("c"), F.min(v).alias("bmin"), F.max(v).alias("bmax")))
-        cw = Window.partitionBy(*keys, "rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+        cw = Window.partitionBy(*keys, "rank").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
         hist = hist.withColumn("cum", F.sum("c").over(cw))
         chosen = hist.where((F.col("below") + F.col("cum") - F.col("c") <= F.col("rank"))
                             & (F.col("rank") < F.col("below") + F.col("cum")))
         nxt = chosen.select(*keys, "rank", F.col("bmin").alias("lo"), F.col("bmax").alias("hi"),
                             (F.col("below") + F.col("cum") - F.col("c")).alias("below"), F.col("c").alias("cnt"))
         tgt = keep.unionByName(nxt)
-    else:
-        tgt = hold(tgt)
-        resolved.append(tgt.where(F.col("lo") == F.col("hi")).select(*keys, "rank", F.col("lo").alias("v")))
     final_t = tgt.where(F.col("lo") < F.col("hi"))
-    rows = long.join(bounded_broadcast(final_t, max_targets), keys).where((v >= F.col("lo")) & (v <= F.col("hi")))
+    rows = long.join(bounded_broadcast(final_t, max_targets), keys).where(inside)
     w = Window.partitionBy(*keys, "rank").orderBy(v)
     ranked = rows.select(*keys, "rank", v.alias("v"), (F.col("below") + F.row_number().over(w) - 1).alias("_r"))
     last = ranked.where(F.col("_r") == F.col("rank")).select(*keys, "rank", "v")

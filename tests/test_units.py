@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions.parse import safe_double
 from tabsmith.functions.presets import BEAN_CLASSES, NOISE_CONFIGS, variant_map
+from tabsmith.operators import charts as V
 from tabsmith.operators import clean as C
 from tabsmith.operators import compare as A
 from tabsmith.operators import features as FE
@@ -49,13 +50,60 @@ def test_quantiles(spark, method):
 
 
 def test_quantiles_refinement_path(spark):
-    # force the histogram-refinement path with a tiny window limit
+    # force the refinement path with a tiny window limit
     df = spark.range(1000).select((F.col("id") * 1.0).alias("x"))
     q = quantiles(to_long(df, ["x"]), [0.25, 0.5, 0.9], ["feature"], window_rows=10, buckets=8)
     got = {r.prob: r.q for r in q.collect()}
     assert got == {0.25: 249.75, 0.5: 499.5, 0.9: 899.1}
 
 
+def test_quantiles_of_magnitudes_far_apart(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x = 10.0 ** rng.uniform(-300, 300, 1500) * np.where(rng.random(1500) < 0.3, -1, 1)
+    x = np.concatenate((x, np.full(900, 2.5e-7), [0.0, -0.0, 5e-324, 1e300, -1e300]))  # ties and the ends of the range
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    probs = [0.0, 0.1, 0.5, 0.77, 1.0]
+    got = {r.prob: r.q for r in quantiles(to_long(df, ["x"]), probs, ["feature"], window_rows=10, buckets=16).collect()}
+    s = np.sort(x)
+    for p in probs:
+        h = (len(s) - 1) * p
+        lo, hi = s[int(np.floor(h))], s[int(np.ceil(h))]
+        assert got[p] == lo + (h - np.floor(h)) * (hi - lo), p
+
+
+def test_curves_in_score_ranges(spark):
+    """One model and class hold all rows; ranges of some 20 scores give the curve of a single pass."""
+    import numpy as np
+    rng = np.random.default_rng(5)
+    rows = [("m", int(rng.random() < 0.4), [0.0, float(rng.integers(0, 700)) / 700 * float(rng.random() < 0.8)])
+            for _ in range(1500)]
+    pred = spark.createDataFrame(rows, "model string, actual int, proba array<double>")
+    want, tp, fp = {}, 0, 0
+    for s in sorted({r[2][1] for r in rows}, reverse=True):
+        before = (fp, tp)
+        tp += sum(r[1] == 1 for r in rows if r[2][1] == s)
+        fp += sum(r[1] != 1 for r in rows if r[2][1] == s)
+        want[s] = (fp, tp, *before)
+    for limit in (20, 10_000):
+        pts = V.roc_points(pred, ["model"], 2, rows_per_range=limit)
+        got = {r.threshold: r for r in pts.where("class = 1").collect()}
+        assert got.keys() == want.keys()
+        for s, (f, t, f0, t0) in want.items():
+            assert (got[s].fpr, got[s].tpr, got[s].fpr_before, got[s].tpr_before) == (f / fp, t / tp, f0 / fp, t0 / tp)
+            assert got[s].precision == t / (t + f)
+    ranged = V._score_ranges(V._ovr_counts(pred, ["model"], 2, None), ["model", "class"], 20)
+    sizes = [r["count"] for r in ranged.where("class = 1").groupBy("_range").count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 60
+
+
+def test_curve_tail_of_long_and_short_curves(spark):
+    c = spark.range(130).selectExpr("'a' AS g", "id AS o").union(spark.range(100).selectExpr("'b' AS g", "id AS o"))
+    got = {r.g: (r["n"], r.lo) for r in V.curve_tail(c, ["g"], "o").groupBy("g").agg(
+        F.count("*").alias("n"), F.min("o").alias("lo")).collect()}
+    assert got == {"a": (50, 80), "b": (100, 0)}
+
+
 def test_standard_scale_population_std(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (100.0,)], "x double")
     st = S.Scaler("standard", ["x"], []).fit(df).stats.first()
