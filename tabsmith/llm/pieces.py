@@ -242,6 +242,10 @@ class Codec:
                 self.old, self.young = self.young, {}
         return np.frombuffer(b"".join(got), "<i4")
 
+    def rest(self) -> None:
+        """Let go of the remembered words; ids do not depend on them."""
+        self.young, self.old = {}, {}
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of some ids; the space before it goes again. Control ids have no text."""
         data = b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
@@ -263,16 +267,20 @@ ROWS = 512  # rows whose ids are held at once
 
 def _encoder(path: str, rule: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
-                texts = part.column("_text").to_pylist()
-                ids = [codec(path, rule).encode(t) for t in texts]
-                same = [codec(path, rule).decode(x) == t for x, t in zip(ids, texts)]
-                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-                lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32), np.concatenate(ids))
-                yield pa.RecordBatch.from_arrays([part.column("_row"), lists, pa.array(sizes), pa.array(same, pa.bool_())],
-                                                 names=["_row", "ids", "n_tokens", "round_trip"])
+        model = codec(path, rule)
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, ROWS):
+                    part = batch.slice(at, ROWS)
+                    texts = part.column("_text").to_pylist()
+                    ids = [model.encode(t) for t in texts]
+                    same = [model.decode(x) == t for x, t in zip(ids, texts)]
+                    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                    lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32), np.concatenate(ids))
+                    yield pa.RecordBatch.from_arrays([part.column("_row"), lists, pa.array(sizes), pa.array(same, pa.bool_())],
+                                                     names=["_row", "ids", "n_tokens", "round_trip"])
+        finally:
+            model.rest()  # the worker lives on and may serve other stages, whose memory this is
 
     return run
 

@@ -283,3 +283,22 @@ def test_encode_documents(docs_of, cases):
     assert all(len(r.ids) == r.n_tokens for r in rows) and {r["_text"] for r in rows} == {"mine"}
     assert all(r.n_tokens == 0 for r in rows if not r.text)
     assert pieces.encode_documents(docs_of([])).collect() == []
+
+
+def test_codec_rests_between_tasks():
+    import pyarrow as pa
+
+    from tabsmith.llm import pieces
+
+    texts = ["the cat sat on the mat", "", "caf\u00e9 the\nthe  cat"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(texts)], names=["_row", "_text"])
+    run = pieces._encoder(pieces.model_path(), "bpe")
+    first, again = (list(run(iter([batch]))) for _ in range(2))
+    model = pieces.codec(pieces.model_path(), "bpe")
+    assert first == again and first[0].column("round_trip").to_pylist() == [True] * 3
+    assert not model.young and not model.old
+    task = run(iter([batch]))
+    next(task)
+    assert model.young
+    task.close()  # a task that ends early rests too
+    assert not model.young and not model.old
