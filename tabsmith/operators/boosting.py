@@ -2,9 +2,10 @@
 
 Softmax boosting on histograms: a round grows one tree per class from first and second derivatives of the log loss.
 Growing a level is one Spark job over the binned rows. Tasks make per-node histograms, whose size depends on features,
-bins and nodes and not on rows; they are summed by a shuffle, unless a problem has all its rows in one task, and only
-the best split of each node reaches the driver. Several problems (folds, parameter draws, noisy copies) are grown in the
-same jobs, a row carrying the number of its problem, so their count does not multiply the jobs.
+bins and nodes and not on rows; they are summed by a shuffle, and only the best split of each node reaches the driver.
+Several problems (folds, parameter draws, noisy copies) are grown in the same jobs, a row carrying the number of its
+problem, so their count does not multiply the jobs. If no problem has over ``ROWS_PER_TASK`` rows, each has them in one
+task, which takes the same steps for ``REFRESH`` rounds in one job; the trees are the same either way.
 
 * ``leaves=0`` grows level by level to ``depth``; ``leaves=n`` grows best-first to n leaves: all nodes that best-first
   order picks from the gains known so far are opened in one job, until every child of a picked node is known.
@@ -122,6 +123,9 @@ def best_split(hist: np.ndarray, p: Boost, allowed: np.ndarray):
     return best, f, b, left[:, f, b], sums
 
 
+NOTHING = (0.0, -1, 0, np.zeros(3), np.zeros(3))  # of a node without rows
+
+
 class _Growing:
     """One tree while it grows: which nodes wait for a histogram and which splits are known."""
 
@@ -228,9 +232,35 @@ def _found(hist: np.ndarray, work: dict, p: int, c: int) -> np.ndarray:
     return np.array([gain, f, b, *left, *sums])
 
 
-def _level(work: dict, d: int, n_bins: int, alone: bool):
-    """Task of one job. ``work``: problem → (trees since the state, round, parameters, class → (tree, pending nodes,
-    allowed features), loss?). With ``alone``, a problem has all its rows here, so its splits are found here too."""
+def _histograms(tree: tuple[np.ndarray, ...], pending: np.ndarray, bins: np.ndarray, proba: np.ndarray, own: np.ndarray,
+                n_bins: int) -> np.ndarray:
+    """(3: gradient, hessian, rows; pending nodes; features; bins) of one class over the rows in the pending nodes."""
+    d = bins.shape[1]
+    slot = np.full(len(tree[0]), -1, np.int64)
+    slot[pending] = np.arange(len(pending))
+    s = slot[route(tree, bins)]
+    there = np.flatnonzero(s >= 0)
+    pc = proba[there]
+    g = np.rint((pc - own[there]) * SCALE)
+    h = np.rint(np.maximum(2.0 * pc * (1.0 - pc), 1e-16) * SCALE)
+    at = (s[there, None] * (d * n_bins) + np.arange(d)[None, :] * n_bins + bins[there]).ravel()
+    size = len(pending) * d * n_bins
+    return np.stack([np.bincount(at, np.repeat(g, d), size), np.bincount(at, np.repeat(h, d), size),
+                     np.bincount(at, minlength=size)]).reshape(3, len(pending), d, n_bins)
+
+
+def _losses(proba: np.ndarray, role: np.ndarray, y: np.ndarray) -> dict:
+    """Role → (loss in steps of 2^-24, rows, rows predicted right)."""
+    own = proba[np.arange(len(y)), np.where(role != OTHER, y, 0)]
+    loss = np.rint(-np.log(np.clip(own, 1e-15, 1.0)) * SCALE)
+    right = proba.argmax(axis=1) == y
+    found = {r: role == r for r in (TRAIN, VAL)}
+    return {r: np.array([loss[at].sum(), at.sum(), right[at].sum()]) for r, at in found.items() if at.any()}
+
+
+def _level(work: dict, d: int, n_bins: int):
+    """Task of a job that grows one level. ``work``: problem → (trees since the state, round, parameters, class → (tree,
+    pending nodes, allowed features), loss?)."""
     def run(blocks: Iterator[Block]) -> Iterator[tuple]:
         hists: dict = {}
         losses: dict = {}
@@ -243,43 +273,59 @@ def _level(work: dict, d: int, n_bins: int, alone: bool):
                 m = _add_trees(margins[rows], bins[rows], since)
                 proba = _softmax(m)
                 y = label[rows].astype(np.int64)
-                known = role[rows] != OTHER
                 if want_loss:
-                    own = proba[np.arange(len(rows)), np.where(known, y, 0)]
-                    loss = np.rint(-np.log(np.clip(own, 1e-15, 1.0)) * SCALE)
-                    right = proba.argmax(axis=1) == y
-                    for r in (TRAIN, VAL):
-                        at = role[rows] == r
-                        if at.any():
-                            losses[int(p), r] = losses.get((int(p), r), 0) + np.array([loss[at].sum(), at.sum(), right[at].sum()])
+                    for r, v in _losses(proba, role[rows], y).items():
+                        losses[int(p), r] = losses.get((int(p), r), 0) + v
                 use = np.flatnonzero((role[rows] == TRAIN) & (_uniform(key[rows], par.seed, round_no) < par.subsample))
                 if not len(use) or not growing:
                     continue
                 b = bins[rows[use]]
-                cells = np.arange(d)[None, :] * n_bins + b
                 for c, (tree, pending, _) in growing.items():
-                    slot = np.full(len(tree[0]), -1, np.int64)
-                    slot[pending] = np.arange(len(pending))
-                    s = slot[route(tree, b)]
-                    there = np.flatnonzero(s >= 0)
-                    pc = proba[use[there], c]
-                    g = np.rint((pc - (y[use[there]] == c)) * SCALE)
-                    h = np.rint(np.maximum(2.0 * pc * (1.0 - pc), 1e-16) * SCALE)
-                    at = (s[there, None] * (d * n_bins) + cells[there]).ravel()
-                    size = len(pending) * d * n_bins
-                    part = np.stack([np.bincount(at, np.repeat(g, d), size), np.bincount(at, np.repeat(h, d), size),
-                                     np.bincount(at, minlength=size)]).reshape(3, len(pending), d * n_bins)
+                    part = _histograms(tree, pending, b, proba[use, c], y[use] == c, n_bins)
                     hists[int(p), c] = hists.get((int(p), c), 0) + part
         for (p, r), v in losses.items():
             yield (1, p, r, 0), v
         for (p, c), part in hists.items():
             for i, node in enumerate(work[p][3][c][1].tolist()):
-                hist = np.ascontiguousarray(part[:, i]).reshape(3, d, n_bins)
+                hist = np.ascontiguousarray(part[:, i])
                 if hist[2].any():
-                    yield (0, p, c, node), _found(hist, work, p, c) if alone else hist
+                    yield (0, p, c, node), hist
+    return run
+
+
+def _whole_rounds(work: dict, d: int, k: int, n_bins: int):
+    """Task of a job that grows several rounds of the problems whose rows are all here. ``work``: problem → (parameters,
+    first round, rounds). Gives (problem, round, its trees, losses after it)."""
+    def run(blocks: Iterator[Block]) -> Iterator[tuple]:
+        mine = list(blocks)
+        there = {int(p) for b in mine for p in np.unique(b.problem)}
+        for p in sorted(there & set(work)):
+            par, start, count = work[p]
+            rows = [(b, np.flatnonzero(b.problem == p)) for b in mine]
+            role, label, key, bins, margins = (np.concatenate([getattr(b, name)[at] for b, at in rows])
+                                               for name in ("role", "label", "key", "bins", "margins"))
+            y, proba = label.astype(np.int64), _softmax(margins)
+            for round_no in range(start, start + count):
+                use = np.flatnonzero((role == TRAIN) & (_uniform(key, par.seed, round_no) < par.subsample))
+                trees = [_whole_tree(par, _features(par, d, round_no, c), bins[use], proba[use, c], y[use] == c, n_bins)
+                         for c in range(k)]
+                margins = _add_trees(margins, bins, [[t.arrays() for t in trees]])
+                proba = _softmax(margins)
+                yield p, round_no, trees, {(p, r): v for r, v in _losses(proba, role, y).items()}
     return run
 
 
+def _whole_tree(par: Boost, allowed: np.ndarray, bins: np.ndarray, proba: np.ndarray, own: np.ndarray, n_bins: int) -> Tree:
+    """One tree over rows that are all here: the steps of a job per level, without the jobs."""
+    growing = _Growing(par, allowed)
+    while True:
+        part = _histograms(growing.tree.arrays(), np.array(growing.pending), bins, proba, own, n_bins)
+        for i, node in enumerate(growing.pending):
+            growing.learn(node, best_split(part[:, i], par, allowed) if part[2, i].any() else NOTHING)
+        if not growing.plan():
+            return growing.finish()
+
+
 def _refresh(since: dict):
     def run(block: Block) -> Block:
         margins = block.margins.copy()
@@ -291,6 +337,15 @@ def _refresh(since: dict):
     return run
 
 
+def _renewed(state, since: dict):
+    """The state with the margins of the trees since, written to the checkpoint folder."""
+    fresh = state.map(_refresh(since)).persist(StorageLevel.MEMORY_AND_DISK)
+    fresh.checkpoint()
+    fresh.count()
+    state.unpersist()
+    return fresh
+
+
 # ---------------------------------------------------------------- binning
 def problem_rows(df: DataFrame, cols: list[str], label: str, key: str, role: Column, problem: Column | None = None) -> DataFrame:
     """Rows for ``fit``: (problem, role, label, key, x). ``role`` is TRAIN, VAL or OTHER (labels of OTHER are not read)."""
@@ -430,15 +485,15 @@ def fit(rows: DataFrame, problems: dict[int, Boost], n_classes: int, max_bins: i
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
     rows = cut_lineage(rows)
-    shape = rows.agg(F.max(F.size("x")), F.count("*")).first()
-    d, n = int(shape[0] or 0), shape[1]
+    sizes = rows.groupBy("problem").agg(F.max(F.size("x")), F.count("*")).collect()  # problems
+    d, n, largest = (f([r[i] for r in sizes] or [0]) for f, i in ((max, 1), (sum, 2), (max, 2)))
     cuts = cut_points(rows, d, max_bins)
     cuts |= {p: [np.zeros(0)] * d for p in problems if p not in cuts}
     n_bins, k = max_bins + 1, n_classes
     cores = spark.sparkContext.defaultParallelism
     parts = max(1, -(-n // ROWS_PER_TASK), min(len(problems), cores))
-    alone = parts <= len(problems)
-    salt = [] if alone else [F.pmod(F.col("key"), F.lit(-(-parts // len(problems))))]
+    alone = largest <= ROWS_PER_TASK
+    salt = [] if alone else [F.pmod(F.col("key"), F.lit(-(-largest // ROWS_PER_TASK)))]
     dealt = rows.coalesce(1) if parts == 1 else rows.repartition(parts, "problem", *salt)
     state = dealt.mapInArrow(_blocks(cuts, d, k, n_bins), "block binary").rdd.map(lambda r: Block(*pickle.loads(r.block)))
     state = state.persist(StorageLevel.MEMORY_AND_DISK)
@@ -448,6 +503,21 @@ def fit(rows: DataFrame, problems: dict[int, Boost], n_classes: int, max_bins: i
     low: dict = {p: np.inf for p in problems}
     curve: list = []
     active, round_no = sorted(problems), 0
+    while active and alone:
+        work = {p: (problems[p], round_no, min(REFRESH, problems[p].rounds - round_no)) for p in active}
+        got = {(p, r): rest for p, r, *rest in state.mapPartitions(_whole_rounds(work, d, k, n_bins)).collect()}  # trees
+        for p in active:
+            for r in range(round_no, round_no + work[p][2]):
+                done, losses = got.get((p, r)) or ([Tree() for _ in range(k)], {})
+                trees[p].append(done)
+                since[p].append([t.arrays() for t in done])
+                if _record(p, r + 1, losses, problems[p], curve, best, low):
+                    work.pop(p)  # trees past the stop are dropped
+                    break
+        round_no += REFRESH
+        active = [p for p in active if p in work and round_no < problems[p].rounds]
+        if active:
+            state, since = _renewed(state, since), {p: [] for p in problems}
     while active:
         growing: dict = {}
         for p in active:
@@ -458,7 +528,7 @@ def fit(rows: DataFrame, problems: dict[int, Boost], n_classes: int, max_bins: i
             want = first and round_no > 0
             work = {p: (since[p], round_no, problems[p], {c: (g.tree.arrays(), np.array(g.pending), g.allowed) for c, g in growing.get(p, {}).items() if g.pending},
                         want) for p in active if want or any(g.pending for g in growing.get(p, {}).values())}
-            splits, losses = _run(state, work, d, n_bins, alone, parts)
+            splits, losses = _run(state, work, d, n_bins, parts)
             if want:
                 stop = set()
                 for p in active:
@@ -472,22 +542,18 @@ def fit(rows: DataFrame, problems: dict[int, Boost], n_classes: int, max_bins: i
             for p in list(growing):
                 for c, g in growing[p].items():
                     for node in g.pending:
-                        g.learn(node, splits.get((p, c, node), (0.0, -1, 0, np.zeros(3), np.zeros(3))))
+                        g.learn(node, splits.get((p, c, node), NOTHING))
                 if not any([g.plan() for g in growing[p].values()]):
                     done = [g.finish() for _, g in sorted(growing.pop(p).items())]
                     trees[p].append(done)
                     since[p] = since[p] + [[t.arrays() for t in done]]
         round_no += 1
         if active and round_no % REFRESH == 0:
-            fresh = state.map(_refresh(since)).persist(StorageLevel.MEMORY_AND_DISK)
-            fresh.checkpoint()
-            fresh.count()
-            state.unpersist()
-            state, since = fresh, {p: [] for p in problems}
+            state, since = _renewed(state, since), {p: [] for p in problems}
     state.unpersist()
     for p in problems:
         best[p] = best[p] if problems[p].patience and best[p] else len(trees[p])
-    return Booster(k, d, n_bins, cuts, trees, curve, best)
+    return Booster(k, d, n_bins, cuts, trees, sorted(curve), best)
 
 
 def _features(p: Boost, d: int, round_no: int, cls: int) -> np.ndarray:
@@ -509,11 +575,10 @@ def _record(p: int, rounds: int, losses: dict, par: Boost, curve: list, best: di
     return bool(par.patience and best[p] and rounds - best[p] >= par.patience)
 
 
-def _run(state, work: dict, d: int, n_bins: int, alone: bool, parts: int) -> tuple[dict, dict]:
+def _run(state, work: dict, d: int, n_bins: int, parts: int) -> tuple[dict, dict]:
     """One job: (problem, class, node) → best split, and (problem, role) → (loss, rows, right)."""
-    sent = state.mapPartitions(_level(work, d, n_bins, alone))
-    if not alone:
-        sent = sent.reduceByKey(np.add, parts).map(lambda kv: kv if kv[0][0] else (kv[0], _found(kv[1], work, kv[0][1], kv[0][2])))
+    sent = state.mapPartitions(_level(work, d, n_bins)).reduceByKey(np.add, parts).map(
+        lambda kv: kv if kv[0][0] else (kv[0], _found(kv[1], work, kv[0][1], kv[0][2])))
     splits: dict = {}
     losses: dict = {}
     for (kind, p, c, node), v in sent.collect():  # a few numbers per node
