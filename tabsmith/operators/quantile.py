@@ -55,6 +55,18 @@ def _rank_targets(stats: DataFrame, keys: list[str], probs: list[float]) -> Data
                     F.ceil(h).cast("long").alias("r_hi"), (h - F.floor(h)).alias("frac"))
 
 
+def _meet(left: DataFrame, right: DataFrame, keys: list[str], how: str | int = "inner") -> DataFrame:
+    """Join on equal ``keys``, where NULL equals NULL: a group may have a NULL key.
+
+    ``how`` may be the most rows that ``right`` has: an inner join, with ``right`` broadcast if that is few."""
+    own = [f"_key_{i}" for i in range(len(keys))]
+    right = right.select(*[F.col(k).alias(o) for k, o in zip(keys, own)], *[c for c in right.columns if c not in keys])
+    if isinstance(how, int):
+        right, how = bounded_broadcast(right, how), "inner"
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, own)])
+    return left.join(right, same, how).drop(*own)
+
+
 def quantiles(long: DataFrame, probs: list[float], keys: list[str], value_col: str = "value",
               method: str = "exact", window_rows: int = WINDOW_ROWS, buckets: int = BUCKETS,
               accuracy: int = 10000) -> DataFrame:
@@ -86,12 +98,12 @@ def quantiles(long: DataFrame, probs: list[float], keys: list[str], value_col: s
         return quantiles(long, probs, keys, value_col, method="inmemory")
 
     small_keys = stats.where(F.col("n") <= window_rows).select(*keys)
-    small = quantiles(long.join(small_keys, keys, "left_semi"), probs, keys, value_col, method="inmemory")
+    small = quantiles(_meet(long, small_keys, keys, "left_semi"), probs, keys, value_col, method="inmemory")
     targets = _rank_targets(big, keys, probs)
     ranks = (targets.select(*keys, F.col("r_lo").alias("rank"))
              .unionByName(targets.select(*keys, F.col("r_hi").alias("rank"))).distinct())
     picked = _refine(long, big, ranks, keys, value_col, window_rows, buckets, n_big * 2 * len(probs))
-    j = targets.join(picked, keys).where((F.col("rank") == F.col("r_lo")) | (F.col("rank") == F.col("r_hi")))
+    j = _meet(targets, picked, keys).where((F.col("rank") == F.col("r_lo")) | (F.col("rank") == F.col("r_hi")))
     both = j.groupBy(*keys, "prob", "frac").agg(F.max(F.when(F.col("rank") == F.col("r_lo"), F.col("v"))).alias("v_lo"),
                                                 F.max(F.when(F.col("rank") == F.col("r_hi"), F.col("v"))).alias("v_hi"))
     big_q = both.select(*keys, "prob", (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("q"))
@@ -109,11 +121,11 @@ def _refine(long: DataFrame, big: DataFrame, ranks: DataFrame, keys: list[str],
     v = F.col(value_col)
     inside = (v >= F.col("lo")) & (v <= F.col("hi"))
     grid = [i / buckets for i in range(buckets + 1)]
-    tgt = (big.join(ranks, keys).select(*keys, "rank", "lo", "hi", F.lit(0).cast("long").alias("below"),
+    tgt = (_meet(big, ranks, keys).select(*keys, "rank", "lo", "hi", F.lit(0).cast("long").alias("below"),
                                         F.col("n").alias("cnt")))
     resolved = []
     while True:
-        tgt = hold(tgt)
+        tgt = cut_lineage(tgt)  # a few rows; kept as a plan, a round's plan would hold the one before several times
         # Finished: a single distinct value in range, or few enough rows to rank.
         resolved.append(tgt.where(F.col("lo") == F.col("hi")).select(*keys, "rank", F.col("lo").alias("v")))
         open_t = tgt.where(F.col("lo") < F.col("hi"))
@@ -122,16 +134,16 @@ def _refine(long: DataFrame, big: DataFrame, ranks: DataFrame, keys: list[str],
             break
         keep = open_t.where(F.col("cnt") <= window_rows)
         ranges = work.select(*keys, "lo", "hi").distinct()
-        cuts = (long.join(bounded_broadcast(ranges, max_targets), keys).where(inside).groupBy(*keys, "lo", "hi")
+        cuts = (_meet(long, ranges, keys, max_targets).where(inside).groupBy(*keys, "lo", "hi")
                 .agg(F.percentile_approx(v, grid, max(SKETCH_ACCURACY, 8 * buckets)).alias("cuts")))
         # a sketch may differ when merged in another order: written once, so that a lost executor changes no range
         cuts = cut_lineage(cuts)
         at = F.floor((F.col("rank") - F.col("below")) * F.lit(float(buckets)) / F.col("cnt")).cast("int")
         lower = F.element_at("cuts", F.greatest(at - 1, F.lit(0)) + 1)
         upper = F.element_at("cuts", F.least(at + 2, F.lit(buckets)) + 1)
-        aim = work.join(cuts, [*keys, "lo", "hi"]).select(*keys, "rank", "lo", "hi", "below",
+        aim = _meet(work, cuts, [*keys, "lo", "hi"]).select(*keys, "rank", "lo", "hi", "below",
                                                           lower.alias("a"), upper.alias("b"))
-        rows = long.join(bounded_broadcast(aim, max_targets), keys).where(inside)
+        rows = _meet(long, aim, keys, max_targets).where(inside)
         cell = (F.when(v < F.col("a"), 0).when(v == F.col("a"), 1).when(v < F.col("b"), 2)
                 .when(v == F.col("b"), 3).otherwise(4))
         hist = (rows.groupBy(*keys, "rank", "below", cell.alias("cell"))
@@ -144,7 +156,7 @@ def _refine(long: DataFrame, big: DataFrame, ranks: DataFrame, keys: list[str],
                             (F.col("below") + F.col("cum") - F.col("c")).alias("below"), F.col("c").alias("cnt"))
         tgt = keep.unionByName(nxt)
     final_t = tgt.where(F.col("lo") < F.col("hi"))
-    rows = long.join(bounded_broadcast(final_t, max_targets), keys).where(inside)
+    rows = _meet(long, final_t, keys, max_targets).where(inside)
     w = Window.partitionBy(*keys, "rank").orderBy(v)
     ranked = rows.select(*keys, "rank", v.alias("v"), (F.col("below") + F.row_number().over(w) - 1).alias("_r"))
     last = ranked.where(F.col("_r") == F.col("rank")).select(*keys, "rank", "v")

@@ -57,6 +57,18 @@ def test_quantiles_refinement_path(spark):
     assert got == {0.25: 249.75, 0.5: 499.5, 0.9: 899.1}
 
 
+def test_quantiles_of_null_group_keys(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.concat(F.lit("g"), F.col("id") % 3)).alias("g"), (F.col("id") * 1.0).alias("x"))
+    long = to_long(df.unionByName(df.where("g = 'g1' AND x < 10").withColumn("g", F.lit("few"))), ["x"], ["g"])
+    want = {(r.g, r.prob): r.q for r in quantiles(long, [0.25, 0.5], ["g", "feature"], method="inmemory").collect()}
+    got = {(r.g, r.prob): r.q for r in quantiles(long, [0.25, 0.5], ["g", "feature"], window_rows=10, buckets=8).collect()}
+    assert got == want and (None, 0.5) in got and ("few", 0.5) in got and len(got) == 8
+    # a group with a NULL key that is small beside large ones
+    long = long.where("g IS NOT NULL OR value < 20")
+    got = {(r.g, r.prob): r.q for r in quantiles(long, [0.5], ["g", "feature"], window_rows=10, buckets=8).collect()}
+    assert got[None, 0.5] == 9.0 and len(got) == 4
+
+
 def test_quantiles_of_magnitudes_far_apart(spark):
     import numpy as np
     rng = np.random.default_rng(3)
