@@ -59,6 +59,33 @@ def test_trees_depend_on_neither_partitions_nor_company(table, monkeypatch):
     assert both.trees[1] == one.trees[0] and len(both.trees[0]) == 2
 
 
+@pytest.mark.parametrize("par", [B.Boost(depth=5, min_rows=2), B.Boost.leafwise(leaves=20, min_rows=4)])
+def test_a_tree_sums_the_smaller_sibling_alone(par, monkeypatch):
+    """Same tree as from histograms of every node, and fewer rows are summed; many rows go feature by feature."""
+    rng = np.random.default_rng(8)
+    bins, y = rng.integers(0, 9, (3000, 6)).astype(np.uint8), rng.random(3000)
+    proba, own = np.clip(y * 0.8 + 0.1, 0, 1), (bins[:, 2] + bins[:, 4] > 8) & (y > 0.2)
+    allowed = np.array([False, True, True, True, True, True])
+    every, n_rows = B._Growing(par, allowed), 0
+    while True:
+        part = B._histograms(every.tree.arrays(), np.array(every.pending), bins, proba, own, 10)
+        n_rows += int(part[2, :, 0].sum())
+        for i, node in enumerate(every.pending):
+            every.learn(node, B.best_split(part[:, i], par, allowed) if part[2, i].any() else B.NOTHING)
+        if not every.plan():
+            break
+    summed, sums = [], B._sums
+    monkeypatch.setattr(B, "_sums", lambda b, *rest: summed.append(len(b)) or sums(b, *rest))
+    tree = B._whole_tree(par, allowed, bins, proba, own, 10)
+    assert tree == every.finish() and len(tree.feature) > 15
+    assert sum(summed) < 0.7 * n_rows
+    leaves = B.route(tree.arrays(), bins)
+    monkeypatch.setattr(B, "MANY_ROWS", 0)
+    assert (B.route(tree.arrays(), bins) == leaves).all()
+    monkeypatch.setattr(B, "FEW_CELLS", 0)
+    assert B._whole_tree(par, allowed, bins, proba, own, 10) == tree
+
+
 def test_leaf_limit_patience_missing_and_empty(table):
     m = B.fit(_rows(table), {0: B.Boost.leafwise(rounds=60, leaves=4, min_rows=5, rate=0.8, patience=3), 1: B.Boost(rounds=2)}, 3)
     assert all(sum(f < 0 for f in t.feature) <= 4 for classes in m.trees[0] for t in classes)
