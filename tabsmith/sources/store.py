@@ -8,15 +8,16 @@ from __future__ import annotations
 
 import json
 
-from pyspark.ml.classification import LogisticRegressionModel, OneVsRestModel, RandomForestClassificationModel
+from pyspark.ml.classification import LogisticRegressionModel, OneVsRestModel
 from pyspark.sql import DataFrame, SparkSession
 
 from tabsmith.operators.boosting import Booster
 from tabsmith.operators.features import FeatureSelector
+from tabsmith.operators.forest import Forests
 from tabsmith.operators.models import BOOSTED, Fitted, build
 from tabsmith.operators.scale import Scaler
 
-_READERS = {"logistic": LogisticRegressionModel, "svm": OneVsRestModel, "random_forest": RandomForestClassificationModel}
+_READERS = {"logistic": LogisticRegressionModel, "svm": OneVsRestModel}
 
 
 def _write_facts(spark: SparkSession, path: str, facts: dict) -> None:
@@ -54,7 +55,7 @@ def save_model(fitted: Fitted, spark: SparkSession, path: str) -> None:
     """A fitted classifier of any kind; KNN's training rows are its model."""
     _write_facts(spark, path, {"name": fitted.name, "cols": fitted.cols, "label": fitted.label, "key": fitted.key, "seconds": fitted.seconds,
                                "params": fitted.params, "n_classes": fitted.n_classes})
-    if fitted.name in BOOSTED:
+    if fitted.name in (*BOOSTED, "random_forest"):
         fitted.model.save(spark, f"{path}/model")
     elif fitted.name == "knn":
         fitted.model.select(fitted.key, fitted.label, *fitted.cols).write.mode("overwrite").parquet(f"{path}/model")
@@ -67,6 +68,8 @@ def load_model(spark: SparkSession, path: str) -> Fitted:
     name, spec = f["name"], None
     if name in BOOSTED:
         model = Booster.load(spark, f"{path}/model")
+    elif name == "random_forest":
+        model = Forests.load(spark, f"{path}/model")
     elif name == "knn":
         model = spark.read.parquet(f"{path}/model")
     else:
