@@ -94,3 +94,21 @@ def test_forests_of_a_search_are_those_of_single_fits(spark, table):
         rows = fitted.predict(folds.where("fold = 1"), "x").collect()
         recall = [np.mean([r.predicted == y for r in rows if r.actual == y]) for y in range(3)]
         assert got[str(c["n_estimators"]), 1] == (len(rows), pytest.approx(np.mean(recall)))
+
+
+def test_partitions_of_a_fit_do_not_grow_with_the_rows():
+    assert [ML.frame_parts(n, 64, 12, 12) for n in (0, 7_400, 72_000, 430_000)] == [1, 1, 1, 1]
+    assert [ML.frame_parts(n, 64, 1, 12) for n in (7_400, 72_000, 430_000)] == [1, 4, 12]
+    assert ML.frame_parts(72_000, ML.mapped_width("svm", 30, {"kernel": "poly"}), 1, 12) == 13
+    assert ML.mapped_width("svm", 30, {"kernel": "poly"}) == 5455 and ML.mapped_width("svm", 30) == 256
+
+
+def test_a_limit_of_steps_that_was_not_reached_needs_no_fit_of_its_own(spark, table, monkeypatch):
+    from pyspark.ml.classification import LogisticRegression
+
+    real, limits = LogisticRegression._fit, []
+    monkeypatch.setattr(LogisticRegression, "_fit", lambda self, df: limits.append(self.getMaxIter()) or real(self, df))
+    space = {"C": [1.0], "max_iter": [2, 900, 1000]}
+    got = {(r.params["max_iter"], r.fold): r.score for r in TU.search("logistic", table, COLS, "label", "row_id", TU.grid(space), 3).collect()}
+    assert len(got) == 9 and sorted(limits) == [2] * 3 + [1000] * 3
+    assert all(got["900", f] == got["1000", f] for f in range(3))
