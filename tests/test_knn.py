@@ -109,3 +109,27 @@ def test_flipped_labels_share_the_clean_search(spark, monkeypatch):
         p = K.knn_classify(noisy.where(F.col("noise_id") == i), test, "id", ["a", "b"], "y", k=3, n_classes=3)
         own = p.join(test, p.row_id == test.id).agg(F.avg((F.col("predicted") == F.col("y")).cast("double"))).first()[0]
         assert got[i] == pytest.approx(own)
+
+
+def test_a_grid_meets_each_pair_once_and_shuffles_no_copies(spark):
+    """Before, every metric had a search of its own, and a query's neighbours were shuffled for each k and weighting."""
+    rng = np.random.default_rng(9)
+    x = np.rint(rng.normal(size=(120, 3)) * 2)
+    df = spark.createDataFrame([(i, i % 3, *map(float, r)) for i, r in enumerate(x.tolist())], "row_id long, label int, a double, b double, c double")
+    ks, weights, metrics = [1, 4], ["uniform", "distance"], ("euclidean", "manhattan")
+    scores = MD.knn_grid_scores(df, "row_id", ["a", "b", "c"], "label", ks, weights, 3, metrics)
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapCoGroupsInPandas") == 1
+    copies = [line for line in plan.split("Initial Plan")[-1].splitlines() if "Exchange hashpartitioning(" in line and "qid" in line and "k#" in line]
+    assert copies == []
+    got = {(r.k, r.weights, r.metric, r.fold): r.score for r in scores.collect()}
+    folds = MD.stratified_folds(df, "label", "row_id", k=3)
+    want = {}
+    for fold in range(3):
+        tr, te = folds.where(F.col("fold") != fold), folds.where(F.col("fold") == fold)
+        for m in metrics:
+            for w in weights:
+                for k in ks:
+                    p = K.knn_classify(tr, te, "row_id", ["a", "b", "c"], "label", k=k, weights=w, metric=m)
+                    want[k, w, m, fold] = MD.balanced_accuracy_by(p, te, "row_id", "label", ["k"]).first().score
+    assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-12 for x in want)
