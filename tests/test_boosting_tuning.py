@@ -167,3 +167,29 @@ def test_balanced_accuracy_evaluator(spark):
     df = spark.createDataFrame([(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (2.0, 2.0)], "label_d double, prediction double")
     assert abs(TU.BalancedAccuracy().evaluate(df) - (0.5 + 1 + 1) / 3) < 1e-12
     assert np.isnan(TU.BalancedAccuracy().evaluate(df.limit(0)))
+
+
+def test_sums_of_many_rows_are_exact():
+    """Hessians and counts share a number within a chunk; sums over several chunks, at the largest values, stay exact."""
+    rng = np.random.default_rng(3)
+    n, slots, n_bins = 2 * B.CHUNK + 77, 3, 5
+    bins, slot = rng.integers(0, n_bins, (n, 4)).astype(np.uint8), rng.integers(0, slots, n)
+    g, h = rng.integers(-(1 << 24), (1 << 24) + 1, n).astype(float), np.where(rng.random(n) < 0.5, float(1 << 23), 0.0)
+    for rows in (slice(0, 50), slice(0, n), slice(0, 0)):
+        got = B._sums(bins[rows], slot[rows], g[rows], h[rows], slots, n_bins)
+        for s in range(slots):
+            for f in range(4):
+                for b in range(n_bins):
+                    at = (slot[rows] == s) & (bins[rows, f] == b)
+                    assert got[:, s, f, b].tolist() == [g[rows][at].sum(), h[rows][at].sum(), at.sum()]
+
+
+def test_nodes_that_no_cut_can_split_are_not_summed(monkeypatch):
+    """Before, a histogram was made of every node above full depth, also of those with too few rows for two sides."""
+    rng = np.random.default_rng(4)
+    x, y = rng.integers(0, 8, (400, 3)).astype(np.uint8), rng.integers(0, 2, 400)
+    par = B.Boost.leafwise(leaves=30, min_rows=60)
+    searched, best = [], B.best_split
+    monkeypatch.setattr(B, "best_split", lambda hist, *rest: searched.append(hist[2, 0].sum()) or best(hist, *rest))
+    tree = B._whole_tree(par, np.ones(3, bool), x, np.full(400, 0.5), y == 1, 9)
+    assert len(tree.feature) > 1 and min(searched) >= 120
