@@ -49,3 +49,16 @@ def test_forest_prefix_curve(spark):
                                params={"n_estimators": 10, "max_depth": 3})
     curve = {r.n_trees: r.accuracy for r in ML.tree_prefix_curve(model, te, [5, 10]).collect()}
     assert set(curve) == {5, 10} and curve[10] > 0.5
+
+
+def test_a_comparison_fits_its_models_side_by_side(spark, monkeypatch):
+    """Before, a model's fit waited for the one before it, so the barrier was never passed."""
+    from threading import Barrier
+
+    from tabsmith.plans import q_models as Q
+
+    together = Barrier(len(ML.MODELS), timeout=20)
+    monkeypatch.setattr(Q, "_splits", lambda *a: None)
+    monkeypatch.setattr(Q, "fitted_model", lambda spark, sf, name, params=None: together.wait() >= 0 and name)
+    monkeypatch.setattr(Q, "_pred", lambda spark, sf, name: spark.createDataFrame([(name,)], "model string"))
+    assert [r.model for r in Q.all_predictions(spark, "none").collect()] == list(ML.MODELS)
