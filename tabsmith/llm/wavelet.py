@@ -178,8 +178,7 @@ class WaveletShard:
             blocks = [self._load(level, b) for b in range(-(-self.n // self.block))]
             mask = (np.concatenate(blocks) if blocks else np.zeros(0, np.uint8)).view(bool)
             out = np.empty_like(work)
-            out.put(np.flatnonzero(~mask), work[:self.zeros[level]])
-            out.put(np.flatnonzero(mask), work[self.zeros[level]:])
+            out[~mask], out[mask] = work[:self.zeros[level]], work[self.zeros[level]:]
             work = out | (mask.astype(out.dtype) << out.dtype.type(self.levels - 1 - level))
         return work
 
