@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.ml.classification import LogisticRegressionModel, OneVsRestModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 
 from tabsmith.operators.boosting import Booster
@@ -16,8 +16,7 @@ from tabsmith.operators.features import FeatureSelector
 from tabsmith.operators.forest import Forests
 from tabsmith.operators.models import BOOSTED, Fitted, build
 from tabsmith.operators.scale import Scaler
-
-_READERS = {"logistic": LogisticRegressionModel, "svm": OneVsRestModel}
+from tabsmith.operators.svm import Machine, feature_map
 
 
 def _write_facts(spark: SparkSession, path: str, facts: dict) -> None:
@@ -55,7 +54,7 @@ def save_model(fitted: Fitted, spark: SparkSession, path: str) -> None:
     """A fitted classifier of any kind; KNN's training rows are its model."""
     _write_facts(spark, path, {"name": fitted.name, "cols": fitted.cols, "label": fitted.label, "key": fitted.key, "seconds": fitted.seconds,
                                "params": fitted.params, "n_classes": fitted.n_classes})
-    if fitted.name in (*BOOSTED, "random_forest"):
+    if fitted.name in (*BOOSTED, "random_forest", "svm"):
         fitted.model.save(spark, f"{path}/model")
     elif fitted.name == "knn":
         fitted.model.select(fitted.key, fitted.label, *fitted.cols).write.mode("overwrite").parquet(f"{path}/model")
@@ -72,9 +71,11 @@ def load_model(spark: SparkSession, path: str) -> Fitted:
         model = Forests.load(spark, f"{path}/model")
     elif name == "knn":
         model = spark.read.parquet(f"{path}/model")
+    elif name == "svm":
+        model = Machine.load(spark, f"{path}/model", feature_map(len(f["cols"]), f["params"]))  # its map is fixed by the seed
     else:
-        model = _READERS[name].load(f"{path}/model")
-        spec = build(name, len(f["cols"]), 1.0, f["params"], f["n_classes"])  # its feature map is fixed by the seed
+        model = LogisticRegressionModel.load(f"{path}/model")
+        spec = build(name, len(f["cols"]), 1.0, f["params"], f["n_classes"])
     return Fitted(name, model, f["cols"], f["label"], f["key"], spec, f["seconds"], f["params"], f["n_classes"])
 
 
