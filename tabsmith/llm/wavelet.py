@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 import struct
 import uuid
 import zlib
@@ -183,6 +184,14 @@ class WaveletShard:
         return work
 
 
+def _gathered(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Stretches of a pool one after another."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, len(pool)) < 1 << 31 else np.int64
+    return pool[np.repeat((starts - (ends - lengths)).astype(kind), lengths) + np.arange(total, dtype=kind)]
+
+
 class Encoder:
     """Byte-level BPE of the tokenizers library, with the ids of recent words kept.
 
@@ -190,12 +199,19 @@ class Encoder:
     tokenizer always cuts before it: before a space (which belongs to the word after it) and around a line break. So
     such a text's words can be encoded one by one and their ids joined: a batch is cut into words, only its distinct
     words are looked up or encoded, and the ids of all words are gathered. All other texts go to the tokenizer whole.
+    A word of letters after a space is one piece to the pre-tokenizer, so such words go to a copy of the tokenizer that
+    only cuts at spaces and spares the regular expression; each word's first token is the one that begins with the space.
+    Marks after such a word are a piece of their own, so that "word," and "word." need one look at "word".
 
     With ``match_added`` the strings of the tokenizer's added tokens (such as <|endoftext|>) get those tokens' ids, as the
     library does unless told otherwise; texts that hold one go to the tokenizer whole. Without it they are ordinary text.
     """
 
-    KEPT = 400_000  # words in each of two generations (about 0.2 KB a word)
+    KEPT = 400_000  # words (some 40 bytes a word)
+    TOGETHER = 100  # words that the library gets as one text
+    CALL = 8  # texts of a call: the library's own results are large
+    # letters in every version of Unicode: Latin, its supplement and extension A
+    LETTERS = "^[A-Za-z\\x{c0}-\\x{d6}\\x{d8}-\\x{f6}\\x{f8}-\\x{17f}]+$"
     LONG = 64  # longer words are not kept
     # two white-space characters in a row, white space at an end, any white space but space and line break, or a zero
     ODD = ("[ \\n][ \\n]|^[ \\n]|[ \\n]$|[\\x00\\t\\x0b-\\x0d\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
@@ -216,40 +232,129 @@ class Encoder:
         if hasattr(self.tokenizer.model, "_resize_cache"):
             self.tokenizer.model._resize_cache(0)  # known words are kept here, so its own cache would only cost time
         self.kind = np.dtype("<u2" if max(self.tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else "<u4")
-        self.end = np.array([end_id], self.kind).tobytes()
-        self.newline = self.whole(["\n"])[0]
-        self.young: dict[str, bytes] = {}  # word → ids; the first character tells what stands before it, see encode
-        self.old: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
+        self.end = np.array([end_id], self.kind)
+        self.newline = int(self.whole(["\n"])[0][0])
+        self.plain = self._without_regex()
+        self._forget()
+
+    def _without_regex(self):
+        """The tokenizer with no regular expression before the merges, or None if it is not a plain byte-level one.
+
+        Its added tokens must be special ones, which are ordinary text here or leave a text whole."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        before = self.tokenizer.pre_tokenizer
+        rule = json.loads(before.__getstate__()) if before is not None else {}
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if (not all(t.special for t in added) or self.tokenizer.normalizer is not None or rule.get("type") != "ByteLevel" or not rule.get("use_regex")
+                or rule.get("add_prefix_space") or len(self.whole(["\n"])[0]) != 1):
+            return None
+        plain = Tokenizer.from_str(self.tokenizer.to_str())
+        plain.encode_special_tokens = self.tokenizer.encode_special_tokens
+        if hasattr(plain.model, "_resize_cache"):
+            plain.model._resize_cache(0)
+        plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(" ", "merged_with_next"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        tokens = plain.get_vocab()
+        self.begins = np.zeros(max(tokens.values()) + 1, bool)
+        self.begins[[i for t, i in tokens.items() if t.startswith("\u0120")]] = True  # a space as the vocabulary has it
+        return plain
+
+    def _forget(self) -> None:
+        # words with their places in the pool; the first character of a word tells what stands before it, see encode
+        self.words, self.pool = pa.array([], pa.string()), np.zeros(0, self.kind)
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def whole(self, texts: list[str], tokenizer=None) -> list[np.ndarray]:
         """Ids of whole texts from the library."""
-        got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in got]
-
-    def _learn(self, keys: list[str]) -> dict[str, bytes]:
-        """Encode unknown words, many in one call: line breaks between them cut exactly there."""
-        nl, size, found = int(np.frombuffer(self.newline, self.kind)[0]), self.kind.itemsize, {}
-        for at in range(0, len(keys), 500):
-            some = keys[at:at + 500]
-            plain = [k[1:] if k[0] in "\0\n" else " " + k for k in some]
-            data = self.whole(["\n".join(plain)])[0]
-            cuts = np.flatnonzero(np.frombuffer(data, self.kind) == nl) * size
-            for key, a, b in zip(some, [0, *(cuts + size).tolist()], [*cuts.tolist(), len(data)]):
-                found[key] = self.newline + data[a:b] if key[0] == "\n" else data[a:b]
-        return found
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words."""
-        young, old = self.young, self.old
-        got = list(map(young.get, words))
-        again = {k: old[k] for k, v in zip(words, got) if v is None and k in old}
-        new = self._learn([k for k, v in zip(words, got) if v is None and k not in again])
-        values = [again.get(k) or new[k] if v is None else v for k, v in zip(words, got)]
-        young.update(again)
-        young.update((k, v) for k, v in new.items() if len(k) <= self.LONG)
-        if len(young) > self.KEPT:
-            self.old, self.young = young, {}
-        return values
+        encode = (tokenizer or self.tokenizer).encode_batch_fast
+        return [np.array(e.ids, self.kind) for at in range(0, len(texts), self.CALL) for e in encode(texts[at:at + self.CALL], add_special_tokens=False)]
+
+    def _joined(self, words: pa.Array, by: str) -> list[str]:
+        cuts = np.append(np.arange(0, len(words), self.TOGETHER), len(words)).astype(np.int32)
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts), words), by).to_pylist()
+
+    def _learn(self, keys: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pool, starts, lengths) of unknown words, many in one text."""
+        starts, lengths = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        letters = np.zeros(len(keys), bool)
+        if self.plain is not None:
+            letters = pc.match_substring_regex(keys, self.LETTERS).to_numpy(zero_copy_only=False)
+        pool = np.zeros(0, self.kind)
+        if letters.any():
+            texts = [" " + t for t in self._joined(keys.filter(pa.array(letters)), " ")]
+            pool = np.concatenate(self.whole(texts, self.plain))
+            starts[letters] = at = np.flatnonzero(self.begins[pool])
+            lengths[letters] = np.diff(at, append=len(pool))
+        if not letters.all():  # line breaks between words cut exactly there
+            rest = keys.filter(pa.array(~letters))
+            line = pc.starts_with(rest, "\n")
+            first = pc.or_(line, pc.starts_with(rest, "\0"))
+            texts = pc.if_else(first, pc.utf8_slice_codeunits(rest, 1), pc.binary_join_element_wise(pa.scalar(" "), rest, pa.scalar("")))
+            nl = np.array([self.newline], self.kind)
+            some = np.concatenate([nl, *(x for ids in self.whole(self._joined(texts, "\n")) for x in (ids, nl))])
+            cuts, after = np.flatnonzero(some == self.newline), line.to_numpy(zero_copy_only=False)
+            starts[~letters] = len(pool) + cuts[:-1] + 1 - after  # a word after a line break has the one before it
+            lengths[~letters] = np.diff(cuts) - 1 + after
+            pool = np.concatenate((pool, some))
+        return pool, starts, lengths
+
+    def _places(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pool, starts, lengths) of distinct words."""
+        known, starts, lengths = self._known(words)
+        if known.all():
+            return self.pool, starts, lengths
+        new = words.filter(pa.array(~known))
+        stems, tailed = self._stems(new)
+        asked = pa.concat_arrays([new.filter(pa.array(~tailed)), stems]).dictionary_encode()
+        have, s, n = self._known(asked.dictionary)
+        base, size = asked.dictionary.filter(pa.array(~have)), len(self.pool)
+        learnt, s[~have], n[~have] = self._learn(base)
+        s[~have] += size
+        pool, which, k = np.concatenate((self.pool, learnt)), asked.indices.to_numpy(), len(new) - len(stems)
+        own, each = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        own[~tailed], each[~tailed] = s[which[:k]], n[which[:k]]
+        if len(stems):  # their ids are the stem's and those of the marks after it
+            tails = pc.replace_substring_regex(new.filter(pa.array(tailed)), self.LETTERS[:-1], "").dictionary_encode()
+            marks = self.whole(tails.dictionary.to_pylist())
+            long = np.array([len(x) for x in marks])
+            at, tail = len(pool) + np.cumsum(long) - long, tails.indices.to_numpy()
+            both = np.stack((s[which[k:]], at[tail]), axis=1).ravel(), np.stack((n[which[k:]], long[tail]), axis=1).ravel()
+            each[tailed] = n[which[k:]] + long[tail]
+            made = _gathered(np.concatenate((pool, *marks)), *both)
+            own[tailed] = len(pool) + np.cumsum(each[tailed]) - each[tailed]
+            pool = np.concatenate((pool, made))
+        starts[~known], lengths[~known] = own, each
+        self._keep(pa.concat_arrays([base, new.filter(pa.array(tailed))]), pool[size:],
+                   np.concatenate((s[~have], own[tailed])) - size, np.concatenate((n[~have], each[tailed])))
+        return pool, starts, lengths
+
+    def _known(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which words are kept, and the places of those."""
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy()
+        known, starts, lengths = at >= 0, np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        starts[known], lengths[known] = self.starts[at[known]], self.lengths[at[known]]
+        return known, starts, lengths
+
+    def _stems(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """(letters, which words) of words that are letters and then ASCII marks: two pieces to the pre-tokenizer."""
+        stems = pc.utf8_rtrim(words, characters=string.punctuation)
+        tailed = pc.less(pc.binary_length(stems), pc.binary_length(words))
+        if self.plain is None:
+            return stems.slice(0, 0), np.zeros(len(words), bool)
+        tailed = pc.and_(tailed, pc.match_substring_regex(stems, self.LETTERS))
+        return stems.filter(tailed), tailed.to_numpy(zero_copy_only=False)
+
+    def _keep(self, new: pa.Array, learnt: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
+        short = pc.less_equal(pc.utf8_length(new), self.LONG)
+        mask = short.to_numpy(zero_copy_only=False)
+        if len(self.words) + len(new) > self.KEPT or len(self.pool) + len(learnt) > 16 * self.KEPT:
+            self._forget()
+        if len(learnt) <= 16 * self.KEPT:
+            self.words = pa.concat_arrays([self.words, new.filter(short)])
+            self.starts = np.concatenate((self.starts, starts[mask] + len(self.pool)))
+            self.lengths = np.concatenate((self.lengths, lengths[mask]))
+            self.pool = np.concatenate((self.pool, learnt))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, each with the end id; how many each has)."""
@@ -262,25 +367,24 @@ class Encoder:
             keys = pc.if_else(odd, names, keys)
         words = pc.split_pattern(keys, " ")
         coded = words.values.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        special = {i: k for i, k in enumerate(distinct) if k.startswith("\0\0")} if len(marked) else {}
-        if special:
-            plain = iter(self._ids([k for i, k in enumerate(distinct) if i not in special]))
-            rows = [int(k[2:]) for k in special.values()]
-            whole = dict(zip(special, self.whole(texts.take(pa.array(rows)).to_pylist())))
-            values = [whole[i] if i in whole else next(plain) for i in range(len(distinct))]
-        else:
-            values = self._ids(distinct)
-        values.append(self.end)
-        size = self.kind.itemsize
-        lengths = np.fromiter(map(len, values), np.int64, len(values)) // size
-        starts = np.cumsum(lengths) - lengths
-        pool = np.frombuffer(b"".join(values), self.kind)
+        distinct = coded.dictionary
+        special = np.zeros(len(distinct), bool)
+        if len(marked):
+            special = pc.starts_with(distinct, "\0\0").to_numpy(zero_copy_only=False)
+        starts, lengths = np.zeros(len(distinct) + 1, np.int64), np.zeros(len(distinct) + 1, np.int64)
+        usual = np.flatnonzero(~special)
+        pool, starts[usual], lengths[usual] = self._places(distinct.filter(pa.array(~special)) if len(marked) else distinct)
+        rows = [int(k[2:]) for k in distinct.filter(pa.array(special)).to_pylist()]
+        extra = [*(self.whole(texts.take(pa.array(rows)).to_pylist()) if rows else []), self.end]
+        own = np.append(np.flatnonzero(special), len(distinct))  # the last one is the end id
+        lengths[own] = [len(x) for x in extra]
+        starts[own] = len(pool) + np.cumsum(lengths[own]) - lengths[own]
+        pool = np.concatenate((pool, *extra))
         offsets = words.offsets.to_numpy().astype(np.int64) - words.offsets[0].as_py()
-        codes = np.insert(coded.indices.to_numpy(), offsets[1:], len(values) - 1)
+        codes = np.insert(coded.indices.to_numpy(), offsets[1:], len(distinct))
         each = lengths[codes]
         ends = np.cumsum(each)
-        ids = pool[np.repeat(starts[codes] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        ids = _gathered(pool, starts[codes], each)
         last = ends[offsets[1:] + np.arange(len(texts))]  # each text's end id closes it
         return ids, np.diff(last, prepend=0)
 

@@ -45,6 +45,18 @@ def test_encoder_equals_the_library(monkeypatch):
         assert each.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
 
 
+def test_marks_after_a_word_need_no_look_at_the_word_again():
+    e, sent = wavelet.Encoder(BPE), []
+    real = e.whole
+    e.whole = lambda texts, *more: sent.extend(texts) or real(texts, *more)
+    texts = ["so word word, word. word### word' x", "a word! äöß, äöß word's word.word\nword, end,", "word, äöß."]
+    for part in (texts, texts[::-1]):  # the second time from the kept words
+        ids, each = e.encode(pa.array(part))
+        want = [x + [0] for x in _library(part)]
+        assert each.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+    assert sum(t.split().count("word") for t in sent) == 1 and "word," not in " ".join(sent).replace("\nword,", "")
+
+
 def _untouched(texts):
     from tokenizers import Tokenizer
 
