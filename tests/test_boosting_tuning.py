@@ -153,6 +153,36 @@ def test_a_failed_setting_is_null(table, monkeypatch):
     assert len(rows) == 15 and sum(r.accuracy is None for r in rows) == 1
 
 
+def test_a_failed_job_is_no_result(table, monkeypatch):
+    """A Spark job that fails, or a clean copy without a fit, ends the run; its query gives no table with holes."""
+    from py4j.protocol import Py4JError
+
+    from tabsmith.plans import q_models as Q
+
+    full, real = table.na.fill(0.0), ML.fit_model
+
+    def fails_with(error, clean):
+        def fails(name, train, *a, **k):
+            if (train.exceptAll(full).isEmpty()) == clean:
+                raise error
+            return real(name, train, *a, **k)
+        return fails
+
+    run = lambda: R.mllib_robustness("logistic", full, full, COLS, "label", "row_id", {"max_iter": 2})
+    monkeypatch.setattr(R, "settings", lambda spark, every=R.settings: every(spark).where("noise_id in (0, 6)"))
+    for error, clean in ((Py4JError("a lost executor"), False), (RuntimeError("no fit"), True)):
+        monkeypatch.setattr(ML, "fit_model", fails_with(error, clean))
+        with pytest.raises(type(error)):
+            run()
+    monkeypatch.setattr(ML, "fit_model", fails_with(ValueError("no fit"), False))
+    rows = {r.noise_id: r.accuracy for r in run().collect()}
+    assert rows[0] is not None and rows[6] is None
+    monkeypatch.setattr(Q, "_splits", lambda spark, sf: (full.withColumn("split", F.lit("x")),) * 3)
+    monkeypatch.setattr(Q, "VEC", COLS)
+    with pytest.raises(RuntimeError, match="no score for"):
+        Q._robust(table.sparkSession, "a folder", "logistic")
+
+
 def test_csv_header_with_quotes_bom_and_blanks(spark, tmp_path):
     text = "\ufeffarea, \"a,b\" ,class\r\n1,\" x, \"\"y\"\"\",SIRA \r\n?,,\r\n"
     for split in ("train", "test", "val"):
