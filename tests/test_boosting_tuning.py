@@ -223,3 +223,43 @@ def test_nodes_that_no_cut_can_split_are_not_summed(monkeypatch):
     monkeypatch.setattr(B, "best_split", lambda hist, *rest: searched.append(hist[2, 0].sum()) or best(hist, *rest))
     tree = B._whole_tree(par, np.ones(3, bool), x, np.full(400, 0.5), y == 1, 9)
     assert len(tree.feature) > 1 and min(searched) >= 120
+
+
+@pytest.mark.parametrize("par", [B.Boost(rounds=6, depth=4), B.Boost.leafwise(rounds=30, leaves=6, min_rows=5, rate=0.8, patience=2)])
+def test_classes_side_by_side_grow_the_same_trees(table, par, monkeypatch):
+    """One task, a task per class, and a job per level: the same trees, losses and last round."""
+    one = B.fit(_rows(table), {0: par}, 3)
+    monkeypatch.setattr(B, "SHARE_ROWS", 10)
+    asked, found = [], B._whole_rounds
+    monkeypatch.setattr(B, "_whole_rounds", lambda problems, shares, *rest: asked.append(shares) or found(problems, shares, *rest))
+    shared = B.fit(_rows(table.repartition(3)), {0: par}, 3)
+    assert asked == [3] and shared.trees == one.trees and shared.curve == one.curve and shared.best == one.best
+    monkeypatch.setattr(B, "slots", lambda spark: 2)  # fewer cores than classes
+    assert B.fit(_rows(table), {0: par}, 3).trees == one.trees and asked == [3, 2]
+    monkeypatch.setattr(B, "WHOLE", 0)
+    levels = B.fit(_rows(table), {0: par}, 3)
+    n = len(levels.trees[0])
+    assert levels.trees[0] == one.trees[0][:n] and levels.curve == one.curve and levels.best == one.best and len(asked) == 2
+
+
+def test_each_problem_has_a_task_and_all_rounds_a_job(table, monkeypatch):
+    """Before, problems were dealt to tasks by their hash, several to one, and ten rounds were a job."""
+    copies = table.crossJoin(table.sparkSession.range(6).select(F.col("id").alias("p")))
+    seen, run = [], B._whole_rounds
+    table.sparkSession.sparkContext.setJobGroup("rounds", "rounds")
+    monkeypatch.setattr(B, "_whole_rounds", lambda *a: seen.append(a) or run(*a))
+    model = B.fit(_rows(copies, F.col("p")), {p: B.Boost(rounds=23, depth=2) for p in range(6)}, 3)
+    assert len(seen) == 1 and all(len(model.trees[p]) == 23 and model.trees[p] == model.trees[0] for p in range(6))
+
+
+@pytest.mark.parametrize("rows", [40, 900, 40_000])
+def test_running_sums_equal_plain_ones(rows, monkeypatch):
+    """Counting two features at a time, or a row in all its cells, sums exactly what one count per feature does."""
+    rng = np.random.default_rng(5)
+    bins, use = rng.integers(0, 7, (50_000, 5)).astype(np.uint8), np.array([0, 1, 4])
+    g, h = rng.integers(-(1 << 24), (1 << 24) + 1, 50_000).astype(float), rng.integers(0, (1 << 23) + 1, 50_000).astype(float)
+    at, columns = np.sort(rng.choice(50_000, rows, False)), B._Columns(bins, 7)
+    want = B._sums(bins[at], np.zeros(rows, np.int64), g[at], h[at], 1, 7)[:, 0][:, use].cumsum(axis=2)
+    for few in (0, 10 ** 9) if rows < B.CHUNK else (0,):
+        monkeypatch.setattr(B, "PAIR_ROWS", few)
+        assert (columns.sums(use, at, g, h) == want).all()
