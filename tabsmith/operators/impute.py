@@ -61,7 +61,8 @@ def impute_knn(df: DataFrame, cols: list[str], key: str, by: list[str] | None =
         *[F.avg(F.when(F.col("col") == i, F.col("val"))).alias(c) for i, c in enumerate(cols)]).alias(name))
     means = df.groupBy(*by).agg(*[F.avg(c).alias(f"mean__{c}") for c in cols]) if by else \
         df.agg(*[F.avg(c).alias(f"mean__{c}") for c in cols])
-    j = df.join(fills.withColumnRenamed("qid", key), by + [key], "left")
+    # rows that miss nothing are not joined, so they are not shuffled either
+    j = queries.join(fills.withColumnRenamed("qid", key), by + [key], "left").unionByName(df.where(~any_null), allowMissingColumns=True)
     j, stat = attach(j, means, by)
     sel = [(F.coalesce(F.col(c), F.col(name).getField(c), stat("mean", c)).alias(c) if c in cols else F.col(c))
            for c in df.columns]

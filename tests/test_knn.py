@@ -133,3 +133,30 @@ def test_a_grid_meets_each_pair_once_and_shuffles_no_copies(spark):
                     p = K.knn_classify(tr, te, "row_id", ["a", "b", "c"], "label", k=k, weights=w, metric=m)
                     want[k, w, m, fold] = MD.balanced_accuracy_by(p, te, "row_id", "label", ["k"]).first().score
     assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-12 for x in want)
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_fills_by_ranges_equal_all_pairs(spark, metric, monkeypatch):
+    """Ranges of one column, dealt to several tasks where rows crowd, find the donors that all pairs find; before, every
+    donor was copied for every block of queries."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(700):
+        x = [float(np.round(v, 2)) for v in (rng.normal() * 100 if i % 3 else 7.0, rng.normal() * 5, rng.integers(0, 4), rng.normal())]
+        for j in range(4):
+            if rng.random() < (0.03, 0.1, 0.1, 0.05)[j]:
+                x[j] = None if i % 2 else float("nan")
+        rows.append((i // 2 if i < 20 else i, *x))
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, e double").persist()
+    cols = ["a", "b", "c", "e"]
+    missing = df.where(" OR ".join(f"{c} IS NULL OR isnan({c})" for c in cols))
+    for sought in (cols, ["b"]):
+        want = K.knn_search(missing, df, "id", cols, 3, metric=metric, impute_cols=sought)
+        copied, kernel = [], K._make_kernel
+        monkeypatch.setattr(K, "_make_kernel", lambda *a: copied.append(a) or kernel(*a))
+        got = K.knn_search(missing, df, "id", cols, 3, metric=metric, impute_cols=sought, query_rows=9, donor_rows=40)
+        monkeypatch.undo()
+        plain = lambda t: sorted((r.qid, r.col, r.rn, round(r.dist, 9), r.did) for r in t.collect())
+        assert len(copied) == 1 and plain(got) == plain(want) and len(plain(want)) > 50
+    empty = K.knn_search(missing.limit(0), df, "id", cols, 3, impute_cols=cols, donor_rows=40)
+    assert empty.count() == 0
