@@ -82,6 +82,19 @@ def test_repeated_and_null_keys_and_missing_values_keep_their_rows(spark, table)
         ML.fit_model("random_forest", odd.withColumn("label", F.when(F.col("label") > 0, F.col("label"))), COLS, "label", "row_id")
 
 
+def test_a_predicting_task_meets_one_forest(spark, table):
+    """Before, the rows of all forests lay mixed, so every task read every tree of every forest."""
+    rows = FO.problem_rows(table, COLS, "label", "row_id")
+    model = FO.fit(rows, {f: (0, FO.Forest(trees=3, depth=4, seed=f)) for f in range(5)}, 3)
+    asked = rows.crossJoin(spark.range(5).select(F.col("id").cast("int").alias("forest"))).select("forest", F.col("forest").alias("f"), "x", "key")
+    pred = model.predict(asked, ["f", "key"]).withColumn("part", F.spark_partition_id()).cache()
+    assert pred.count() == 2000 and pred.groupBy("part").agg(F.countDistinct("f").alias("n")).where("n > 1").count() == 0
+    for f in (0, 3):
+        alone = FO.fit(rows, {0: (0, FO.Forest(trees=3, depth=4, seed=f))}, 3).predict(asked.where(F.col("forest") == f).withColumn("forest", F.lit(0)), ["key"])
+        both = alone.select(F.col("key").alias("of"), F.col("proba").alias("own")).join(pred.where(F.col("f") == f), F.col("of") == F.col("key"))
+        assert both.count() == 400 and both.where("own = proba").count() == 400
+
+
 def test_forests_of_a_search_are_those_of_single_fits(spark, table):
     from tabsmith.operators.split import stratified_folds
 
